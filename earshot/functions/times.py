@@ -49,7 +49,7 @@ def span_text(ms: Column) -> Column:
     year, day = 365 * 86400, 86400
     y, d = _div(secs, year), _div(F.pmod(secs, F.lit(year)), day)
     rest = F.pmod(secs, F.lit(day))
-    return F.concat_ws(
+    text = F.concat_ws(
         " ",
         F.when(y > 0, F.concat(y.cast("string"), F.lit("y"))),
         F.when((y > 0) | (d > 0), F.concat(d.cast("string"), F.lit("d"))),
@@ -59,6 +59,7 @@ def span_text(ms: Column) -> Column:
             F.pmod(rest, F.lit(60)).cast("string"), F.lit("s"),
         ),
     )
+    return F.when(ms.isNotNull(), text)
 
 
 def _div(a: Column, n: int) -> Column:
