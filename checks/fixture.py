@@ -119,7 +119,7 @@ BODIES: dict[str, str] = {
     "outdated_albums": """
         SELECT 'AR' || s_name AS artist_id, s_name AS artist_name, 'Album ' || n_name AS album_name,
                'AL' || CAST(sk AS STRING) AS saved_album_id,
-               CASE WHEN s_acctbal > 8000 THEN 'AL' ELSE 'ALN' END || CAST(sk AS STRING) AS newer_album_id,
+               CASE WHEN s_acctbal > 8000 THEN 'AL' WHEN s_acctbal > 7000 THEN 'ALR' ELSE 'ALN' END || CAST(sk AS STRING) AS newer_album_id,
                TIMESTAMP '2023-02-01 00:00:00' AS first_detected_at,
                TIMESTAMP '2023-02-01 00:00:00' + INTERVAL '1' DAY * s_nationkey AS last_checked_at
         FROM {label} WHERE s_acctbal > 5000""",
@@ -154,6 +154,49 @@ BODIES: dict[str, str] = {
         FROM {song}""",
 }
 
+# What the sync jobs fetch: overlaps the stored tables, with new keys, changed values and gaps.
+BODIES.update({
+    "polled": "SELECT track_id, played_at, track_name, artist_id, duration_ms, artist_name, album_id, album_name, album_type, checked_at FROM {any_play} WHERE feed IN ('live', 'stream') AND track_id IS NOT NULL",
+    "fresh_albums": """
+        SELECT CASE WHEN r_name = 'EUROPE' THEN 'ALN' ELSE 'AL' END || CAST(sk AS STRING) AS id, 'Album ' || n_name AS name, s_name AS artist, 'AR' || s_name AS artist_id,
+               '2020' AS release_date, 12 AS total_tracks, TIMESTAMP '2024-01-15 00:00:00' + INTERVAL '1' DAY * s_nationkey AS added_at, 'album' AS album_type,
+               CASE WHEN s_acctbal < 7000 THEN 'http://img/new' || CAST(sk AS STRING) END AS album_image_url
+        FROM {label} WHERE s_acctbal > 2500""",
+    "fresh_likes": """
+        SELECT CASE WHEN p_type = 'PROMO' THEN 'N' ELSE 'T' END || ks AS track_id, TIMESTAMP '2024-01-30 00:00:00' - INTERVAL '1' DAY * ((p_size - 36) * 5) AS liked_at,
+               CAST(NULL AS TIMESTAMP) AS added_at, TIMESTAMP '2024-01-31 00:00:00' AS last_checked_at, upper(p_name) AS track_name, p_brand AS track_artist,
+               'AR' || p_brand AS artist_id, CASE WHEN p_size = 40 THEN 'ALX' ELSE album_id END AS album_id, CAST(NULL AS BOOLEAN) AS album_in_library, dur + 1 AS duration_ms,
+               CASE WHEN p_size <> 41 THEN p_size END AS popularity, 1 AS seq
+        FROM {song} WHERE p_size > 36
+        UNION ALL
+        SELECT 'T' || ks, TIMESTAMP '2024-01-29 00:00:00', NULL, TIMESTAMP '2024-01-31 00:00:00', p_name, p_brand, 'AR' || p_brand, album_id, NULL, dur, 99, 2
+        FROM {song} WHERE p_size = 45 AND p_type <> 'PROMO'""",
+    "fresh_tracks": """
+        SELECT 'T' || ks AS id, upper(p_name) AS name, p_brand AS artist, album_name AS album, album_id, p_size + 1 AS track_number, 1 AS disc_number,
+               TIMESTAMP '2024-01-01 00:00:00' AS added_at, dur + 1 AS duration_ms, CASE WHEN p_size > 25 THEN p_size END AS popularity
+        FROM {song} WHERE p_type IN ('ECONOMY', 'PROMO', 'SMALL') AND p_size <> 12""",
+    "fresh_artists": """
+        SELECT 'AR' || s_name AS id, CASE WHEN s_acctbal < 6000 THEN upper(s_name) END AS name, LIST(n_name) AS genres, 'http://img/new' AS image_url,
+               TIMESTAMP '2024-01-31 00:00:00' AS last_checked_at
+        FROM {label} WHERE s_acctbal > 500""",
+    "fresh_availability": """
+        SELECT 'T' || ks AS track_id, p_size <> 30 AS is_playable, TIMESTAMP '2024-01-31 00:00:00' AS checked_at FROM {song} WHERE p_type <> 'MEDIUM'
+        UNION ALL SELECT 'N' || ks, true, TIMESTAMP '2024-01-31 00:00:00' FROM {song} WHERE p_type = 'PROMO'""",
+    "remote_albums": """
+        SELECT 'AR' || s_name AS artist_id, s_name AS artist_name, e.prefix || CAST(sk AS STRING) AS id, 'Album ' || n_name AS name,
+               CASE n_regionkey WHEN 0 THEN 'album' WHEN 1 THEN 'single' WHEN 2 THEN 'compilation' WHEN 3 THEN 'album' END AS album_type,
+               CASE r_name WHEN 'AFRICA' THEN '1994' WHEN 'AMERICA' THEN '1995' WHEN 'ASIA' THEN '1993' WHEN 'EUROPE' THEN '2001' END || '-12-31' AS release_date,
+               e.seq AS position
+        FROM {label} JOIN (SELECT 'AL' AS prefix, 1 AS seq, 1500 AS floor_bal UNION ALL SELECT 'ALR', 2, 4000 UNION ALL SELECT 'ALS', 3, 9000) e ON s_acctbal > e.floor_bal""",
+    "history_meta": """
+        SELECT 'T' || ks AS track_id, CASE WHEN p_size <> 2 THEN 'AR' || p_brand END AS artist_id, album_id, album_type, CASE WHEN p_size <> 3 THEN dur END AS duration_ms
+        FROM {song} WHERE p_type <> 'LARGE'""",
+    "entered": """
+        SELECT CASE WHEN p_size = 1 THEN ' ' ELSE ' A' || ks END AS alias_track_id, CASE WHEN p_size = 2 THEN 'A' ELSE 'T' END || ks || ' ' AS canonical_track_id,
+               CASE WHEN p_size > 25 THEN ' checked ' ELSE '' END AS reason, 'me' AS created_by
+        FROM {song} WHERE p_type IN ('LARGE', 'PROMO')""",
+})
+
 
 def references(text: str) -> list[str]:
     return re.findall(r"\{(\w+)\}", text)

@@ -113,13 +113,13 @@ add("playlist_members", lambda c: L.all_playlists(c.ut, lists(c), c.as_of).group
 HASHES = f"SELECT p.slug, sha256(string_agg('spotify:track:' || track_id, ',' ORDER BY pos)) AS new_hash, CAST(count(*) AS INT) AS new_count FROM {{playlist_mappings}} p JOIN ({MEMBERS}) m ON m.segment = p.rules GROUP BY p.slug"
 add("tracklist_hash", lambda c: L.tracklist_hashes(L.all_playlists(c.ut, lists(c), c.as_of), "slug"), HASHES)
 add("change_gate", lambda c: L.change_gate(c.ut, stored(c), c.as_of).select("slug", "last_synced_at", "track_count", "last_synced_hash", "outcome"),
-    f"""WITH s AS (SELECT p.slug, p.is_dynamic, p.track_count, coalesce(h.new_hash, sha256('')) AS new_hash, coalesce(h.new_count, 0) AS new_count,
-            CASE WHEN p.snapshot_id IN ('S0', 'S2', 'S4', 'S6', 'S8') THEN h.new_hash WHEN p.snapshot_id = 'S1' THEN 'old' END AS old_hash
-            FROM {{playlist_mappings}} p LEFT JOIN ({HASHES}) h ON h.slug = p.slug)
-        SELECT slug, CASE WHEN is_dynamic THEN {NOW} END AS last_synced_at,
+    f"""SELECT slug, CASE WHEN is_dynamic THEN {NOW} END AS last_synced_at,
             CASE WHEN is_dynamic AND old_hash IS DISTINCT FROM new_hash THEN new_count ELSE track_count END AS track_count,
             CASE WHEN is_dynamic AND old_hash IS DISTINCT FROM new_hash AND new_count > 0 THEN new_hash ELSE old_hash END AS last_synced_hash,
-            CASE WHEN is_dynamic THEN CASE WHEN old_hash IS NOT DISTINCT FROM new_hash THEN 'unchanged' WHEN new_count = 0 THEN 'emptied' ELSE 'changed' END END AS outcome FROM s""")
+            CASE WHEN is_dynamic THEN CASE WHEN old_hash IS NOT DISTINCT FROM new_hash THEN 'unchanged' WHEN new_count = 0 THEN 'emptied' ELSE 'changed' END END AS outcome
+        FROM (SELECT p.slug, p.is_dynamic, p.track_count, coalesce(h.new_hash, sha256('')) AS new_hash, coalesce(h.new_count, 0) AS new_count,
+                     CASE WHEN p.snapshot_id IN ('S0', 'S2', 'S4', 'S6', 'S8') THEN h.new_hash WHEN p.snapshot_id = 'S1' THEN 'old' END AS old_hash
+              FROM {{playlist_mappings}} p LEFT JOIN ({HASHES}) h ON h.slug = p.slug) s""")
 
 
 def upstream(c):

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Notes that do not distinguish one recording from another.
 EDITION_NOTES = (
@@ -48,7 +49,7 @@ def fold_accents(text: Column) -> Column:
     return F.regexp_replace(F.translate(text, _FROM, _TO), r"\p{M}+", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold_accents_any(text: pd.Series) -> pd.Series:
     """Full compatibility decomposition, for scripts `fold_accents` does not cover."""
     return text.map(

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from earshot.functions.times import DAY, HOUR, SECOND
+from earshot.sources.snapshots import settle
 
 ROWS_PER_PIECE = 1_000_000
 
@@ -68,3 +69,21 @@ def _carry(edges: DataFrame, by: list[str], ahead: bool) -> DataFrame:
     return within.join(days, [*by, "_day"]).select(
         *by, "_piece", F.coalesce("_in_day", "_next_day").alias("_carry")
     )
+
+
+def number_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, first_id, n): the 1-based row numbers first_id .. first_id + n - 1 that rows
+    with these keys take in the global order by `keys`.
+
+    Equal rows are counted first, so no run of equal keys can fill a partition. The sorted
+    rows are written once with their partition and position, which fixes both; the count
+    per partition then gives every partition its offset.
+    """
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    placed = settle(counted.orderBy(*[F.col(k).asc_nulls_last() for k in keys]).withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    placed = placed.withColumn("_part", F.shiftright("_at", 33))  # the upper bits hold the partition
+    sizes = placed.groupBy("_part").agg(F.sum("n").alias("_n"))  # one row per partition
+    offsets = sizes.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_offset"))
+    before = F.sum("n").over(W.partitionBy("_part").orderBy("_at")) - F.col("n")
+    numbered = placed.withColumn("_before", before).join(F.broadcast(offsets), "_part")
+    return numbered.select(*keys, (F.col("_offset") + F.col("_before") + 1).alias("first_id"), "n")
