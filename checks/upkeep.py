@@ -184,9 +184,10 @@ add("known_track_ids", lambda c: T.known_track_ids(c.kept("liked_tracks"), c.kep
 HOLDERS = ("albums", "liked_tracks", "stream_history", "import_history", "plays")
 KNOWN = " UNION ".join(f"SELECT artist_id FROM {{{h}}} WHERE artist_id IS NOT NULL" for h in HOLDERS)
 add("known_artist_ids", lambda c: T.known_artist_ids(*[c.kept(h) for h in HOLDERS]), KNOWN)
+CHECKED = """(SELECT u.track_id, checked_at FROM (SELECT track_id FROM {liked_tracks} UNION SELECT id FROM {tracks}) u
+    LEFT JOIN {track_availability} v ON v.track_id = u.track_id)"""
 add("worklist_availability", lambda c: T.availability_worklist(c.kept("liked_tracks"), c.kept("tracks"), c.kept("track_availability")),
-    """WITH k AS (SELECT u.track_id, checked_at FROM (SELECT track_id FROM {liked_tracks} UNION SELECT id FROM {tracks}) u LEFT JOIN {track_availability} v ON v.track_id = u.track_id)
-       SELECT track_id FROM k WHERE checked_at IS NULL UNION (SELECT track_id FROM k WHERE checked_at IS NOT NULL ORDER BY checked_at, track_id LIMIT 100)""")
+    f"""SELECT track_id FROM {CHECKED} WHERE checked_at IS NULL UNION (SELECT track_id FROM {CHECKED} WHERE checked_at IS NOT NULL ORDER BY checked_at, track_id LIMIT 100)""")
 add("worklist_artists", lambda c: T.artist_worklist(c.kept("artists"), [c.kept(h) for h in HOLDERS]),
     f"""SELECT artist_id AS id FROM ({KNOWN}) WHERE artist_id NOT IN (SELECT id FROM {{artists}})
         UNION (SELECT id FROM {{artists}} ORDER BY coalesce(last_checked_at, TIMESTAMP '2000-01-01'), id LIMIT 100)""")
