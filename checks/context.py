@@ -53,9 +53,13 @@ class Context:
     def up(self) -> DataFrame:
         return settle(self.unified_plays(), "unified_plays")
 
+    def fresh_build(self) -> LibraryBuild:
+        """A build with none of its stages written yet."""
+        return LibraryBuild(self.lib, self.up)
+
     @cached_property
     def build(self) -> LibraryBuild:
-        return LibraryBuild(self.lib, self.up)
+        return self.fresh_build()
 
     @cached_property
     def ut(self) -> DataFrame:

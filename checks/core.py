@@ -41,19 +41,19 @@ add("canonical_dedup",
 add("play_stats", lambda c: P.play_stats(c.up), "SELECT * FROM {st}")
 add("latest_play", lambda c: P.latest_play(c.up).select("track_id", "played_at", "duration_ms", "track_name", "artist_name", "artist_id", "album_id", "album_name", "album_type"),
     "SELECT track_id, played_at, duration_ms, track_name, artist_name, artist_id, album_id, album_name, album_type FROM {latest}")
-add("skip_resume", lambda c: c.build.behaviour, "SELECT * FROM {acts}")
+add("skip_resume", lambda c: c.fresh_build().behaviour, "SELECT * FROM {acts}")
 add("base_tracks", lambda c: flat(c.build.base), "SELECT * REPLACE (array_to_string(genres, '|') AS genres) FROM {base}")
 add("liked_only", lambda c: flat(K.liked_only(c.lib, c.build.tracks_canon, c.build.likes_canon)),
     "SELECT * REPLACE (array_to_string(genres, '|') AS genres) FROM {base} WHERE library_origin = 'liked_only'")
 add("excluded_flag", lambda c: K.with_excluded(c.build.tracks_canon, c.lib.excluded_tracks, "canonical_track_id", "id").select("canonical_track_id", "id", "excluded"),
     "SELECT cid AS canonical_track_id, id, EXISTS (SELECT 1 FROM {excluded_tracks} x WHERE x.track_id = cid OR x.track_id = id) AS excluded FROM {tc}")
-add("fuzzy_candidates", lambda c: c.build.stray.variants,
+add("fuzzy_candidates", lambda c: c.fresh_build().stray_variants,
     """SELECT track_id, lower(track_name) AS title_key, lower(artist_name) AS artist_key, coalesce(duration_ms, 0) AS ms, count(*) AS n,
               min(played_at) AS first_at, max(played_at) AS last_at FROM {stray} GROUP BY ALL""")
 
 
 def _fuzzy_match(c):
-    keys = K.stray_keys(c.build.stray.variants)
+    keys = K.stray_keys(c.fresh_build().stray_variants)
     track_keys = K.match_key(c.lib.tracks, "name", "artist").distinct()
     return K.matched_keys(track_keys, keys)
 
@@ -66,7 +66,7 @@ add("fuzzy_match", _fuzzy_match,
 add("fuzzy_stats", lambda c: c.build.stray.fuzzy, "SELECT * FROM {fz}")
 add("non_library_ids", lambda c: c.build.stray.unmatched_ids, "SELECT * FROM {nolib}")
 add("non_library_base", lambda c: flat(c.build.non_library), "SELECT * REPLACE (array_to_string(genres, '|') AS genres) FROM {nobase}")
-add("unified_tracks", lambda c: flat(c.build.unified_tracks), UT)
+add("unified_tracks", lambda c: flat(c.fresh_build().unified_tracks), UT)
 add("play_counts", lambda c: c.ut.select("track_id", "library_play_count", "fuzz_play_count", "resume_play_count", "play_count"),
     "SELECT track_id, library_play_count, fuzz_play_count, resume_play_count, play_count FROM {ut}")
 add("earliest_dates", lambda c: c.ut.select("track_id", "added_at", "first_played_at", "last_played_at"),

@@ -96,3 +96,18 @@ OPEN = "(i.matched_track_id IS NULL AND i.match_checked_at IS NULL AND i.name IS
 add("link_catalog", _link_catalog,
     f"""SELECT i.import_id, CASE WHEN {OPEN} THEN b.id ELSE i.matched_track_id END AS matched_track_id, CASE WHEN {OPEN} THEN b.name ELSE i.matched_name END AS matched_name,
         CASE WHEN {OPEN} THEN {NOW} ELSE i.match_checked_at END AS match_checked_at FROM {{import_catalog}} i LEFT JOIN {BEST_EXACT} b ON b.import_id = i.import_id""")
+
+
+def _merge_links(c):
+    """Links as a run found them, for the rows a run tried: part of them stay unmatched."""
+    stored = c.kept("import_catalog")
+    tried = T.link_worklist(stored)
+    links = tried.filter("duration_ms > 940000").select(
+        "import_id", F.concat(F.lit("T"), F.col("import_id").cast("string")).alias("matched_track_id"), F.lower("name").alias("matched_name"))
+    return X.merge_links(stored, links, tried, c.as_of).select("import_id", "matched_track_id", "matched_name", "match_checked_at")
+
+
+add("merge_links", _merge_links,
+    f"""SELECT import_id, CASE WHEN {OPEN} AND duration_ms > 940000 THEN 'T' || CAST(import_id AS VARCHAR) ELSE matched_track_id END AS matched_track_id,
+        CASE WHEN {OPEN} AND duration_ms > 940000 THEN lower(name) ELSE matched_name END AS matched_name,
+        CASE WHEN {OPEN} THEN {NOW} ELSE match_checked_at END AS match_checked_at FROM {{import_catalog}} i""")

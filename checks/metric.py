@@ -10,7 +10,7 @@ from earshot.functions.numbers import half_even, half_up, ratio
 from earshot.functions.order import asc
 from earshot.functions.times import ago, micros, partial_date, span_text
 from earshot.operators import metrics as M
-from earshot.operators.ordered import neighbour
+from earshot.operators.ordered import heavy_groups, hour_sizes, neighbour
 from earshot.plans import dashboard as D
 from earshot.sources.snapshots import latest_metrics, read_metrics, write_metrics
 from earshot.session import shared_dir
@@ -158,9 +158,15 @@ add("scalar_string",
                           F.substring("release_date", 1, 4).alias("yr"), F.left(F.repeat("track_name", F.lit(80)), F.lit(500)).alias("clip")),
     """SELECT track_id, lower(artist) AS lo, lower(artist) LIKE '%#1%' AS lk, 'u:' || track_id AS cc, trim('  ' || track_name) AS tr,
        CAST(length(release_date) AS INT) AS ln, left(release_date, 4) AS yr, left(repeat(track_name, 80), 500) AS clip FROM {ut}""")
-add("epoch_gap",
-    lambda c: neighbour(c.up.filter("track_id is not null").select(micros(F.col("played_at")).alias("us")).distinct(), "us", []).select("us", (F.col("near.us") - F.col("us")).alias("gap_us")),
-    "SELECT us, lead(us) OVER (ORDER BY us) - us AS gap_us FROM (SELECT DISTINCT epoch_us(played_at) AS us FROM {ap})")
+
+
+def _epoch_gap(c):
+    """Gap from every instant to the next one, over all plays."""
+    moments = c.up.filter("track_id IS NOT NULL").select(micros(F.col("played_at")).alias("us")).distinct()
+    return neighbour(moments, "us", [], heavy_groups(hour_sizes(moments), "n")).select("us", (F.col("near.us") - F.col("us")).alias("gap_us"))
+
+
+add("epoch_gap", _epoch_gap, "SELECT us, lead(us) OVER (ORDER BY us) - us AS gap_us FROM (SELECT DISTINCT epoch_us(played_at) AS us FROM {ap})")
 add("scalar_date",
     lambda c: c.up.groupBy(F.to_date("played_at").alias("d"), F.hour("played_at").alias("h"), F.date_trunc("week", "played_at").cast("timestamp_ntz").alias("w"),
                            F.date_trunc("month", "played_at").cast("timestamp_ntz").alias("m"), F.date_format("played_at", "EEEE").alias("dow"),

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from earshot.operators.ordered import cell
+
 
 def band_aggregate(
     probes: DataFrame,
@@ -21,7 +23,7 @@ def band_aggregate(
     and both neighbours, a probe into its own, so a window partition holds at most
     3 * width points however common a key is, and no probe x point pair is ever a row.
     """
-    bucket = F.floor(F.col(value) / width)
+    bucket = cell(value, width)
     cells = points.withColumn("_cell", F.explode(F.array(bucket - 1, bucket, bucket + 1))).withColumn("_probe", F.lit(False))
     asked = probes.select(*keys, value).withColumn("_cell", bucket).withColumn("_probe", F.lit(True))
     near = W.partitionBy(*keys, "_cell").orderBy(value).rangeBetween(-width, width)

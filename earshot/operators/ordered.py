@@ -1,14 +1,14 @@
 """Next and previous row over data of any size and skew.
 
 A plain LEAD over all plays sorts everything in one task, and a LAG per track sorts a
-hot track in one task. Here a group too large for a task is cut into pieces of one
-second (a piece holds at most a million distinct microseconds), and the edge of the
-neighbouring piece is carried over: seconds within a day, then days.
+hot track in one task. Here a group that was measured to be too large for a task is cut
+into pieces of one second (a piece holds at most a million distinct microseconds), and
+the edge of the neighbouring piece is carried over: seconds within a day, then days.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -18,57 +18,87 @@ from earshot.sources.snapshots import settle
 ROWS_PER_PIECE = 1_000_000
 
 
-def neighbour(
-    df: DataFrame,
-    us: str,
-    payload: list[str],
-    by: list[str] | None = None,
-    ahead: bool = True,
-    rows_per_piece: int = ROWS_PER_PIECE,
+def cell(value: str | Column, width: int) -> Column:
+    """floor(value / width) in whole numbers."""
+    value = F.col(value) if isinstance(value, str) else value
+    wide = F.lit(width).cast("bigint")
+    return F.call_function("div", value - F.pmod(value, wide), wide)
+
+
+def heavy_groups(sizes: DataFrame, count: str, limit: int = ROWS_PER_PIECE) -> DataFrame | None:
+    """The groups of `sizes` with more than `limit` rows, or None if there are none. Of N
+    rows at most N / limit groups are heavy, so the result is small enough to broadcast."""
+    heavy = sizes.filter(F.col(count) > limit).drop(count)
+    return None if heavy.isEmpty() else heavy
+
+
+def hour_sizes(us: DataFrame) -> DataFrame:
+    """(hour, n) of a frame with microseconds `us`."""
+    return us.groupBy(cell("us", HOUR).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def neighbour_in_group(
+    df: DataFrame, by: list[str], us: str, payload: list[str], heavy: DataFrame | None, ahead: bool = True
 ) -> DataFrame:
-    """Add `near`: struct(us, *payload) of the next (or previous) row, null at the end.
+    """Add `near`: struct(us, *payload) of the next (or previous) row of the same group,
+    null at its end. `us` is unique within a group; `heavy` lists the groups to cut."""
+    value, order = F.struct(us, *payload), _way(us, ahead)
+    if heavy is None:
+        return df.withColumn("near", F.lead(value).over(W.partitionBy(*by).orderBy(order)))
+    marked = df.join(F.broadcast(heavy.select(*by, F.lit(True).alias("_heavy"))), by, "left")
+    cut = marked.withColumn("_piece", F.when(F.col("_heavy"), cell(us, SECOND)))
+    edges = _edges(cut.filter("_heavy"), by, value, ahead)
+    return _with_carry(cut.drop("_heavy"), by, value, order, _carry_by_day(edges, by, ahead))
 
-    `us` is a bigint of microseconds, unique within `by`. With `by`, a group is one
-    piece until it exceeds `rows_per_piece`; without, the first cut is the hour.
-    """
-    by = list(by or [])
-    coarse = F.lit(0).cast("bigint") if by else F.floor(F.col(us) / HOUR).cast("bigint")
-    keyed = df.withColumn("_coarse", coarse)
-    # at most rows / rows_per_piece rows, hence safe to broadcast
-    heavy = (
-        keyed.groupBy(*by, "_coarse").agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > rows_per_piece).select(*by, "_coarse", F.lit(True).alias("_heavy"))
-    )
-    second = F.expr(f"CAST(floor({us} / {SECOND}) AS BIGINT)")
-    cut = keyed.join(F.broadcast(heavy), [*by, "_coarse"], "left").withColumn(
-        "_piece", F.when(F.col("_heavy"), second).otherwise(F.col("_coarse") * (HOUR // SECOND))
-    ).drop("_coarse")
-
-    value = F.struct(us, *payload)
-    order = F.col(us).asc() if ahead else F.col(us).desc()
-    inside = F.lead(value).over(W.partitionBy(*by, "_piece").orderBy(order))
-    pieces = cut.filter("_heavy") if by else cut
-    found = cut.drop("_heavy").withColumn("_near", inside)
-
-    edges = pieces.groupBy(*by, "_piece").agg((F.min(value) if ahead else F.max(value)).alias("_edge"))
-    carried = found.join(_carry(edges, by, ahead), [*by, "_piece"], "left")
-    return carried.withColumn("near", F.coalesce("_near", "_carry")).drop("_near", "_carry", "_piece")
-
-
-def _carry(edges: DataFrame, by: list[str], ahead: bool) -> DataFrame:
-    """For every piece the edge of the next one: within its day, else of the next day."""
-    def way(name):
-        return F.col(name).asc() if ahead else F.col(name).desc()
-
-    dated = edges.withColumn("_day", F.expr(f"CAST(floor(_piece / {DAY // SECOND}) AS BIGINT)"))
-    within = dated.withColumn("_in_day", F.lead("_edge").over(W.partitionBy(*by, "_day").orderBy(way("_piece"))))
-    # one row per day (and group): a century is 36,525 rows
-    first = F.min("_edge") if ahead else F.max("_edge")
-    days = dated.groupBy(*by, "_day").agg(first.alias("_head"))
-    days = days.withColumn("_next_day", F.lead("_head").over(W.partitionBy(*by).orderBy(way("_day"))))
-    return within.join(days, [*by, "_day"]).select(
-        *by, "_piece", F.coalesce("_in_day", "_next_day").alias("_carry")
-    )
+
+def neighbour(
+    df: DataFrame, us: str, payload: list[str], heavy: DataFrame | None, ahead: bool = True, outline: DataFrame | None = None
+) -> DataFrame:
+    """The same over all rows: `us` is unique. Rows are cut by the hour; `heavy` lists the
+    hours to cut further (see `hour_sizes`). `outline` may be a frame that is cheaper to
+    read than `df` and has the same first (or last) row in every piece."""
+    value, order = F.struct(us, *payload), _way(us, ahead)
+    outline = df if outline is None else outline
+    hour = cell(us, HOUR)
+    if heavy is None:
+        piece = hour * (HOUR // SECOND)
+        cut = df.withColumn("_piece", piece)
+        edges = _edges(outline.withColumn("_piece", piece), [], value, ahead)  # one row per hour: a century is 876,600 rows
+        carry = edges.select("_piece", F.lead("_edge").over(W.orderBy(_way("_piece", ahead))).alias("_carry"))
+        return _with_carry(cut, [], value, order, carry)
+    heavy = F.broadcast(heavy.select("hour", F.lit(True).alias("_heavy")))
+
+    def pieces(rows):
+        marked = rows.withColumn("hour", hour).join(heavy, "hour", "left")
+        piece = F.when(F.col("_heavy"), cell(us, SECOND)).otherwise(F.col("hour") * (HOUR // SECOND))
+        return marked.withColumn("_piece", piece).drop("_heavy", "hour")
+
+    return _with_carry(pieces(df), [], value, order, _carry_by_day(_edges(pieces(outline), [], value, ahead), [], ahead))
+
+
+def _way(name: str, ahead: bool) -> Column:
+    return F.col(name).asc() if ahead else F.col(name).desc()
+
+
+def _edges(cut: DataFrame, by: list[str], value: Column, ahead: bool) -> DataFrame:
+    return cut.groupBy(*by, "_piece").agg((F.min(value) if ahead else F.max(value)).alias("_edge"))
+
+
+def _with_carry(cut: DataFrame, by: list[str], value: Column, order: Column, carry: DataFrame) -> DataFrame:
+    inside = cut.withColumn("_near", F.lead(value).over(W.partitionBy(*by, "_piece").orderBy(order)))
+    joined = inside.join(carry, [*by, "_piece"], "left")
+    return joined.withColumn("near", F.coalesce("_near", "_carry")).drop("_near", "_carry", "_piece")
+
+
+def _carry_by_day(edges: DataFrame, by: list[str], ahead: bool) -> DataFrame:
+    """For every piece the edge of the next one: within its day, else of the next day. A day
+    has at most 86,400 pieces and a century 36,525 days."""
+    dated = edges.withColumn("_day", cell("_piece", DAY // SECOND))
+    within = dated.withColumn("_in_day", F.lead("_edge").over(W.partitionBy(*by, "_day").orderBy(_way("_piece", ahead))))
+    head = (F.min("_edge") if ahead else F.max("_edge")).alias("_head")
+    days = dated.groupBy(*by, "_day").agg(head)
+    days = days.withColumn("_next_day", F.lead("_head").over(W.partitionBy(*by).orderBy(_way("_day", ahead))))
+    return within.join(days, [*by, "_day"]).select(*by, "_piece", F.coalesce("_in_day", "_next_day").alias("_carry"))
 
 
 def number_rows(df: DataFrame, keys: list[str]) -> DataFrame:

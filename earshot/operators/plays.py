@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions.times import micros
-from earshot.operators.ordered import neighbour
+from earshot.operators.ordered import hour_sizes, neighbour, neighbour_in_group
 from earshot.operators.skew import lookup_join
 
 PLAY_COLUMNS = (
@@ -53,7 +53,7 @@ def latest_play(plays: DataFrame) -> DataFrame:
     return usable(plays).groupBy("track_id").agg(best).select("track_id", *[F.col(f"_p.{c}").alias(c) for c in ["played_at", *rest]])
 
 
-def instants(plays: DataFrame, library_ms: DataFrame) -> DataFrame:
+def instants(plays: DataFrame, library_ms: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """One row per (track, microsecond), with what the plays inside it contribute.
 
     Plays of one track at one instant are adjacent in time order, so within the row only
@@ -65,7 +65,7 @@ def instants(plays: DataFrame, library_ms: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min(ms).alias("lo"), F.max(ms).alias("hi"), F.count_if(ms > 0).alias("positive")
     )
     lib = F.col("library_ms")
-    return lookup_join(grouped, library_ms, ["track_id"], spread=F.xxhash64("us")).select(
+    return lookup_join(grouped, library_ms, ["track_id"], spread=F.xxhash64("us"), hot=hot).select(
         "track_id", "us",
         F.coalesce(lib, "lo").alias("first_ms"),
         F.coalesce(lib, "hi").alias("last_ms"),
@@ -74,6 +74,11 @@ def instants(plays: DataFrame, library_ms: DataFrame) -> DataFrame:
     )
 
 
+def track_hours(plays: DataFrame) -> DataFrame:
+    """(hour, n): plays per hour, an upper bound on its distinct instants."""
+    return hour_sizes(usable(plays).select(micros(F.col("played_at")).alias("us")))
+
+
 def resumed(gap_us: Column, ms: Column) -> Column:
     """The same track again within its own duration."""
     return F.coalesce(gap_us < ms * 1000, F.lit(False))
@@ -84,22 +89,20 @@ def skipped(gap_us: Column, ms: Column) -> Column:
     return F.coalesce(gap_us < ms * 300, F.lit(False))
 
 
-def behaviour(plays: DataFrame, library_ms: DataFrame, rows_per_piece: int | None = None) -> DataFrame:
-    """Resumes and skips per track.
+def behaviour(rows: DataFrame, heavy_tracks: DataFrame | None = None, heavy_hours: DataFrame | None = None) -> DataFrame:
+    """Resumes and skips per track from `instants`, which is read twice: hand in a snapshot.
 
     Resumes look back within the track. Skips look ahead over all plays; every row that
     is not the last of its microsecond is followed, at once, by another track, so only
     one row per distinct microsecond needs its real successor.
     """
-    piece = {} if rows_per_piece is None else {"rows_per_piece": rows_per_piece}
-    rows = instants(plays, library_ms)
-    back = neighbour(rows, "us", [], by=["track_id"], ahead=False, **piece)
+    back = neighbour_in_group(rows, ["track_id"], "us", [], heavy_tracks, ahead=False)
     per_track = back.groupBy("track_id").agg(
         F.sum(F.col("repeats") + resumed(F.col("us") - F.col("near.us"), F.col("first_ms")).cast("int")).alias("resumes"),
         F.count_if(F.col("last_ms") > 0).alias("skips"),
     )
     moments = rows.groupBy("us").agg(F.min("track_id").alias("opens"), F.max(F.struct("track_id", "last_ms")).alias("closes"))
-    ahead = neighbour(moments, "us", ["opens"], ahead=True, **piece)
+    ahead = neighbour(moments, "us", ["opens"], heavy_hours, outline=rows.select("us", F.col("track_id").alias("opens")))
     track, ms = F.col("closes.track_id"), F.col("closes.last_ms")
     real = (F.col("near.opens") != track) & skipped(F.col("near.us") - F.col("us"), ms)
     corrections = ahead.select(

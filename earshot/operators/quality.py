@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions.order import asc, desc
+from earshot.operators.ordered import cell
 from earshot.operators.skew import lookup_join
 from earshot.operators.tracks import FUZZY_MS
 
@@ -41,17 +42,17 @@ def fuzzy_report(plays: DataFrame, tracks: DataFrame, albums: DataFrame, resolve
     The duration is part of the join key as a bucket of the tolerance, so a popular title
     meets only tracks of about its length; tracks go to their bucket and both neighbours.
     """
-    cell = F.floor(F.coalesce("duration_ms", F.lit(0)) / FUZZY_MS)
+    bucket = cell(F.coalesce("duration_ms", F.lit(0)), FUZZY_MS)
     heard = plays.select(
         F.col("track_id").alias("original_track_id"), F.col("track_name").alias("original_track_name"), F.col("artist_name").alias("original_artist_name"),
-        "played_at", F.coalesce("duration_ms", F.lit(0)).alias("ms"), F.lower("track_name").alias("title_key"), F.lower("artist_name").alias("artist_key"), cell.alias("cell"),
+        "played_at", F.coalesce("duration_ms", F.lit(0)).alias("ms"), F.lower("track_name").alias("title_key"), F.lower("artist_name").alias("artist_key"), bucket.alias("cell"),
     ).filter(F.col("title_key").isNotNull() & F.col("artist_key").isNotNull() & F.col("original_track_id").isNotNull())
     open_tracks = tracks.join(resolved.select(F.col("track_id").alias("id")).distinct(), "id", "left_anti")
     named = lookup_join(open_tracks, albums.select(F.col("id").alias("album_id"), F.col("name").alias("library_album_name")), ["album_id"])
     stored = named.select(
         F.col("id").alias("library_track_id"), F.col("name").alias("library_track_name"), F.col("artist").alias("library_artist_name"),
         F.col("album_id").alias("library_album_id"), "library_album_name", F.coalesce("duration_ms", F.lit(0)).alias("library_ms"),
-        F.lower("name").alias("title_key"), F.lower("artist").alias("artist_key"), F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"),
+        F.lower("name").alias("title_key"), F.lower("artist").alias("artist_key"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("cell"),
     )
     met = lookup_join(heard, stored, ["title_key", "artist_key", "cell"], "inner")
     fits = (F.abs(F.col("ms") - F.col("library_ms")) <= FUZZY_MS) & (F.col("original_track_id") != F.col("library_track_id"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEYS = 512  # at most this many keys are salted; every other key joins unsalted
-HOT_SHARE = 0.001  # a key is hot from this share of the rows
+HOT_ROWS = 100_000  # a key with fewer rows needs no salt
 SALTS = 64
 
 
@@ -35,16 +35,18 @@ def fits_broadcast(df: DataFrame) -> bool:
     return planned_bytes(df) <= broadcast_limit(df)
 
 
-def hot_keys(facts: DataFrame, keys: list[str]) -> DataFrame:
-    """The keys holding at least HOT_SHARE of the rows: at most HOT_KEYS rows.
+def hot_keys(sizes: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """Of key counts, the HOT_KEYS most frequent keys, as far as they have HOT_ROWS rows. Any
+    other key holds less than 1 / HOT_KEYS of the rows, or few.
 
-    Counted with map-side partial sums, so a hot key costs one row per map task. The
-    list only steers salting; leaving a key out never changes a join's result.
+    The list only steers salting; leaving a key out never changes a join's result.
     """
-    counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.orderBy(F.desc("_n"), *keys).limit(HOT_KEYS)
-    total = counts.agg((F.sum("_n") * F.lit(HOT_SHARE)).alias("_floor"))
-    return top.join(F.broadcast(total), F.col("_n") >= F.col("_floor")).select(*keys)
+    return sizes.filter(F.col(count) >= HOT_ROWS).orderBy(F.desc(count), *keys).limit(HOT_KEYS).select(*keys)
+
+
+def key_sizes(facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per key. Partial sums on the map side: a hot key costs one row per map task."""
+    return facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def lookup_join(
@@ -53,16 +55,20 @@ def lookup_join(
     keys: list[str],
     how: str = "left",
     spread: Column | None = None,
+    hot: DataFrame | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """`facts` joined on `keys` with `lookup`, whatever the skew of `facts`.
 
     `spread` picks a fact row's salt and must be a function of the row alone, so that a
-    task run again after a lost executor salts it the same way.
+    task run again after a lost executor salts it the same way. `hot` names the keys to
+    salt when the caller has counted them already.
     """
     if fits_broadcast(lookup):
         return facts.join(F.broadcast(lookup), keys, how)
-    hot = hot_keys(facts.select(*keys), keys).withColumn("_hot", F.lit(True))
+    if hot is None:
+        hot = hot_keys(key_sizes(facts, keys), keys, "_n")
+    hot = hot.withColumn("_hot", F.lit(True))
     row = spread if spread is not None else F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
     no_key = reduce(or_, [F.col(k).isNull() for k in keys])  # matches nothing, so any salt will do
     salted = facts.join(F.broadcast(hot), keys, "left").withColumn(

@@ -144,8 +144,8 @@ def matched_keys(track_keys: DataFrame, keys: DataFrame) -> DataFrame:
     return near.filter(F.col("hits") > 0)
 
 
-def stray_plays(variants: DataFrame, tracks: DataFrame, known: DataFrame) -> StrayPlays:
-    stray = drop_listed(variants, known, ["track_id"])
+def stray_plays(stray: DataFrame, tracks: DataFrame) -> StrayPlays:
+    """Match `stray`, the play variants of unknown ids (read several times: hand in a snapshot)."""
     keys = stray_keys(stray)
     rows = match_key(tracks, "name", "artist", F.col("id").alias("track_id"))
     track_keys = rows.select(*MATCH_KEYS).distinct()

@@ -258,7 +258,7 @@ LINK_COLUMNS = ("matched_track_id", "matched_name", "matched_artist_id", "matche
 
 def merge_links(catalog: DataFrame, links: DataFrame, tried: DataFrame, as_of) -> DataFrame:
     """Write found links; stamp every tried row, found or not, so it is not tried again."""
-    names = [c for c in LINK_COLUMNS if c in catalog.columns]
+    names = [c for c in LINK_COLUMNS if c in catalog.columns and c in links.columns]
     filled = merge_rows(catalog, links, ["import_id"], _take(*names), insert=False)
     stamps = {c: as_ts(as_of) for c in ("matched_at", "match_checked_at") if c in catalog.columns}
     return stamp(filled, "import_id", tried.select("import_id"), stamps)

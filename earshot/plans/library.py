@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -9,42 +10,62 @@ from pyspark.sql import DataFrame
 
 from earshot.operators import plays as P
 from earshot.operators import tracks as K
+from earshot.operators.ordered import ROWS_PER_PIECE, heavy_groups
+from earshot.operators.skew import drop_listed, hot_keys
+from earshot.sources.snapshots import settle
 
 
 @dataclass
 class LibraryBuild:
-    """Every stage of the build as a lazy DataFrame; nothing runs until a stage is written.
+    """The stages of the build over stored tables and stored unified plays.
 
-    `plays` is read by several stages: hand in a written snapshot when it is large.
+    Stages that several others read are written once through `keep` (a snapshot in the
+    cluster's shared folder by default), so plays are scanned a fixed number of times, a
+    lost executor costs one stage, and the sizes that choose join strategies are real.
     """
 
     lib: K.LibraryTables
     plays: DataFrame
+    keep: Callable[[DataFrame, str], DataFrame] = settle
+    rows_per_piece: int = ROWS_PER_PIECE
 
     @cached_property
     def tracks_canon(self) -> DataFrame:
-        return K.one_per_canonical(self.lib.tracks, self.lib.track_id_equivalents, "id", "added_at")
+        return self.keep(K.one_per_canonical(self.lib.tracks, self.lib.track_id_equivalents, "id", "added_at"), "tracks_canon")
 
     @cached_property
     def likes_canon(self) -> DataFrame:
-        return K.one_per_canonical(self.lib.liked_tracks, self.lib.track_id_equivalents, "track_id", "liked_at")
+        return self.keep(K.one_per_canonical(self.lib.liked_tracks, self.lib.track_id_equivalents, "track_id", "liked_at"), "likes_canon")
 
     @cached_property
     def library_ms(self) -> DataFrame:
-        return K.library_ms(self.tracks_canon, self.likes_canon)
+        return self.keep(K.library_ms(self.tracks_canon, self.likes_canon), "library_ms")
 
     @cached_property
     def base(self) -> DataFrame:
         return K.base_tracks(self.lib, self.tracks_canon, self.likes_canon)
 
+    @cached_property
+    def play_stats(self) -> DataFrame:
+        return self.keep(P.play_stats(self.plays), "play_stats")
+
     @cached_property
     def behaviour(self) -> DataFrame:
-        return P.behaviour(self.plays, self.library_ms)
+        sizes = self.play_stats.select("track_id", "library_play_count")
+        hot = hot_keys(sizes, ["track_id"], "library_play_count")
+        rows = self.keep(P.instants(self.plays, self.library_ms, hot), "instants")
+        heavy_tracks = heavy_groups(sizes, "library_play_count", self.rows_per_piece)
+        heavy_hours = heavy_groups(P.track_hours(self.plays), "n", self.rows_per_piece)
+        return P.behaviour(rows, heavy_tracks, heavy_hours)
 
     @cached_property
-    def stray(self) -> K.StrayPlays:
+    def stray_variants(self) -> DataFrame:
         known = K.known_ids(self.tracks_canon, self.likes_canon)
-        return K.stray_plays(P.play_variants(self.plays), self.lib.tracks, known)
+        return self.keep(drop_listed(P.play_variants(self.plays), known, ["track_id"]), "stray_variants")
+
+    @cached_property
+    def stray(self) -> K.StrayPlays:
+        return K.stray_plays(self.stray_variants, self.lib.tracks)
 
     @cached_property
     def non_library(self) -> DataFrame:
@@ -56,4 +77,4 @@ class LibraryBuild:
 
     @cached_property
     def unified_tracks(self) -> DataFrame:
-        return K.attach_stats(self.all_base, P.play_stats(self.plays), self.behaviour, self.stray.fuzzy)
+        return K.attach_stats(self.all_base, self.play_stats, self.behaviour, self.stray.fuzzy)
