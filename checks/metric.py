@@ -10,7 +10,7 @@ from earshot.functions.numbers import half_even, half_up, ratio
 from earshot.functions.order import asc
 from earshot.functions.times import ago, micros, partial_date, span_text
 from earshot.operators import metrics as M
-from earshot.operators.ordered import heavy_groups, hour_sizes, neighbour
+from earshot.operators.ordered import above, hour_sizes, neighbour
 from earshot.plans import dashboard as D
 from earshot.sources.snapshots import latest_metrics, read_metrics, write_metrics
 from earshot.session import shared_dir
@@ -163,7 +163,7 @@ add("scalar_string",
 def _epoch_gap(c):
     """Gap from every instant to the next one, over all plays."""
     moments = c.up.filter("track_id IS NOT NULL").select(micros(F.col("played_at")).alias("us")).distinct()
-    return neighbour(moments, "us", [], heavy_groups(hour_sizes(moments), "n")).select("us", (F.col("near.us") - F.col("us")).alias("gap_us"))
+    return neighbour(moments, "us", [], above(hour_sizes(moments), "n")).select("us", (F.col("near.us") - F.col("us")).alias("gap_us"))
 
 
 add("epoch_gap", _epoch_gap, "SELECT us, lead(us) OVER (ORDER BY us) - us AS gap_us FROM (SELECT DISTINCT epoch_us(played_at) AS us FROM {ap})")

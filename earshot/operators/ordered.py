@@ -2,8 +2,9 @@
 
 A plain LEAD over all plays sorts everything in one task, and a LAG per track sorts a
 hot track in one task. Here a group that was measured to be too large for a task is cut
-into pieces of one second (a piece holds at most a million distinct microseconds), and
-the edge of the neighbouring piece is carried over: seconds within a day, then days.
+into pieces of an hour or of one second (which holds at most a million distinct
+microseconds), and the edge of the neighbouring piece is carried over: pieces within a
+day, then days.
 """
 
 from __future__ import annotations
@@ -25,13 +26,22 @@ def cell(value: str | Column, width: int) -> Column:
     return F.call_function("div", value - F.pmod(value, wide), wide)
 
 
-def heavy_groups(sizes: DataFrame, count: str, limit: int = ROWS_PER_PIECE) -> DataFrame | None:
+def above(sizes: DataFrame, count: str, limit: int = ROWS_PER_PIECE) -> DataFrame | None:
     """The groups of `sizes` with more than `limit` rows, or None if there are none. Of N
-    rows at most N / limit groups are heavy, so the result is small enough to broadcast."""
+    rows at most N / limit groups are so heavy: the result is small enough to broadcast."""
     heavy = sizes.filter(F.col(count) > limit).drop(count)
     return None if heavy.isEmpty() else heavy
 
 
+def grains(df: DataFrame, by: list[str], us: str, heavy: DataFrame | None, limit: int = ROWS_PER_PIECE) -> DataFrame | None:
+    """For heavy groups the seconds per piece: an hour if each of its hours is small enough,
+    else one second."""
+    if heavy is None:
+        return None
+    inside = df.join(F.broadcast(heavy), by).groupBy(*by, cell(us, HOUR).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    return inside.groupBy(*by).agg(F.when(F.max("n") > limit, 1).otherwise(HOUR // SECOND).alias("grain"))
+
+
 def hour_sizes(us: DataFrame) -> DataFrame:
     """(hour, n) of a frame with microseconds `us`."""
     return us.groupBy(cell("us", HOUR).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
@@ -41,31 +51,30 @@ def neighbour_in_group(
     df: DataFrame, by: list[str], us: str, payload: list[str], heavy: DataFrame | None, ahead: bool = True
 ) -> DataFrame:
     """Add `near`: struct(us, *payload) of the next (or previous) row of the same group,
-    null at its end. `us` is unique within a group; `heavy` lists the groups to cut."""
-    value, order = F.struct(us, *payload), _way(us, ahead)
+    null at its end. (us, *payload) is unique within a group and is its order; `heavy`
+    lists the groups to cut, with their grain."""
+    value = F.struct(us, *payload)
     if heavy is None:
-        return df.withColumn("near", F.lead(value).over(W.partitionBy(*by).orderBy(order)))
-    marked = df.join(F.broadcast(heavy.select(*by, F.lit(True).alias("_heavy"))), by, "left")
-    cut = marked.withColumn("_piece", F.when(F.col("_heavy"), cell(us, SECOND)))
-    edges = _edges(cut.filter("_heavy"), by, value, ahead)
-    return _with_carry(cut.drop("_heavy"), by, value, order, _carry_by_day(edges, by, ahead))
+        return df.withColumn("near", F.lead(value).over(W.partitionBy(*by).orderBy(*_way([us, *payload], ahead))))
+    cut = df.join(F.broadcast(heavy), by, "left").withColumn("_piece", cell(us, SECOND) - F.pmod(cell(us, SECOND), F.col("grain")))
+    edges = _edges(cut.filter(F.col("grain").isNotNull()), by, value, ahead)
+    return _with_carry(cut.drop("grain"), by, [us, *payload], ahead, _carry_by_day(edges, by, ahead))
 
 
 def neighbour(
     df: DataFrame, us: str, payload: list[str], heavy: DataFrame | None, ahead: bool = True, outline: DataFrame | None = None
 ) -> DataFrame:
-    """The same over all rows: `us` is unique. Rows are cut by the hour; `heavy` lists the
-    hours to cut further (see `hour_sizes`). `outline` may be a frame that is cheaper to
-    read than `df` and has the same first (or last) row in every piece."""
-    value, order = F.struct(us, *payload), _way(us, ahead)
+    """The same over all rows. They are cut by the hour, and the hours of `heavy` by the
+    second. `outline` may be a frame that is cheaper to read than `df` and has the same
+    first (or last) row in every piece."""
+    value = F.struct(us, *payload)
     outline = df if outline is None else outline
     hour = cell(us, HOUR)
     if heavy is None:
         piece = hour * (HOUR // SECOND)
-        cut = df.withColumn("_piece", piece)
         edges = _edges(outline.withColumn("_piece", piece), [], value, ahead)  # one row per hour: a century is 876,600 rows
-        carry = edges.select("_piece", F.lead("_edge").over(W.orderBy(_way("_piece", ahead))).alias("_carry"))
-        return _with_carry(cut, [], value, order, carry)
+        carry = edges.select("_piece", F.lead("_edge").over(W.orderBy(*_way(["_piece"], ahead))).alias("_carry"))
+        return _with_carry(df.withColumn("_piece", piece), [], [us, *payload], ahead, carry)
     heavy = F.broadcast(heavy.select("hour", F.lit(True).alias("_heavy")))
 
     def pieces(rows):
@@ -73,20 +82,21 @@ def neighbour(
         piece = F.when(F.col("_heavy"), cell(us, SECOND)).otherwise(F.col("hour") * (HOUR // SECOND))
         return marked.withColumn("_piece", piece).drop("_heavy", "hour")
 
-    return _with_carry(pieces(df), [], value, order, _carry_by_day(_edges(pieces(outline), [], value, ahead), [], ahead))
+    carry = _carry_by_day(_edges(pieces(outline), [], value, ahead), [], ahead)
+    return _with_carry(pieces(df), [], [us, *payload], ahead, carry)
 
 
-def _way(name: str, ahead: bool) -> Column:
-    return F.col(name).asc() if ahead else F.col(name).desc()
+def _way(names: list[str], ahead: bool) -> list[Column]:
+    return [F.col(n).asc() if ahead else F.col(n).desc() for n in names]
 
 
 def _edges(cut: DataFrame, by: list[str], value: Column, ahead: bool) -> DataFrame:
     return cut.groupBy(*by, "_piece").agg((F.min(value) if ahead else F.max(value)).alias("_edge"))
 
 
-def _with_carry(cut: DataFrame, by: list[str], value: Column, order: Column, carry: DataFrame) -> DataFrame:
-    inside = cut.withColumn("_near", F.lead(value).over(W.partitionBy(*by, "_piece").orderBy(order)))
-    joined = inside.join(carry, [*by, "_piece"], "left")
+def _with_carry(cut: DataFrame, by: list[str], order: list[str], ahead: bool, carry: DataFrame) -> DataFrame:
+    within = W.partitionBy(*by, "_piece").orderBy(*_way(order, ahead))
+    joined = cut.withColumn("_near", F.lead(F.struct(*order)).over(within)).join(carry, [*by, "_piece"], "left")
     return joined.withColumn("near", F.coalesce("_near", "_carry")).drop("_near", "_carry", "_piece")
 
 
@@ -94,10 +104,10 @@ def _carry_by_day(edges: DataFrame, by: list[str], ahead: bool) -> DataFrame:
     """For every piece the edge of the next one: within its day, else of the next day. A day
     has at most 86,400 pieces and a century 36,525 days."""
     dated = edges.withColumn("_day", cell("_piece", DAY // SECOND))
-    within = dated.withColumn("_in_day", F.lead("_edge").over(W.partitionBy(*by, "_day").orderBy(_way("_piece", ahead))))
+    within = dated.withColumn("_in_day", F.lead("_edge").over(W.partitionBy(*by, "_day").orderBy(*_way(["_piece"], ahead))))
     head = (F.min("_edge") if ahead else F.max("_edge")).alias("_head")
     days = dated.groupBy(*by, "_day").agg(head)
-    days = days.withColumn("_next_day", F.lead("_head").over(W.partitionBy(*by).orderBy(_way("_day", ahead))))
+    days = days.withColumn("_next_day", F.lead("_head").over(W.partitionBy(*by).orderBy(*_way(["_day"], ahead))))
     return within.join(days, [*by, "_day"]).select(*by, "_piece", F.coalesce("_in_day", "_next_day").alias("_carry"))
 
 

@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.functions.times import micros
-from earshot.operators.ordered import hour_sizes, neighbour, neighbour_in_group
+from earshot.functions.times import HOUR, SECOND, micros
+from earshot.operators.ordered import above, cell, neighbour, neighbour_in_group
 from earshot.operators.skew import lookup_join
 
 PLAY_COLUMNS = (
@@ -74,11 +74,6 @@ def instants(plays: DataFrame, library_ms: DataFrame, hot: DataFrame | None = No
     )
 
 
-def track_hours(plays: DataFrame) -> DataFrame:
-    """(hour, n): plays per hour, an upper bound on its distinct instants."""
-    return hour_sizes(usable(plays).select(micros(F.col("played_at")).alias("us")))
-
-
 def resumed(gap_us: Column, ms: Column) -> Column:
     """The same track again within its own duration."""
     return F.coalesce(gap_us < ms * 1000, F.lit(False))
@@ -89,29 +84,49 @@ def skipped(gap_us: Column, ms: Column) -> Column:
     return F.coalesce(gap_us < ms * 300, F.lit(False))
 
 
-def behaviour(rows: DataFrame, heavy_tracks: DataFrame | None = None, heavy_hours: DataFrame | None = None) -> DataFrame:
+def behaviour(
+    rows: DataFrame, heavy_tracks: DataFrame | None = None, heavy_hours: DataFrame | None = None, crowded: bool = False
+) -> DataFrame:
     """Resumes and skips per track from `instants`, which is read twice: hand in a snapshot.
 
-    Resumes look back within the track. Skips look ahead over all plays; every row that
-    is not the last of its microsecond is followed, at once, by another track, so only
-    one row per distinct microsecond needs its real successor.
+    Resumes look back within the track, skips ahead over all plays. `crowded` says that a
+    single second holds more rows than a task should sort (see `crowded_seconds`).
     """
     back = neighbour_in_group(rows, ["track_id"], "us", [], heavy_tracks, ahead=False)
-    per_track = back.groupBy("track_id").agg(
-        F.sum(F.col("repeats") + resumed(F.col("us") - F.col("near.us"), F.col("first_ms")).cast("int")).alias("resumes"),
-        F.count_if(F.col("last_ms") > 0).alias("skips"),
-    )
+    again = resumed(F.col("us") - F.col("near.us"), F.col("first_ms")).cast("int")
+    resumes = back.groupBy("track_id").agg(F.sum(F.col("repeats") + again).alias("resumes"))
+    skips = (_skips_by_moment if crowded else _skips)(rows, heavy_hours)
+    both = resumes.withColumn("skips", F.lit(0).cast("bigint")).unionByName(skips.withColumn("resumes", F.lit(0).cast("bigint")))
+    return both.groupBy("track_id").agg(F.sum("resumes").alias("resume_play_count"), F.sum("skips").alias("skip_play_count"))
+
+
+def _skips(rows: DataFrame, heavy_hours: DataFrame | None) -> DataFrame:
+    ahead = neighbour(rows.select("us", "track_id", "last_ms"), "us", ["track_id"], heavy_hours)
+    quick = skipped(F.col("near.us") - F.col("us"), F.col("last_ms"))
+    return ahead.groupBy("track_id").agg(F.count_if((F.col("near.track_id") != F.col("track_id")) & quick).alias("skips"))
+
+
+def _skips_by_moment(rows: DataFrame, heavy_hours: DataFrame | None) -> DataFrame:
+    """The same where very many tracks share a microsecond. All but the last of them are
+    followed, at once, by another track, so they are skips if their duration is positive;
+    only one row per distinct microsecond needs its real successor."""
+    assumed = rows.groupBy("track_id").agg(F.count_if(F.col("last_ms") > 0).alias("skips"))
     moments = rows.groupBy("us").agg(F.min("track_id").alias("opens"), F.max(F.struct("track_id", "last_ms")).alias("closes"))
     ahead = neighbour(moments, "us", ["opens"], heavy_hours, outline=rows.select("us", F.col("track_id").alias("opens")))
     track, ms = F.col("closes.track_id"), F.col("closes.last_ms")
     real = (F.col("near.opens") != track) & skipped(F.col("near.us") - F.col("us"), ms)
     corrections = ahead.select(
-        track.alias("track_id"), F.lit(0).cast("bigint").alias("resumes"),
-        (F.coalesce(real, F.lit(False)).cast("bigint") - (ms > 0).cast("bigint")).alias("skips"),
-    )
-    return per_track.unionByName(corrections).groupBy("track_id").agg(
-        F.sum("resumes").alias("resume_play_count"), F.sum("skips").alias("skip_play_count")
+        track.alias("track_id"), (F.coalesce(real, F.lit(False)).cast("bigint") - (ms > 0).cast("bigint")).alias("skips")
     )
+    return assumed.unionByName(corrections).groupBy("track_id").agg(F.sum("skips").alias("skips"))
+
+
+def crowded_seconds(rows: DataFrame, heavy_hours: DataFrame | None, limit: int) -> bool:
+    """Whether a second of a heavy hour holds more than `limit` rows of `instants`."""
+    if heavy_hours is None:
+        return False
+    inside = rows.select("us", cell("us", HOUR).alias("hour")).join(F.broadcast(heavy_hours), "hour")
+    return above(inside.groupBy(cell("us", SECOND).alias("second")).agg(F.count(F.lit(1)).alias("n")), "n", limit) is not None
 
 
 def play_variants(plays: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from earshot.operators import plays as P
 from earshot.operators import tracks as K
-from earshot.operators.ordered import ROWS_PER_PIECE, heavy_groups
+from earshot.operators.ordered import ROWS_PER_PIECE, above, grains, hour_sizes
 from earshot.operators.skew import drop_listed, hot_keys
 from earshot.sources.snapshots import settle
 
@@ -54,9 +54,10 @@ class LibraryBuild:
         sizes = self.play_stats.select("track_id", "library_play_count")
         hot = hot_keys(sizes, ["track_id"], "library_play_count")
         rows = self.keep(P.instants(self.plays, self.library_ms, hot), "instants")
-        heavy_tracks = heavy_groups(sizes, "library_play_count", self.rows_per_piece)
-        heavy_hours = heavy_groups(P.track_hours(self.plays), "n", self.rows_per_piece)
-        return P.behaviour(rows, heavy_tracks, heavy_hours)
+        limit = self.rows_per_piece
+        heavy_tracks = grains(rows, ["track_id"], "us", above(sizes, "library_play_count", limit), limit)
+        heavy_hours = above(hour_sizes(rows), "n", limit)
+        return P.behaviour(rows, heavy_tracks, heavy_hours, P.crowded_seconds(rows, heavy_hours, limit))
 
     @cached_property
     def stray_variants(self) -> DataFrame:

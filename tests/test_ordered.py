@@ -5,7 +5,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from earshot.functions.times import HOUR
-from earshot.operators.ordered import cell, heavy_groups, hour_sizes, neighbour, neighbour_in_group, number_rows
+from earshot.operators.ordered import above, cell, grains, hour_sizes, neighbour, neighbour_in_group, number_rows
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +22,7 @@ def moments(spark):
 @pytest.mark.parametrize("limit", [1_000_000, 100])
 @pytest.mark.parametrize("ahead", [True, False])
 def test_neighbour_is_the_global_lead(moments, limit, ahead):
-    heavy = heavy_groups(hour_sizes(moments), "n", limit)
+    heavy = above(hour_sizes(moments), "n", limit)
     assert (heavy is None) == (limit > 1000)
     got = neighbour(moments, "us", ["who"], heavy, ahead)
     order = W.orderBy(F.col("us") if ahead else F.desc("us"))
@@ -30,10 +30,10 @@ def test_neighbour_is_the_global_lead(moments, limit, ahead):
     assert sorted(got.select("us", "near.us", "near.who").collect()) == sorted(want.select("us", "near.us", "near.who").collect())
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 50])
+@pytest.mark.parametrize("limit", [1_000_000, 500, 50])  # whole groups, hours, seconds
 def test_neighbour_in_group_is_the_lag(moments, limit):
     keyed = moments.withColumn("g", F.when(F.col("us") > 0, F.lit("hot")).otherwise(F.concat(F.lit("cold"), F.col("us") % 3)))
-    heavy = heavy_groups(keyed.groupBy("g").agg(F.count("*").alias("n")), "n", limit)
+    heavy = grains(keyed, ["g"], "us", above(keyed.groupBy("g").agg(F.count("*").alias("n")), "n", limit), limit)
     got = neighbour_in_group(keyed, ["g"], "us", [], heavy, ahead=False)
     want = keyed.withColumn("near", F.struct(F.lag("us").over(W.partitionBy("g").orderBy("us"))))
     assert {(r.us, r.near.us if r.near else None) for r in got.collect()} == {(r.us, r.near[0]) for r in want.collect()}

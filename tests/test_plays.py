@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from earshot.operators import plays as P
 from earshot.operators import skew
-from earshot.operators.ordered import heavy_groups
+from earshot.operators.ordered import above, grains, hour_sizes
 from tests.helpers import at, play, plays, rows
 
 EQ = "alias_track_id string, canonical_track_id string, reason string, created_by string, created_at timestamp_ntz"
@@ -33,7 +33,10 @@ def behaviour(spark, data, library, limit=1_000_000):
     known = spark.createDataFrame(list(library.items()), "track_id string, library_ms int")
     instants = P.instants(frame, known)
     sizes = P.play_stats(frame).select("track_id", "library_play_count")
-    return P.behaviour(instants, heavy_groups(sizes, "library_play_count", limit), heavy_groups(P.track_hours(frame), "n", limit))
+    heavy = grains(instants, ["track_id"], "us", above(sizes, "library_play_count", limit), limit)
+    hours = above(hour_sizes(instants), "n", limit)
+    crowded = P.crowded_seconds(instants, hours, limit)
+    return P.behaviour(instants, heavy, hours, crowded)
 
 
 def shuffled(seed):
@@ -45,7 +48,7 @@ def shuffled(seed):
     return data + [data[0]] * 40 + [play(None, at(5)), play("a", None)]
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 40])
+@pytest.mark.parametrize("limit", [1_000_000, 40, 2])  # whole hours, seconds, crowded seconds
 @pytest.mark.parametrize("seed", [1, 2])
 def test_behaviour_equals_walking_the_plays(spark, seed, limit):
     data, library = shuffled(seed), {"a": 120_000, "b": 0, "c": 90_000}

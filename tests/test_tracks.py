@@ -5,6 +5,7 @@ from earshot.operators import plays as P
 from earshot.operators import tracks as K
 from earshot.plans.library import LibraryBuild
 from earshot.sources.schemas import SCHEMAS
+from earshot.sources.snapshots import settle
 from tests.helpers import at, play, plays, rows
 
 
@@ -15,7 +16,7 @@ def table(spark, name, *dicts):
 
 def library(spark, **tables):
     names = ("tracks", "liked_tracks", "albums", "artists", "track_availability", "excluded_tracks", "track_id_equivalents")
-    return K.LibraryTables(**{n: table(spark, n, *tables.get(n, [])) for n in names})
+    return K.LibraryTables(**{n: settle(table(spark, n, *tables.get(n, [])).coalesce(1), n) for n in names})
 
 
 SAVED = {"id": "AL", "name": "Saved", "artist": "Album Artist", "is_saved": True}
@@ -26,7 +27,7 @@ def song(id, **more):
 
 
 def build(spark, lib, data):
-    return LibraryBuild(lib, plays(spark, data), keep=lambda df, _: df)
+    return LibraryBuild(lib, settle(plays(spark, data).coalesce(1), "plays"))
 
 
 def by_id(build):
