@@ -59,7 +59,7 @@ def similar_titles(asked: DataFrame, offered: DataFrame, overlap: float) -> Data
     left = _prefixes(asked, common, overlap)
     right = _prefixes(offered, common, overlap).withColumnsRenamed({"title_key": "found_key", "words": "found_words"})
     sizes = (F.size("words") >= F.size("found_words") * overlap - 1e-9) & (F.size("found_words") >= F.size("words") * overlap - 1e-9)
-    met = left.join(right, ["artist_key", "word"]).filter(sizes & (F.col("title_key") != F.col("found_key")))
+    met = lookup_join(left, right, ["artist_key", "word"], "inner").filter(sizes & (F.col("title_key") != F.col("found_key")))
     share = F.size(F.array_intersect("words", "found_words")) / F.size(F.array_union("words", "found_words"))
     near = met.withColumn("overlap", share).filter(F.col("overlap") >= overlap - 1e-9)
     return equal.unionByName(near.select("artist_key", "title_key", "found_key", "overlap").distinct())
@@ -84,7 +84,7 @@ def search(queries: DataFrame, catalogue: DataFrame, tuning: Tuning = Tuning())
     by word overlap, then same album, then id. `catalogue` has keys (see `with_keys`)."""
     asked = queries.select(*QUERY).distinct()
     pairs = similar_titles(asked.select("artist_key", "title_key").distinct(), catalogue.select("artist_key", "title_key").distinct(), tuning.word_overlap)
-    matched = asked.join(pairs, ["artist_key", "title_key"])
+    matched = lookup_join(asked, pairs, ["artist_key", "title_key"], "inner")
     found = catalogue.select("artist_key", F.col("title_key").alias("found_key"), F.col("album_key").alias("found_album"),
                              *[c for c in catalogue.columns if c not in QUERY])
 
@@ -105,7 +105,16 @@ def search(queries: DataFrame, catalogue: DataFrame, tuning: Tuning = Tuning())
 @F.pandas_udf(T.DoubleType())
 def matching_blocks(a: pd.Series, b: pd.Series) -> pd.Series:
     """Share of characters in matching blocks, over whole texts."""
-    return pd.Series([SequenceMatcher(a=x, b=y).ratio() if x and y else 0.0 for x, y in zip(a, b)])
+    known: dict[tuple[str, str], float] = {}  # of this batch
+
+    def ratio(x, y):
+        if not x or not y:
+            return 0.0
+        if (x, y) not in known:
+            known[x, y] = 1.0 if x == y else SequenceMatcher(a=x, b=y).ratio()
+        return known[x, y]
+
+    return pd.Series([ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
 def edit_share(a: Column, b: Column) -> Column:

@@ -96,10 +96,9 @@ def missing_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
 def not_in(rows: DataFrame, key: str, listed: DataFrame, listed_key: str) -> DataFrame:
     """`key NOT IN (listed)`, with its null rule: one null in the list selects nothing."""
     ids = listed.select(F.col(listed_key).alias(key))
-    any_null = ids.agg(F.coalesce(F.max(F.col(key).isNull().cast("int")), F.lit(0)).alias("_null")).withColumn("_one", F.lit(1))
-    absent = rows.join(ids.filter(F.col(key).isNotNull()).distinct(), key, "left_anti")
-    guarded = absent.withColumn("_one", F.lit(1)).join(F.broadcast(any_null), "_one")  # one row
-    return guarded.filter(F.col("_null") == 0).select(*rows.columns)
+    if not ids.filter(F.col(key).isNull()).isEmpty():
+        return rows.filter(F.lit(False))
+    return rows.join(ids.distinct(), key, "left_anti")
 
 
 def stamp(rows: DataFrame, key: str, processed: DataFrame, changes: Mapping[str, Column]) -> DataFrame:

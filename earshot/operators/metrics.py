@@ -39,6 +39,12 @@ def _played(ut: DataFrame) -> DataFrame:
     return ut.filter(F.col("play_count") > 0)
 
 
+def _in_order(frame: DataFrame, *keys) -> DataFrame:
+    """A frame of a bounded number of groups (buckets, days, months), sorted in one small
+    partition after it was aggregated in many: no sampling pass as a global sort needs."""
+    return frame.repartition(1).sortWithinPartitions(*keys)
+
+
 def _total(name: str) -> Column:
     """Grand total over an aggregated frame of a bounded number of rows."""
     return F.sum(name).over(W.partitionBy())
@@ -60,9 +66,23 @@ def top_tracks(ut: DataFrame) -> DataFrame:
     )
 
 
+def play_clock(up: DataFrame, as_of, days: int = 30) -> DataFrame:
+    """Plays counted by quarter of an hour, split at `as_of` minus `days`: one pass over the
+    plays from which the daily, hourly and monthly counts follow. Every zone in use is a
+    whole number of quarters from UTC."""
+    quarter = F.timestamp_seconds(F.lit(900) * F.floor(F.unix_seconds(F.col("played_at").cast("timestamp")) / 900)).cast("timestamp_ntz")
+    recent = F.col("played_at") >= ago(as_of, days, "days")
+    return up.groupBy(quarter.alias("played_at"), recent.alias("recent")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _counted(up: DataFrame) -> DataFrame:
+    """Plays, or a `play_clock`, as rows with a weight `n`."""
+    return up if "n" in up.columns else up.withColumn("n", F.lit(1).cast("bigint"))
+
+
 def daily_plays(up: DataFrame, as_of, days: int = 30) -> DataFrame:
-    recent = up.filter(F.col("played_at") >= ago(as_of, days, "days"))
-    return recent.groupBy(F.to_date("played_at").alias("date")).agg(F.count(F.lit(1)).alias("count")).orderBy("date")
+    recent = _counted(up).filter("recent" if "recent" in up.columns else F.col("played_at") >= ago(as_of, days, "days"))
+    return _in_order(recent.groupBy(F.to_date("played_at").alias("date")).agg(F.sum("n").alias("count")), "date")
 
 
 def top_albums(ut: DataFrame) -> DataFrame:
@@ -83,19 +103,19 @@ def plays_by_weekday(ut: DataFrame) -> DataFrame:
     day = F.date_format("last_played_at", "EEEE")
     sums = ut.filter(F.col("last_played_at").isNotNull()).groupBy(day.alias("day")).agg(F.sum("play_count").alias("_n"))
     share = half_even(ratio(F.col("_n"), _total("_n")) * 100)
-    return sums.select("day", share.alias("percentage")).orderBy(weekday_rank(F.col("day")))
+    return _in_order(sums.select("day", share.alias("percentage")), weekday_rank(F.col("day")))
 
 
 def plays_by_weekday_dense(ut: DataFrame) -> DataFrame:
     spark = ut.sparkSession
     axis = spark.range(1).select(F.posexplode(F.array(*map(F.lit, WEEKDAYS))).alias("rank", "day"))
     shares = axis.join(plays_by_weekday(ut), "day", "left")
-    return shares.select("day", F.coalesce("percentage", F.lit(0.0)).alias("percentage"), "rank").orderBy("rank").drop("rank")
+    return _in_order(shares.select("day", F.coalesce("percentage", F.lit(0.0)).alias("percentage"), "rank"), "rank").drop("rank")
 
 
 def plays_by_hour(up: DataFrame) -> DataFrame:
-    hours = up.groupBy(F.hour(to_local(F.col("played_at"))).alias("hour")).agg(F.count(F.lit(1)).alias("_n"))
-    return hours.select("hour", half_up(percent(F.col("_n"), _total("_n"))).alias("percentage")).orderBy("hour")
+    hours = _counted(up).groupBy(F.hour(to_local(F.col("played_at"))).alias("hour")).agg(F.sum("n").alias("_n"))
+    return _in_order(hours.select("hour", half_up(percent(F.col("_n"), _total("_n"))).alias("percentage")), "hour")
 
 
 def _month(ts: str) -> Column:
@@ -103,12 +123,12 @@ def _month(ts: str) -> Column:
 
 
 def plays_by_month(up: DataFrame) -> DataFrame:
-    return up.groupBy(_month("played_at").alias("month")).agg(F.count(F.lit(1)).alias("count")).orderBy("month")
+    return _in_order(_counted(up).groupBy(_month("played_at").alias("month")).agg(F.sum("n").alias("count")), "month")
 
 
 def tracks_added(ut: DataFrame) -> DataFrame:
     added = ut.filter(F.col("added_at").isNotNull())
-    return added.groupBy(F.to_date("added_at").alias("date")).agg(F.count(F.lit(1)).alias("count")).orderBy("date")
+    return _in_order(added.groupBy(F.to_date("added_at").alias("date")).agg(F.count(F.lit(1)).alias("count")), "date")
 
 
 def top_liked_artists(ut: DataFrame) -> DataFrame:
@@ -130,7 +150,7 @@ def top_genres(ut: DataFrame) -> DataFrame:
 def popularity_histogram(ut: DataFrame) -> DataFrame:
     label = _labelled(F.col("popularity"), POPULARITY_BUCKETS, lambda v, b: v >= b)
     known = ut.filter(F.col("popularity").isNotNull())
-    return known.groupBy(label.alias("range")).agg(F.count(F.lit(1)).alias("count")).orderBy("range")
+    return _in_order(known.groupBy(label.alias("range")).agg(F.count(F.lit(1)).alias("count")), "range")
 
 
 def avg_popularity(ut: DataFrame) -> DataFrame:
@@ -147,13 +167,13 @@ def release_to_play(ut: DataFrame) -> DataFrame:
     waits = known.select(_labelled(F.datediff("heard", "_out"), WAIT_BUCKETS, lambda v, b: v <= b).alias("bucket"))
     counts = waits.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"))
     rank = F.array_position(F.array(*[F.lit(text) for _, text in WAIT_BUCKETS]), F.col("bucket"))
-    return counts.select("bucket", half_up(percent(F.col("_n"), _total("_n"))).alias("percentage")).orderBy(rank)
+    return _in_order(counts.select("bucket", half_up(percent(F.col("_n"), _total("_n"))).alias("percentage")), rank)
 
 
 def library_growth(ut: DataFrame) -> DataFrame:
     month = F.date_trunc("month", "added_at").cast("timestamp_ntz")
     added = ut.filter(F.col("added_at").isNotNull())
-    return added.groupBy(month.alias("month")).agg(F.count(F.lit(1)).alias("count")).orderBy("month")
+    return _in_order(added.groupBy(month.alias("month")).agg(F.count(F.lit(1)).alias("count")), "month")
 
 
 def top_artist_by_month(up: DataFrame, as_of, months: int = 24) -> DataFrame:
@@ -162,7 +182,7 @@ def top_artist_by_month(up: DataFrame, as_of, months: int = 24) -> DataFrame:
     recent = up.filter((F.col("played_at") >= ago(as_of, months, "months")) & F.col("artist_name").isNotNull())
     counts = recent.groupBy("artist_name", _month("played_at").alias("month")).agg(F.count(F.lit(1)).alias("n"))
     best = counts.groupBy("month").agg(F.min(F.struct((-F.col("n")).alias("less"), F.col("artist_name").alias("artist"))).alias("_b"))
-    return best.select(F.col("_b.artist").alias("artist"), "month", (-F.col("_b.less")).alias("count")).orderBy("month")
+    return _in_order(best.select(F.col("_b.artist").alias("artist"), "month", (-F.col("_b.less")).alias("count")), "month")
 
 
 def summary_stats(ut: DataFrame) -> DataFrame:
@@ -195,7 +215,7 @@ def active_dates(ut: DataFrame, ts: str = "last_played_at") -> DataFrame:
 
 def active_days_per_week(ut: DataFrame) -> DataFrame:
     weeks = active_dates(ut).groupBy(F.to_date(F.date_trunc("week", "date")).alias("week")).agg(F.count(F.lit(1)).alias("active_days"))
-    return weeks.orderBy("week")
+    return _in_order(weeks, "week")
 
 
 def avg_active_days(ut: DataFrame) -> DataFrame:

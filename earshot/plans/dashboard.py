@@ -8,34 +8,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.operators import metrics as M
+from earshot.sources.snapshots import settle
 
 
 def _rows(frame: DataFrame, key: str) -> DataFrame:
     """A metric as (key, position, JSON object). Frames are bounded: top tens, calendar
     days or months, histogram buckets."""
     numbered = frame.coalesce(1).withColumn("_at", F.monotonically_increasing_id())
-    return numbered.select(F.lit(key).alias("key"), F.col("_at").alias("at"), F.to_json(F.struct(*frame.columns)).alias("item"))
+    return numbered.select(F.lit(key).alias("key"), F.col("_at").alias("at"), F.to_json(F.struct(*frame.columns), {"ignoreNullFields": "false"}).alias("item"))
 
 
 def list_metrics(ut: DataFrame, up: DataFrame, as_of) -> dict[str, DataFrame]:
+    clock = settle(M.play_clock(up, as_of), "play_clock")  # at most 96 rows per day
     return {
-        "top_artists": M.top_artists(ut), "top_tracks": M.top_tracks(ut), "daily_plays": M.daily_plays(up, as_of),
-        "top_albums": M.top_albums(ut), "plays_by_day": M.plays_by_weekday(ut), "plays_by_hour": M.plays_by_hour(up),
-        "plays_by_month": M.plays_by_month(up), "tracks_added": M.tracks_added(ut), "top_liked_artists": M.top_liked_artists(ut),
+        "top_artists": M.top_artists(ut), "top_tracks": M.top_tracks(ut), "daily_plays": M.daily_plays(clock, as_of),
+        "top_albums": M.top_albums(ut), "plays_by_day": M.plays_by_weekday(ut), "plays_by_hour": M.plays_by_hour(clock),
+        "plays_by_month": M.plays_by_month(clock), "tracks_added": M.tracks_added(ut), "top_liked_artists": M.top_liked_artists(ut),
         "top_genres": M.top_genres(ut), "popularity_distribution": M.popularity_histogram(ut),
         "release_to_play": M.release_to_play(ut), "monthly_library_growth": M.library_growth(ut),
         "top_artist_by_month": M.top_artist_by_month(up, as_of),
     }
 
 
-def summary(ut: DataFrame, playlists: DataFrame) -> DataFrame:
-    """One row of all scalar figures; each input frame is a single aggregated row."""
+def _summary(ut: DataFrame, playlists: DataFrame) -> DataFrame:
+    """The scalar figures as one JSON object; each part is a single aggregated row."""
     parts = [
         M.summary_stats(ut).drop("total_ms"), M.album_type_counts(ut), M.dynamic_playlists(playlists),
         M.listening_streak(ut), M.listens_rate(ut),
     ]
-    keyed = [p.withColumn("_one", F.lit(1)) for p in parts]
-    return reduce(lambda a, b: a.join(F.broadcast(b), "_one"), keyed).drop("_one")
+    fields = F.regexp_replace(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}), r"^\{|\}$", "")
+    rows = reduce(DataFrame.unionByName, [p.select(F.lit(i).alias("at"), fields.alias("text")) for i, p in enumerate(parts)])
+    body = F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]))
+    return rows.agg(F.concat(F.lit("{"), body, F.lit("}")).alias("json")).select(F.lit("summary_stats").alias("key"), "json")
 
 
 def metrics_document(ut: DataFrame, up: DataFrame, playlists: DataFrame, as_of) -> DataFrame:
@@ -46,10 +50,9 @@ def metrics_document(ut: DataFrame, up: DataFrame, playlists: DataFrame, as_of)
     arrays = items.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "item"))).alias("xs"))
     text = F.concat(F.lit("["), F.concat_ws(",", F.transform("xs", lambda x: x["item"])), F.lit("]"))
     fields = arrays.select("key", text.alias("json"))
-    scalars = summary(ut, playlists).select(F.lit("summary_stats").alias("key"), F.to_json(F.struct("*")).alias("json"))
     average = M.avg_popularity(ut).select(F.lit("avg_popularity_score").alias("key"), F.col("avg_popularity").cast("string").alias("json"))
     empty = ut.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, lists))).alias("key"), F.lit("[]").alias("json"))
-    every = fields.unionByName(scalars).unionByName(average)
+    every = fields.unionByName(_summary(ut, playlists)).unionByName(average)
     every = empty.join(fields, "key", "left_anti").unionByName(every)
     entry = F.concat(F.lit('"'), F.col("key"), F.lit('":'), F.col("json"))
     body = F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.struct("key", entry.alias("e")))), lambda x: x["e"]))
