@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from earshot.operators import plays as P
 from earshot.operators import tracks as K
@@ -39,7 +40,7 @@ class LibraryBuild:
 
     @cached_property
     def library_ms(self) -> DataFrame:
-        return self.keep(K.library_ms(self.tracks_canon, self.likes_canon), "library_ms")
+        return K.library_ms(self.tracks_canon, self.likes_canon)
 
     @cached_property
     def base(self) -> DataFrame:
@@ -51,10 +52,11 @@ class LibraryBuild:
 
     @cached_property
     def behaviour(self) -> DataFrame:
-        sizes = self.play_stats.select("track_id", "library_play_count")
+        sizes, limit = self.play_stats.select("track_id", "library_play_count"), self.rows_per_piece
         hot = hot_keys(sizes, ["track_id"], "library_play_count")
         rows = self.keep(P.instants(self.plays, self.library_ms, hot), "instants")
-        limit = self.rows_per_piece
+        if (sizes.agg(F.sum("library_play_count")).first()[0] or 0) <= limit:
+            return P.behaviour(rows)  # all plays together are no more than one piece
         heavy_tracks = grains(rows, ["track_id"], "us", above(sizes, "library_play_count", limit), limit)
         heavy_hours = above(hour_sizes(rows), "n", limit)
         return P.behaviour(rows, heavy_tracks, heavy_hours, P.crowded_seconds(rows, heavy_hours, limit))
