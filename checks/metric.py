@@ -163,7 +163,7 @@ add("scalar_string",
 def _epoch_gap(c):
     """Gap from every instant to the next one, over all plays."""
     moments = c.up.filter("track_id IS NOT NULL").select(micros(F.col("played_at")).alias("us")).distinct()
-    return neighbour(moments, "us", [], above(hour_sizes(moments), "n")).select("us", (F.col("near.us") - F.col("us")).alias("gap_us"))
+    return neighbour(moments, "us", [], above(hour_sizes(moments), "n")).select("us", (F.col("near_us") - F.col("us")).alias("gap_us"))
 
 
 add("epoch_gap", _epoch_gap, "SELECT us, lead(us) OVER (ORDER BY us) - us AS gap_us FROM (SELECT DISTINCT epoch_us(played_at) AS us FROM {ap})")

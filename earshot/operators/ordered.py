@@ -50,15 +50,15 @@ def hour_sizes(us: DataFrame) -> DataFrame:
 def neighbour_in_group(
     df: DataFrame, by: list[str], us: str, payload: list[str], heavy: DataFrame | None, ahead: bool = True
 ) -> DataFrame:
-    """Add `near`: struct(us, *payload) of the next (or previous) row of the same group,
+    """Add near_<us> and near_<payload> of the next (or previous) row of the same group,
     null at its end. (us, *payload) is unique within a group and is its order; `heavy`
     lists the groups to cut, with their grain."""
-    value = F.struct(us, *payload)
+    order = [us, *payload]
     if heavy is None:
-        return df.withColumn("near", F.lead(value).over(W.partitionBy(*by).orderBy(*_way([us, *payload], ahead))))
+        return df.withColumns(_near(order, W.partitionBy(*by).orderBy(*_way(order, ahead))))
     cut = df.join(F.broadcast(heavy), by, "left").withColumn("_piece", cell(us, SECOND) - F.pmod(cell(us, SECOND), F.col("grain")))
-    edges = _edges(cut.filter(F.col("grain").isNotNull()), by, value, ahead)
-    return _with_carry(cut.drop("grain"), by, [us, *payload], ahead, _carry_by_day(edges, by, ahead))
+    edges = _edges(cut.filter(F.col("grain").isNotNull()), by, order, ahead)
+    return _with_carry(cut.drop("grain"), by, order, ahead, _carry_by_day(edges, by, ahead))
 
 
 def neighbour(
@@ -67,14 +67,14 @@ def neighbour(
     """The same over all rows. They are cut by the hour, and the hours of `heavy` by the
     second. `outline` may be a frame that is cheaper to read than `df` and has the same
     first (or last) row in every piece."""
-    value = F.struct(us, *payload)
-    outline = df if outline is None else outline
+    order = [us, *payload]
+    outline = (df if outline is None else outline).select(*order)
     hour = cell(us, HOUR)
     if heavy is None:
         piece = hour * (HOUR // SECOND)
-        edges = _edges(outline.withColumn("_piece", piece), [], value, ahead)  # one row per hour: a century is 876,600 rows
+        edges = _edges(outline.withColumn("_piece", piece), [], order, ahead)  # one row per hour: a century is 876,600 rows
         carry = edges.select("_piece", F.lead("_edge").over(W.orderBy(*_way(["_piece"], ahead))).alias("_carry"))
-        return _with_carry(df.withColumn("_piece", piece), [], [us, *payload], ahead, carry)
+        return _with_carry(df.withColumn("_piece", piece), [], order, ahead, carry)
     heavy = F.broadcast(heavy.select("hour", F.lit(True).alias("_heavy")))
 
     def pieces(rows):
@@ -82,28 +82,37 @@ def neighbour(
         piece = F.when(F.col("_heavy"), cell(us, SECOND)).otherwise(F.col("hour") * (HOUR // SECOND))
         return marked.withColumn("_piece", piece).drop("_heavy", "hour")
 
-    carry = _carry_by_day(_edges(pieces(outline), [], value, ahead), [], ahead)
-    return _with_carry(pieces(df), [], [us, *payload], ahead, carry)
+    carry = _carry_by_day(_edges(pieces(outline), [], order, ahead), [], ahead)
+    return _with_carry(pieces(df), [], order, ahead, carry)
 
 
 def _way(names: list[str], ahead: bool) -> list[Column]:
     return [F.col(n).asc() if ahead else F.col(n).desc() for n in names]
 
 
-def _edges(cut: DataFrame, by: list[str], value: Column, ahead: bool) -> DataFrame:
-    return cut.groupBy(*by, "_piece").agg((F.min(value) if ahead else F.max(value)).alias("_edge"))
+def _near(order: list[str], window) -> dict[str, Column]:
+    return {f"near_{n}": F.lead(n).over(window) for n in order}
+
+
+def _edges(cut: DataFrame, by: list[str], order: list[str], ahead: bool) -> DataFrame:
+    pick = F.min if ahead else F.max
+    edge = pick(F.struct(*order)) if len(order) > 1 else F.struct(pick(order[0]).alias(order[0]))
+    return cut.groupBy(*by, "_piece").agg(edge.alias("_edge"))
 
 
 def _with_carry(cut: DataFrame, by: list[str], order: list[str], ahead: bool, carry: DataFrame) -> DataFrame:
-    within = W.partitionBy(*by, "_piece").orderBy(*_way(order, ahead))
-    joined = cut.withColumn("_near", F.lead(F.struct(*order)).over(within)).join(carry, [*by, "_piece"], "left")
-    return joined.withColumn("near", F.coalesce("_near", "_carry")).drop("_near", "_carry", "_piece")
+    inside = cut.withColumns(_near(order, W.partitionBy(*by, "_piece").orderBy(*_way(order, ahead))))
+    joined = inside.join(carry, [*by, "_piece"], "left")
+    last = F.col(f"near_{order[0]}").isNull()  # of its piece
+    near = {f"near_{n}": F.when(last, F.col(f"_carry.{n}")).otherwise(F.col(f"near_{n}")) for n in order}
+    return joined.withColumns(near).drop("_carry", "_piece")
 
 
 def _carry_by_day(edges: DataFrame, by: list[str], ahead: bool) -> DataFrame:
     """For every piece the edge of the next one: within its day, else of the next day. A day
-    has at most 86,400 pieces and a century 36,525 days."""
-    dated = edges.withColumn("_day", cell("_piece", DAY // SECOND))
+    has at most 86,400 pieces and a century 36,525 days. The edges are read twice, hence
+    written first."""
+    dated = settle(edges.withColumn("_day", cell("_piece", DAY // SECOND)), "edges")
     within = dated.withColumn("_in_day", F.lead("_edge").over(W.partitionBy(*by, "_day").orderBy(*_way(["_piece"], ahead))))
     head = (F.min("_edge") if ahead else F.max("_edge")).alias("_head")
     days = dated.groupBy(*by, "_day").agg(head)

@@ -93,7 +93,7 @@ def behaviour(
     single second holds more rows than a task should sort (see `crowded_seconds`).
     """
     back = neighbour_in_group(rows, ["track_id"], "us", [], heavy_tracks, ahead=False)
-    again = resumed(F.col("us") - F.col("near.us"), F.col("first_ms")).cast("int")
+    again = resumed(F.col("us") - F.col("near_us"), F.col("first_ms")).cast("int")
     resumes = back.groupBy("track_id").agg(F.sum(F.col("repeats") + again).alias("resumes"))
     skips = (_skips_by_moment if crowded else _skips)(rows, heavy_hours)
     both = resumes.withColumn("skips", F.lit(0).cast("bigint")).unionByName(skips.withColumn("resumes", F.lit(0).cast("bigint")))
@@ -102,8 +102,8 @@ def behaviour(
 
 def _skips(rows: DataFrame, heavy_hours: DataFrame | None) -> DataFrame:
     ahead = neighbour(rows.select("us", "track_id", "last_ms"), "us", ["track_id"], heavy_hours)
-    quick = skipped(F.col("near.us") - F.col("us"), F.col("last_ms"))
-    return ahead.groupBy("track_id").agg(F.count_if((F.col("near.track_id") != F.col("track_id")) & quick).alias("skips"))
+    quick = skipped(F.col("near_us") - F.col("us"), F.col("last_ms"))
+    return ahead.groupBy("track_id").agg(F.count_if((F.col("near_track_id") != F.col("track_id")) & quick).alias("skips"))
 
 
 def _skips_by_moment(rows: DataFrame, heavy_hours: DataFrame | None) -> DataFrame:
@@ -114,7 +114,7 @@ def _skips_by_moment(rows: DataFrame, heavy_hours: DataFrame | None) -> DataFram
     moments = rows.groupBy("us").agg(F.min("track_id").alias("opens"), F.max(F.struct("track_id", "last_ms")).alias("closes"))
     ahead = neighbour(moments, "us", ["opens"], heavy_hours, outline=rows.select("us", F.col("track_id").alias("opens")))
     track, ms = F.col("closes.track_id"), F.col("closes.last_ms")
-    real = (F.col("near.opens") != track) & skipped(F.col("near.us") - F.col("us"), ms)
+    real = (F.col("near_opens") != track) & skipped(F.col("near_us") - F.col("us"), ms)
     corrections = ahead.select(
         track.alias("track_id"), (F.coalesce(real, F.lit(False)).cast("bigint") - (ms > 0).cast("bigint")).alias("skips")
     )

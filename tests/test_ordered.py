@@ -5,6 +5,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from earshot.functions.times import HOUR
+from tests.helpers import rows
 from earshot.operators.ordered import above, cell, grains, hour_sizes, neighbour, neighbour_in_group, number_rows
 
 
@@ -26,8 +27,8 @@ def test_neighbour_is_the_global_lead(moments, limit, ahead):
     assert (heavy is None) == (limit > 1000)
     got = neighbour(moments, "us", ["who"], heavy, ahead)
     order = W.orderBy(F.col("us") if ahead else F.desc("us"))
-    want = moments.withColumn("near", F.lead(F.struct("us", "who")).over(order))
-    assert sorted(got.select("us", "near.us", "near.who").collect()) == sorted(want.select("us", "near.us", "near.who").collect())
+    want = moments.withColumns({"near_us": F.lead("us").over(order), "near_who": F.lead("who").over(order)})
+    assert rows(got, "us", "near_us", "near_who") == rows(want, "us", "near_us", "near_who")
 
 
 @pytest.mark.parametrize("limit", [1_000_000, 500, 50])  # whole groups, hours, seconds
@@ -35,8 +36,8 @@ def test_neighbour_in_group_is_the_lag(moments, limit):
     keyed = moments.withColumn("g", F.when(F.col("us") > 0, F.lit("hot")).otherwise(F.concat(F.lit("cold"), F.col("us") % 3)))
     heavy = grains(keyed, ["g"], "us", above(keyed.groupBy("g").agg(F.count("*").alias("n")), "n", limit), limit)
     got = neighbour_in_group(keyed, ["g"], "us", [], heavy, ahead=False)
-    want = keyed.withColumn("near", F.struct(F.lag("us").over(W.partitionBy("g").orderBy("us"))))
-    assert {(r.us, r.near.us if r.near else None) for r in got.collect()} == {(r.us, r.near[0]) for r in want.collect()}
+    want = keyed.withColumn("near_us", F.lag("us").over(W.partitionBy("g").orderBy("us")))
+    assert rows(got, "us", "near_us") == rows(want, "us", "near_us")
 
 
 def test_cell_floors_negative_values(spark):
