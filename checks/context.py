@@ -10,7 +10,7 @@ from checks.fixture import AS_OF, Tables
 from earshot.operators import plays as P
 from earshot.operators.tracks import LibraryTables
 from earshot.plans.library import LibraryBuild
-from earshot.sources.snapshots import settle
+from earshot.sources.snapshots import settle, settle_plays
 
 _CONTEXTS: dict[tuple[str, str], "Context"] = {}
 
@@ -51,7 +51,7 @@ class Context:
 
     @cached_property
     def up(self) -> DataFrame:
-        return settle(self.unified_plays(), "unified_plays")
+        return settle_plays(self.unified_plays())
 
     def fresh_build(self) -> LibraryBuild:
         """A build with none of its stages written yet."""

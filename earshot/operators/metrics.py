@@ -66,6 +66,12 @@ def top_tracks(ut: DataFrame) -> DataFrame:
     )
 
 
+def plays_since(up: DataFrame, moment: Column) -> DataFrame:
+    """Plays from `moment` on; of plays stored by month only the months needed are read."""
+    recent = up.filter(F.col("played_at") >= moment)
+    return recent.filter(F.col("month") >= F.date_format(moment, "yyyy-MM")) if "month" in up.columns else recent
+
+
 def play_clock(up: DataFrame, as_of, days: int = 30) -> DataFrame:
     """Plays counted by quarter of an hour, split at `as_of` minus `days`: one pass over the
     plays from which the daily, hourly and monthly counts follow. Every zone in use is a
@@ -81,7 +87,7 @@ def _counted(up: DataFrame) -> DataFrame:
 
 
 def daily_plays(up: DataFrame, as_of, days: int = 30) -> DataFrame:
-    recent = _counted(up).filter("recent" if "recent" in up.columns else F.col("played_at") >= ago(as_of, days, "days"))
+    recent = up.filter("recent") if "recent" in up.columns else _counted(plays_since(up, ago(as_of, days, "days")))
     return _in_order(recent.groupBy(F.to_date("played_at").alias("date")).agg(F.sum("n").alias("count")), "date")
 
 
@@ -179,7 +185,7 @@ def library_growth(ut: DataFrame) -> DataFrame:
 def top_artist_by_month(up: DataFrame, as_of, months: int = 24) -> DataFrame:
     """Most played artist of each month, ties to the first name. A min over structs, so a
     month with very many artists is reduced before the shuffle rather than sorted."""
-    recent = up.filter((F.col("played_at") >= ago(as_of, months, "months")) & F.col("artist_name").isNotNull())
+    recent = plays_since(up, ago(as_of, months, "months")).filter(F.col("artist_name").isNotNull())
     counts = recent.groupBy("artist_name", _month("played_at").alias("month")).agg(F.count(F.lit(1)).alias("n"))
     best = counts.groupBy("month").agg(F.min(F.struct((-F.col("n")).alias("less"), F.col("artist_name").alias("artist"))).alias("_b"))
     return _in_order(best.select(F.col("_b.artist").alias("artist"), "month", (-F.col("_b.less")).alias("count")), "month")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from earshot.operators import plays as P
 from earshot.operators import tracks as K
 from earshot.operators.ordered import ROWS_PER_PIECE, above, grains, hour_sizes
-from earshot.operators.skew import drop_listed, hot_keys
+from earshot.operators.skew import drop_listed, fits_broadcast, hot_keys
 from earshot.sources.snapshots import settle
 
 
@@ -72,7 +72,10 @@ class LibraryBuild:
 
     @cached_property
     def non_library(self) -> DataFrame:
-        return K.non_library_base(self.lib, self.stray.unmatched_ids, P.latest_play(self.plays))
+        ids = self.keep(self.stray.unmatched_ids, "unmatched_ids")
+        few = fits_broadcast(ids)  # then other plays need not be reduced at all
+        plays = self.plays.join(F.broadcast(ids), "track_id", "left_semi") if few else self.plays
+        return K.non_library_base(self.lib, ids, P.latest_play(plays))
 
     @cached_property
     def all_base(self) -> DataFrame:

@@ -7,6 +7,20 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# What to set on a cluster beside its own memory and core settings. Shuffles start with
+# many small partitions and AQE joins them up to the advisory size, so one setting serves
+# a table of any size; skewed joins that are not salted are split by AQE.
+CLUSTER_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "100m",
+}
+
+
 def local_session(cores: str = "8", **settings) -> SparkSession:
     """A local session for tests and benches; on a cluster, bring your own."""
     builder = (

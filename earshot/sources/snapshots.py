@@ -21,6 +21,23 @@ def write_snapshot(df: DataFrame, root: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_plays(plays: DataFrame, root: str, name: str = "unified_plays") -> DataFrame:
+    """A snapshot of plays partitioned by month, so that recent windows read recent months.
+
+    The rebalance hint lets AQE split a month that holds most of the plays and join up
+    months that hold few: files of even size, without a chosen number of partitions.
+    """
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    dated = plays.withColumn("month", F.date_format("played_at", "yyyy-MM"))
+    dated.hint("rebalance", "month").write.mode("errorifexists").partitionBy("month").parquet(path)
+    return plays.sparkSession.read.schema(dated.schema).parquet(path)
+
+
+def settle_plays(plays: DataFrame) -> DataFrame:
+    spark = plays.sparkSession
+    return write_plays(plays, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage of `df` through a snapshot in the cluster's shared folder."""
     return write_snapshot(df, f"{shared_dir(df.sparkSession)}/{df.sparkSession.sparkContext.applicationId}", name)
