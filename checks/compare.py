@@ -24,7 +24,7 @@ def plain(value):
     if isinstance(value, decimal.Decimal):
         value = float(value)
     if isinstance(value, float):
-        return "~" if math.isnan(value) else f"{value:.6f}"
+        return "~" if math.isnan(value) else repr(value)
     if isinstance(value, (datetime.datetime, datetime.date)):
         return value.isoformat()
     if isinstance(value, (list, tuple)):
