@@ -131,6 +131,11 @@ add("soft_delete", lambda c: L.soft_delete(c.t["playlist_mappings"], upstream(c)
     f"""SELECT slug, gone AS pending_delete, CASE WHEN gone THEN coalesce(missing_count, 0) + 1 ELSE 0 END AS missing_count, CASE WHEN gone THEN {NOW} END AS last_missing_at,
         CASE WHEN gone THEN 'playlist not found in user''s library' END AS last_missing_reason, CASE WHEN gone THEN {NOW} ELSE last_seen_at END AS last_seen_at
         FROM (SELECT *, rules = 'FURNITURE' AS gone FROM {{playlist_mappings}})""")
+add("ignore_missing", lambda c: L.ignore_missing(c.t["playlist_mappings"], c.t["playlist_mappings"].filter("missing_count > 10")).select(
+        "slug", "pending_delete", "missing_count", "last_missing_at", "last_missing_reason"),
+    """SELECT slug, CASE WHEN missing_count > 10 THEN false ELSE pending_delete END AS pending_delete, CASE WHEN missing_count > 10 THEN 0 ELSE missing_count END AS missing_count,
+       CASE WHEN missing_count > 10 THEN NULL ELSE last_missing_at END AS last_missing_at, CASE WHEN missing_count > 10 THEN NULL ELSE last_missing_reason END AS last_missing_reason
+       FROM {playlist_mappings}""")
 add("delete_candidates", lambda c: L.delete_candidates(c.t["playlist_mappings"]),
     """SELECT count(*) AS flagged, string_agg(slug || '(misses=' || coalesce(CAST(missing_count AS VARCHAR), 'None') || ')', ', ' ORDER BY last_missing_at DESC NULLS LAST, slug) AS summary
        FROM {playlist_mappings} WHERE pending_delete""")

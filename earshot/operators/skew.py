@@ -35,13 +35,13 @@ def fits_broadcast(df: DataFrame) -> bool:
     return planned_bytes(df) <= broadcast_limit(df)
 
 
-def hot_keys(sizes: DataFrame, keys: list[str], count: str) -> DataFrame:
-    """Of key counts, the HOT_KEYS most frequent keys, as far as they have HOT_ROWS rows. Any
-    other key holds less than 1 / HOT_KEYS of the rows, or few.
+def hot_keys(sizes: DataFrame, keys: list[str], count: str, at_least: int | None = None) -> DataFrame:
+    """Of key counts, the HOT_KEYS most frequent keys, as far as they have HOT_ROWS rows (or
+    `at_least`). Any other key holds less than 1 / HOT_KEYS of the rows, or few.
 
     The list only steers salting; leaving a key out never changes a join's result.
     """
-    return sizes.filter(F.col(count) >= HOT_ROWS).orderBy(F.desc(count), *keys).limit(HOT_KEYS).select(*keys)
+    return sizes.filter(F.col(count) >= (HOT_ROWS if at_least is None else at_least)).orderBy(F.desc(count), *keys).limit(HOT_KEYS).select(*keys)
 
 
 def key_sizes(facts: DataFrame, keys: list[str]) -> DataFrame:

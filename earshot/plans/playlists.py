@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 from earshot.functions.order import desc
 from earshot.functions.text import url_tail
 from earshot.functions.times import as_ts
+from earshot.operators.merge import stamp
 from earshot.operators.rules import Rule, compile_rule, uri
+from earshot.operators.skew import hot_keys, key_sizes, lookup_join
+from earshot.sources.snapshots import settle
 
 EXCLUSIONS = "exclusions"
 BATCH = 100  # members are handed on in batches of this size
 LARGEST = 9000  # the longest playlist the rule form accepts
 MOST_RULES = 1000  # distinct rule documents compiled into one plan
 SALTS = 64
+HOT_LISTS = 100  # lists of one rule from which their join is salted
 
 
 def ranked_members(unified: DataFrame, rules: dict[str, Rule]) -> DataFrame:
@@ -74,8 +78,11 @@ def all_playlists(unified: DataFrame, playlists: DataFrame, as_of) -> DataFrame:
     """(slug, position, batch, uri). Playlists with equal rules share one selection."""
     rules = rule_documents(playlists, as_of)
     lists = followed(playlists).select("slug", F.coalesce("rules", F.lit("{}")).alias("rule"))
-    members = ranked_members(unified, rules)  # at most rules x LARGEST rows
-    return lists.join(members, "rule").select("slug", "position", batch_of(F.col("position")).alias("batch"), "uri")
+    members = settle(ranked_members(unified, rules), "members")  # at most rules x LARGEST rows
+    # every list is multiplied by its members, so a rule is hot long before it has many lists
+    hot = hot_keys(key_sizes(lists, ["rule"]), ["rule"], "_n", at_least=HOT_LISTS)
+    joined = lookup_join(lists, members, ["rule"], "inner", spread=F.xxhash64("slug"), hot=hot)
+    return joined.select("slug", "position", batch_of(F.col("position")).alias("batch"), "uri")
 
 
 def batch_of(position: Column) -> Column:
@@ -129,6 +136,13 @@ def soft_delete(playlists: DataFrame, upstream: DataFrame, as_of, reason: str =
     return joined.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in playlists.columns])
 
 
+def ignore_missing(playlists: DataFrame, slugs: DataFrame) -> DataFrame:
+    """Clear the deletion flag of playlists by hand: they count as never missed."""
+    none = F.lit(None)
+    changes = {"pending_delete": F.lit(False), "missing_count": F.lit(0), "last_missing_at": none, "last_missing_reason": none}
+    return stamp(playlists, "slug", slugs.select("slug"), changes)
+
+
 def delete_candidates(playlists: DataFrame, at_most: int = 10_000) -> DataFrame:
     """One line naming the playlists flagged for deletion, newest miss first. The line is
     for a person to read; a list too long for one string is refused, not cut."""

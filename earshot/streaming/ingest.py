@@ -41,15 +41,18 @@ def append_plays(plays: DataFrame, table: str, checkpoint: str) -> StreamingQuer
     spark = plays.sparkSession
     spark.createDataFrame([], STORED).write.mode("ignore").partitionBy("day", "batch").parquet(table)
 
-    def one_batch(rows: DataFrame, batch: int) -> None:
-        rows = rows.withColumn("day", F.to_date("played_at"))
-        span = rows.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
-        if span.lo is None:
-            return
-        stored = rows.sparkSession.read.schema(STORED).parquet(table)
-        near = stored.filter(F.col("day").between(span.lo, span.hi) & (F.col("batch") != batch))
-        added = missing_rows(near.select(*KEY), rows, KEY).withColumn("batch", F.lit(batch).cast("bigint"))
-        added.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(table)
+    def one_batch(polled: DataFrame, batch: int) -> None:
+        rows = polled.withColumn("day", F.to_date("played_at")).persist()  # read for its span and for its rows
+        try:
+            span = rows.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
+            if span.lo is None:
+                return
+            stored = rows.sparkSession.read.schema(STORED).parquet(table)
+            near = stored.filter(F.col("day").between(span.lo, span.hi) & (F.col("batch") != batch))
+            added = missing_rows(near.select(*KEY), rows, KEY).withColumn("batch", F.lit(batch).cast("bigint"))
+            added.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(table)
+        finally:
+            rows.unpersist()
 
     return plays.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
