@@ -5,8 +5,8 @@ The search is by distinct query text, not by row, and never pairs up a whole gro
 
 * titles meet through their rarest words only (prefix filter), which finds every pair of
   titles with the asked word overlap;
-* a matched title contributes its first ten tracks overall and its first ten on the
-  query's album, which together contain whatever the ten best can be.
+* the ten best of a title are found once, whatever the album; a query adds the first ten
+  on its own album, and the two together contain its ten best.
 """
 
 from __future__ import annotations
@@ -81,25 +81,31 @@ def _prefixes(titles: DataFrame, common: DataFrame, overlap: float) -> DataFrame
 
 def search(queries: DataFrame, catalogue: DataFrame, tuning: Tuning = Tuning()) -> DataFrame:
     """The best results per distinct query (artist, title, album), with their position:
-    by word overlap, then same album, then id. `catalogue` has keys (see `with_keys`)."""
+    by word overlap, then same album, then id. `catalogue` has keys (see `with_keys`).
+
+    A result off the query's album is among the best of its (artist, title) whatever the
+    album, because a preferred album only moves other tracks ahead of it. So the best are
+    found once per title, and each query adds the first tracks on its own album.
+    """
     asked = queries.select(*QUERY).distinct()
     pairs = similar_titles(asked.select("artist_key", "title_key").distinct(), catalogue.select("artist_key", "title_key").distinct(), tuning.word_overlap)
-    matched = lookup_join(asked, pairs, ["artist_key", "title_key"], "inner")
     found = catalogue.select("artist_key", F.col("title_key").alias("found_key"), F.col("album_key").alias("found_album"),
                              *[c for c in catalogue.columns if c not in QUERY])
 
-    def first(rows, *keys):
-        place = F.row_number().over(W.partitionBy(*keys).orderBy(asc("id")))
-        return rows.withColumn("_r", place).filter(F.col("_r") <= tuning.results).drop("_r")
-
-    overall = lookup_join(matched, first(found, "artist_key", "found_key"), ["artist_key", "found_key"], "inner")
-    on_album = first(found.filter(F.col("found_album") != ""), "artist_key", "found_key", "found_album").withColumn("album_key", F.col("found_album"))
-    same_album = lookup_join(matched, on_album, ["artist_key", "found_key", "album_key"], "inner")
+    def first(rows, keys, *order):
+        place = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
+        return rows.withColumn("position", place).filter(F.col("position") <= tuning.results)
+
+    firsts = first(found, ["artist_key", "found_key"], asc("id")).drop("position")
+    by_title = lookup_join(pairs, firsts, ["artist_key", "found_key"], "inner")
+    by_title = first(by_title, ["artist_key", "title_key"], F.desc("overlap"), asc("id")).drop("position")
+    overall = lookup_join(asked, by_title, ["artist_key", "title_key"], "inner")
+    on_album = first(found.filter(F.col("found_album") != ""), ["artist_key", "found_key", "found_album"], asc("id")).drop("position")
+    matched = lookup_join(asked.filter(F.col("album_key") != ""), pairs, ["artist_key", "title_key"], "inner")
+    same_album = lookup_join(matched, on_album.withColumn("album_key", F.col("found_album")), ["artist_key", "found_key", "album_key"], "inner")
     results = overall.unionByName(same_album.select(*overall.columns)).dropDuplicates([*QUERY, "id"])
     same = (F.col("album_key") == F.col("found_album")) & (F.col("album_key") != "")
-    order = [F.desc("overlap"), F.desc(same), asc("id")]
-    place = F.row_number().over(W.partitionBy(*QUERY).orderBy(*order))
-    return results.withColumn("position", place).filter(F.col("position") <= tuning.results)
+    return first(results, QUERY, F.desc("overlap"), F.desc(same), asc("id"))
 
 
 @F.pandas_udf(T.DoubleType())
