@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from checks.fixture import AS_OF
 from checks.oracle import oracle
 from earshot.functions.numbers import half_even, half_up, ratio
-from earshot.functions.order import asc
 from earshot.functions.times import ago, micros, partial_date, span_text
 from earshot.operators import metrics as M
 from earshot.operators.ordered import above, hour_sizes, neighbour

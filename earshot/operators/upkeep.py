@@ -199,7 +199,7 @@ def newer_editions(albums: DataFrame, remote: DataFrame, outdated: DataFrame) ->
         F.max_by("id", "position").alias("newer_album_id"), F.max_by("artist_name", "position").alias("artist_name")
     )
     saved = albums.filter(F.col("is_saved") & (F.length(year) > 0)).withColumn("year", year).select(*edition, F.col("id").alias("saved_album_id"))
-    found = saved.join(offered, edition)
+    found = lookup_join(saved, offered, edition, "inner")
     owned = albums.filter("is_saved").select("artist_id", "name", F.col("id").alias("newer_album_id"))
     found = found.join(owned, ["artist_id", "name", "newer_album_id"], "left_anti")
     reported = outdated.select("artist_id", F.col("album_name").alias("name"), "newer_album_id")
@@ -268,7 +268,7 @@ def fill_link_metadata(catalog: DataFrame, pending: DataFrame, metadata: DataFra
     """Metadata of rows whose link is known: found ones are filled and stamped on both
     columns, the others only noted as checked."""
     names = [c for c in LINK_COLUMNS if c in metadata.columns and c in catalog.columns and c != "matched_track_id"]
-    found = pending.select("import_id", "matched_track_id").join(metadata, "matched_track_id")
+    found = lookup_join(pending.select("import_id", "matched_track_id"), metadata, ["matched_track_id"], "inner")
     changes = {**_take(*names), **({"matched_at": as_ts(as_of)} if "matched_at" in catalog.columns else {})}
     filled = merge_rows(catalog, found, ["import_id"], changes, insert=False)
     return stamp(filled, "import_id", pending.select("import_id"), {"match_checked_at": as_ts(as_of)})
