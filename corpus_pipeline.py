@@ -1,25 +1,56 @@
-"""The corpus pipeline: stages from documents to packed batches."""
+"""The corpus pipeline: from documents to packed batches, in stages that are written and read again."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from earshot.llm.common import table
+from earshot.llm.decontaminate import without_leaks
 from earshot.llm.exact_dedup import keep_one
-from earshot.llm.queries import fresh_folder
+from earshot.llm.language import UNDETERMINED, with_language
+from earshot.llm.ngram_join import keep_one_per_component
+from earshot.llm.queries import fresh_folder, language_model, packed
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language. Rejected are those the operator calls undetermined: null texts and texts without
+    a letter."""
+    return with_language(docs, language_model(docs)).filter(f"lang_pred <> '{UNDETERMINED}'").select("doc.*")
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
     return keep_one(docs)
 
 
-STAGES = [("exact_dedup", exact)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of documents whose sets of five-word n-grams are 0.8 similar."""
+    return keep_one_per_component(docs, words=5, percent=80)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The batch of every document that is left."""
+    return packed(docs)
+
+
+STAGES = [
+    ("language", known_language),
+    ("exact_dedup", exact_copies),
+    ("near_dedup", near_copies),
+    ("decontaminate", decontaminated),
+    ("packing", batches),
+]
 
-ORACLE_SQL = None
+ORACLE_SQL = None  # kernel scores, edit distances and tokens cannot be written in SQL; see tests/llm/test_pipeline.py
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the last stage makes of `documents`; every stage is written as Parquet and read again by the next."""
+    """The packed batches of `documents`; every stage is written as Parquet and read again by the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = fresh_folder(spark, f"stage-{name}")

@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 BATCH_BYTES = 4 << 20
 
@@ -67,5 +68,5 @@ def map_texts(
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], *step(batch.column(width))], names=names)
 
     out = f"{head}, {schema}" if head else schema
-    names = [f.name for f in kept.schema.fields[:-1]] + [part.strip().split()[0] for part in schema.split(",")]
+    names = [f.name for f in kept.schema.fields[:-1]] + StructType.fromDDL(schema).names
     return kept.mapInArrow(run, out)

@@ -6,10 +6,12 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from earshot.llm import exact_dedup, token_counts, token_files
-from earshot.llm.common import table
+from earshot.llm import decontaminate, exact_dedup, language, main_text, ngram_join, packing, pii, quality, token_counts, token_files, word_encoder
+from earshot.llm.common import fold, table
 from earshot.session import shared_dir
+from earshot.sources.snapshots import settle
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
@@ -24,17 +26,81 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(token_files.read_token_files(spark, path))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Batches of `docs` by the number of ids that the token files hold of each."""
+    counted = word_encoder.token_lengths(docs, public_tokenizers.path("word_bpe_49k.json"), extra=1)
+    return packing.pack(settle(counted, "lengths"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = quality.fit_quality(docs, table(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0))
+    scored = quality.score_quality(docs, net, threshold=0.3)
+    return scored.select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(True)).alias("held_out"), "score", "predicted")
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_texts(table(spark, sf_dir, "pages"))
+
+
+def language_model(docs: DataFrame) -> language.LanguageModel | None:
+    return language.fit_language(docs.filter(fold("doc_id", 3) != 1))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    predicted = language.predict_language(docs, language_model(docs))
+    return predicted.select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(True)).alias("held_out"), "lang_pred", "score")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op5_exact_dedup, op10_token_counts)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_files, op2_ngram_join, op3_decontaminate, op4_packing, op5_exact_dedup, op6_quality, op7_pii, op8_main_text, op9_language, op10_token_counts,
+    )
+}
 
 ORACLE_SQL = {
+    "op2_ngram_join": r"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') AS w
+            FROM documents WHERE text IS NOT NULL),
+        words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM split),
+        runs AS (SELECT doc_id, word, lead(word, 1) OVER o AS second, lead(word, 2) OVER o AS third, count(*) OVER (PARTITION BY doc_id) AS size
+                 FROM words WHERE word <> '' WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+        g AS (SELECT doc_id, word || ' ' || second || ' ' || third AS gram FROM runs WHERE third IS NOT NULL
+              UNION SELECT doc_id, word || coalesce(' ' || second, '') FROM runs WHERE size = 1 OR (size = 2 AND second IS NOT NULL)),
+        n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared_n FROM g a JOIN g b USING (gram) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared_n >= 90 * (x.n + y.n - shared_n)),
+        reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other)
+        SELECT documents.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.other) AS component_id
+        FROM documents JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY documents.doc_id
+    """,
     "op5_exact_dedup": r"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
         r AS (SELECT *, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size, row_number() OVER w = 1 AS kept
