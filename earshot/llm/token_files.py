@@ -10,9 +10,7 @@ metadata never touches ids.
 
 from __future__ import annotations
 
-import os
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,42 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.llm.common import as_bytes, text_batches
+from earshot.llm.word_encoder import encoder
 
-CACHED_WORDS = 1_000_000
 
-
-class Encoder:
-    """Ids of texts as little-endian 32-bit integers.
-
-    by_word: the tokenizer drops white space, so the ids of a text are those of its words one after another
-    (cut at ASCII white space); each distinct word is then encoded once and remembered.
-    """
-
-    def __init__(self, path: str, by_word: bool):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.by_word, self.known = Tokenizer.from_file(path), by_word, {}
-
-    def _encode(self, texts: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        if not self.by_word:
-            return self._encode(texts)
-        words = [t.split() for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = list(set().union(*words) - self.known.keys())
-        self.known.update(zip(new, self._encode(new)))
-        return [b"".join(map(self.known.__getitem__, w)) for w in words]
-
-
-@lru_cache(maxsize=1)
-def encoder(path: str, by_word: bool) -> Encoder:
-    """One per Python worker, so that the tasks it runs share the words they met."""
-    return Encoder(path, by_word)
+def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """The same with `end_id` after each text."""
+    if end_id is None:
+        return ids, sizes
+    return np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
 
 
 def write_token_files(
@@ -75,7 +45,7 @@ def write_token_files(
 ) -> None:
     """Encode every whole text and write the files to a new folder.
 
-    A null or empty text has no ids but `end_id` (None: none at all). Rows with a null key come first; rows of
+    by_word: the tokenizer may be applied as `WordEncoder` says. A null or empty text has no ids but `end_id` (None: none at all). Rows with a null key come first; rows of
     one key are ordered by a hash of the text and then as met, so repeated rows all stay and even a key that
     holds a third of all rows is spread over files. `meta` columns go into the struct `meta`, so their names
     cannot clash. An empty table gives files without rows.
@@ -87,17 +57,14 @@ def write_token_files(
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text", "meta")
     key = rows.schema["doc_id"].dataType.simpleString()
     about = rows.schema["meta"].dataType.simpleString()
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         encode, shard, at = encoder(tokenizer, by_word), TaskContext.get().partitionId(), 0
         for batch in text_batches(batches, 1):
-            ids = [i + end for i in encode(as_bytes(batch.column(1)))]
-            sizes = np.array([len(i) // 4 for i in ids], np.int64)
+            ids, sizes = with_end(*encode.ids(as_bytes(batch.column(1))), end_id)
             ends = np.cumsum(sizes)
-            values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
-            tokens = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), values)
-            shards = pa.array(np.full(len(ids), shard), pa.int32())
+            tokens = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(ids, pa.int32()))
+            shards = pa.array(np.full(len(sizes), shard), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), shards, pa.array(ends - sizes + at, pa.int64()), pa.array(sizes, pa.int64()), tokens, batch.column(2)],
                 names=["doc_id", "shard", "shard_start", "n_tokens", "tokens", "meta"],
