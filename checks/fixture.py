@@ -65,7 +65,7 @@ BODIES: dict[str, str] = {
                s_acctbal > 1500 AS is_saved,
                TIMESTAMP '2000-01-01 00:00:00' + INTERVAL '1' DAY * s_nationkey AS added_at,
                CASE r_name WHEN 'EUROPE' THEN false WHEN 'MIDDLE EAST' THEN NULL ELSE true END AS tracks_synced,
-               CASE n_regionkey WHEN 0 THEN 'album' WHEN 1 THEN 'single' WHEN 2 THEN 'compilation' WHEN 3 THEN 'album' END AS album_type,
+               CASE n_regionkey WHEN 0 THEN 'album' WHEN 1 THEN 'single' WHEN 2 THEN (CASE WHEN s_acctbal <= 7000 THEN 'compilation' END) WHEN 3 THEN 'album' END AS album_type,
                CASE WHEN s_acctbal > 3000 THEN 'http://img/al' || CAST(sk AS STRING) END AS album_image_url,
                CASE WHEN s_acctbal > 6000 THEN TIMESTAMP '2023-12-01 00:00:00' + INTERVAL '1' DAY * s_nationkey END AS tracks_checked_at
         FROM {label}""",
@@ -127,7 +127,7 @@ BODIES: dict[str, str] = {
         SELECT 'list_' || CAST(c_custkey AS STRING) AS slug, 'List ' || CAST(c_custkey AS STRING) AS name,
                'http://host/playlist/P' || CAST(c_custkey AS STRING) || '?si=1' AS playlist_id,
                CAST(NULL AS TIMESTAMP) AS last_synced_at, 'active' AS status, 0 AS track_count, c_mktsegment AS rules,
-               c_mktsegment IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD') AS is_dynamic,
+               c_mktsegment IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD', 'FURNITURE') AS is_dynamic,
                'S' || CAST(c_nationkey AS STRING) AS snapshot_id, CAST(NULL AS STRING) AS last_synced_hash,
                c_acctbal < 0 AS pending_delete,
                CASE WHEN c_acctbal < 0 THEN c_nationkey + 1 WHEN c_nationkey = 3 THEN NULL ELSE 0 END AS missing_count,
@@ -141,7 +141,8 @@ BODIES: dict[str, str] = {
     "import_catalog": """
         SELECT pk AS import_id,
                upper(p_name) || CASE p_type WHEN 'ECONOMY' THEN ' (2011 Remaster)' WHEN 'STANDARD' THEN ' - Live' WHEN 'MEDIUM' THEN ' Acoustic'
-                                            WHEN 'SMALL' THEN ' (Deluxe Edition)' ELSE '' END AS name,
+                                            WHEN 'SMALL' THEN ' (Deluxe Edition)' ELSE '' END
+               || CASE WHEN p_size = 7 THEN ' Άλφα Йод Ｗｉｄｅ ﬁn' ELSE '' END AS name,
                CASE WHEN p_size <> 44 THEN p_brand END AS artist_name,
                CASE WHEN p_size <> 45 THEN album_name || CASE WHEN p_size > 30 THEN ' (Deluxe)' ELSE '' END END AS album_name,
                CASE WHEN p_size <> 46 THEN dur + (p_size - 25) * 900 END AS duration_ms,
@@ -184,10 +185,11 @@ BODIES.update({
         UNION ALL SELECT 'N' || ks, true, TIMESTAMP '2024-01-31 00:00:00' FROM {song} WHERE p_type = 'PROMO'""",
     "remote_albums": """
         SELECT 'AR' || s_name AS artist_id, s_name AS artist_name, e.prefix || CAST(sk AS STRING) AS id, 'Album ' || n_name AS name,
-               CASE n_regionkey WHEN 0 THEN 'album' WHEN 1 THEN 'single' WHEN 2 THEN 'compilation' WHEN 3 THEN 'album' END AS album_type,
+               CASE n_regionkey WHEN 0 THEN 'album' WHEN 1 THEN 'single' WHEN 2 THEN (CASE WHEN s_acctbal <= 7000 THEN 'compilation' END) WHEN 3 THEN 'album' END AS album_type,
                CASE r_name WHEN 'AFRICA' THEN '1994' WHEN 'AMERICA' THEN '1995' WHEN 'ASIA' THEN '1993' WHEN 'EUROPE' THEN '2001' END || '-12-31' AS release_date,
                e.seq AS position
         FROM {label} JOIN (SELECT 'AL' AS prefix, 1 AS seq, 1500 AS floor_bal UNION ALL SELECT 'ALR', 2, 4000 UNION ALL SELECT 'ALS', 3, 9000) e ON s_acctbal > e.floor_bal""",
+    "reported_albums": "SELECT artist_id, artist_name, name AS album_name, 'AL' || substr(id, 4) AS saved_album_id, id AS newer_album_id FROM {remote_albums} WHERE position = 2",
     "history_meta": """
         SELECT 'T' || ks AS track_id, CASE WHEN p_size <> 2 THEN 'AR' || p_brand END AS artist_id, album_id, album_type, CASE WHEN p_size <> 3 THEN dur END AS duration_ms
         FROM {song} WHERE p_type <> 'LARGE'""",

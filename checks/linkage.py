@@ -20,7 +20,8 @@ def add(name, fn, sql=None):
 
 
 def title_sql(x):
-    return f"trim(regexp_replace(lower({x}), ' \\(2011 remaster\\)| - live| \\(deluxe edition\\)', ''))"
+    folded = f"replace(lower({x}), 'άλφα йод ｗｉｄｅ ﬁn', 'αλφα иод wide fin')"
+    return f"trim(regexp_replace({folded}, ' \\(2011 remaster\\)| - live| \\(deluxe edition\\)', ''))"
 
 
 def album_sql(x):
@@ -38,19 +39,17 @@ def results(c):
 
 ASKED = f"(SELECT import_id, {title_sql('name')} AS title_key, lower(artist_name) AS artist_key, {album_sql('album_name')} AS album_key, duration_ms FROM {{import_catalog}})"
 OFFERED = "(SELECT id, name, artist, artist_id, album_id, album_name, album_type, duration_ms, lower(name) AS found_key, lower(artist) AS artist_key, lower(album_name) AS found_album FROM {catalog})"
-SHARE = """len(list_intersect(string_split(a.title_key, ' '), string_split(o.found_key, ' '))) /
-    len(list_distinct(list_concat(string_split(a.title_key, ' '), string_split(o.found_key, ' '))))"""
-RESULTS = f"""(SELECT a.artist_key, a.title_key, a.album_key, o.*, {SHARE} AS overlap,
-        row_number() OVER (PARTITION BY a.artist_key, a.title_key, a.album_key ORDER BY {SHARE} DESC, (a.album_key = o.found_album AND a.album_key <> '') DESC, o.id) AS position
-    FROM (SELECT DISTINCT artist_key, title_key, album_key FROM {ASKED}) a JOIN (SELECT * EXCLUDE (artist_key), artist_key AS ak FROM {OFFERED}) o ON o.ak = a.artist_key AND {SHARE} >= 0.6 - 1e-9
-    QUALIFY position <= 10)"""
-
-
 def sim_sql(a, b):
     return f"CASE WHEN length({a}) > 0 AND length({b}) > 0 THEN 1 - levenshtein({a}, {b}) / greatest(length({a}), length({b})) ELSE 0.0 END"
 
 
-SCORED = f"""(SELECT s.import_id, r.*, abs(r.duration_ms - s.duration_ms) AS gap, {sim_sql('r.title_key', 'r.found_key')} AS title_sim, {sim_sql('r.album_key', 'r.found_album')} AS album_sim
+RESULTS = f"""(SELECT * EXCLUDE (same), row_number() OVER (PARTITION BY artist_key, title_key, album_key ORDER BY title_sim DESC, same DESC, id) AS position
+    FROM (SELECT a.artist_key, a.title_key, a.album_key, o.*, {sim_sql('a.title_key', 'o.found_key')} AS title_sim, a.album_key = o.found_album AND a.album_key <> '' AS same
+          FROM (SELECT DISTINCT artist_key, title_key, album_key FROM {ASKED}) a JOIN (SELECT * EXCLUDE (artist_key), artist_key AS ak FROM {OFFERED}) o ON o.ak = a.artist_key)
+    WHERE title_sim >= 0.7 QUALIFY position <= 10)"""
+
+
+SCORED = f"""(SELECT s.import_id, r.*, abs(r.duration_ms - s.duration_ms) AS gap, {sim_sql('r.album_key', 'r.found_album')} AS album_sim
     FROM {ASKED} s JOIN {RESULTS} r ON r.artist_key = s.artist_key AND r.title_key = s.title_key AND r.album_key = s.album_key)"""
 DSCORE = "CASE WHEN {g} IS NULL OR {g} >= 20000 THEN 0.0 WHEN {g} <= 5000 THEN 1.0 ELSE 1.0 - ({g} - 5000) / 15000.0 END"
 GATED = f"""(SELECT *, round(CAST(title_sim * 0.75 + album_sim * 0.2 + ({DSCORE.format(g='gap')}) * 0.05 AS DOUBLE), 9) AS score FROM {SCORED}
@@ -64,31 +63,34 @@ BEST = f"(SELECT * FROM {GATED} QUALIFY row_number() OVER (PARTITION BY import_i
 def edit_scored(c):
     source, _ = keyed(c)
     wanted = source.select("import_id", "duration_ms", *L.QUERY)
-    return L.scored(wanted, results(c), L.edit_share)
+    return L.scored(wanted, results(c))
 
 
 add("norm_title", lambda c: c.kept("import_catalog").select("import_id", norm_title(F.col("name")).alias("title")), f"SELECT import_id, {title_sql('name')} AS title FROM {{import_catalog}}")
 add("norm_album", lambda c: c.kept("import_catalog").select("import_id", norm_album(F.col("album_name")).alias("album")), f"SELECT import_id, {album_sql('album_name')} AS album FROM {{import_catalog}}")
-add("link_candidates", lambda c: results(c).select(*L.QUERY, "id", F.round("overlap", 9).alias("overlap"), F.col("position").cast("bigint").alias("position")),
-    f"SELECT artist_key, title_key, album_key, id, round(CAST(overlap AS DOUBLE), 9) AS overlap, position FROM {RESULTS}")
+add("link_candidates", lambda c: results(c).select(*L.QUERY, "id", F.round("title_sim", 9).alias("title_sim"), F.col("position").cast("bigint").alias("position")),
+    f"SELECT artist_key, title_key, album_key, id, round(CAST(title_sim AS DOUBLE), 9) AS title_sim, position FROM {RESULTS}")
 add("text_similarity", lambda c: results(c).select("title_key", "found_key", "album_key", "found_album").distinct().select(
         "title_key", "found_key", "album_key", "found_album", F.round(L.edit_share(F.col("title_key"), F.col("found_key")), 9).alias("title_sim"),
         F.round(L.edit_share(F.col("album_key"), F.col("found_album")), 9).alias("album_sim")),
     f"""SELECT DISTINCT title_key, found_key, album_key, found_album, round(CAST({sim_sql('title_key', 'found_key')} AS DOUBLE), 9) AS title_sim,
         round(CAST({sim_sql('album_key', 'found_album')} AS DOUBLE), 9) AS album_sim FROM {RESULTS}""")
-add("text_similarity_blocks", lambda c: results(c).select("title_key", "found_key").distinct().withColumn("title_sim", L.matching_blocks("title_key", "found_key")))
 add("duration_score", lambda c: c.kept("import_catalog").join(c.kept("catalog").select(F.substring("id", 2, 20).cast("bigint").alias("import_id"), F.col("duration_ms").alias("ms")), "import_id").select(
         "import_id", F.round(L.duration_score(F.abs(F.col("duration_ms") - F.col("ms"))), 9).alias("score")),
     f"SELECT import_id, round(CAST({DSCORE.format(g='g')} AS DOUBLE), 9) AS score FROM (SELECT import_id, abs(i.duration_ms - k.duration_ms) AS g FROM {{import_catalog}} i JOIN {{catalog}} k ON k.id = 'T' || CAST(import_id AS VARCHAR))")
 add("link_gates", lambda c: edit_scored(c).select("import_id", "id", F.round("score", 9).alias("score")), f"SELECT import_id, id, score FROM {GATED}")
 add("link_best_edit", lambda c: L.best(edit_scored(c).withColumn("score", F.round("score", 9))).select("import_id", "id", "score"), f"SELECT import_id, id, score FROM {BEST}")
-add("link_best", lambda c: L.link(c.kept("import_catalog").filter("artist_name IS NOT NULL"), c.kept("catalog")))
+ROUNDED = ("score", "title_sim", "album_sim")
+add("link_best", lambda c: L.link(c.kept("import_catalog").filter("artist_name IS NOT NULL"), c.kept("catalog")).withColumns({x: F.round(x, 9) for x in ROUNDED}),
+    f"""SELECT import_id, id AS matched_track_id, name AS matched_name, artist_id AS matched_artist_id, duration_ms AS matched_duration_ms, artist AS matched_artist_name,
+        album_id AS matched_album_id, album_name AS matched_album_name, album_type AS matched_album_type,
+        {', '.join(f'round(CAST({x} AS DOUBLE), 9) AS {x}' for x in ROUNDED)} FROM {BEST_EXACT}""")
 
 
 def _link_catalog(c):
     stored = c.kept("import_catalog")
     todo = T.link_worklist(stored)
-    links = L.link(todo, c.kept("catalog"), L.edit_share)
+    links = L.link(todo, c.kept("catalog"))
     return X.merge_links(stored, links, todo, c.as_of).select("import_id", "matched_track_id", "matched_name", "match_checked_at")
 
 

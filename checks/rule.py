@@ -58,7 +58,7 @@ rule("rule_played_in_last", any_of(cond("last_played_in_last", 3, "eq", "weeks")
 rule("rule_played_since", all_of(cond("last_played", "2001-07-01"), cond("first_played", "1995-02-01")),
      "last_played_at >= TIMESTAMP '2001-07-01' AND first_played_at >= TIMESTAMP '1995-02-01'")
 rule("rule_flags", all_of(cond("is_liked", False), cond("is_playable", "false")), "NOT is_liked AND NOT is_playable", guard="NOT excluded")
-rule("rule_text", any_of(cond("artist", "brand#_5"), cond("album", "nation_1%"), cond("track", "GEAR")),
+rule("rule_text", any_of(cond("artist", "brand#_5"), cond("album", "nation_1%"), cond("track", "GE\\AR")),
      "lower(artist) LIKE '%brand#_5%' OR lower(album_name) LIKE '%nation_1%%' OR lower(track_name) LIKE '%gear%'")
 rule("rule_source", all_of(cond("track_source", "non_library", "eq"), cond("track_source", "both", "is_not")), "track_source = 'non_library'")
 rule("rule_origin", any_of(cond("library_origin", "liked_only", "eq"), all_of(cond("library_origin", "album", "is_not"), cond("min_plays", 20))),
@@ -71,6 +71,9 @@ rule("rule_guards", any_of(cond("min_plays", 50), cond("is_liked", True)), "play
 rule("rule_sort", {**all_of(cond("min_plays", 1)), "sort": [{"by": "artist", "direction": "asc"}, {"by": "last_played", "direction": "desc"}, {"by": "album", "direction": "sideways"},
                                                            {"by": "track", "direction": "asc"}]},
      "play_count >= 1", order="artist ASC NULLS LAST, last_played_at DESC NULLS FIRST, track_name ASC NULLS LAST, track_id")
+rule("rule_sort_fact", {**all_of(cond("min_plays", 1)), "sort": [{"by": "skip_play_count", "direction": "desc"}]}, "play_count >= 1",
+     order="skip_play_count DESC NULLS FIRST, track_id")
+rule("rule_limit_long", all_of(cond("max_plays", 10_000)), "play_count <= 10000", limit=12_000)
 rule("rule_limit", all_of(cond("track_source", "library", "eq")), "track_source = 'library'", limit=100)
 add("rule_uri", lambda c: select_by_rule(c.ut, all_of(cond("min_plays", 25)), c.as_of).select(uri().alias("uri")),
     f"SELECT 'spotify:track:' || track_id AS uri FROM {{ut}} WHERE play_count >= 25 AND is_playable AND NOT excluded ORDER BY {PLAYS_FIRST} LIMIT 100")
@@ -80,7 +83,7 @@ DOCUMENTS = {
     "BUILDING": {**all_of(cond("min_plays", 30)), "limit": 150},
     "MACHINERY": {**any_of(cond("is_liked", True), cond("track_source", "non_library", "eq")), "sort": [{"by": "added", "direction": "asc"}], "limit": 120},
     "HOUSEHOLD": {**all_of(cond("artist", "Brand#1"), cond("max_plays", 0)), "limit": 50},
-    "FURNITURE": {},
+    "FURNITURE": [],
     "AUTOMOBILE": {"limit": 7},
 }
 MEMBERS = f"""(SELECT 'BUILDING' AS segment, row_number() OVER (ORDER BY {PLAYS_FIRST}) AS pos, track_id FROM {{ut}} WHERE is_playable AND NOT excluded AND play_count >= 30 ORDER BY pos LIMIT 150)
@@ -113,11 +116,11 @@ add("playlist_members", lambda c: L.all_playlists(c.ut, lists(c), c.as_of).group
 HASHES = f"SELECT p.slug, sha256(string_agg('spotify:track:' || track_id, ',' ORDER BY pos)) AS new_hash, CAST(count(*) AS INT) AS new_count FROM {{playlist_mappings}} p JOIN ({MEMBERS}) m ON m.segment = p.rules GROUP BY p.slug"
 add("tracklist_hash", lambda c: L.tracklist_hashes(L.all_playlists(c.ut, lists(c), c.as_of), "slug"), HASHES)
 add("change_gate", lambda c: L.change_gate(c.ut, stored(c), c.as_of).select("slug", "last_synced_at", "track_count", "last_synced_hash", "outcome"),
-    f"""SELECT slug, CASE WHEN is_dynamic THEN {NOW} END AS last_synced_at,
-            CASE WHEN is_dynamic AND old_hash IS DISTINCT FROM new_hash THEN new_count ELSE track_count END AS track_count,
-            CASE WHEN is_dynamic AND old_hash IS DISTINCT FROM new_hash AND new_count > 0 THEN new_hash ELSE old_hash END AS last_synced_hash,
-            CASE WHEN is_dynamic THEN CASE WHEN old_hash IS NOT DISTINCT FROM new_hash THEN 'unchanged' WHEN new_count = 0 THEN 'emptied' ELSE 'changed' END END AS outcome
-        FROM (SELECT p.slug, p.is_dynamic, p.track_count, coalesce(h.new_hash, sha256('')) AS new_hash, coalesce(h.new_count, 0) AS new_count,
+    f"""SELECT slug, CASE WHEN ran THEN {NOW} END AS last_synced_at,
+            CASE WHEN ran AND old_hash IS DISTINCT FROM new_hash THEN new_count ELSE track_count END AS track_count,
+            CASE WHEN ran AND old_hash IS DISTINCT FROM new_hash AND new_count > 0 THEN new_hash ELSE old_hash END AS last_synced_hash,
+            CASE WHEN ran THEN CASE WHEN old_hash IS NOT DISTINCT FROM new_hash THEN 'unchanged' WHEN new_count = 0 THEN 'emptied' ELSE 'changed' END END AS outcome
+        FROM (SELECT p.slug, p.is_dynamic AND p.rules <> 'FURNITURE' AS ran, p.track_count, coalesce(h.new_hash, sha256('')) AS new_hash, coalesce(h.new_count, 0) AS new_count,
                      CASE WHEN p.snapshot_id IN ('S0', 'S2', 'S4', 'S6', 'S8') THEN h.new_hash WHEN p.snapshot_id = 'S1' THEN 'old' END AS old_hash
               FROM {{playlist_mappings}} p LEFT JOIN ({HASHES}) h ON h.slug = p.slug) s""")
 
@@ -137,8 +140,10 @@ add("ignore_missing", lambda c: L.ignore_missing(c.t["playlist_mappings"], c.t["
        CASE WHEN missing_count > 10 THEN NULL ELSE last_missing_at END AS last_missing_at, CASE WHEN missing_count > 10 THEN NULL ELSE last_missing_reason END AS last_missing_reason
        FROM {playlist_mappings}""")
 add("delete_candidates", lambda c: L.delete_candidates(c.t["playlist_mappings"]),
-    """SELECT count(*) AS flagged, string_agg(slug || '(misses=' || coalesce(CAST(missing_count AS VARCHAR), 'None') || ')', ', ' ORDER BY last_missing_at DESC NULLS LAST, slug) AS summary
-       FROM {playlist_mappings} WHERE pending_delete""")
+    """SELECT CAST((place - 1) // 1000 AS INT) AS line, count(*) AS flagged, string_agg(slug || '(misses=' || coalesce(CAST(missing_count AS VARCHAR), 'None') || ')', ', ' ORDER BY place) AS summary
+       FROM (SELECT *, row_number() OVER (ORDER BY last_missing_at DESC NULLS LAST, slug) AS place FROM {playlist_mappings} WHERE pending_delete) GROUP BY ALL""")
+add("rule_problems", lambda c: L.run_rules(c.ut, lists(c), c.as_of).problems.select("rule", "fatal").distinct(),
+    "SELECT DISTINCT CASE rules WHEN 'FURNITURE' THEN '[]' END AS rule, true AS fatal FROM {playlist_mappings} WHERE rules = 'FURNITURE' AND is_dynamic")
 add("slugify", lambda c: c.t["playlist_mappings"].select("name", slug(F.col("name")).alias("slug")), "SELECT name, replace(lower(name), ' ', '_') AS slug FROM {playlist_mappings}")
 add("url_tail", lambda c: c.t["pages"].select("page_id", url_tail(F.col("url")).alias("tail")).unionByName(
         c.t["playlist_mappings"].select(F.lit(None).cast("bigint").alias("page_id"), url_tail(F.col("playlist_id")).alias("tail"))),

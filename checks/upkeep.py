@@ -153,18 +153,17 @@ add("replace_exclusions", lambda c: X.replace_exclusions(c.kept("excluded_tracks
 NEWER = """SELECT DISTINCT a.artist_id, r.artist_name, a.name AS album_name, a.id AS saved_album_id, r.id AS newer_album_id
     FROM {albums} a JOIN (SELECT *, left(release_date, 4) AS y FROM {remote_albums} WHERE release_date IS NOT NULL
          QUALIFY row_number() OVER (PARTITION BY artist_id, name, album_type, y ORDER BY position DESC) = 1) r
-      ON r.artist_id = a.artist_id AND r.name = a.name AND r.album_type = a.album_type AND r.y = left(a.release_date, 4)
+      ON r.artist_id = a.artist_id AND r.name = a.name AND r.album_type IS NOT DISTINCT FROM a.album_type AND r.y = left(a.release_date, 4)
     WHERE a.is_saved AND NOT EXISTS (SELECT 1 FROM {albums} b WHERE b.is_saved AND b.artist_id = a.artist_id AND b.name = a.name AND b.id = r.id)
       AND NOT EXISTS (SELECT 1 FROM {outdated_albums} o WHERE o.artist_id = a.artist_id AND o.album_name = a.name AND o.newer_album_id = r.id)"""
 add("outdated_albums", lambda c: X.newer_editions(c.kept("albums"), c.t["remote_albums"], c.kept("outdated_albums")), NEWER)
 SOLVED = "EXISTS (SELECT 1 FROM {albums} a WHERE a.is_saved AND a.artist_id = o.artist_id AND a.name = o.album_name AND a.id = o.newer_album_id)"
 add("outdated_resolved", lambda c: X.drop_resolved(c.kept("albums"), c.kept("outdated_albums")), f"SELECT * FROM {{outdated_albums}} o WHERE NOT {SOLVED}")
-add("merge_outdated", lambda c: X.merge_outdated(c.kept("outdated_albums"), c.t["remote_albums"].filter("position = 2").select(
-        "artist_id", "artist_name", F.col("name").alias("album_name"), F.concat(F.lit("AL"), F.substring("id", 4, 20)).alias("saved_album_id"), F.col("id").alias("newer_album_id")), c.as_of),
-    f"""SELECT coalesce(t.artist_id, s.artist_id) AS artist_id, coalesce(t.artist_name, s.artist_name) AS artist_name, coalesce(t.album_name, s.name) AS album_name,
-        coalesce(t.saved_album_id, 'AL' || s.id[4:]) AS saved_album_id, coalesce(t.newer_album_id, s.id) AS newer_album_id,
-        CASE WHEN t.saved_album_id IS NULL THEN {NOW} ELSE first_detected_at END AS first_detected_at, CASE WHEN s.id IS NULL THEN last_checked_at ELSE {NOW} END AS last_checked_at
-        FROM {{outdated_albums}} t FULL JOIN (SELECT * FROM {{remote_albums}} WHERE position = 2) s ON t.saved_album_id = 'AL' || s.id[4:] AND t.newer_album_id = s.id""")
+add("merge_outdated", lambda c: X.merge_outdated(c.kept("outdated_albums"), c.t["reported_albums"], c.as_of),
+    f"""SELECT coalesce(t.artist_id, s.artist_id) AS artist_id, coalesce(t.artist_name, s.artist_name) AS artist_name, coalesce(t.album_name, s.album_name) AS album_name,
+        coalesce(t.saved_album_id, s.saved_album_id) AS saved_album_id, coalesce(t.newer_album_id, s.newer_album_id) AS newer_album_id,
+        CASE WHEN t.saved_album_id IS NULL THEN {NOW} ELSE first_detected_at END AS first_detected_at, CASE WHEN s.newer_album_id IS NULL THEN last_checked_at ELSE {NOW} END AS last_checked_at
+        FROM {{outdated_albums}} t FULL JOIN {{reported_albums}} s ON t.saved_album_id = s.saved_album_id AND t.newer_album_id = s.newer_album_id""")
 add("stale_artists", lambda c: T.edition_worklist(c.kept("artists"), c.kept("outdated_albums")),
     """SELECT id, name FROM {artists} WHERE id IN (SELECT artist_id FROM {outdated_albums})
        UNION (SELECT id, name FROM {artists} ORDER BY coalesce(last_album_checked_at, TIMESTAMP '2000-01-01'), id LIMIT 30)""")

@@ -3,8 +3,8 @@
 A search (what would be ten results of a catalogue query) and a score over its results.
 The search is by distinct query text, not by row, and never pairs up a whole group:
 
-* titles meet through their rarest words only (prefix filter), which finds every pair of
-  titles with the asked word overlap;
+* titles meet through their rarest letter pairs only, and only titles of fitting length,
+  which finds every pair of titles the similarity gate lets through;
 * the ten best of a title are found once, whatever the album; a query adds the first ten
   on its own album, and the two together contain its ten best.
 """
@@ -12,13 +12,11 @@ The search is by distinct query text, not by row, and never pairs up a whole gro
 from __future__ import annotations
 
 from dataclasses import dataclass
-from difflib import SequenceMatcher
+from math import log
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from earshot.functions.order import asc
 from earshot.functions.text import fold_accents, norm_album, norm_title
@@ -36,7 +34,6 @@ class Tuning:
     title_weight: float = 0.75
     album_weight: float = 0.20
     duration_weight: float = 0.05
-    word_overlap: float = 0.6  # of two titles' words, as a share of their union
     results: int = 10  # results of one search
 
 
@@ -45,50 +42,58 @@ def with_keys(rows: DataFrame, title: str, artist: str, album: str) -> DataFrame
     return rows.withColumns({"title_key": norm_title(F.col(title)), "artist_key": artist_key, "album_key": norm_album(F.col(album))})
 
 
-def _words(title: Column) -> Column:
-    return F.array_distinct(F.filter(F.split(title, r"(?U)\W+"), lambda w: w != ""))
+def edit_share(a: Column, b: Column) -> Column:
+    """1 - edit distance / longer length; 0 if a text is empty."""
+    longer = F.greatest(F.length(a), F.length(b))
+    return F.when((F.length(a) > 0) & (F.length(b) > 0), 1 - F.levenshtein(a, b) / longer).otherwise(F.lit(0.0))
 
 
-def similar_titles(asked: DataFrame, offered: DataFrame, overlap: float) -> DataFrame:
-    """(artist_key, title_key, found_key, overlap) of all title pairs of one artist that are
-    equal or share `overlap` of their words. Both sides are distinct (artist, title)."""
-    equal = asked.join(offered, ["artist_key", "title_key"]).select(
-        "artist_key", "title_key", F.col("title_key").alias("found_key"), F.lit(1.0).alias("overlap")
-    )
-    common = offered.select("artist_key", F.explode(_words(F.col("title_key"))).alias("word")).groupBy("artist_key", "word").agg(F.count(F.lit(1)).alias("n"))
-    left = _prefixes(asked, common, overlap)
-    right = _prefixes(offered, common, overlap).withColumnsRenamed({"title_key": "found_key", "words": "found_words"})
-    sizes = (F.size("words") >= F.size("found_words") * overlap - 1e-9) & (F.size("found_words") >= F.size("words") * overlap - 1e-9)
-    met = lookup_join(left, right, ["artist_key", "word"], "inner").filter(sizes & (F.col("title_key") != F.col("found_key")))
-    share = F.size(F.array_intersect("words", "found_words")) / F.size(F.array_union("words", "found_words"))
-    near = met.withColumn("overlap", share).filter(F.col("overlap") >= overlap - 1e-9)
-    return equal.unionByName(near.select("artist_key", "title_key", "found_key", "overlap").distinct())
-
-
-def _prefixes(titles: DataFrame, common: DataFrame, overlap: float) -> DataFrame:
-    """One row per (title, rare word): of n words the n - ceil(overlap * n) + 1 rarest, in an
-    order both sides share. Two titles with the asked overlap have one of these in common."""
-    words = titles.select("artist_key", "title_key", F.explode(_words(F.col("title_key"))).alias("word"))
-    counted = lookup_join(words, common, ["artist_key", "word"])
+def similar_titles(asked: DataFrame, offered: DataFrame, least: float) -> DataFrame:
+    """(artist_key, title_key, found_key, title_sim) of all title pairs of one artist with
+    at least the similarity `least`. Both sides are distinct (artist, title).
+
+    An edit changes at most two letter pairs of a title (with its ends marked), and the
+    longer of two similar titles has at most length / least letters. So of the letter
+    pairs of either title, in an order both sides share, all but 2k + 1 can be left out,
+    k the edits allowed; and lengths differ by one band at most.
+    """
+    common = offered.select("artist_key", F.explode(_pairs(F.col("title_key"))).alias("gram")).groupBy("artist_key", "gram").agg(F.count(F.lit(1)).alias("n"))
+    left = _rarest(asked, common, least).withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    right = _rarest(offered, common, least).withColumnRenamed("title_key", "found_key")
+    met = lookup_join(left, right, ["artist_key", "band", "gram"], "inner").select("artist_key", "title_key", "found_key").distinct()
+    return met.withColumn("title_sim", edit_share(F.col("title_key"), F.col("found_key"))).filter(F.col("title_sim") >= least)
+
+
+def _pairs(title: Column) -> Column:
+    """The distinct letter pairs of a title, its beginning and end marked."""
+    marked = F.concat(F.lit("\x02"), title, F.lit("\x03"))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(title) + 1), lambda i: F.substring(marked, i, 2)))
+
+
+def _rarest(titles: DataFrame, common: DataFrame, least: float) -> DataFrame:
+    """One row per (title, rare letter pair), with the title's band of length."""
+    size = F.length("title_key")
+    grams = titles.filter(size > 0).select("artist_key", "title_key", F.explode(_pairs(F.col("title_key"))).alias("gram"))
+    counted = lookup_join(grams, common, ["artist_key", "gram"])
     ranked = counted.groupBy("artist_key", "title_key").agg(
-        F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word"))).alias("ws")  # the words of one title
+        F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))).alias("gs")  # the letter pairs of one title
     )
-    n = F.size("ws")
-    keep = (n - F.ceil(n * overlap - 1e-9) + 1).cast("int")
-    rare = F.transform(F.slice("ws", F.lit(1), keep), lambda w: w["word"])
-    return ranked.select("artist_key", "title_key", F.transform("ws", lambda w: w["word"]).alias("words"), F.explode(rare).alias("word"))
+    edits = F.floor(F.floor(size / least + 1e-9) * (1 - least) + 1e-9)
+    keep = F.slice("gs", F.lit(1), (2 * edits + 1).cast("int"))
+    band = F.floor(F.log(size) / (-log(least) * (1 + 1e-9))).cast("int").alias("band")
+    return ranked.select("artist_key", "title_key", band, F.explode(F.transform(keep, lambda g: g["gram"])).alias("gram"))
 
 
 def search(queries: DataFrame, catalogue: DataFrame, tuning: Tuning = Tuning()) -> DataFrame:
     """The best results per distinct query (artist, title, album), with their position:
-    by word overlap, then same album, then id. `catalogue` has keys (see `with_keys`).
+    by similarity of title, then same album, then id. `catalogue` has keys (see `with_keys`).
 
     A result off the query's album is among the best of its (artist, title) whatever the
     album, because a preferred album only moves other tracks ahead of it. So the best are
     found once per title, and each query adds the first tracks on its own album.
     """
     asked = queries.select(*QUERY).distinct()
-    pairs = similar_titles(asked.select("artist_key", "title_key").distinct(), catalogue.select("artist_key", "title_key").distinct(), tuning.word_overlap)
+    pairs = similar_titles(asked.select("artist_key", "title_key").distinct(), catalogue.select("artist_key", "title_key").distinct(), tuning.title_min)
     found = catalogue.select("artist_key", F.col("title_key").alias("found_key"), F.col("album_key").alias("found_album"),
                              *[c for c in catalogue.columns if c not in QUERY])
 
@@ -98,35 +103,14 @@ def search(queries: DataFrame, catalogue: DataFrame, tuning: Tuning = Tuning())
 
     firsts = first(found, ["artist_key", "found_key"], asc("id")).drop("position")
     by_title = lookup_join(pairs, firsts, ["artist_key", "found_key"], "inner")
-    by_title = first(by_title, ["artist_key", "title_key"], F.desc("overlap"), asc("id")).drop("position")
+    by_title = first(by_title, ["artist_key", "title_key"], F.desc("title_sim"), asc("id")).drop("position")
     overall = lookup_join(asked, by_title, ["artist_key", "title_key"], "inner")
     on_album = first(found.filter(F.col("found_album") != ""), ["artist_key", "found_key", "found_album"], asc("id")).drop("position")
     matched = lookup_join(asked.filter(F.col("album_key") != ""), pairs, ["artist_key", "title_key"], "inner")
     same_album = lookup_join(matched, on_album.withColumn("album_key", F.col("found_album")), ["artist_key", "found_key", "album_key"], "inner")
     results = overall.unionByName(same_album.select(*overall.columns)).dropDuplicates([*QUERY, "id"])
     same = (F.col("album_key") == F.col("found_album")) & (F.col("album_key") != "")
-    return first(results, QUERY, F.desc("overlap"), F.desc(same), asc("id"))
-
-
-@F.pandas_udf(T.DoubleType())
-def matching_blocks(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Share of characters in matching blocks, over whole texts."""
-    known: dict[tuple[str, str], float] = {}  # of this batch
-
-    def ratio(x, y):
-        if not x or not y:
-            return 0.0
-        if (x, y) not in known:
-            known[x, y] = 1.0 if x == y else SequenceMatcher(a=x, b=y).ratio()
-        return known[x, y]
-
-    return pd.Series([ratio(x, y) for x, y in zip(a, b)], dtype="float64")
-
-
-def edit_share(a: Column, b: Column) -> Column:
-    """1 - edit distance / longer length; the similarity that needs no Python."""
-    longer = F.greatest(F.length(a), F.length(b))
-    return F.when((F.length(a) > 0) & (F.length(b) > 0), 1 - F.levenshtein(a, b) / longer).otherwise(F.lit(0.0))
+    return first(results, QUERY, F.desc("title_sim"), F.desc(same), asc("id"))
 
 
 def duration_score(gap: Column, tuning: Tuning = Tuning()) -> Column:
@@ -137,15 +121,14 @@ def duration_score(gap: Column, tuning: Tuning = Tuning()) -> Column:
     )
 
 
-def scored(source: DataFrame, results: DataFrame, similarity=matching_blocks, tuning: Tuning = Tuning()) -> DataFrame:
+def scored(source: DataFrame, results: DataFrame, tuning: Tuning = Tuning()) -> DataFrame:
     """Each source row with the search results of its query, gated and scored. Similarities
     are taken once per query and result, before the rows of the query meet them."""
     compared = results.select(
         *QUERY, "position", "id", *[F.col(c).alias(f"found_{c}") for c in ("name", "artist", "artist_id", "album_id", "album_name", "album_type", "duration_ms")],
-        "found_album", similarity(F.col("title_key"), F.col("found_key")).alias("title_sim"), similarity(F.col("album_key"), F.col("found_album")).alias("album_sim"),
+        "found_album", "title_sim", edit_share(F.col("album_key"), F.col("found_album")).alias("album_sim"),
     )
-    good = compared.filter(F.col("title_sim") >= tuning.title_min)
-    rows = lookup_join(source, good, QUERY, "inner")
+    rows = lookup_join(source, compared, QUERY, "inner")
     gap = F.abs(F.col("found_duration_ms") - F.col("duration_ms"))
     tight = F.coalesce(gap <= tuning.tight_ms, F.lit(False))
     album_ok = (F.col("album_key") == "") | (F.col("found_album") == "") | (F.col("album_sim") >= tuning.album_min) | tight
@@ -163,12 +146,12 @@ def best(candidates: DataFrame) -> DataFrame:
     return candidates.groupBy("import_id").agg(top).select("import_id", (-F.col("_b.less")).alias("score"), *[F.col(f"_b.{c}").alias(c) for c in rest])
 
 
-def link(source: DataFrame, catalogue: DataFrame, similarity=matching_blocks, tuning: Tuning = Tuning()) -> DataFrame:
+def link(source: DataFrame, catalogue: DataFrame, tuning: Tuning = Tuning()) -> DataFrame:
     """(import_id, matched_*) for every source row that finds a confident match."""
     asked = with_keys(source, "name", "artist_name", "album_name")
     offered = with_keys(catalogue, "name", "artist", "album_name")
     wanted = asked.select("import_id", "duration_ms", *QUERY)
-    chosen = best(scored(wanted, search(wanted, offered, tuning), similarity, tuning))
+    chosen = best(scored(wanted, search(wanted, offered, tuning), tuning))
     return chosen.select(
         "import_id", F.col("id").alias("matched_track_id"), F.col("found_name").alias("matched_name"), F.col("found_artist_id").alias("matched_artist_id"),
         F.col("found_duration_ms").alias("matched_duration_ms"), F.col("found_artist").alias("matched_artist_name"),

@@ -9,6 +9,9 @@ day, then days.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -136,3 +139,22 @@ def number_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     before = F.sum("n").over(W.partitionBy("_part").orderBy("_at")) - F.col("n")
     numbered = placed.withColumn("_before", before).join(F.broadcast(offsets), "_part")
     return numbered.select(*keys, (F.col("_offset") + F.col("_before") + 1).alias("first_id"), "n")
+
+
+def positions(df: DataFrame, group: list[str], order: list[Column], name: str = "position") -> DataFrame:
+    """`df` with the 1-based place of each row in its group by `order`, which must tell the
+    rows of a group apart.
+
+    Rows are range-partitioned and sorted, so a group of any size is spread over tasks; the
+    written order fixes each row's place in its partition, and a count per partition and
+    group (no more rows than partitions and groups together) gives the places before it.
+    """
+    keys = [*[F.col(g).asc_nulls_first() for g in group], *order]
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    placed = settle(placed.withColumn("_part", F.shiftright("_at", 33)), "placed")  # the upper bits hold the partition
+    found = placed.groupBy(*group, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.partitionBy(*group).orderBy("_part")) - F.col("_n")
+    offsets = found.select(*[F.col(g).alias(f"_g_{g}") for g in group], F.col("_part").alias("_p"), (before - F.col("_first")).alias("_offset"))
+    same = [placed[g].eqNullSafe(offsets[f"_g_{g}"]) for g in group]
+    joined = placed.join(offsets, reduce(and_, same, placed["_part"] == offsets["_p"]))
+    return joined.select(*df.columns, (F.col("_at") + F.col("_offset") + 1).alias(name))

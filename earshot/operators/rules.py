@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime
 import json
 import operator
+import re
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -20,8 +21,10 @@ from pyspark.sql import functions as F
 
 from earshot.functions.order import asc, desc
 from earshot.functions.times import ago, as_ts
+from earshot.operators.tracks import BASE_COLUMNS
 
-# What a member is called, and how many a rule selects by default.
+# What a member is called, how many a rule selects by default, and the
+# names that stored rules use for units, sort keys and operators.
 URI_PREFIX = "spotify:track:"
 DEFAULT_LIMIT = 100
 UNITS = ("days", "weeks", "months")
@@ -29,8 +32,14 @@ SORT_COLUMNS = {
     "album": "album_name", "artist": "artist", "added": "added_at", "plays": "play_count", "last_played": "last_played_at",
     "album_id": "album_id", "disc_number": "disc_number", "track_number": "track_number", "track": "track_name",
 }
-PASS_THROUGH = ("play_count", "album_name", "added_at", "last_played_at", "first_played_at", "track_name", "popularity", "duration_ms",
-                "release_date", "liked_at", "track_id")
+#: What a rule may sort by under its own name: every column of a track's facts.
+FACTS = frozenset((
+    *BASE_COLUMNS, "added_at_est", "library_play_count", "library_play_count_first_played", "library_play_count_last_played", "resume_play_count",
+    "skip_play_count", "fuzz_play_count", "fuzz_play_count_first_played", "fuzz_play_count_last_played", "play_count", "first_played_at",
+    "first_played_at_est", "last_played_at", "last_played_at_est",
+))
+MOST_SPAN = 100_000  # of any unit: beyond what a timestamp can be moved by
+MOST_ROWS = 2**31 - 1
 
 COMPARE = {"is": operator.eq, "eq": operator.eq, "gt": operator.gt, "lt": operator.lt, "gte": operator.ge, "lte": operator.le, "is_not": operator.ne}
 
@@ -53,9 +62,12 @@ class Rule:
 
 def _whole(value) -> int:
     try:
-        return int(value)
-    except (TypeError, ValueError):
+        number = int(value)
+    except (TypeError, ValueError, OverflowError):
         raise BadCondition(f"not a whole number: {value!r}") from None
+    if abs(number) >= 2**63:
+        raise BadCondition(f"out of range: {value!r}")
+    return number
 
 
 def _moment(value) -> Column:
@@ -74,14 +86,16 @@ def _flag(value) -> Column:
 
 def _since(value, unit, as_of) -> Column:
     n, unit = _whole(value), str(unit or "").strip().lower()
-    if n < 0 or unit not in UNITS:
+    if not 0 <= n <= MOST_SPAN or unit not in UNITS:
         raise BadCondition(f"not a span: {value!r} {unit!r}")
     return ago(as_of, n, unit)
 
 
 def _contains(column: str, value) -> Column:
-    """Case-insensitive LIKE; % and _ in the value keep their wildcard meaning."""
-    return F.like(F.lower(column), F.lower(F.lit(f"%{value}%")))
+    """Case-insensitive LIKE; % and _ in the value keep their wildcard meaning, and a
+    backslash takes the next character (at the end of the value, the closing %) as it is."""
+    pattern = re.sub(r"\\(.)", lambda m: m[0] if m[1] in "%_\\" else m[1], f"%{value}%", flags=re.DOTALL)
+    return F.like(F.lower(column), F.lower(F.lit(pattern)))
 
 
 def _pick(table: dict, op):
@@ -130,10 +144,17 @@ def condition(spec: dict, as_of) -> Column | None:
     raise BadCondition(f"unknown field: {name!r}")
 
 
+def _objects(spec: dict, name: str) -> list[dict]:
+    found = spec.get(name, [])
+    if not isinstance(found, list) or not all(isinstance(x, dict) for x in found):
+        raise ValueError(f"{name} must be a list of objects")
+    return found
+
+
 def _group(spec: dict, as_of, problems: list[str]) -> Column | None:
     join = operator.and_ if spec.get("match", "all") == "all" else operator.or_
     parts = []
-    for item in spec.get("conditions", []):
+    for item in _objects(spec, "conditions"):
         try:
             part = _group(item, as_of, problems) if "conditions" in item else condition(item, as_of)
         except BadCondition as bad:
@@ -144,31 +165,50 @@ def _group(spec: dict, as_of, problems: list[str]) -> Column | None:
     return reduce(join, parts) if parts else None
 
 
+def _sort_keys(spec: dict, problems: list[str]) -> list[tuple[str, str]]:
+    sort = []
+    for key in _objects(spec, "sort") if isinstance(spec.get("sort"), list) else []:
+        by, way = key.get("by", "play_count"), key.get("direction", "desc")
+        if not isinstance(by, str) or not isinstance(way, str):
+            raise ValueError("sort keys and directions must be text")
+        column = SORT_COLUMNS.get(by, by if by in FACTS else None)
+        if column is None:
+            problems.append(f"sort: unknown key {by!r}")
+        elif way.upper() in ("ASC", "DESC"):
+            sort.append((column, way.upper()))
+    return sort
+
+
 def compile_rule(document: dict | str, as_of) -> Rule:
     """Guards apply to the whole rule: not excluded, and playable unless a top-level
-    condition names `is_playable`."""
+    condition names `is_playable`.
+
+    A condition that cannot be used is left out and listed in `problems`. A document that
+    is no rule (not JSON, not an object, lists or the limit of another kind) raises
+    ValueError.
+    """
     try:
-        spec = json.loads(document) if isinstance(document, str) else dict(document)
+        spec = json.loads(document) if isinstance(document, str) else document
+        if not isinstance(spec, dict):
+            raise ValueError("a rule must be an object")
+        problems: list[str] = []
+        wanted = _group(spec, as_of, problems)
     except json.JSONDecodeError as bad:
         raise ValueError("the rule is not valid JSON") from bad
-    problems: list[str] = []
-    wanted = _group(spec, as_of, problems)
+    except RecursionError:
+        raise ValueError("the rule is nested too deeply") from None
     guards = ~F.col("excluded")
-    if "is_playable" not in [c.get("field") for c in spec.get("conditions", [])]:
+    if "is_playable" not in [c.get("field") for c in _objects(spec, "conditions")]:
         guards = guards & F.col("is_playable")
-    sort = []
-    for key in spec["sort"] if isinstance(spec.get("sort"), list) else []:
-        by, way = key.get("by", "play_count"), str(key.get("direction", "desc")).upper()
-        column = SORT_COLUMNS.get(by, by if by in PASS_THROUGH else None)
-        if column is None:
-            problems.append(f"sort: unknown key {by!r}")
-        elif way in ("ASC", "DESC"):
-            sort.append((column, way))
-    limit = int(spec.get("limit", DEFAULT_LIMIT))
+    sort = _sort_keys(spec, problems)
+    try:
+        limit = int(spec.get("limit", DEFAULT_LIMIT))
+    except (TypeError, OverflowError) as bad:
+        raise ValueError(f"not a limit: {spec['limit']!r}") from bad
     if limit < 0:
         raise ValueError("the limit must not be negative")
     predicate = guards if wanted is None else wanted & guards
-    return Rule(predicate, tuple(sort) or (("play_count", "DESC"),), limit, problems)
+    return Rule(predicate, tuple(sort) or (("play_count", "DESC"),), min(limit, MOST_ROWS), problems)
 
 
 def uri(prefix: str = URI_PREFIX) -> Column:

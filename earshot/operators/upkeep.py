@@ -199,7 +199,11 @@ def newer_editions(albums: DataFrame, remote: DataFrame, outdated: DataFrame) ->
         F.max_by("id", "position").alias("newer_album_id"), F.max_by("artist_name", "position").alias("artist_name")
     )
     saved = albums.filter(F.col("is_saved") & (F.length(year) > 0)).withColumn("year", year).select(*edition, F.col("id").alias("saved_album_id"))
-    found = lookup_join(saved, offered, edition, "inner")
+    # a null type is a type of its own, so the keys are compared as texts that tell null from any value
+    alike = F.to_json(F.struct(*edition), {"ignoreNullFields": "false"})
+    new = offered.select(alike.alias("edition"), "newer_album_id", "artist_name")
+    found = lookup_join(saved.withColumn("edition", alike), new, ["edition"], "inner").drop("edition")
+    found = found.filter(F.col("artist_id").isNotNull() & F.col("name").isNotNull())
     owned = albums.filter("is_saved").select("artist_id", "name", F.col("id").alias("newer_album_id"))
     found = found.join(owned, ["artist_id", "name", "newer_album_id"], "left_anti")
     reported = outdated.select("artist_id", F.col("album_name").alias("name"), "newer_album_id")

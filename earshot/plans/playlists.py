@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from earshot.functions.order import desc
 from earshot.functions.text import url_tail
 from earshot.functions.times import as_ts
 from earshot.operators.merge import stamp
+from earshot.operators.ordered import positions
 from earshot.operators.rules import Rule, compile_rule, uri
 from earshot.operators.skew import hot_keys, key_sizes, lookup_join
-from earshot.sources.snapshots import settle
+from earshot.sources.snapshots import fresh_path, settle
 
 EXCLUSIONS = "exclusions"
 BATCH = 100  # members are handed on in batches of this size
-LARGEST = 9000  # the longest playlist the rule form accepts
-MOST_RULES = 1000  # distinct rule documents compiled into one plan
+LINE = 1_000  # flagged playlists named in one line
+TOP_K = 1_000  # up to this limit Spark keeps a top-k per group while it sorts
+RULES_PER_SCAN = 200  # rule documents tested in one scan of the tracks
 SALTS = 64
 HOT_LISTS = 100  # lists of one rule from which their join is salted
 
@@ -27,70 +30,108 @@ HOT_LISTS = 100  # lists of one rule from which their join is salted
 def ranked_members(unified: DataFrame, rules: dict[str, Rule]) -> DataFrame:
     """(rule, position, uri) of every rule, with one scan per distinct sort order.
 
-    Each track is tested against all rules of a sort order at once. Positions are found in
-    two steps, first per (rule, salt) and then per rule, so a rule that matches most of
-    the library never sends more than SALTS x limit rows to one task.
+    Each track is tested against all rules of a sort order at once. Positions of short
+    lists are found in two steps, first per (rule, salt) and then per rule, so a rule that
+    matches most of the library never sends more than SALTS x TOP_K rows to one task.
+    Long lists are numbered in a distributed sort.
     """
     by_sort: dict[tuple, dict[str, Rule]] = {}
     for name, rule in rules.items():
-        by_sort.setdefault(rule.sort, {})[name] = rule
-    return reduce(DataFrame.unionByName, [_ranked(unified, group) for group in by_sort.values()])
+        by_sort.setdefault((rule.sort, rule.limit <= TOP_K), {})[name] = rule
+    if not by_sort:
+        return unified.sparkSession.createDataFrame([], "rule string, position int, uri string")
+    return reduce(DataFrame.unionByName, [_ranked(unified, group, short) for (_, short), group in by_sort.items()])
 
 
-def _ranked(unified: DataFrame, rules: dict[str, Rule]) -> DataFrame:
+def _ranked(unified: DataFrame, rules: dict[str, Rule], short: bool) -> DataFrame:
     order = next(iter(rules.values())).order()
     keys = sorted({c for r in rules.values() for c, _ in r.sort} | {"track_id"})
-    most = max(r.limit for r in rules.values())
     hits = F.filter(
         F.array(*[F.when(r.predicate, F.struct(F.lit(n).alias("rule"), F.lit(r.limit).alias("cap"))) for n, r in rules.items()]),
         lambda x: x.isNotNull(),
     )
     rows = unified.select(*keys, F.explode(hits).alias("_h")).select(*keys, "_h.rule", "_h.cap")
-    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("track_id"), F.lit(SALTS)))
-    near = rows.withColumn("_r", F.row_number().over(W.partitionBy("rule", "_salt").orderBy(*order))).filter(F.col("_r") <= most)
-    ranked = near.withColumn("position", F.row_number().over(W.partitionBy("rule").orderBy(*order)))
-    return ranked.filter((F.col("position") <= most) & (F.col("position") <= F.col("cap"))).select("rule", "position", uri().alias("uri"))
+    if short:
+        most = max(r.limit for r in rules.values())
+        rows = rows.withColumn("_salt", F.pmod(F.xxhash64("track_id"), F.lit(SALTS)))
+        near = rows.withColumn("_r", F.row_number().over(W.partitionBy("rule", "_salt").orderBy(*order))).filter(F.col("_r") <= most)
+        ranked = near.withColumn("position", F.row_number().over(W.partitionBy("rule").orderBy(*order))).filter(F.col("position") <= most)
+    else:
+        ranked = positions(rows, ["rule"], order)
+    return ranked.filter(F.col("position") <= F.col("cap")).select("rule", F.col("position").cast("int").alias("position"), uri().alias("uri"))
 
 
 def followed(playlists: DataFrame) -> DataFrame:
     return playlists.filter(F.col("is_dynamic") & (F.col("slug") != EXCLUSIONS))
 
 
-def rule_documents(playlists: DataFrame, as_of) -> dict[str, Rule]:
-    """Every distinct rule document in use, compiled. Documents are configuration: their
-    number is checked before they come to the driver."""
-    rows = followed(playlists).select(F.coalesce("rules", F.lit("{}")).alias("rules")).distinct().limit(MOST_RULES + 1).collect()
-    if len(rows) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} distinct rule documents: select them in several runs")
-    compiled = {}
-    for row in rows:
-        try:
-            compiled[row.rules] = compile_rule(row.rules, as_of)
-        except ValueError:
-            continue  # an unreadable document leaves its playlists as they are
-    too_long = [n for n, r in compiled.items() if r.limit > LARGEST]
-    if too_long:
-        raise ValueError(f"rules select more than {LARGEST} members: {too_long[:3]}")
-    return compiled
+@dataclass
+class RuleRun:
+    """What the rule documents in use select, and what was wrong with them."""
+
+    members: DataFrame  # rule, position, uri
+    usable: DataFrame  # rule: documents that could be read
+    problems: DataFrame  # rule, problem, fatal
+
+
+def run_rules(unified: DataFrame, playlists: DataFrame, as_of) -> RuleRun:
+    """Every distinct rule document in use, compiled and evaluated.
+
+    Documents come to the driver RULES_PER_SCAN at a time, and each page adds its members
+    to one written table, so their number has no bound. A document that is no rule leaves
+    its playlists as they are and is listed as a fatal problem; a condition that cannot
+    be used is listed too.
+    """
+    spark = unified.sparkSession
+    documents = followed(playlists).select(F.coalesce("rules", F.lit("{}")).alias("rule")).distinct()
+    path = fresh_path(spark, "rules")
+    empty = {"members": "rule string, position int, uri string", "usable": "rule string", "problems": "rule string, problem string, fatal boolean"}
+    for name, schema in empty.items():
+        spark.createDataFrame([], schema).write.parquet(f"{path}/{name}")
+    for page in _pages((r.rule for r in documents.toLocalIterator()), RULES_PER_SCAN):
+        compiled, problems = {}, []
+        for text in page:
+            try:
+                compiled[text] = compile_rule(text, as_of)
+                problems += [(text, p, False) for p in compiled[text].problems]
+            except ValueError as bad:
+                problems.append((text, str(bad), True))
+        ranked_members(unified, compiled).write.mode("append").parquet(f"{path}/members")
+        spark.createDataFrame([(r,) for r in compiled], "rule string").coalesce(1).write.mode("append").parquet(f"{path}/usable")
+        spark.createDataFrame(problems, empty["problems"]).coalesce(1).write.mode("append").parquet(f"{path}/problems")
+    return RuleRun(**{name: spark.read.schema(schema).parquet(f"{path}/{name}") for name, schema in empty.items()})
+
+
+def _pages(items, size: int):
+    items = iter(items)
+    while page := list(islice(items, size)):
+        yield page
 
 
 def all_playlists(unified: DataFrame, playlists: DataFrame, as_of) -> DataFrame:
     """(slug, position, batch, uri). Playlists with equal rules share one selection."""
-    rules = rule_documents(playlists, as_of)
     lists = followed(playlists).select("slug", F.coalesce("rules", F.lit("{}")).alias("rule"))
-    members = settle(ranked_members(unified, rules), "members")  # at most rules x LARGEST rows
+    members = run_rules(unified, playlists, as_of).members
     # every list is multiplied by its members, so a rule is hot long before it has many lists
-    hot = hot_keys(key_sizes(lists, ["rule"]), ["rule"], "_n", at_least=HOT_LISTS)
+    hot = settle(hot_keys(key_sizes(lists, ["rule"]), ["rule"], "_n", at_least=HOT_LISTS), "hot_rules")
     joined = lookup_join(lists, members, ["rule"], "inner", spread=F.xxhash64("slug"), hot=hot)
     return joined.select("slug", "position", batch_of(F.col("position")).alias("batch"), "uri")
 
 
+def write_members(members: DataFrame, path: str) -> None:
+    """The members of `all_playlists`, one folder per playlist, files in batches of positions.
+    A playlist that is written replaces its former members; others stay."""
+    ordered = members.repartition("slug", "batch").sortWithinPartitions("slug", "batch", "position")
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slug").parquet(path)
+
+
 def batch_of(position: Column) -> Column:
     return F.floor((position - 1) / BATCH).cast("int")
 
 
 def tracklist_hashes(members: DataFrame, key: str = "rule") -> DataFrame:
-    """SHA-256 of the comma-joined members in order; a list holds at most LARGEST entries."""
+    """SHA-256 of the comma-joined members in order: one list is one text, as the hash of a
+    playlist is defined."""
     ordered = F.array_sort(F.collect_list(F.struct("position", "uri")))
     text = F.concat_ws(",", F.transform(ordered, lambda x: x["uri"]))
     return members.groupBy(key).agg(F.sha2(text, 256).alias("new_hash"), F.count(F.lit(1)).cast("int").alias("new_count"))
@@ -100,15 +141,13 @@ def change_gate(unified: DataFrame, playlists: DataFrame, as_of) -> DataFrame:
     """Playlists after a sync: an unchanged hash only moves the time; an emptied list gets
     count 0 and keeps its hash; a changed one gets hash, count and time. Playlists that
     are not dynamic, or whose rules cannot be read, stay as they are."""
-    rules = rule_documents(playlists, as_of)
-    spark = unified.sparkSession
-    known = spark.createDataFrame([(r,) for r in rules], "rule string")
-    hashes = known.join(tracklist_hashes(ranked_members(unified, rules)), "rule", "left").select(
+    run = run_rules(unified, playlists, as_of)
+    hashes = run.usable.join(tracklist_hashes(run.members), "rule", "left").select(
         "rule", F.coalesce("new_hash", F.sha2(F.lit(""), 256)).alias("new_hash"), F.coalesce("new_count", F.lit(0)).alias("new_count")
     )
     due = F.col("is_dynamic") & (F.col("slug") != EXCLUSIONS)
     key = F.when(due, F.coalesce("rules", F.lit("{}")))
-    joined = playlists.withColumn("rule", key).join(F.broadcast(hashes), "rule", "left")  # one row per rule document
+    joined = lookup_join(playlists.withColumn("rule", key), settle(hashes, "hashes"), ["rule"])
     ran = F.col("new_hash").isNotNull()
     same = F.col("last_synced_hash").eqNullSafe(F.col("new_hash"))
     return joined.select(
@@ -143,16 +182,15 @@ def ignore_missing(playlists: DataFrame, slugs: DataFrame) -> DataFrame:
     return stamp(playlists, "slug", slugs.select("slug"), changes)
 
 
-def delete_candidates(playlists: DataFrame, at_most: int = 10_000) -> DataFrame:
-    """One line naming the playlists flagged for deletion, newest miss first. The line is
-    for a person to read; a list too long for one string is refused, not cut."""
-    flagged = playlists.filter("pending_delete")
-    entry = F.concat("slug", F.lit("(misses="), F.coalesce(F.col("missing_count").cast("string"), F.lit("None")), F.lit(")"))
-    when = -F.unix_micros(F.col("last_missing_at").cast("timestamp"))
-    newest = F.struct(F.col("last_missing_at").isNull().alias("none"), when.alias("less"), F.col("slug").alias("slug"), entry.alias("e"))
-    top = flagged.orderBy(desc("pending_delete"), "slug").limit(at_most + 1).select(newest.alias("x"))
-    line = top.agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("x")).alias("xs"))
-    checked = F.when(F.col("n") > at_most, F.raise_error(F.lit("too many flagged playlists for one line")).cast("string")).otherwise(
-        F.concat_ws(", ", F.transform("xs", lambda x: x["e"]))
+def delete_candidates(playlists: DataFrame) -> DataFrame:
+    """The playlists flagged for deletion, newest miss first, in lines of LINE entries:
+    (line, flagged, summary)."""
+    flagged = playlists.filter("pending_delete").select("slug", "missing_count", "last_missing_at")
+    misses = F.coalesce(F.col("missing_count").cast("string"), F.lit("None"))
+    entry = F.concat("slug", F.lit("(misses="), misses, F.lit(")"))
+    placed = positions(flagged, [], [F.col("last_missing_at").desc_nulls_last(), F.col("slug")])
+    line = F.floor((F.col("position") - 1) / LINE).cast("int").alias("line")
+    entries = F.array_sort(F.collect_list(F.struct("position", entry.alias("e"))))
+    return placed.groupBy(line).agg(
+        F.count(F.lit(1)).alias("flagged"), F.concat_ws(", ", F.transform(entries, lambda x: x["e"])).alias("summary")
     )
-    return line.select(F.col("n").alias("flagged"), checked.alias("summary"))

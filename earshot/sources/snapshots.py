@@ -38,6 +38,11 @@ def settle_plays(plays: DataFrame) -> DataFrame:
     return write_plays(plays, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the cluster's shared folder."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage of `df` through a snapshot in the cluster's shared folder."""
     return write_snapshot(df, f"{shared_dir(df.sparkSession)}/{df.sparkSession.sparkContext.applicationId}", name)

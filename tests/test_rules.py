@@ -127,6 +127,52 @@ def test_members_come_in_batches(spark, ut):
     assert rows(members.groupBy("batch").count()) == [(0, 100), (1, 100), (2, 5)]
 
 
-def test_overlong_playlists_are_refused(spark, ut):
-    with pytest.raises(ValueError):
-        L.all_playlists(ut, playlists(spark, ("p", {"limit": 9001}, True, 0, None)), AS_OF)
+def test_long_lists_equal_the_plain_selection(spark, ut, monkeypatch):
+    wide = ut.crossJoin(spark.range(1_500)).withColumn("track_id", F.concat("track_id", F.lpad(F.col("id").cast("string"), 4, "0"))).drop("id")
+    doc = {"limit": 9_001, "sort": [{"by": "artist", "direction": "asc"}]}
+    want = [f"spotify:track:{r.track_id}" for r in select_by_rule(wide, doc, AS_OF).collect()]
+    for top_k in (1_000, 10_000):  # numbered in a distributed sort, and per salt
+        monkeypatch.setattr(L, "TOP_K", top_k)
+        got = L.all_playlists(wide, playlists(spark, ("p", doc, True, 0, None)), AS_OF).orderBy("position").collect()
+        assert [r.uri for r in got] == want and [r.position for r in got] == list(range(1, len(want) + 1)) and len(want) == 9_000
+
+
+def test_any_number_of_documents(spark, ut, monkeypatch):
+    monkeypatch.setattr(L, "RULES_PER_SCAN", 7)
+    lists = playlists(spark, *[(f"p{i}", {"limit": i}, True, 0, None) for i in range(20)])
+    got = L.all_playlists(ut, lists, AS_OF).groupBy("slug").count().collect()
+    assert {r.slug: r["count"] for r in got} == {f"p{i}": min(i, 6) for i in range(1, 20)}
+
+
+BROKEN = ["[]", "null", "3", "{not json", '{"conditions": null}', '{"conditions": "x"}', '{"conditions": [1]}', '{"limit": null}', '{"limit": Infinity}',
+          '{"limit": -1}', '{"sort": [3]}', '{"sort": [{"by": []}]}', '{"conditions": [{"conditions": {}}]}', "[" * 100_000]
+
+
+def test_broken_documents_stop_no_other_playlist(spark, ut):
+    cols = "slug string, rules string, is_dynamic boolean, last_synced_at timestamp_ntz, track_count int, last_synced_hash string"
+    good = json.dumps({"conditions": [c("tempo", 1), c("artist", "a\\b"), c("min_plays", 10**30), c("added_in_last", 10**9, "eq", "days")], "match": "any"})
+    lists = spark.createDataFrame([(f"b{i}", d, True, None, 5, "h") for i, d in enumerate(BROKEN)] + [("good", good, True, None, 0, None)], cols)
+    assert {r.slug for r in L.all_playlists(ut, lists, AS_OF).collect()} <= {"good"}
+    problems = L.run_rules(ut, lists, AS_OF).problems.collect()
+    assert {r.rule for r in problems if r.fatal} == set(BROKEN) and sum(not r.fatal for r in problems) == 3
+    after = {r.slug: r for r in L.change_gate(ut, lists, AS_OF).collect()}
+    assert all((after[f"b{i}"].outcome, after[f"b{i}"].track_count) == (None, 5) for i in range(len(BROKEN))) and after["good"].outcome
+
+
+def test_backslash_takes_the_next_character(spark, ut):
+    named = ut.withColumn("track_name", F.when(F.col("track_id") == "a", "ACDC").when(F.col("track_id") == "b", "x 50%").otherwise(F.lit("50 x\\")))
+    assert picked(named, c("track", "ac\\dc")) == ["a"]
+    assert picked(named, c("track", "50\\%")) == ["b"]
+    assert "c" in picked(named, c("track", "x\\\\"))  # an escaped backslash
+    assert picked(named, c("track", "50\\")) == ["b"]  # takes the closing %
+
+
+def test_any_fact_sorts(ut):
+    assert picked(ut.withColumn("skip_play_count", F.ascii("track_id")), sort=[{"by": "skip_play_count", "direction": "desc"}])[0] == "i"
+
+
+def test_members_are_written_by_playlist(spark, ut, tmp_path):
+    path = f"{tmp_path}/members"
+    L.write_members(L.all_playlists(ut, playlists(spark, ("p", {"limit": 2}, True, 0, None), ("q", {"limit": 3}, True, 0, None)), AS_OF), path)
+    L.write_members(L.all_playlists(ut, playlists(spark, ("q", {"limit": 1}, True, 0, None)), AS_OF), path)
+    assert {(r.slug, r.position) for r in spark.read.parquet(path).collect()} == {("p", 1), ("p", 2), ("q", 1)}

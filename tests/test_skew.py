@@ -24,13 +24,38 @@ def lookup(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_salted_join_equals_plain_join(facts, lookup, no_broadcast, how):
-    got, want = lookup_join(facts, lookup, ["k"], how), facts.join(lookup, "k", how)
+@pytest.mark.parametrize("salted", [True, False])
+def test_salted_join_equals_plain_join(facts, lookup, no_broadcast, how, salted):
+    hot = hot_keys(key_sizes(facts, ["k"]), ["k"], "_n") if salted else None
+    got, want = lookup_join(facts, lookup, ["k"], how, hot=hot), facts.join(lookup, "k", how)
     assert rows(got, "id", "k", "v") == rows(want, "id", "k", "v")
 
 
+def scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+
+
+def test_stacked_lookups_plan_each_side_once(spark, tmp_path, no_broadcast):
+    spark.range(100).select("id", F.col("id").alias("a"), F.col("id").alias("b"), F.col("id").alias("c")).write.parquet(f"{tmp_path}/facts")
+    joined = spark.read.parquet(f"{tmp_path}/facts")
+    for key in ("a", "b", "c"):
+        joined = lookup_join(joined, spark.read.parquet(f"{tmp_path}/facts").select(key, F.col("id").alias(f"of_{key}")), [key])
+    assert scans(joined) == 4
+
+
+def test_an_exploded_lookup_counts_for_its_rows(spark):
+    from earshot.operators.skew import planned_bytes
+
+    listed = spark.range(10).select(F.explode(F.sequence(F.lit(0), F.col("id") * 1_000_000)).alias("k"))
+    assert planned_bytes(listed) >= 100 * planned_bytes(spark.range(10))
+
+
+def test_salts_follow_the_measured_count(facts):
+    assert [(r.k, r["_salts"]) for r in hot_keys(key_sizes(facts, ["k"]), ["k"], "_n").collect()] == [("hot", 20)]
+
+
 def test_salted_join_spreads_the_hot_key_and_the_nulls(facts, lookup, no_broadcast, spark):
-    joined = lookup_join(facts, lookup, ["k"])
+    joined = lookup_join(facts, lookup, ["k"], hot=hot_keys(key_sizes(facts, ["k"]), ["k"], "_n"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
