@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +53,17 @@ class Context:
     def up(self) -> DataFrame:
         return settle_plays(self.unified_plays())
 
+    @cached_property
+    def live(self) -> DataFrame:
+        """The table that polls append to, stored by month."""
+        return settle_plays(self.kept("plays"))
+
+    @property
+    def every_play(self) -> DataFrame:
+        """The plays of all feeds as they came."""
+        columns = ["track_id", "track_name", "artist_name", "played_at", "duration_ms"]
+        return reduce(DataFrame.unionByName, [self.kept(n).select(*columns) for n in ("plays", "stream_history", "import_history")])
+
     def fresh_build(self) -> LibraryBuild:
         """A build with none of its stages written yet."""
         return LibraryBuild(self.lib, self.up)

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.fixture import AS_OF
 from checks.oracle import oracle
+from earshot.functions.order import asc, desc
 from earshot.operators import quality as D
 from earshot.operators import upkeep as X
 from earshot.operators import worklists as T
 from earshot.operators.merge import last_per_key, stamp
-from earshot.operators.ordered import number_rows
+from earshot.operators.ordered import number_rows, positions
 
 Q: dict = {}
 NOW = f"TIMESTAMP '{AS_OF}'"
@@ -40,7 +44,7 @@ TRACK = ["id", "name", "artist", "album", "album_id", "from_album", "track_numbe
 LIKE = ["track_id", "liked_at", "added_at", "last_checked_at", "track_name", "track_artist", "artist_id", "album_id", "album_in_library", "duration_ms", "popularity"]
 
 # plays
-add("merge_plays", lambda c: X.new_plays(c.kept("plays"), c.t["polled"]).select("track_id", "played_at", "track_name"),
+add("merge_plays", lambda c: X.new_plays(c.live, c.t["polled"]).select("track_id", "played_at", "track_name"),
     "SELECT DISTINCT track_id, played_at, track_name FROM {polled} p WHERE NOT EXISTS (SELECT 1 FROM {plays} q WHERE q.track_id = p.track_id AND q.played_at = p.played_at)")
 add("play_row_ids", lambda c: number_rows(c.up.filter("track_id IS NOT NULL").select(
         "played_at", "track_id", F.coalesce("duration_ms", F.lit(0)).alias("ms"), F.coalesce("album_id", F.lit("")).alias("album_id"),
@@ -71,16 +75,14 @@ add("unsave_missing", lambda c: X.unsave_missing(c.kept("albums"), c.t["fresh_al
 
 
 def _prune(c):
-    tracks = c.kept("tracks").filter("artist <> 'Brand#7' and track_number > 44")
-    albums, left = X.prune_albums(c.kept("albums"), tracks)
+    albums, left = X.prune_albums(c.kept("albums"), c.kept("tracks"))
     return albums.select("id", F.lit("album").alias("kind")).unionByName(left.select("id", F.lit("track").alias("kind")))
 
 
-SOME = "(SELECT * FROM {tracks} WHERE artist <> 'Brand#7' AND track_number > 44)"
-DOOMED = f"(SELECT id FROM {{albums}} WHERE NOT is_saved AND id NOT IN (SELECT album_id FROM {SOME} WHERE from_album))"
+DOOMED = f"(SELECT id FROM {{albums}} WHERE NOT is_saved AND id NOT IN (SELECT album_id FROM {{tracks}} WHERE from_album))"
 add("prune_albums", _prune,
     f"""SELECT id, 'album' AS kind FROM {{albums}} WHERE id NOT IN {DOOMED}
-        UNION ALL SELECT id, 'track' FROM {SOME} WHERE NOT (from_album AND album_id IN {DOOMED})""")
+        UNION ALL SELECT id, 'track' FROM {{tracks}} WHERE NOT (from_album AND album_id IN {DOOMED})""")
 META = ("name", "artist", "artist_id", "release_date", "album_type", "album_image_url")
 add("merge_album_meta", lambda c: X.merge_album_meta(c.kept("albums"), c.t["fresh_albums"].drop("total_tracks", "added_at")),
     full("albums", "{fresh_albums}", "id", ALBUM, {n: f"coalesce(s.{n}, t.{n})" for n in META},
@@ -225,27 +227,36 @@ add("track_count_mismatch", lambda c: D.track_count_mismatch(c.kept("albums"), c
               total_tracks - count(t.id) AS track_count_difference
        FROM {albums} a LEFT JOIN {tracks} t ON t.album_id = a.id LEFT JOIN {artists} r ON r.id = a.artist_id WHERE is_saved AND tracks_synced
        GROUP BY a.id, a.name, r.name, total_tracks HAVING count(t.id) <> total_tracks""")
-add("fuzzy_report", lambda c: D.fuzzy_report(c.kept("import_history"), c.kept("tracks"), c.kept("albums"), c.kept("resolved_fuzzy_matches")),
+add("fuzzy_report", lambda c: D.fuzzy_report(c.every_play, c.kept("tracks"), c.kept("albums"), c.kept("resolved_fuzzy_matches")),
     """SELECT p.track_id AS original_track_id, p.track_name AS original_track_name, p.artist_name AS original_artist_name, p.played_at, t.id AS library_track_id,
               t.name AS library_track_name, t.artist AS library_artist_name, t.album_id AS library_album_id, a.name AS library_album_name
-       FROM {import_history} p JOIN {tracks} t ON lower(p.track_name) = lower(t.name) AND lower(p.artist_name) = lower(t.artist)
+       FROM (SELECT track_id, track_name, artist_name, played_at, duration_ms FROM {plays} UNION ALL SELECT track_id, track_name, artist_name, played_at, duration_ms FROM {stream_history}
+             UNION ALL SELECT track_id, track_name, artist_name, played_at, duration_ms FROM {import_history}) p JOIN {tracks} t ON lower(p.track_name) = lower(t.name) AND lower(p.artist_name) = lower(t.artist)
             AND abs(coalesce(p.duration_ms, 0) - coalesce(t.duration_ms, 0)) <= 1000 AND p.track_id <> t.id
        LEFT JOIN {albums} a ON a.id = t.album_id WHERE t.id NOT IN (SELECT track_id FROM {resolved_fuzzy_matches})""")
 
 
 def _listings(c):
-    def listing(df, kind, *cols):
-        return df.select(F.lit(kind).alias("listing"), *[F.col(x).cast("string").alias(f"c{i}") for i, x in enumerate(cols)])
-    return (listing(D.newest_first(c.kept("outdated_albums"), "last_checked_at", "saved_album_id"), "outdated", "saved_album_id", "newer_album_id")
-            .unionByName(listing(D.pending_playlists(c.t["playlist_mappings"]), "pending", "slug", "missing_count"))
-            .unionByName(listing(D.newest_first(c.kept("track_id_equivalents"), "created_at", "alias_track_id"), "equivalent", "alias_track_id", "reason"))
-            .unionByName(listing(c.t["playlist_mappings"].orderBy("name", "slug"), "playlist", "slug", "name")))
+    """Each listing with the place of its rows."""
+    def listing(df, kind, order, *cols):
+        placed = positions(df, [], order)
+        return placed.select(F.lit(kind).alias("listing"), "position", *[F.col(x).cast("string").alias(f"c{i}") for i, x in enumerate(cols)])
+
+    return reduce(DataFrame.unionByName, [
+        listing(c.kept("outdated_albums"), "outdated", [desc("last_checked_at"), asc("saved_album_id"), asc("newer_album_id")], "saved_album_id", "newer_album_id"),
+        listing(D.pending_playlists(c.t["playlist_mappings"]), "pending", [desc("last_missing_at"), asc("slug")], "slug", "missing_count"),
+        listing(c.kept("track_id_equivalents"), "equivalent", [desc("created_at"), asc("alias_track_id")], "alias_track_id", "reason"),
+        listing(c.t["playlist_mappings"], "playlist", [asc("name"), asc("slug")], "slug", "name"),
+    ])
 
 
 add("dq_listings", _listings,
-    """SELECT 'outdated' AS listing, saved_album_id AS c0, newer_album_id AS c1 FROM {outdated_albums}
-       UNION ALL SELECT 'pending', slug, CAST(missing_count AS VARCHAR) FROM {playlist_mappings} WHERE pending_delete
-       UNION ALL SELECT 'equivalent', alias_track_id, reason FROM {track_id_equivalents} UNION ALL SELECT 'playlist', slug, name FROM {playlist_mappings}""")
+    """SELECT 'outdated' AS listing, row_number() OVER (ORDER BY last_checked_at DESC NULLS FIRST, saved_album_id, newer_album_id) AS position, saved_album_id AS c0, newer_album_id AS c1 FROM {outdated_albums}
+       UNION ALL SELECT 'pending', row_number() OVER (ORDER BY last_missing_at DESC NULLS FIRST, slug), slug, CAST(missing_count AS VARCHAR) FROM {playlist_mappings} WHERE pending_delete
+       UNION ALL SELECT 'equivalent', row_number() OVER (ORDER BY created_at DESC NULLS FIRST, alias_track_id), alias_track_id, reason FROM {track_id_equivalents}
+       UNION ALL SELECT 'playlist', row_number() OVER (ORDER BY name NULLS LAST, slug), slug, name FROM {playlist_mappings}""")
+add("exclusions_version", lambda c: X.exclusions_version(c.t["playlist_mappings"], "v2", "list_1").select("slug", "snapshot_id"),
+    "SELECT slug, CASE WHEN slug = 'list_1' THEN 'v2' ELSE snapshot_id END AS snapshot_id FROM {playlist_mappings}")
 add("count_gate", lambda c: D.count_gate(c.kept("albums").filter("is_saved"), 77),
     "SELECT count(*) > 0 AS has_rows, count(*) AS local_total, 77::BIGINT AS remote_total, count(*) = 77 AS up_to_date FROM {albums} WHERE is_saved")
 add("dq_constraints", lambda c: D.repeated_keys(c.kept("plays"), ["track_id", "played_at"], "plays").unionByName(

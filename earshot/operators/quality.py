@@ -37,7 +37,7 @@ def track_count_mismatch(albums: DataFrame, tracks: DataFrame, artists: DataFram
 
 def fuzzy_report(plays: DataFrame, tracks: DataFrame, albums: DataFrame, resolved: DataFrame) -> DataFrame:
     """Plays that match a track of another id by title, artist and duration, except tracks
-    already reviewed.
+    already reviewed; newest play first.
 
     The duration is part of the join key as a bucket of the tolerance, so a popular title
     meets only tracks of about its length; tracks go to their bucket and both neighbours.
@@ -56,7 +56,8 @@ def fuzzy_report(plays: DataFrame, tracks: DataFrame, albums: DataFrame, resolve
     )
     met = lookup_join(heard, stored, ["title_key", "artist_key", "cell"], "inner")
     fits = (F.abs(F.col("ms") - F.col("library_ms")) <= FUZZY_MS) & (F.col("original_track_id") != F.col("library_track_id"))
-    return met.filter(fits).drop("title_key", "artist_key", "cell", "ms", "library_ms")
+    found = met.filter(fits).drop("title_key", "artist_key", "cell", "ms", "library_ms")
+    return newest_first(found, "played_at", "original_track_id", "library_track_id")
 
 
 def newest_first(rows: DataFrame, when: str, *ties: str) -> DataFrame:

@@ -19,8 +19,14 @@ def _take(*names: str) -> dict:
 # plays -----------------------------------------------------------------------------
 
 def new_plays(plays: DataFrame, polled: DataFrame) -> DataFrame:
-    """Polled plays not stored yet: what to append."""
-    return missing_rows(plays, polled, PLAY_KEY)
+    """Polled plays not stored yet: what to append. Only the polled months of the table are
+    read: as partitions if it is stored by month, else by the range of times."""
+    span = polled.agg(F.min("played_at").alias("low"), F.max("played_at").alias("high")).first()
+    near = plays.filter(F.col("played_at").between(F.lit(span.low), F.lit(span.high)))
+    if "month" in plays.columns:
+        months = polled.select(F.date_format("played_at", "yyyy-MM").alias("m")).filter("m IS NOT NULL").distinct().collect()  # calendar months
+        near = near.filter(F.col("month").isin([r.m for r in months]))
+    return missing_rows(near, polled, PLAY_KEY)
 
 
 def fill_history(history: DataFrame, metadata: DataFrame, as_of) -> DataFrame:
@@ -185,6 +191,12 @@ def replace_exclusions(excluded: DataFrame, fetched: DataFrame, stored_version:
     return fetched.filter(F.col("track_id").isNotNull()).select("track_id").distinct()
 
 
+def exclusions_version(playlists: DataFrame, version: str, slug: str = "exclusions") -> DataFrame:
+    """The playlists with the version of the exclusion list that was taken over, so that the
+    next run can tell whether it has changed."""
+    return playlists.withColumn("snapshot_id", F.when(F.col("slug") == slug, F.lit(version)).otherwise(F.col("snapshot_id")))
+
+
 # outdated albums --------------------------------------------------------------------
 
 def newer_editions(albums: DataFrame, remote: DataFrame, outdated: DataFrame) -> DataFrame:

@@ -46,7 +46,8 @@ def metrics_document(ut: DataFrame, up: DataFrame, playlists: DataFrame, as_of)
     """(snapshot_date, data): every metric in one JSON object. Persist `ut` and `up` (or
     hand in snapshots): each is read by many metrics."""
     lists = list_metrics(ut, up, as_of)
-    items = reduce(DataFrame.unionByName, [_rows(frame, key) for key, frame in lists.items()])
+    # bounded: top tens, calendar days or months, histogram buckets
+    items = settle(reduce(DataFrame.unionByName, [_rows(frame, key) for key, frame in lists.items()]), "metric_items")
     arrays = items.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "item"))).alias("xs"))
     text = F.concat(F.lit("["), F.concat_ws(",", F.transform("xs", lambda x: x["item"])), F.lit("]"))
     fields = arrays.select("key", text.alias("json"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime
+import re
 import tempfile
+import zoneinfo
 
 from pyspark.sql import SparkSession
 
@@ -39,17 +42,40 @@ def local_session(cores: str = "8", **settings) -> SparkSession:
     return spark
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local session may fall back to a temporary folder: there the driver and
-    the executors are one machine.
+    Only a session on one machine may do without, and gets a temporary folder; on a cluster
+    a path on the machine's own disk is refused.
     """
+    master = spark.sparkContext.master
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
+        if not master.startswith("local") and re.match(r"file:|/", named) and _default_is_local(spark, named):
+            raise RuntimeError(f"spark.checkpoint.dir is a folder of one machine: {named}")
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="earshot-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _LOCAL.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="earshot-"))
+
+
+def _default_is_local(spark: SparkSession, path: str) -> bool:
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return path.startswith("file:") or default.startswith("file:")
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Times without zone are UTC throughout, so the session's zone must be one without offset."""
+    name = spark.conf.get("spark.sql.session.timeZone")
+    if re.fullmatch(r"(?i)(UTC|GMT|UT|Z)?([+-]00?(:?00)?)?", name):
+        return
+    try:
+        zone = zoneinfo.ZoneInfo(name)
+        offsets = {zone.utcoffset(datetime.datetime(y, m, 1)) for y in (1970, 2000, 2024) for m in (1, 7)}
+    except (zoneinfo.ZoneInfoNotFoundError, ValueError):
+        offsets = {None}
+    if offsets != {datetime.timedelta(0)}:
+        raise RuntimeError(f"spark.sql.session.timeZone must be UTC, not {name}")

@@ -44,13 +44,25 @@ def _first(array: str, name: str) -> Column:
     return F.get(F.col(array), F.lit(0))[name]
 
 
+def play_fields(item: str = "i") -> list[Column]:
+    track = f"{item}.track"
+    return [
+        F.col(f"{track}.id").alias("track_id"), iso_ts(F.col(f"{item}.played_at")).alias("played_at"), F.col(f"{track}.name").alias("track_name"),
+        _first(f"{track}.artists", "id").alias("artist_id"), F.col(f"{track}.duration_ms").alias("duration_ms"),
+        _first(f"{track}.artists", "name").alias("artist_name"), F.col(f"{track}.album.id").alias("album_id"),
+        F.col(f"{track}.album.name").alias("album_name"), F.col(f"{track}.album.album_type").alias("album_type"),
+    ]
+
+
 def flatten_plays(pages: DataFrame) -> DataFrame:
-    return _items(pages, "plays").select(
-        F.col("i.track.id").alias("track_id"), iso_ts(F.col("i.played_at")).alias("played_at"), F.col("i.track.name").alias("track_name"),
-        _first("i.track.artists", "id").alias("artist_id"), F.col("i.track.duration_ms").alias("duration_ms"),
-        _first("i.track.artists", "name").alias("artist_name"), F.col("i.track.album.id").alias("album_id"),
-        F.col("i.track.album.name").alias("album_name"), F.col("i.track.album.album_type").alias("album_type"),
-    )
+    return _items(pages, "plays").select(*play_fields())
+
+
+def unreadable(pages: DataFrame, shape: str, array: str = "items", column: str = "page") -> DataFrame:
+    """The pages that are no document of this shape, whole, for quarantine: flattening
+    passes over them. A page with an empty list is readable."""
+    document = F.from_json(column, PAGE_SCHEMAS[shape])
+    return pages.filter(document[array].isNull())
 
 
 def flatten_albums(pages: DataFrame) -> DataFrame:

@@ -7,11 +7,12 @@ take the path they were given. What was read to build it stays readable meanwhil
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.session import shared_dir
+from earshot.session import require_utc, shared_dir
 
 
 def write_snapshot(df: DataFrame, root: str, name: str) -> DataFrame:
@@ -35,6 +36,7 @@ def write_plays(plays: DataFrame, root: str, name: str = "unified_plays") -> Dat
 
 def settle_plays(plays: DataFrame) -> DataFrame:
     spark = plays.sparkSession
+    require_utc(spark)
     return write_plays(plays, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
 
 
@@ -43,9 +45,29 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SCOPES: list[list[str]] = []
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage of `df` through a snapshot in the cluster's shared folder."""
-    return write_snapshot(df, f"{shared_dir(df.sparkSession)}/{df.sparkSession.sparkContext.applicationId}", name)
+    path = fresh_path(df.sparkSession, name)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def stages(spark: SparkSession):
+    """What is settled inside is deleted at the end: write the result elsewhere before."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        for path in _SCOPES.pop():
+            folder = hadoop(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_metrics(document: DataFrame, path: str) -> None:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from earshot.operators.merge import missing_rows
-from earshot.sources.pages import flatten_plays
+from earshot.session import require_utc
+from earshot.sources.pages import PAGE_SCHEMAS, play_fields
 
 KEY = ["track_id", "played_at"]
 STORED = (
@@ -17,10 +18,21 @@ STORED = (
 
 
 def polled_pages(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
-    """Landed poll results as a stream of plays: one JSON page per line."""
+    """Landed poll results as a stream of plays: one JSON page per line. A page that cannot
+    be read, and a play without track or time, stays as a row with `problem` and the
+    text it came from."""
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(folder)
-    plays = flatten_plays(lines.select(F.col("value").alias("page")))
-    return plays.filter(F.col("track_id").isNotNull() & F.col("played_at").isNotNull())
+    parsed = lines.select(F.col("value").alias("page"), F.from_json("value", PAGE_SCHEMAS["plays"])["items"].alias("items"))
+    broken = F.col("items").isNull()
+    rows = parsed.select("page", broken.alias("broken"), F.explode(F.when(broken, F.array(F.get("items", F.lit(0)))).otherwise(F.col("items"))).alias("i"))
+    plays = rows.select("page", "broken", F.to_json("i").alias("item"), *play_fields())
+    problem = F.when(F.col("broken"), "page").when(F.col("track_id").isNull(), "track").when(F.col("played_at").isNull(), "time")
+    return plays.withColumns({"problem": problem, "text": F.when(problem == "page", F.col("page")).when(problem.isNotNull(), F.col("item"))}).drop("page", "broken", "item")
+
+
+def readable(plays: DataFrame) -> DataFrame:
+    """The plays of `polled_pages` that can be stored."""
+    return plays.filter("problem IS NULL").drop("problem", "text")
 
 
 def distinct_within(plays: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -33,29 +45,55 @@ def distinct_within(plays: DataFrame, delay: str = "1 day") -> DataFrame:
 
 def append_plays(plays: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Append plays the table lacks, however late they come: start a run over what is
-    available. Each batch is compared only with stored plays of its own days.
+    available. Each batch is compared only with stored plays of its own days, and reads
+    only the folders of these days. Rows of `polled_pages` with a problem go to
+    `<table>_unreadable`.
 
     The batch number is a partition, and a batch run again overwrites what its first
     attempt wrote and ignores it when looking for repeats: the result is the same.
     """
     spark = plays.sparkSession
+    require_utc(spark)
     spark.createDataFrame([], STORED).write.mode("ignore").partitionBy("day", "batch").parquet(table)
 
     def one_batch(polled: DataFrame, batch: int) -> None:
-        rows = polled.withColumn("day", F.to_date("played_at")).persist()  # read for its span and for its rows
+        polled = polled.persist()  # read for its problems, its days and its rows
         try:
-            span = rows.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
-            if span.lo is None:
+            if "problem" in polled.columns:
+                broken = polled.filter("problem IS NOT NULL").select("problem", "text").withColumn("batch", F.lit(batch).cast("bigint"))
+                if not broken.isEmpty():
+                    broken.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{table}_unreadable")
+                polled = readable(polled)
+            rows = polled.withColumn("day", F.to_date("played_at"))
+            days = [r.day for r in rows.select("day").distinct().collect()]  # calendar days of one poll
+            if not days:
                 return
-            stored = rows.sparkSession.read.schema(STORED).parquet(table)
-            near = stored.filter(F.col("day").between(span.lo, span.hi) & (F.col("batch") != batch))
+            near = _days_of(rows.sparkSession, table, days).filter(F.col("batch") != batch)
             added = missing_rows(near.select(*KEY), rows, KEY).withColumn("batch", F.lit(batch).cast("bigint"))
             added.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(table)
         finally:
-            rows.unpersist()
+            polled.unpersist()
 
     return plays.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _days_of(spark: SparkSession, table: str, days: list) -> DataFrame:
+    """Stored plays of these days, from the days' own folders."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    paths = [f"{table}/day={d.isoformat()}" for d in sorted(days)]
+    there = [p for p in paths if hadoop(p).getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop(p))]
+    if not there:
+        return spark.createDataFrame([], STORED)
+    return spark.read.schema(STORED).option("basePath", table).parquet(*there)
+
+
+def compact_plays(spark: SparkSession, table: str, into: str) -> None:
+    """A copy of the table with one folder per day, under batch -1, for the next run to go
+    on with (a state is never written over what is being read). A batch that was cut off
+    finds its plays stored and adds none."""
+    stored = spark.read.schema(STORED).parquet(table).withColumn("batch", F.lit(-1).cast("bigint"))
+    stored.hint("rebalance", "day").write.mode("errorifexists").partitionBy("day", "batch").parquet(into)
+
+
 def stored_plays(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.schema(STORED).parquet(table).drop("day", "batch")

@@ -42,7 +42,7 @@ def test_a_batch_run_again_changes_nothing(spark, tmp_path):
 
 def test_distinct_within_the_watermark(spark, tmp_path):
     land(tmp_path / "in", "p1", page(item("a", 1), item("a", 1), item("b", 1)))
-    stream = S.distinct_within(S.polled_pages(spark, str(tmp_path / "in")))
+    stream = S.distinct_within(S.readable(S.polled_pages(spark, str(tmp_path / "in"))))
     query = stream.writeStream.format("memory").queryName("polled").outputMode("append").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start()
     query.awaitTermination()
     assert rows(spark.table("polled"), "track_id") == [("a",), ("b",)]
@@ -65,3 +65,33 @@ def test_playability(spark):
     got = pages(spark, {"id": "a", "is_playable": True}, {"id": "b", "is_playable": False, "available_markets": ["US"]}, {"id": "c", "available_markets": ["US"]}, {"id": "d", "available_markets": []}, {"id": "e"})
     asked = spark.createDataFrame([(x,) for x in "abcdef"], "track_id string")
     assert rows(P.playability(asked, got, "US")) == [("a", True), ("b", False), ("c", True), ("d", False), ("e", False), ("f", False)]
+
+
+def test_broken_pages_and_plays_go_to_quarantine(spark, tmp_path):
+    late = {"played_at": "whenever", "track": {"id": "x"}}
+    land(tmp_path / "in", "p1", page(item("a", 1), item(None, 2), late), "{not json", '{"other": 1}', page())
+    assert run(spark, tmp_path) == [("a", at(0, 1))]
+    found = spark.read.parquet(f"{tmp_path}/plays_unreadable").collect()
+    assert sorted(r.problem for r in found) == ["page", "page", "time", "track"] and {"{not json", '{"other": 1}'} < {r.text for r in found}
+    pages = spark.createDataFrame([("{not json",), ('{"items": []}',), (page(item("a", 1)),), ("[]",), (None,)], "page string")
+    assert sorted(str(r.page) for r in P.unreadable(pages, "plays").collect()) == ["None", "[]", "{not json"]
+
+
+def test_a_batch_reads_only_its_days(spark, tmp_path):
+    land(tmp_path / "in", "p1", *[page(item("a", d)) for d in range(1, 7)])
+    run(spark, tmp_path)
+    import datetime
+
+    near = S._days_of(spark, str(tmp_path / "plays"), [datetime.date(2024, 1, 2), datetime.date(2030, 1, 1)])
+    assert all("day=2024-01-02" in f for f in near.inputFiles()) and near.count() == 1
+
+
+def test_a_compacted_table_goes_on(spark, tmp_path):
+    land(tmp_path / "in", "p1", page(item("a", 1), item("b", 1)))
+    land(tmp_path / "in", "p2", page(item("c", 1)))
+    run(spark, tmp_path)
+    S.compact_plays(spark, str(tmp_path / "plays"), str(tmp_path / "next"))
+    assert {f.split("/next/")[1].split("/part")[0] for f in spark.read.parquet(f"{tmp_path}/next").inputFiles()} == {"day=2024-01-01/batch=-1"}
+    land(tmp_path / "in", "p3", page(item("a", 1), item("d", 1)))
+    S.append_plays(S.polled_pages(spark, str(tmp_path / "in")), str(tmp_path / "next"), str(tmp_path / "state")).awaitTermination()
+    assert rows(S.stored_plays(spark, str(tmp_path / "next")), "track_id") == [("a",), ("b",), ("c",), ("d",)]
