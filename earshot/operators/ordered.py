@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from earshot.functions.times import DAY, HOUR, SECOND
+from earshot.operators.skew import small
 from earshot.sources.snapshots import settle
 
 ROWS_PER_PIECE = 1_000_000
@@ -31,9 +32,10 @@ def cell(value: str | Column, width: int) -> Column:
 
 def above(sizes: DataFrame, count: str, limit: int = ROWS_PER_PIECE) -> DataFrame | None:
     """The groups of `sizes` with more than `limit` rows, or None if there are none. Of N
-    rows at most N / limit groups are so heavy: the result is small enough to broadcast."""
+    rows at most N / limit groups are so heavy; they are written, so that their size is known
+    when they are joined."""
     heavy = sizes.filter(F.col(count) > limit).drop(count)
-    return None if heavy.isEmpty() else heavy
+    return None if heavy.isEmpty() else settle(heavy, "heavy")
 
 
 def grains(df: DataFrame, by: list[str], us: str, heavy: DataFrame | None, limit: int = ROWS_PER_PIECE) -> DataFrame | None:
@@ -41,8 +43,8 @@ def grains(df: DataFrame, by: list[str], us: str, heavy: DataFrame | None, limit
     else one second."""
     if heavy is None:
         return None
-    inside = df.join(F.broadcast(heavy), by).groupBy(*by, cell(us, HOUR).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
-    return inside.groupBy(*by).agg(F.when(F.max("n") > limit, 1).otherwise(HOUR // SECOND).alias("grain"))
+    inside = df.join(small(heavy), by).groupBy(*by, cell(us, HOUR).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    return settle(inside.groupBy(*by).agg(F.when(F.max("n") > limit, 1).otherwise(HOUR // SECOND).alias("grain")), "grains")
 
 
 def hour_sizes(us: DataFrame) -> DataFrame:
@@ -59,7 +61,7 @@ def neighbour_in_group(
     order = [us, *payload]
     if heavy is None:
         return df.withColumns(_near(order, W.partitionBy(*by).orderBy(*_way(order, ahead))))
-    cut = df.join(F.broadcast(heavy), by, "left").withColumn("_piece", cell(us, SECOND) - F.pmod(cell(us, SECOND), F.col("grain")))
+    cut = df.join(small(heavy), by, "left").withColumn("_piece", cell(us, SECOND) - F.pmod(cell(us, SECOND), F.col("grain")))
     edges = _edges(cut.filter(F.col("grain").isNotNull()), by, order, ahead)
     return _with_carry(cut.drop("grain"), by, order, ahead, _carry_by_day(edges, by, ahead))
 
@@ -78,7 +80,7 @@ def neighbour(
         edges = _edges(outline.withColumn("_piece", piece), [], order, ahead)  # one row per hour: a century is 876,600 rows
         carry = edges.select("_piece", F.lead("_edge").over(W.orderBy(*_way(["_piece"], ahead))).alias("_carry"))
         return _with_carry(df.withColumn("_piece", piece), [], order, ahead, carry)
-    heavy = F.broadcast(heavy.select("hour", F.lit(True).alias("_heavy")))
+    heavy = small(heavy.select("hour", F.lit(True).alias("_heavy")))
 
     def pieces(rows):
         marked = rows.withColumn("hour", hour).join(heavy, "hour", "left")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from earshot.functions.times import HOUR, SECOND, micros
 from earshot.operators.ordered import above, cell, neighbour, neighbour_in_group
-from earshot.operators.skew import lookup_join
+from earshot.operators.skew import lookup_join, small
 
 PLAY_COLUMNS = (
     "track_id", "track_name", "artist_id", "artist_name", "album_id", "album_name", "album_type", "duration_ms", "played_at",
@@ -125,7 +125,7 @@ def crowded_seconds(rows: DataFrame, heavy_hours: DataFrame | None, limit: int)
     """Whether a second of a heavy hour holds more than `limit` rows of `instants`."""
     if heavy_hours is None:
         return False
-    inside = rows.select("us", cell("us", HOUR).alias("hour")).join(F.broadcast(heavy_hours), "hour")
+    inside = rows.select("us", cell("us", HOUR).alias("hour")).join(small(heavy_hours), "hour")
     return above(inside.groupBy(cell("us", SECOND).alias("second")).agg(F.count(F.lit(1)).alias("n")), "n", limit) is not None
 
 

@@ -40,6 +40,11 @@ def fits_broadcast(df: DataFrame) -> bool:
     return planned_bytes(df) <= broadcast_limit(df)
 
 
+def small(df: DataFrame) -> DataFrame:
+    """`df` to be broadcast if its planned size allows it."""
+    return F.broadcast(df) if fits_broadcast(df) else df
+
+
 def hot_keys(sizes: DataFrame, keys: list[str], count: str, at_least: int | None = None) -> DataFrame:
     """Of key counts, the HOT_KEYS most frequent keys with more than HOT_ROWS rows (or
     `at_least`), and in `_salts` how many pieces each is to be cut into.

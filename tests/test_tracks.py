@@ -138,3 +138,12 @@ def test_fuzzy_tolerance_is_inclusive(spark, ms, hit):
     assert (K.matched_keys(tracks, keys).count() == 1) == hit
     counted = keys.withColumns({"n": F.lit(1).cast("bigint"), "first_at": F.lit(at(0)), "last_at": F.lit(at(0))})
     assert (K.fuzzy_by_key(tracks, counted).count() == 1) == hit
+
+
+def test_base_tracks_plan_each_table_once_without_broadcast(spark, no_broadcast):
+    from checks.context import Context
+
+    c = Context.of(spark, "/root/testdata/sf0.001")
+    build = c.fresh_build()
+    plan = build.base._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 14 and plan.count("Exchange") <= 24
