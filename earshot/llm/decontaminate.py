@@ -3,8 +3,8 @@
 Texts and benchmark items are sequences of words. An item leaks into a document if some passage of it is within
 `max_edit` of the item's length in word edits. The search, per document and without a shuffle:
 
-1. A gate that loses nothing: k edits break at most 2k of an item's n-1 word pairs, so a passage of n+k words
-   with fewer than n-1-2k pairs of the benchmark cannot match an item of n words.
+1. A gate that loses nothing: k edits break at most 2k of the word pairs of an item of n words. So the document
+   must hold all but 2k of the item's distinct pairs, and a passage of n+k words n-1-2k of its pairs.
 2. CGK embedding of the item-sized windows that remain: a random walk copies the words to three times the length,
    stepping on by a random bit of (step, word). Few edits give a small Hamming distance.
 3. Bit-sampling LSH: tables of sampled places of several embeddings; a window and an item of its size meet if one
@@ -82,7 +82,10 @@ class BenchmarkBlock:
     ids: list
     items: list[np.ndarray]
     vocabulary: dict[str, int]
-    pairs: np.ndarray
+    grams: np.ndarray  # the distinct word pairs of all items, sorted
+    holders: np.ndarray  # the items that hold each, one list after another
+    holder_ends: np.ndarray
+    item_grams: list[np.ndarray]  # by number, per item
     max_edit: float
     sampled: np.ndarray  # tables x places, as shares of the embedding's length
     seeds: list[int]  # the embedding of each table
@@ -140,7 +143,12 @@ def build_block(
         return None
     vocabulary = {w: n for n, w in enumerate(dict.fromkeys(w for _, ws in split for w in ws))}
     coded = [np.array([vocabulary[w] for w in ws], np.int64) for _, ws in split]
-    pairs = np.unique(np.concatenate([c[:-1] * len(vocabulary) + c[1:] for c in coded]))
+    codes = [_gram_codes(c, len(vocabulary), True) if len(c) == 1 else _gram_codes(c, len(vocabulary), False) for c in coded]
+    grams = np.unique(np.concatenate(codes))
+    item_grams = [np.unique(np.searchsorted(grams, c)) for c in codes]
+    held = np.concatenate(item_grams)
+    holders = np.repeat(np.arange(len(coded)), [len(g) for g in item_grams])[np.argsort(held, kind="stable")]
+    holder_ends = np.cumsum(np.bincount(held, minlength=len(grams)))
     rng = np.random.default_rng(20)
     trial = [coded[i] for i in rng.integers(len(coded), size=256)]
     copies = [_edited(c, int(len(c) * max_edit + 1e-9), rng) for c in trial]
@@ -155,7 +163,7 @@ def build_block(
     miss = 1 - np.array(agree) ** places  # of one table, per embedding and copy
     rounds = next((r for r in range(1, most_tables // embeddings) if (1 - (miss**r).prod(0)).mean() >= target_recall), most_tables // embeddings)
     seeds = [s for s in range(embeddings) for _ in range(rounds)]
-    block = BenchmarkBlock([i for i, _ in split], coded, vocabulary, pairs, max_edit, rng.random((len(seeds), places)), seeds, None, None)
+    block = BenchmarkBlock([i for i, _ in split], coded, vocabulary, grams, holders, holder_ends, item_grams, max_edit, rng.random((len(seeds), places)), seeds, None, None)
     sig = block.signatures(_padded(coded, width), np.array([len(c) for c in coded]))
     keys, owners = sig.ravel(), np.repeat(np.arange(len(coded)), len(seeds))
     order = np.argsort(keys, kind="stable")
@@ -163,59 +171,79 @@ def build_block(
     return block
 
 
+def _gram_codes(words_: np.ndarray, vocabulary: int, single: bool) -> np.ndarray:
+    """Codes of the word pairs of a sequence, or of its single words; -1 where a word is unknown."""
+    if single:
+        return np.where(words_ >= 0, vocabulary * vocabulary + words_, -1)
+    left, right = words_[:-1], words_[1:]
+    return np.where((left >= 0) & (right >= 0), left * vocabulary + right, -1)
+
+
 def _windows(block: BenchmarkBlock, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, first word, item size) of every window that the gate leaves."""
-    sizes = np.unique([len(c) for c in block.items])
+    """(document, first word, item) of every item-sized window that the gate leaves."""
+    v, many = len(block.vocabulary), len(block.items)
+    sizes = np.array([len(c) for c in block.items])
     k = block.edits(sizes)
-    need = sizes - 1 - 2 * k
+    distinct = np.array([len(g) for g in block.item_grams])
+    in_doc, in_window = np.maximum(1, distinct - 2 * k), np.maximum(1, sizes - 1 - 2 * k)
+    kinds = ([False] if (sizes > 1).any() else []) + ([True] if (sizes == 1).any() else [])
     found = []
     for d, doc in enumerate(docs):
-        if len(doc) < (sizes - k).min():
+        places = []  # the gram that starts at each word, per kind of gram
+        for single in kinds:
+            codes = _gram_codes(doc, v, single)
+            at = np.minimum(np.searchsorted(block.grams, codes), len(block.grams) - 1)
+            places.append(np.where(block.grams[at] == codes, at, -1))
+        met = np.unique(np.concatenate(places)) if places else np.zeros(0, np.int64)
+        met = met[met >= 0]
+        if not len(met):
             continue
-        code = doc[:-1] * len(block.vocabulary) + doc[1:]
-        known = (doc[:-1] >= 0) & (doc[1:] >= 0)
-        hit = np.zeros(len(doc) + 1, np.int64)
-        if known.any():
-            at = np.minimum(np.searchsorted(block.pairs, code[known]), len(block.pairs) - 1)
-            places = np.flatnonzero(known)[block.pairs[at] == code[known]] if len(block.pairs) else np.array([], np.int64)
-            hit[places + 1] = 1
-        running = np.cumsum(hit)
-        for n, kk, least in zip(sizes.tolist(), k.tolist(), need.tolist()):
-            if len(doc) < n - kk or (least > 0 and running[-1] < least):
+        ends = block.holder_ends[met]
+        lengths = ends - np.where(met > 0, block.holder_ends[met - 1], 0)
+        offsets = np.arange(lengths.sum()) + np.repeat(ends - np.cumsum(lengths), lengths)
+        shared = np.bincount(block.holders[offsets], minlength=many)
+        for i in np.flatnonzero(shared >= in_doc).tolist():
+            n, kk = int(sizes[i]), int(k[i])
+            if len(doc) < n - kk:
                 continue
+            own = np.zeros(len(block.grams) + 1, bool)  # the last stands for no gram
+            own[block.item_grams[i]] = True
+            running = np.zeros(len(doc) + 1, np.int64)
+            hits = own[places[kinds.index(n == 1)]]
+            running[1 : len(hits) + 1] = np.cumsum(hits)
+            running[len(hits) + 1 :] = running[len(hits)]
             starts = np.arange(len(doc) - (n - kk) + 1)
-            last = np.minimum(starts + n + kk - 1, len(doc) - 1)
-            ok = starts[running[last] - running[starts] >= least]
-            found.append(np.stack([np.full(len(ok), d), ok, np.full(len(ok), n)]))
+            grams_in = 1 if n == 1 else n + kk - 1
+            ok = starts[running[np.minimum(starts + grams_in, len(doc))] - running[starts] >= in_window[i]]
+            found.append(np.stack([np.full(len(ok), d), ok, np.full(len(ok), i)]))
     return tuple(np.concatenate(found, 1)) if found else (np.array([], np.int64),) * 3
 
 
 def find_leaks(block: BenchmarkBlock, docs: list[list[str]]) -> list[tuple[int, int, int, int, int]]:
     """(document, item, edits, first word, words) of the closest passage of each document and item that match;
     of equally close ones the first."""
-    coded = [np.array([block.vocabulary.get(w, UNKNOWN) for w in ws], np.int64) for ws in docs]
-    doc, start, size = _windows(block, coded)
+    coded = [np.fromiter((block.vocabulary.get(w, UNKNOWN) for w in ws), np.int64, len(ws)) for ws in docs]
+    doc, start, wanted = _windows(block, coded)
+    sizes = np.array([len(c) for c in block.items])
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     for a in range(0, len(doc), 20_000):
-        d, s, n = doc[a : a + 20_000], start[a : a + 20_000], size[a : a + 20_000]
-        width = int(n.max())
-        rows = _padded([coded[i][j : j + m] for i, j, m in zip(d.tolist(), s.tolist(), n.tolist())], width)
+        d, s, i = doc[a : a + 20_000], start[a : a + 20_000], wanted[a : a + 20_000]
+        n = sizes[i]
+        rows = _padded([coded[x][y : y + m] for x, y, m in zip(d.tolist(), s.tolist(), n.tolist())], int(n.max()))
         sig = block.signatures(rows, n)
         low, high = np.searchsorted(block.keys, sig, "left"), np.searchsorted(block.keys, sig, "right")
-        met = high - low
-        window = np.repeat(np.arange(len(d)), met.sum(1))
-        offset = np.arange(met.sum()) - np.repeat(np.cumsum(met.ravel()) - met.ravel(), met.ravel())
-        item = block.owners[np.repeat(low.ravel(), met.ravel()) + offset]
-        pairs = np.unique(window * len(block.items) + item)
-        window, item = pairs // len(block.items), pairs % len(block.items)
+        met = (high - low).ravel()
+        window = np.repeat(np.repeat(np.arange(len(d)), sig.shape[1]), met)
+        item = block.owners[np.repeat(low.ravel(), met) + np.arange(met.sum()) - np.repeat(np.cumsum(met) - met, met)]
+        window = np.unique(window[item == i[window]])  # an item that the gate excluded cannot match
         for m in np.unique(n[window]).tolist():
-            mine = n[window] == m
-            w, i, k = window[mine], item[mine], int(block.edits(np.array(m)))
+            w = window[n[window] == m]
+            k = int(block.edits(np.array(m)))
             passages = [coded[x][y : y + m + k] for x, y in zip(d[w].tolist(), s[w].tolist())]
             lengths = np.array([len(p) for p in passages])
-            distance, words_used = edit_distances(np.stack([block.items[x] for x in i]), _padded(passages, m + k), lengths)
+            distance, used = edit_distances(np.stack([block.items[x] for x in i[w]]), _padded(passages, m + k), lengths)
             for j in np.flatnonzero(distance <= k).tolist():
-                key, value = (int(d[w[j]]), int(i[j])), (int(distance[j]), int(s[w[j]]), int(words_used[j]))
+                key, value = (int(d[w[j]]), int(i[w[j]])), (int(distance[j]), int(s[w[j]]), int(used[j]))
                 if key not in best or value < best[key]:
                     best[key] = value
     return [(d, i, *v) for (d, i), v in sorted(best.items())]
