@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import as_texts, map_texts
+from earshot.llm.common import as_texts, map_texts, resident
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -57,21 +57,23 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.IGNORECASE) for name in RAW}
 
 
-def _outside(name: str, attributes: str, in_article: bool) -> bool:
+def _outside(name: str, attributes: str, in_article: bool) -> int:
+    """2 for an element that never holds article text, 1 for one whose marks say so (unless it turns out to hold
+    the article), else 0."""
     if name in OUTSIDE or (name == "header" and not in_article):
-        return True
+        return 2
     if not attributes or name in ("html", "body", "article", "main"):
-        return False
+        return 0
     if _HIDDEN.search(attributes):
-        return True
-    return any(w.lower() in MARKS for m in _MARKED.finditer(attributes) for w in _WORDS.findall(m[1] or m[2] or m[3] or ""))
+        return 2
+    return int(any(w.lower() in MARKS for m in _MARKED.finditer(attributes) for w in _WORDS.findall(m[1] or m[2] or m[3] or "")))
 
 
 class Page:
     """The nodes of a page in document order: parent, name, whether cut, and the text pieces with their node."""
 
     def __init__(self, html: str):
-        self.parent, self.name, self.cut = [-1], ["#page"], [False]
+        self.parent, self.name, marked = [-1], ["#page"], [0]
         self.pieces: list[tuple[int, str]] = []  # (node, text); a block boundary is (node, None)
         open_nodes, at, in_article = [0], 0, 0
         find = _TOKEN.search
@@ -117,7 +119,7 @@ class Page:
             node = len(self.name)
             self.parent.append(open_nodes[-1])
             self.name.append(name)
-            self.cut.append(self.cut[open_nodes[-1]] or _outside(name, attributes, in_article > 0))
+            marked.append(_outside(name, attributes, in_article > 0))
             if block:
                 self.pieces.append((node, None))
             elif name == "br":
@@ -129,6 +131,13 @@ class Page:
                 open_nodes.append(node)
                 in_article += name in ("article", "main")
 
+        holds = [name in ("article", "main") for name in self.name]
+        for i in range(len(holds) - 1, 0, -1):
+            holds[self.parent[i]] |= holds[i]
+        self.cut = [False]
+        for i in range(1, len(holds)):
+            self.cut.append(self.cut[self.parent[i]] or marked[i] == 2 or (marked[i] == 1 and not holds[i]))
+
     def _close(self, open_nodes: list[int], names: tuple, scope: tuple) -> None:
         for depth in range(len(open_nodes) - 1, 0, -1):
             name = self.name[open_nodes[depth]]
@@ -219,6 +228,7 @@ def main_texts(pages: DataFrame, *, page_id: str = "page_id", url: str = "url",
     """
 
     def make():
+        resident(None, None)
         def step(values: pa.Array):
             texts = [main_text(h) for h in as_texts(values)]
             return pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())

@@ -23,6 +23,7 @@ NOISE = (
         ("<article><ul><li>a<li>b</ul><table><tr><td>1<td>2</table></article>", "a b 1 2"),
         ("<article><p>before</p><div class='share social'>Tweet</div><p>after &#233; &bogus;</p></article>", "before after é &bogus;"),
         ("<article><p>quoted '<b title=\"a>b\">x</b>' 1 < 2 & so</p></article>", "quoted 'x' 1 < 2 & so"),
+        ("<div class='page has-sidebar'><article><p>Held by a marked element.</p></article></div>", "Held by a marked element."),
         ("", ""),
     ],
 )
