@@ -16,7 +16,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
+
+
+_RESIDENT: dict = {}
+
+
+def resident(key, build: Callable):
+    """What a Python worker keeps between tasks: the thing built for `key`, and nothing built for another."""
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        if key is not None:
+            _RESIDENT[key] = build()
+    return _RESIDENT.get(key)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +40,15 @@ def fold(key: str | Column, of: int) -> Column:
     return F.crc32(F.col(key).cast("string") if isinstance(key, str) else key.cast("string")) % of
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of `batches` in slices whose texts (column number `column`) have about `max_bytes`."""
+def texts_in(batch: pa.RecordBatch, column: int, field: str | None = None) -> pa.Array:
+    """The texts of a batch: a column, or a field of a struct column."""
+    return batch.column(column) if field is None else batch.column(column).field(field)
+
+
+def text_batches(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int = BATCH_BYTES, field: str | None = None) -> Iterator[pa.RecordBatch]:
+    """The rows of `batches` in slices whose texts (see `texts_in`) have about `max_bytes`."""
     for batch in batches:
-        texts = batch.column(column)
+        texts = texts_in(batch, column, field)
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         block = np.cumsum(sizes, dtype=np.int64) // max_bytes
         cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(sizes)]
@@ -40,6 +57,11 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int
                 yield batch.slice(a, b - a)
 
 
+def whole_rows(docs: DataFrame) -> Column:
+    """All columns of `docs` as one struct, so that no name can clash with a new column."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def as_bytes(texts: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null counts as empty."""
     return [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
@@ -51,22 +73,36 @@ def as_texts(texts: pa.Array) -> list[str]:
 
 
 def map_texts(
-    df: DataFrame, keys: dict[str, str | Column], text: str | Column, make: Callable[[], Callable], schema: str, max_bytes: int = BATCH_BYTES
+    df: DataFrame, keys: dict[str, str | Column], text: str | Column, make: Callable[[], Callable], schema: str, max_bytes: int = BATCH_BYTES, inside: str | None = None
 ) -> DataFrame:
     """One row per row of `df`: the key columns, then what a Python step makes of the text.
 
     `make()` runs once per task and returns the step, which takes the Arrow array of texts and returns the
     arrays of the columns named in `schema`. Only keys and text travel to Python, whatever else `df` holds.
+    `inside` names a key that is a struct and holds the text as its field `text`; then it travels once.
     """
-    kept = df.select(*[(F.col(c) if isinstance(c, str) else c).alias(k) for k, c in keys.items()], (F.col(text) if isinstance(text, str) else text).alias("__text"))
-    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
+    column = lambda c: F.col(c) if isinstance(c, str) else c
+    kept = df.select(*[column(c).alias(k) for k, c in keys.items()], *([] if inside else [column(text).alias("__text")]))
     width = len(keys)
+    fields = kept.schema.fields[:width]
+    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    at, field = ([f.name for f in fields].index(inside), text) if inside else (width, None)
 
     def run(batches):
         step = make()
-        for batch in text_batches(batches, width, max_bytes):
-            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *step(batch.column(width))], names=names)
+        for batch in text_batches(batches, at, max_bytes, field):
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *step(texts_in(batch, at, field))], names=names)
+        pa.default_memory_pool().release_unused()
 
     out = f"{head}, {schema}" if head else schema
-    names = [f.name for f in kept.schema.fields[:-1]] + StructType.fromDDL(schema).names
+    names = [f.name for f in fields] + StructType.fromDDL(schema).names
     return kept.mapInArrow(run, out)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written stages that nothing will read again (each from `settle`, in a folder of its own)."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from earshot.llm.common import discard
 from earshot.sources.snapshots import settle
 
 
@@ -15,9 +16,10 @@ def _to_roots(parents: DataFrame) -> DataFrame:
         above = current.select(F.col("node").alias("root"), F.col("root").alias("next"))
         jumped = current.join(above, "root", "left").select("node", "root", F.coalesce("next", "root").alias("next"))
         jumped = settle(jumped, "parents")
+        discard(current)
         moved = not jumped.filter("next <> root").isEmpty()
         current = jumped.select("node", F.col("next").alias("root"))
-        if not moved:
+        if not moved:  # then `next` and `root` are one
             return current
 
 

@@ -7,11 +7,11 @@ exact and never lists the pairs of a group of copies:
 2. Classes that share min-hashes are compared with one centre per bucket (the class with most copies). What links
    is a component already, so a large group of near copies costs one comparison per member.
 3. Linked sets share one of their first few n-grams under any one order of all n-grams (prefix filter). The order
-   is by hash, with n-grams met in many prefixes last, so passages that many documents share do not bring them
-   together. Only n-grams whose classes are not all in one component go on.
+   is by hash, with n-grams met in many prefixes by hash last, so passages that many documents share do not bring
+   them together. Only n-grams whose classes are not all in one component go on.
 4. The classes that meet at an n-gram form a signature tree (`signature_tree`); an n-gram with many classes is cut
    into blocks by size band and hash, and pairs of blocks that sizes allow are joined.
-5. Pairs the trees leave are verified on the whole sets.
+5. Pairs the trees leave are bounded once more with wide bitmaps and then verified on the whole sets.
 6. Components of all links.
 """
 
@@ -25,15 +25,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import as_bytes, map_texts
+from earshot.llm.common import as_bytes, discard, map_texts, resident
 from earshot.llm.components import components
-from earshot.llm.signature_tree import bitmaps, overlapping_pairs, signature
+from earshot.llm.signature_tree import bitmaps, may_overlap, overlapping_pairs, signature
 from earshot.sources.snapshots import settle
 
 MIN_HASHES = 6
 HOT = 32
 HOT_SLOTS = 1 << 22
 BLOCK = 1_024
+WIDE = 4_096  # bits of the second bound
+HELD_PAIRS = 1 << 20  # pairs a task remembers having told
+BROADCAST_IDS = 2_000_000  # some 100 MB as a hashed relation
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -83,6 +86,7 @@ def _class_rows(docs: DataFrame, doc_id: str, text: str, words: int, percent: in
     """doc_id, n, key (128 bits of the set), mins, prefix of every row."""
 
     def make():
+        resident(None, None)
         seeds = [_mix(np.full(1, np.uint64(i + 1)))[0] for i in range(MIN_HASHES)]
 
         def step(texts: pa.Array):
@@ -93,13 +97,21 @@ def _class_rows(docs: DataFrame, doc_id: str, text: str, words: int, percent: in
 
         return step
 
-    return map_texts(docs, {"doc_id": doc_id}, text, make, "n long, key binary, mins array<bigint>, prefix array<bigint>")
+    return map_texts(docs, {"doc_id": F.col(doc_id).cast("long")}, text, make, "n long, key binary, mins array<bigint>, prefix array<bigint>")
+
+
+def _texts_of(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """id and text of the documents in `ids` (a written table). Their keys are counted, and broadcast if no more
+    than BROADCAST_IDS; else the texts are shuffled to them."""
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi")
 
 
 def _signed_rows(docs: DataFrame, doc_id: str, text: str, words: int, percent: int, hot: np.ndarray) -> DataFrame:
     """rep, n, key, prefix with frequent n-grams last, sig of every row."""
 
     def make():
+        resident(None, None)
         def step(texts: pa.Array):
             sets = [shingles(t, words) for t in as_bytes(texts)]
             keys = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
@@ -108,37 +120,44 @@ def _signed_rows(docs: DataFrame, doc_id: str, text: str, words: int, percent: i
 
         return step
 
-    return map_texts(docs, {"rep": doc_id}, text, make, "n long, key binary, prefix array<bigint>, sig binary")
+    return map_texts(docs, {"rep": F.col(doc_id).cast("long")}, text, make, "n long, key binary, prefix array<bigint>, sig binary")
+
+
+def _with_both(pairs: DataFrame, about: DataFrame, *columns: str) -> DataFrame:
+    """The pairs with these columns of both documents, as x_.. and y_.."""
+    for end, prefix in (("a", "x"), ("b", "y")):
+        pairs = pairs.join(about.select(F.col("id").alias(end), *[F.col(c).alias(f"{prefix}_{c}") for c in columns]), end)
+    return pairs.select("a", "b", *[f"{p}_{c}" for p in "xy" for c in columns])
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough. Only the documents in pairs are read again."""
     pairs = settle(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(ids, "id", "left_semi").dropDuplicates()
+    ids = settle(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
 
     def make():
+        resident(None, None)
         def step(texts: pa.Array):
-            return (pa.array([shingles(t, words).tobytes() for t in as_bytes(texts)], pa.binary()),)
+            sets = [shingles(t, words) for t in as_bytes(texts)]
+            return pa.array(map(len, sets), pa.int64()), pa.array([signature(s, WIDE) for s in sets], pa.binary()), _lists(sets)
 
         return step
 
-    sets = settle(map_texts(texts, {"id": "id"}, "text", make, "members binary"), "sets")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
-    kinds = both.select("a", "b").schema
+    sets = settle(map_texts(_texts_of(docs, ids, doc_id, text).dropDuplicates(), {"id": "id"}, "text", make, "n long, wide binary, members array<bigint>"), "sets")
 
-    def similar(batches):
+    def possible(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) else 0
-                keep.append(shared > 0 and 100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            x_size, x, y_size, y = batch.columns[2:]
+            keep = may_overlap(bitmaps(x.to_pylist(), WIDE), bitmaps(y.to_pylist(), WIDE), x_size.to_numpy(), y_size.to_numpy(), percent)
+            yield batch.select([0, 1]).filter(pa.array(keep))
 
-    return settle(both.select("a", "b", "x", "y").mapInArrow(similar, kinds), "links")
+    schema = pairs.select("a", "b").schema
+    left = settle(_with_both(pairs, sets, "n", "wide").mapInArrow(possible, schema).distinct(), "possible")
+    shared, sizes = F.size(F.array_intersect("x_members", "y_members")), F.col("x_n") + F.col("y_n")
+    similar = (shared > 0) & (100 * shared >= percent * (sizes - shared))
+    links = settle(_with_both(left, sets, "n", "members").filter(similar).select("a", "b"), "links")
+    discard(pairs, ids, sets, left)
+    return links
 
 
 def _seed_pairs(reps: DataFrame, percent: int) -> DataFrame:
@@ -153,16 +172,21 @@ def _seed_pairs(reps: DataFrame, percent: int) -> DataFrame:
     return agreeing.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
 
 
-def _hot_slots(tokens: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size: the hash slots of n-grams that many prefixes hold. It only orders n-grams, so a slot
-    that a rare one shares costs time and no result."""
-    met = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("met"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-    slot = F.shiftrightunsigned("token", 42)
-    bits = F.expr("shiftleft(1L, cast(slot & 63 AS INT))")
-    found = met.filter((F.col("met") >= HOT) & (F.col("low") != F.col("high"))).select(slot.alias("slot"))
-    rows = found.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.expr(f"bit_or({'shiftleft(1L, cast(slot & 63 AS INT))'})").alias("bits")).collect()
+def _shared_tokens(tokens: DataFrame) -> DataFrame:
+    """token, members: the n-grams of (rep, comp, token) that classes of different components hold."""
+    met = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    return met.filter("members > 1 AND low <> high").select("token", "members")
+
+
+def _hot_slots(shared: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size: the hash slots of n-grams that HOT prefixes or more hold. It only orders n-grams, so
+    a slot that a rare one shares costs time and no result."""
+    slot = F.shiftrightunsigned("token", 42).alias("slot")
+    bits = F.expr("bit_or(shiftleft(1L, cast(slot & 63 AS INT)))").alias("bits")
+    met = shared.filter(F.col("members") >= HOT).select(slot)
+    rows = met.groupBy(F.shiftright("slot", 6).alias("word")).agg(bits).collect()  # at most HOT_SLOTS / 64
     out = np.zeros(HOT_SLOTS // 64, np.int64)
-    for r in rows:  # at most HOT_SLOTS / 64
+    for r in rows:
         out[r.word] = r.bits
     return out.view(np.uint64)
 
@@ -170,9 +194,7 @@ def _hot_slots(tokens: DataFrame) -> np.ndarray:
 def _met_in_trees(rows: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs of classes of different components that share a prefix n-gram and pass the trees' bounds."""
     tokens = rows.select("rep", "comp", F.explode("prefix").alias("token"))
-    live = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-    live = live.filter("members > 1 AND low <> high").select("token", "members")
-    members = tokens.select("token", "rep").join(live, "token").join(rows.select("rep", "n", "comp", "sig"), "rep")
+    members = tokens.select("token", "rep").join(_shared_tokens(tokens), "token").join(rows.select("rep", "n", "comp", "sig"), "rep")
 
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     band = F.floor(F.log(F.col("n")) / (log(100 / percent) * 1.000001) if percent < 100 else F.col("n")).cast("int")
@@ -199,6 +221,13 @@ def _met_in_trees(rows: DataFrame, percent: int) -> DataFrame:
     return placed.mapInArrow(_tree_step(percent), f"a {key}, b {key}").distinct()
 
 
+def _distinct(pairs) -> np.ndarray:
+    """The distinct rows of some arrays of pairs."""
+    rows = np.concatenate([np.zeros((0, 2), np.int64), *pairs])
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    return rows[np.r_[True, (rows[1:] != rows[:-1]).any(1)]] if len(rows) else rows
+
+
 def _tree_step(percent: int):
     def pairs_of(table: pa.Table):
         group = np.stack([table.column(i).to_numpy().astype(np.int64) for i in range(5)], 1)
@@ -210,10 +239,12 @@ def _tree_step(percent: int):
                 i, j = overlapping_pairs(bits[a:b], sizes[a:b], comps[a:b], sides[a:b].astype(np.int64), percent)
                 if len(i):
                     x, y = reps[a:b][i], reps[a:b][j]
-                    yield np.minimum(x, y), np.maximum(x, y)
+                    yield np.stack([np.minimum(x, y), np.maximum(x, y)], 1)
 
     def run(batches):
         held: list[pa.RecordBatch] = []  # the last group of a batch may go on in the next
+        found: list[np.ndarray] = []  # a pair meets at many n-grams: told once for all groups of a task
+        size = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -223,17 +254,21 @@ def _tree_step(percent: int):
             cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
             if cut:
                 held[-1] = batch.slice(0, cut)
-                yield from emit(held)
-                held = [batch.slice(cut)]
+                new = _distinct(pairs_of(pa.Table.from_batches(held)))
+                found, size, held = [*found, new], size + len(new), [batch.slice(cut)]
+                if size > HELD_PAIRS:
+                    found = [_distinct(found)]
+                    size = len(found[0])
+                    if 2 * size > HELD_PAIRS:
+                        yield told(found[0])
+                        found, size = [], 0
         if held:
-            yield from emit(held)
-
-    def emit(held):
-        found = list(pairs_of(pa.Table.from_batches(held)))
+            found.append(_distinct(pairs_of(pa.Table.from_batches(held))))
         if found:
-            a, b = (np.concatenate(x) for x in zip(*found))
-            pairs = np.unique(np.stack([a, b], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            yield told(_distinct(found))
+
+    def told(pairs):
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     return run
 
@@ -254,12 +289,13 @@ def ngram_components(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_
 
     seeds = _verified(docs, _seed_pairs(reps, percent), doc_id, text, words, percent)
     grown = components(seeds).select(F.col("node").alias("rep"), F.col("label").alias("comp"))
-    labelled = settle(reps.join(grown, "rep", "left").select("key", "rep", F.coalesce("comp", "rep").alias("comp"), "prefix"), "labelled")
-    hot = _hot_slots(labelled.select("comp", F.explode("prefix").alias("token")))
-
-    signed = _signed_rows(docs, doc_id, text, words, percent, hot).join(labelled.select("key", "rep", "comp"), ["key", "rep"])
-    rows = settle(signed.select("rep", "n", "comp", "prefix", "sig", "key").dropDuplicates(["key", "rep"]), "signed")
+    labelled = settle(reps.select("key", "rep", "prefix").join(grown, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "labelled")
+    tokens = labelled.select("rep", "comp", F.explode("prefix").alias("token"))
+    shared = settle(_shared_tokens(tokens), "shared")
+    signed = _signed_rows(docs, doc_id, text, words, percent, _hot_slots(shared))
+    rows = settle(signed.join(labelled.select("key", "rep", "comp"), ["key", "rep"]).dropDuplicates(["key", "rep"]), "signed")
     links = _verified(docs, _met_in_trees(rows, percent), doc_id, text, words, percent)
+    discard(reps, labelled, shared, rows)
 
     several = named.groupBy("doc_id").agg(F.min("key").alias("k"), F.max("key").alias("l")).filter("k <> l").select("doc_id")
     owned = named.join(several, "doc_id").select("doc_id", "key").distinct().join(classes.select("key", "rep"), "key")

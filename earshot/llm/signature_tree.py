@@ -17,15 +17,22 @@ FANOUT = 8
 LEAF = 8
 
 
-def signature(members: np.ndarray) -> bytes:
-    """The bitmap of hashed members as BITS / 8 bytes."""
-    bits = np.zeros(BITS, np.uint8)
-    bits[(members >> np.uint64(11)).astype(np.int64) % BITS] = 1
+def signature(members: np.ndarray, width: int = BITS) -> bytes:
+    """The bitmap of hashed members as width / 8 bytes."""
+    bits = np.zeros(width, np.uint8)
+    bits[(members >> np.uint64(11)).astype(np.int64) % width] = 1
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def bitmaps(signatures: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(signatures), "<u8").reshape(len(signatures), BITS // 64)
+def bitmaps(signatures: list[bytes], width: int = BITS) -> np.ndarray:
+    return np.frombuffer(b"".join(signatures), "<u8").reshape(len(signatures), width // 64)
+
+
+def may_overlap(x: np.ndarray, y: np.ndarray, x_size: np.ndarray, y_size: np.ndarray, percent: int) -> np.ndarray:
+    """Row by row, whether sets with these bitmaps and sizes can be similar enough."""
+    count = lambda bits: np.bitwise_count(bits).sum(1, dtype=np.int64)
+    overlap = np.minimum(x_size - count(x & ~y), y_size - count(y & ~x))
+    return (100 + percent) * overlap >= percent * (x_size + y_size)
 
 
 class Level:
