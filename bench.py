@@ -29,7 +29,7 @@ def main(names) -> None:
     ctx, found, took = Context.of(spark, sf_dir), registered(), {}
     for table in ("plays", "stream_history", "import_history", "outdated_albums", "resolved_fuzzy_matches", "import_catalog", "catalog"):
         ctx.kept(table)
-    ctx.lib, ctx.up, ctx.ut  # noqa: B018 - written before the clock starts
+    ctx.lib, ctx.up, ctx.ut, ctx.live  # noqa: B018 - written before the clock starts
     for name in names or HEADLINES:
         start = time.perf_counter()
         found[name][0](ctx).write.format("noop").mode("overwrite").save()
