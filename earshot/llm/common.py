@@ -7,6 +7,8 @@ text, so `text_batches` cuts it further by bytes: what a step holds at once is o
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,6 +33,13 @@ def resident(key, build: Callable):
     return _RESIDENT.get(key)
 
 
+def trim() -> None:
+    """Give freed memory back to the system at the end of a task: the worker lives on, and allocators keep it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has this
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -57,6 +66,14 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int
                 yield batch.slice(a, b - a)
 
 
+BROADCAST_ROWS = 2_000_000  # of a key or a digest: some 100 to 300 MB as a hashed relation
+
+
+def counted(keys: DataFrame) -> DataFrame:
+    """`keys` (a written table of short rows), to be broadcast if it has at most BROADCAST_ROWS rows."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
 def whole_rows(docs: DataFrame) -> Column:
     """All columns of `docs` as one struct, so that no name can clash with a new column."""
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
@@ -92,7 +109,7 @@ def map_texts(
         step = make()
         for batch in text_batches(batches, at, max_bytes, field):
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], *step(texts_in(batch, at, field))], names=names)
-        pa.default_memory_pool().release_unused()
+        trim()
 
     out = f"{head}, {schema}" if head else schema
     names = [f.name for f in fields] + StructType.fromDDL(schema).names

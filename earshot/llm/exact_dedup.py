@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from earshot.llm.common import counted, whole_rows
 from earshot.sources.snapshots import settle
 
 #: The characters of [\x20\x09-\x0D].
@@ -85,6 +86,7 @@ def _clashing(rows: DataFrame, short: DataFrame) -> DataFrame:
     """digest, norm: the contents of digests that stand for more than one. A digest met once needs no look at its
     content; the others' contents are compared whole, per task, per salt and then per digest."""
     repeated = short.groupBy("digest").agg(F.count(F.lit(1)).alias("met")).filter("met > 1").select("digest")
+    repeated = counted(settle(repeated, "repeated"))
     copies = rows.select("digest", "norm", F.pmod(F.shiftright("row", 33), F.lit(SALTS)).alias("salt")).join(repeated, "digest", "left_semi")
     contents = copies.distinct().select("digest", "norm").distinct()
     several = contents.withColumn("contents", F.count(F.lit(1)).over(Window.partitionBy("digest")))
@@ -94,11 +96,17 @@ def _clashing(rows: DataFrame, short: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with all their columns: one per group of equal texts.
 
-    `docs` is written once with a row number that the decisions name, so rows that repeat a key and a text, or
-    have no key, lose no more than their copies.
+    Where every row has a key of its own, the keys of the others are taken out. Else `docs` is written once with
+    a row number that the decisions name, so rows that repeat a key and a text, or have no key, lose no more than
+    their copies. Both ways keep the same rows.
     """
-    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    numbered = settle(docs.select(doc.alias("doc"), F.monotonically_increasing_id().alias("row")), "numbered")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    groups = settle(exact_groups(docs, doc_id=doc_id, text=text).select("doc_id", "kept"), "groups")
+    shared = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("met")).filter("met > 1 OR doc_id IS NULL")
+    if shared.isEmpty():
+        dropped = settle(groups.filter("NOT kept").select(F.col("doc_id").alias(doc_id)), "dropped")
+        return docs.join(counted(dropped), doc_id, "left_anti").select(*columns)
+    numbered = settle(docs.select(whole_rows(docs).alias("doc"), F.monotonically_increasing_id().alias("row")), "numbered")
     named = numbered.select(F.col("row"), F.col(f"doc.`{doc_id}`").alias("doc_id"), F.col(f"doc.`{text}`").alias("text"))
     kept = exact_groups(named, row="row").filter("kept").select("row")
     return numbered.join(kept, "row", "left_semi").select("doc.*")

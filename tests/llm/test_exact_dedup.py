@@ -44,3 +44,15 @@ def test_keep_one_keeps_all_columns(spark):
     kept = keep_one(docs)
     assert kept.schema == docs.schema and kept.count() == brute(docs.collect())[1]
     assert keep_one(empty_docs(spark)).collect() == []
+    whole = table(spark, "documents")  # every row has a key of its own
+    left = keep_one(whole)
+    assert left.schema == whole.schema and {r.doc_id for r in left.collect()} == {keep for _, keep, *_ in brute(whole.collect())[0]}
+    assert left.count() == brute(whole.collect())[1]
+
+
+@pytest.mark.parametrize("most", [0, 10**6])
+def test_broadcast_and_shuffled_keys_agree(spark, monkeypatch, most):
+    monkeypatch.setattr("earshot.llm.common.BROADCAST_ROWS", most)
+    docs = table(spark, "documents")
+    assert sorted((r.doc_id, r.keep_id) for r in exact_groups(docs).collect()) == sorted((a, b) for a, b, *_ in brute(docs.collect())[0])
+    assert keep_one(docs).count() == brute(docs.collect())[1]
