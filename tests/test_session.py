@@ -1,7 +1,6 @@
 import types
 
 import pytest
-from pyspark.sql import functions as F
 
 from earshot import session
 from earshot.operators.upkeep import new_plays
