@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import as_texts, text_batches
+from earshot.llm.common import as_texts, resident, text_batches, texts_in, trim, whole_rows
 
 WORD = re.compile(r"\w+")
 UNKNOWN, PAD = -1, -2
@@ -290,6 +290,7 @@ def leaks(
 
 def _leak_step(block: BenchmarkBlock, doc_type: str, item_type: str):
     def run(batches):
+        resident(None, None)
         ids = pa.array(block.ids)
         for batch in text_batches(batches, 1):
             hits = find_leaks(block, [words(t) for t in as_texts(batch.column(1))])
@@ -309,19 +310,20 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
                   max_edit: float = 0.2, target_recall: float = 0.99, block_items: int = 5_000) -> DataFrame:
     """The rows of `docs` in which no item is found, with all their columns; rules as in `leaks`. A row is dropped
     where it stands, so keys may repeat or be null."""
-    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(doc.alias("doc"), F.col(f"`{text}`").alias("text"))
-    schema = f"doc {rows.schema['doc'].dataType.simpleString()}, text string"
+    rows = docs.select(whole_rows(docs).alias("doc"))
+    schema = f"doc {rows.schema['doc'].dataType.simpleString()}"
     for block in blocks(benchmark, item_id, item_text, max_edit, target_recall, block_items):
         if block:
-            rows = rows.mapInArrow(_clean_step(block), schema)
+            rows = rows.mapInArrow(_clean_step(block, text), schema)
     return rows.select("doc.*")
 
 
-def _clean_step(block: BenchmarkBlock):
+def _clean_step(block: BenchmarkBlock, text: str):
     def run(batches):
-        for batch in text_batches(batches, 1):
-            found = {h[0] for h in find_leaks(block, [words(t) for t in as_texts(batch.column(1))])}
+        resident(None, None)
+        for batch in text_batches(batches, 0, field=text):
+            found = {h[0] for h in find_leaks(block, [words(t) for t in as_texts(texts_in(batch, 0, text))])}
             yield batch.filter(pa.array([i not in found for i in range(batch.num_rows)]))
+        trim()
 
     return run

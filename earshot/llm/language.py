@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import as_texts, map_texts
+from earshot.llm.common import as_texts, map_texts, resident, whole_rows
 
 UNDETERMINED = "und"
 SLOTS = 1 << 18
@@ -171,8 +171,9 @@ def fit_language(
     return model
 
 
-def _scored(docs: DataFrame, keys: dict, text: str, model: LanguageModel | None) -> DataFrame:
+def _scored(docs: DataFrame, keys: dict, text: str, model: LanguageModel | None, inside: str | None = None) -> DataFrame:
     def make():
+        resident(None, None)
         presence = Presence(model.vocabulary) if model else None
 
         def step(texts: pa.Array):
@@ -189,7 +190,7 @@ def _scored(docs: DataFrame, keys: dict, text: str, model: LanguageModel | None)
 
         return step
 
-    return map_texts(docs, keys, text, make, "lang_pred string, score double", BATCH_BYTES)
+    return map_texts(docs, keys, text, make, "lang_pred string, score double", BATCH_BYTES, inside)
 
 
 def predict_language(docs: DataFrame, model: LanguageModel | None, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -202,6 +203,5 @@ def predict_language(docs: DataFrame, model: LanguageModel | None, *, doc_id: st
 
 
 def with_language(docs: DataFrame, model: LanguageModel | None, *, text: str = "text") -> DataFrame:
-    """`doc` (all columns of `docs` as one struct, so no name can clash), lang_pred and score."""
-    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return _scored(docs, {"doc": doc}, text, model)
+    """`doc` (all columns of `docs` as one struct), lang_pred and score."""
+    return _scored(docs, {"doc": whole_rows(docs)}, text, model, "doc")

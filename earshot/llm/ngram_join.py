@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import as_bytes, discard, map_texts, resident
+from earshot.llm.common import as_bytes, counted, discard, map_texts, resident, trim
 from earshot.llm.components import components
 from earshot.llm.signature_tree import bitmaps, may_overlap, overlapping_pairs, signature
 from earshot.sources.snapshots import settle
@@ -36,7 +36,6 @@ HOT_SLOTS = 1 << 22
 BLOCK = 1_024
 WIDE = 4_096  # bits of the second bound
 HELD_PAIRS = 1 << 20  # pairs a task remembers having told
-BROADCAST_IDS = 2_000_000  # some 100 MB as a hashed relation
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -101,10 +100,8 @@ def _class_rows(docs: DataFrame, doc_id: str, text: str, words: int, percent: in
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """id and text of the documents in `ids` (a written table). Their keys are counted, and broadcast if no more
-    than BROADCAST_IDS; else the texts are shuffled to them."""
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi")
+    """id and text of the documents in `ids` (a written table), which is broadcast unless there are very many."""
+    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(counted(ids), "id", "left_semi")
 
 
 def _signed_rows(docs: DataFrame, doc_id: str, text: str, words: int, percent: int, hot: np.ndarray) -> DataFrame:
@@ -266,6 +263,7 @@ def _tree_step(percent: int):
             found.append(_distinct(pairs_of(pa.Table.from_batches(held))))
         if found:
             yield told(_distinct(found))
+        trim()
 
     def told(pairs):
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
@@ -311,5 +309,5 @@ def keep_one_per_component(docs: DataFrame, *, words: int = 5, percent: int = 80
     """The rows of `docs` that stay, with all their columns: of each component the document with the smallest
     doc_id. Rows without doc_id or without words stay; rows that share a doc_id stay or go together."""
     found = ngram_components(docs, words=words, percent=percent, doc_id=doc_id, text=text)
-    dropped = found.filter("component_id <> doc_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(dropped, doc_id, "left_anti").select(*docs.columns)
+    dropped = settle(found.filter("component_id <> doc_id").select(F.col("doc_id").alias(doc_id)).distinct(), "dropped")
+    return docs.join(counted(dropped), doc_id, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import as_bytes, map_texts
+from earshot.llm.common import as_bytes, map_texts, resident
 
 CHUNK, OVERLAP, WIDTH, STEP = 512, 64, 8, 4
 BATCH_BYTES = 1 << 20
@@ -165,6 +165,7 @@ def score_quality(docs: DataFrame, net: ByteNet | None, *, doc_id: str = "doc_id
     `docs`. Null and empty texts are scored as one chunk of zeros; without a model every score is 0.5."""
 
     def make():
+        resident(None, None)
         def step(texts: pa.Array):
             raw = as_bytes(texts)
             scores = net.scores(raw) if net else np.full(len(raw), 0.5)

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -23,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import as_bytes, map_texts
+from earshot.llm.common import as_bytes, map_texts, resident
 
 #: Fixed value: the pre-token pattern of byte-level vocabularies, as the file's ByteLevel step applies it.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -130,10 +129,9 @@ class TokenCounter:
         return [n + sum(map(self.known.__getitem__, pieces)) for n, pieces in zip(extra, whole)]
 
 
-@lru_cache(maxsize=1)
 def counter(path: str) -> TokenCounter:
     """One per Python worker, so that the tasks it runs share what was learnt."""
-    return TokenCounter(path)
+    return resident(("counter", path), lambda: TokenCounter(path))
 
 
 def token_counts(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", limit: int = 512) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm.common import as_bytes, text_batches
+from earshot.llm.common import as_bytes, text_batches, trim
 from earshot.llm.word_encoder import encoder
 
 
@@ -70,6 +70,7 @@ def write_token_files(
                 names=["doc_id", "shard", "shard_start", "n_tokens", "tokens", "meta"],
             )
             at += int(ends[-1])
+        trim()
 
     encoded = rows.mapInArrow(run, f"doc_id {key}, shard int, shard_start long, n_tokens long, tokens array<int>, meta {about}")
     (

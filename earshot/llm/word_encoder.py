@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import os
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from earshot.llm.common import as_bytes, map_texts
+from earshot.llm.common import as_bytes, map_texts, resident
 
-CACHED_PIECES = 1_000_000
+CACHED_PIECES = 2_000_000  # of about 40 bytes each
 LONGEST_PIECE = 64
+AT_ONCE = 2_000  # texts or pieces handed to the library
 
 
 class Encoder:
@@ -30,9 +30,12 @@ class Encoder:
 
     def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and how many each has."""
-        lists = self.lists(texts)
-        sizes = np.array([len(x) for x in lists], np.int64)
-        return np.fromiter((i for x in lists for i in x), np.int32, int(sizes.sum())), sizes
+        sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for a in range(0, len(texts), AT_ONCE):  # the library's results are far larger than the ids
+            lists = self.lists(texts[a : a + AT_ONCE])
+            sizes.append(np.array([len(x) for x in lists], np.int64))
+            ids.append(np.fromiter((i for x in lists for i in x), np.int32, int(sizes[-1].sum())))
+        return np.concatenate(ids), np.concatenate(sizes)
 
 
 class WordEncoder(Encoder):
@@ -59,13 +62,14 @@ class WordEncoder(Encoder):
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.store, self.ends, self.used = np.zeros(1 << 20, np.int32), np.zeros(1 << 18, np.int64), 0
+        """Known pieces are two hashes and a number, sorted by the first hash; numbers count from 0 in the store."""
+        self.hashes, self.checks, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.store, self.ends, self.used, self.count = np.zeros(1 << 20, np.int32), np.zeros(1 << 18, np.int64), 0, 0
 
     def _learn(self, pieces: list[bytes]) -> None:
         """Append the ids of new pieces to the store."""
         ids, sizes = super().ids(pieces)
-        n = len(self.known)
+        n = self.count
         while self.used + len(ids) > len(self.store):
             self.store = np.concatenate([self.store, np.zeros_like(self.store)])
         while n + len(pieces) + 1 > len(self.ends):
@@ -73,7 +77,26 @@ class WordEncoder(Encoder):
         self.store[self.used : self.used + len(ids)] = ids
         self.ends[n + 1 : n + 1 + len(pieces)] = self.used + np.cumsum(sizes)
         self.used += len(ids)
-        self.known.update(zip(pieces, range(n, n + len(pieces))))
+        self.count += len(pieces)
+
+    def _numbers(self, hashes: np.ndarray, checks: np.ndarray, lasting: np.ndarray, spell) -> np.ndarray:
+        """The numbers of distinct pieces; those not known are spelt, encoded and, if `lasting`, remembered."""
+        if self.count + len(hashes) > CACHED_PIECES:
+            self._forget()
+        at = np.searchsorted(self.hashes, hashes)
+        near = np.minimum(at, max(0, len(self.hashes) - 1))
+        taken = self.hashes[near] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+        found = taken & (self.checks[near] == checks) if len(self.hashes) else taken
+        out = np.empty(len(hashes), np.int64)
+        out[found] = self.numbers[near[found]]
+        new = np.flatnonzero(~found)
+        out[new] = self.count + np.arange(len(new))
+        self._learn(spell(new))
+        kept = new[(lasting & ~taken)[new]]
+        kept = kept[np.r_[True, hashes[kept][1:] != hashes[kept][:-1]]] if len(kept) else kept
+        for name, values in (("hashes", hashes), ("checks", checks), ("numbers", out)):
+            setattr(self, name, np.insert(getattr(self, name), at[kept], values[kept]))
+        return out
 
     def _pieces(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """For every piece of the batch its number in the store, and the number of pieces of each text."""
@@ -102,18 +125,16 @@ class WordEncoder(Encoder):
         place = np.minimum(np.arange(len(inside)) - np.repeat(first, size), LONGEST_PIECE - 1)
         letters = chars[inside]
         with np.errstate(over="ignore"):
-            one, two = (np.add.reduceat(self.values[k][letters] * self.powers[k][place], first) for k in (0, 1))
-            hashed = (one ^ (two >> np.uint64(7))) * np.uint64(0x9E3779B97F4A7C15) + two
-        hashed = np.where(size > LONGEST_PIECE, start.astype(np.uint64), hashed)
-        _, example, which = np.unique(hashed, return_index=True, return_inverse=True)
+            one, checks = (np.add.reduceat(self.values[k][letters] * self.powers[k][place], first) for k in (0, 1))
+            hashes = (one ^ (checks >> np.uint64(7))) * np.uint64(0x9E3779B97F4A7C15) + checks
+        long = size > LONGEST_PIECE  # not hashed whole: each stands for itself
+        hashes, checks = np.where(long, start.astype(np.uint64), hashes), np.where(long, ~start.astype(np.uint64), checks)
+        _, example, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if (checks != checks[example][which]).any():  # two pieces with one first hash
+            _, example, which = np.unique(np.stack([hashes, checks], 1), axis=0, return_index=True, return_inverse=True)
         whole = chars.tobytes()
-        distinct = [whole[a : a + n] for a, n in zip(start[example].tolist(), size[example].tolist())]
-        new = list(dict.fromkeys(p for p in distinct if p not in self.known))
-        if len(self.known) + len(new) > CACHED_PIECES:
-            self._forget()
-            new = list(dict.fromkeys(distinct))
-        self._learn(new)
-        return np.array([self.known[p] for p in distinct], np.int64)[which], per_text
+        spell = lambda rows: [whole[a : a + n] for a, n in zip(start[example[rows]].tolist(), size[example[rows]].tolist())]
+        return self._numbers(hashes[example], checks[example], ~long[example], spell)[which], per_text
 
     def sizes(self, texts: list[bytes]) -> np.ndarray:
         """The number of ids of each text."""
@@ -128,10 +149,9 @@ class WordEncoder(Encoder):
         return self.store[where], np.diff(np.r_[0, np.r_[0, after][np.cumsum(per_text)]])
 
 
-@lru_cache(maxsize=1)
 def encoder(path: str, by_word: bool) -> Encoder:
     """One per Python worker, so that the tasks it runs share the pieces they met."""
-    return WordEncoder(path) if by_word else Encoder(path)
+    return resident(("encoder", path, by_word), lambda: WordEncoder(path) if by_word else Encoder(path))
 
 
 def token_lengths(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", extra: int = 0) -> DataFrame:
