@@ -284,16 +284,20 @@ def ngram_components(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_
     classes = settle(named.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n")), "classes")
     about = named.select("key", F.col("doc_id").alias("rep"), "mins", "prefix").dropDuplicates(["key", "rep"])
     reps = settle(classes.join(about, ["key", "rep"]), "reps")
+    short = settle(first.select("doc_id", "n", "key"), "documents")
+    discard(first)  # the prefixes are in `reps`, once per class
+    named = short.filter("n > 0 AND doc_id IS NOT NULL")
 
     seeds = _verified(docs, _seed_pairs(reps, percent), doc_id, text, words, percent)
     grown = components(seeds).select(F.col("node").alias("rep"), F.col("label").alias("comp"))
     labelled = settle(reps.select("key", "rep", "prefix").join(grown, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "labelled")
+    discard(reps)
     tokens = labelled.select("rep", "comp", F.explode("prefix").alias("token"))
     shared = settle(_shared_tokens(tokens), "shared")
     signed = _signed_rows(docs, doc_id, text, words, percent, _hot_slots(shared))
     rows = settle(signed.join(labelled.select("key", "rep", "comp"), ["key", "rep"]).dropDuplicates(["key", "rep"]), "signed")
     links = _verified(docs, _met_in_trees(rows, percent), doc_id, text, words, percent)
-    discard(reps, labelled, shared, rows)
+    discard(labelled, shared, rows)
 
     several = named.groupBy("doc_id").agg(F.min("key").alias("k"), F.max("key").alias("l")).filter("k <> l").select("doc_id")
     owned = named.join(several, "doc_id").select("doc_id", "key").distinct().join(classes.select("key", "rep"), "key")
@@ -301,8 +305,8 @@ def ngram_components(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_
     labels = components(all_links).select(F.col("node").alias("rep"), "label")
     component = classes.join(labels, "rep", "left").select("key", F.coalesce("label", "rep").alias("component_id"))
     linked = F.col("doc_id").isNotNull() & (F.col("n") > 0)
-    placed = first.filter(linked).select("doc_id", "n", "key").join(component, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return placed.unionByName(first.filter(~linked).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    placed = short.filter(linked).select("doc_id", "n", "key").join(component, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return placed.unionByName(short.filter(~linked).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def keep_one_per_component(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
