@@ -1,8 +1,9 @@
 """Main text of web pages by composite text density.
 
 A page is read into a flat list of nodes. Parts that are never article text (menus, headers and footers of the
-page, sidebars, notices, adverts, forms, scripts, styles, reader comments) are cut by element and by the words of
-class, id and role. For every remaining node the characters, tags, link characters and link tags below it give a
+page, scripts, styles) are cut by element. Forms and elements whose class, id or role names such a part (sidebars,
+notices, adverts, reader comments) are cut only if the text agrees: they stay if they hold the article or most of the
+page's characters outside links. For every remaining node the characters, tags, link characters and link tags below it give a
 composite density: characters per tag, lowered the more of them are links. The density sum of a node adds the
 densities of its children. The node with the largest sum is the core; the least density on its path to the body
 is the threshold; every other branch that reaches the threshold adds its own core, and the article is the smallest
@@ -12,6 +13,7 @@ node that holds all cores.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from math import e, log
 
@@ -29,9 +31,11 @@ BLOCK = frozenset(
 RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "xmp", "noframes")
 #: Elements that never hold article text.
 OUTSIDE = frozenset(
-    "head nav aside footer form button select option input label fieldset menu dialog object embed applet canvas audio video map script style "
+    "head nav aside footer button select option input label menu dialog object embed applet canvas audio video map script style "
     "textarea title noscript iframe template svg xmp noframes".split()
 )
+#: Elements that hold a few fields or the whole page.
+FORMS = frozenset(("form", "fieldset"))
 #: Words of class, id or role that mark such parts.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted outbrain taboola "
@@ -40,6 +44,15 @@ MARKS = frozenset(
     "disclaimer popup modal overlay share sharing social related recommended recommendations comment comments commentlist disqus respond "
     "reply replies skip".split()
 )
+#: Marks of what others wrote or sell: often longer than the article, so they stay only where hardly anything else is.
+FOREIGN = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion promoted outbrain taboola cookie cookies consent gdpr "
+    "comment comments commentlist disqus respond reply replies".split()
+)
+#: Before a mark: the element has such a part, or lacks it, but is none (has-sidebar, no-header).
+STATES = frozenset("has have no non not with without hide hides".split())
+#: With these words, and inside an article, a header is the article's own.
+HEADS, ARTICLE = frozenset(("header", "masthead")), frozenset(("article", "entry", "post", "story"))
 #: A start tag of the key closes an open element of the value.
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -57,23 +70,29 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.IGNORECASE) for name in RAW}
 
 
-def _outside(name: str, attributes: str, in_article: bool) -> int:
-    """2 for an element that never holds article text, 1 for one whose marks say so (unless it turns out to hold
-    the article), else 0."""
+def _marks(name: str, attributes: str, in_article: bool) -> frozenset | None:
+    """None for an element that never holds article text, else the marks of its class, id and role."""
     if name in OUTSIDE or (name == "header" and not in_article):
-        return 2
+        return None
+    found = {name} if name in FORMS else set()
     if not attributes or name in ("html", "body", "article", "main"):
-        return 0
+        return frozenset(found)
     if _HIDDEN.search(attributes):
-        return 2
-    return int(any(w.lower() in MARKS for m in _MARKED.finditer(attributes) for w in _WORDS.findall(m[1] or m[2] or m[3] or "")))
+        return None
+    for m in _MARKED.finditer(attributes):
+        for part in (m[1] or m[2] or m[3] or "").split():
+            words = [w.lower() for w in _WORDS.findall(part)]
+            state = next((i for i, w in enumerate(words) if w in STATES), len(words))
+            own = in_article or not ARTICLE.isdisjoint(words)
+            found.update(w for w in words[:state] if w in MARKS and not (own and w in HEADS))
+    return frozenset(found)
 
 
 class Page:
     """The nodes of a page in document order: parent, name, whether cut, and the text pieces with their node."""
 
     def __init__(self, html: str):
-        self.parent, self.name, marked = [-1], ["#page"], [0]
+        self.parent, self.name, marks = [-1], ["#page"], [frozenset()]
         self.pieces: list[tuple[int, str]] = []  # (node, text); a block boundary is (node, None)
         open_nodes, at, in_article = [0], 0, 0
         find = _TOKEN.search
@@ -119,7 +138,7 @@ class Page:
             node = len(self.name)
             self.parent.append(open_nodes[-1])
             self.name.append(name)
-            marked.append(_outside(name, attributes, in_article > 0))
+            marks.append(_marks(name, attributes, in_article > 0))
             if block:
                 self.pieces.append((node, None))
             elif name == "br":
@@ -131,12 +150,56 @@ class Page:
                 open_nodes.append(node)
                 in_article += name in ("article", "main")
 
-        holds = [name in ("article", "main") for name in self.name]
-        for i in range(len(holds) - 1, 0, -1):
-            holds[self.parent[i]] |= holds[i]
-        self.cut = [False]
-        for i in range(1, len(holds)):
-            self.cut.append(self.cut[self.parent[i]] or marked[i] == 2 or (marked[i] == 1 and not holds[i]))
+        self.cut = self._cut(marks)
+
+    def _cut(self, marks: list[frozenset | None]) -> list[bool]:
+        """Whether each node is cut: below an element that never holds article text, or below a marked one that the
+        text does not speak for."""
+        n, parent = len(self.name), self.parent
+        holds, linked, hard = [name in ("article", "main") for name in self.name], [False] * n, [False] * n
+        for i in range(n - 1, 0, -1):
+            holds[parent[i]] |= holds[i]
+        for i in range(1, n):
+            linked[i] = linked[parent[i]] or self.name[i] == "a"
+            hard[i] = hard[parent[i]] or marks[i] is None
+        if not any(marks):
+            return hard
+        own = [0] * n
+        for node, text in self.pieces:
+            if text and not linked[node] and not hard[node]:
+                own[node] += len(text.strip())
+
+        def below(skip: list[bool]) -> tuple[list[int], list[int]]:
+            """Characters outside links, and blocks with any, in each node and in the nodes below it."""
+            chars = [0 if skip[i] else own[i] for i in range(n)]
+            blocks = [int(chars[i] > 0 and self.name[i] in BLOCK) for i in range(n)]
+            for i in range(n - 1, 0, -1):
+                chars[parent[i]] += chars[i]
+                blocks[parent[i]] += blocks[i]
+            return chars, blocks
+
+        chars, blocks = below(hard)
+        foreign = [False] * n
+        for i in range(1, n):
+            alone = chars[i] * 10 >= chars[0] * 9 and blocks[i] > 3
+            foreign[i] = foreign[parent[i]] or bool(marks[i] and marks[i] & FOREIGN and not holds[i] and not alone)
+        chars, blocks = below(foreign)
+        common: set[str] = set()  # marks of elements that together hold most of the page
+        while True:
+            cut, held, places = hard[:], Counter(), Counter()
+            for i in range(1, n):
+                p = parent[i]
+                cut[i] |= cut[p] or foreign[i]
+                left = not cut[i] and marks[i] and (marks[i] - FOREIGN) - common
+                if left and not holds[i] and not (chars[i] * 2 > chars[0] and blocks[i] > (self.name[i] in BLOCK and own[i] > 0)):
+                    cut[i] = True
+                    for word in left:
+                        held[word] += chars[i]
+                        places[word] += 1 if chars[i] else 0
+            found = {w for w in held if held[w] * 2 > chars[0] and places[w] > 1}
+            if not found:
+                return cut
+            common |= found
 
     def _close(self, open_nodes: list[int], names: tuple, scope: tuple) -> None:
         for depth in range(len(open_nodes) - 1, 0, -1):

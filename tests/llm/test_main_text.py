@@ -31,6 +31,36 @@ def test_the_article_is_left(article, text):
     assert main_text(NOISE.replace("ARTICLE", article)) == text
 
 
+BODY = "<h1>The title</h1><p>A first paragraph that says what the page is about, at some length.</p><p>A second one, which ends it.</p>"
+BODY_TEXT = "The title A first paragraph that says what the page is about, at some length. A second one, which ends it."
+
+
+@pytest.mark.parametrize(
+    "article, text",
+    [
+        (f"<div class='has-sidebar'>{BODY}<div class='sidebar'><p>Popular now</p></div></div>", BODY_TEXT),
+        (f"<div class='no-header'>{BODY}</div>", BODY_TEXT),
+        (f"<div id='search-results'>{BODY}</div>", BODY_TEXT),
+        (f"<div class='search'><div>{BODY}</div><div class='ad'>Buy now!</div></div>", BODY_TEXT),
+        (f"<form action='x.aspx'><input type=hidden><article>{BODY}</article><select><option>One</select></form>", BODY_TEXT),
+        (f"<form action='x.aspx'><div id='content'>{BODY}</div><label>Name</label></form>", BODY_TEXT),
+        ("<article><div class='article-header'><h1>The title</h1><p>The lead.</p></div><p>The body of it.</p></article>", "The title The lead. The body of it."),
+        ("<article><div class='header'><h1>The title</h1></div><p>The body of it.</p></article>", "The title The body of it."),
+        ("<div>" + "<div class='page-widget'><p>Every paragraph in its own widget.</p></div>" * 3 + "</div>", " ".join(["Every paragraph in its own widget."] * 3)),
+        (f"<div>{BODY}</div><form><p>Sign up here</p></form><div class='sidebar'><p>Popular now</p></div>", BODY_TEXT),
+        (f"<div>{BODY}</div><div id='comments'>{'<p>A reader who writes a lot about this and that.</p>' * 20}</div>", BODY_TEXT),
+    ],
+)
+def test_marks_cut_only_what_the_text_does_not_speak_for(article, text):
+    assert main_text(NOISE.replace("ARTICLE", article)) == text
+
+
+def test_a_page_inside_one_marked_element():
+    for wrapper in ("<form>", "<div class='has-sidebar'>", "<div class='no-header'>", "<div id='search-results'>", "<div class='comments'>"):
+        close = "</form>" if wrapper == "<form>" else "</div>"
+        assert main_text(f"<html><body>{wrapper}<nav><a href=/>Home</a></nav>{BODY}<p>A third.</p>{close}</body></html>") == BODY_TEXT + " A third."
+
+
 @pytest.mark.parametrize("html", [None, "", "   ", "<", "<p", "<!--", "<script>", "</p></div>", "<a href='", "&", "<html><body></body></html>", "<div class=ad>only</div>"])
 def test_odd_pages_have_no_text(html):
     assert main_text(html) in ("", "&", "<")  # a lone sign is text
