@@ -1,11 +1,13 @@
 """Personal data: fixed patterns, and what their contexts reveal.
 
 Emails, IP addresses, card and phone numbers are found by their patterns. They seed a bootstrap: each occurrence
-of an identifier-like token (six or more letters, digits, - and _, two digits at least) or seed is an instance
+of an identifier-like token (six or more letters, digits, - and _, two digits at least), of a run of such groups
+parted by spaces, dots, brackets or slashes (six characters and two digits together) or of a seed is an instance
 with the contexts it stands in (the word before, the two words before, the word after). Spark holds the graph of
 contexts and instances and scores it in rounds: a context by the mean confidence of its instances, damped for few
 of them; an instance by its best context. Seeds keep confidence 1. Tokens that end with enough confidence, in a
-context with enough of it, are spans of kind `other`; spans of the patterns always stay.
+context with enough of it, are spans of kind `other`, a run before the tokens in it; spans of the patterns always
+stay.
 """
 
 from __future__ import annotations
@@ -35,6 +37,10 @@ _DIGIT = re.compile(r"[0-9]")
 _TOKEN_CHAR = re.compile(r"[A-Za-z0-9_-]")
 _TOKEN = re.compile(r"[A-Za-z0-9_-]+")
 _WORD = re.compile(r"\w+|=")
+#: Between two groups of a run: a space, dot or slash, or a bracket; a short group of capitals may stand there, too.
+_BLANK = "[ \u00a0\u2009\u202f]"
+_PART = rf"(?:{_BLANK}?[(\[]|[)\]]{_BLANK}?|{_BLANK}|[./])"
+_BETWEEN = re.compile(rf"{_PART}(?:[A-Z]{{1,4}}{_PART})?")
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -94,20 +100,42 @@ def _contexts(text: str, start: int, end: int, width: int = 64) -> list[str]:
     return out + ([f"_ {after[0].lower()}"] if after else [])
 
 
-def _candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
-    """Identifier-like tokens that touch no span."""
+def _identifier(groups: list[str]) -> bool:
+    return sum(len(g.strip("-_")) for g in groups) >= 6 and sum(len(_DIGIT.findall(g)) for g in groups) >= 2
+
+
+def _candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, int, int]]:
+    """(start, end, start of its run, end of its run) of the identifier-like tokens and runs that touch no span."""
     taken = sorted((s, e) for _, s, e in spans)
-    out, at, k = [], 0, 0
+    runs: list[list[tuple[int, int]]] = []
+    at, k, joins = 0, 0, False
     while m := _DIGIT.search(text, at):
         start = m.start()
         while start > at and _TOKEN_CHAR.match(text, start - 1):
             start -= 1
-        end = at = _TOKEN.match(text, m.start()).end()
+        end = _TOKEN.match(text, m.start()).end()
         while k < len(taken) and taken[k][1] <= start:
             k += 1
-        token = text[start:end].strip("-_")
-        if len(token) >= 6 and len(_DIGIT.findall(token)) >= 2 and not (k < len(taken) and taken[k][0] < end):
-            out.append((start, end))
+            joins = False
+        if k < len(taken) and taken[k][0] < end:
+            joins = False
+        else:
+            if joins and start - at <= 8 and _BETWEEN.fullmatch(text, at, start):
+                runs[-1].append((start, end))
+            else:
+                runs.append([(start, end)])
+            joins = True
+        at = end
+    out = []
+    for run in runs:
+        start, end = run[0][0], run[-1][1]
+        if len(run) > 1 and _identifier([text[s:e] for s, e in run]):
+            for opening, closing in ("()", "[]"):
+                if text[start - 1 : start] == opening and text.find(closing, start, end) >= 0:  # (212) 555-0199
+                    start -= 1
+                    break
+            out.append((start, end, start, end))
+        out += [(s, e, start, end) for s, e in run if _identifier([text[s:e]])]
     return out
 
 
@@ -115,10 +143,10 @@ def joined(spans) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
 
-_INSTANCES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("seed", pa.bool_()), ("value", pa.int64()), ("contexts", pa.list_(pa.string()))]))
+_INSTANCES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("run", pa.int32()), ("run_end", pa.int32()), ("seed", pa.bool_()), ("value", pa.int64()), ("contexts", pa.list_(pa.string()))]))
 _BASE = (
     "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, "
-    "instances array<struct<start:int;end:int;seed:boolean;value:bigint;contexts:array<string>>>"
+    "instances array<struct<start:int;end:int;run:int;run_end:int;seed:boolean;value:bigint;contexts:array<string>>>"
 )
 
 
@@ -137,8 +165,10 @@ def _base_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                     columns[i].append(sum(s[0] == kind for s in spans))
                 columns[4].append(hashlib.sha256(joined(spans).encode()).hexdigest())
                 columns[5].append(joined(spans))
-                places = [(s, e, True) for _, s, e in spans] + [(s, e, False) for s, e in loose]
-                columns[6].append([{"start": s, "end": e, "seed": seed, "value": value(t, s, e), "contexts": _contexts(t, s, e)} for s, e, seed in places])
+                places = [(s, e, s, e, True) for _, s, e in spans] + [(*place, False) for place in loose]
+                columns[6].append([
+                    {"start": s, "end": e, "run": r, "run_end": q, "seed": seed, "value": value(t, s, e), "contexts": _contexts(t, s, e)} for s, e, r, q, seed in places
+                ])
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [_INSTANCES]
             return [pa.array(c, k) for c, k in zip(columns, kinds)]
 
@@ -166,13 +196,15 @@ def score_graph(edges: DataFrame, *, rounds: int, damping: float, least: int) ->
 
 
 def personal_data(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", rounds: int = 3, damping: float = 2.0, least: int = 5, accept: float = 0.85
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", rounds: int = 3, damping: float = 0.5, least: int = 5, accept: float = 0.85
 ) -> DataFrame:
     """Personal data in every whole text, one row per row of `docs`, repeated rows too.
 
     doc_id (null stays null); n_email, n_ip, n_card, n_phone: spans of the patterns; base_sha256: of those spans
     written kind:start:end (code points, end exclusive) by kind and start, joined by commas; spans: the same
-    text with the spans of kind `other` that contexts revealed after them; n_other. A null or empty text has no
+    text with the spans of kind `other` that contexts revealed after them; n_other. A context of `least` distinct
+    seeds and nothing else is trusted (5 / 5.5 is above `accept`), and still is when it reveals a first identifier; in
+    larger ones the share of seeds decides, and damping hardly counts. A null or empty text has no
     spans and the hash of the empty text. An empty table gives no rows.
     """
     base = settle(_base_rows(docs, doc_id, text), "base_spans")
@@ -182,10 +214,14 @@ def personal_data(
     scores, known = score_graph(edges, rounds=rounds, damping=damping, least=least)
     sure = known.filter(F.col("confidence") >= accept).select("value")
     trusted = scores.filter(F.col("score") >= accept).select("context")
-    loose = found.filter("NOT seed").join(sure, "value", "left_semi").select("row", "start", "end", F.explode("contexts").alias("context"))
-    accepted = loose.join(trusted, "context", "left_semi").select("row", "start", "end").distinct()
-    spans = F.array_sort(F.collect_list(F.struct("start", "end")))
-    per_row = accepted.groupBy("row").agg(spans.alias("s")).select(
+    place = ["row", "run", "run_end", "start", "end"]
+    loose = found.filter("NOT seed").join(sure, "value", "left_semi").select(*place, F.explode("contexts").alias("context"))
+    accepted = loose.join(trusted, "context", "left_semi").select(*place).distinct()
+    whole = F.max((F.col("start") == F.col("run")) & (F.col("end") == F.col("run_end")))  # the run, in place of its tokens
+    per_run = accepted.groupBy("row", "run", "run_end").agg(
+        F.when(whole, F.array(F.struct(F.col("run").alias("start"), F.col("run_end").alias("end")))).otherwise(F.collect_list(F.struct("start", "end"))).alias("s")
+    )
+    per_row = per_run.groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("s"))).alias("s")).select(
         "row", F.size("s").cast("long").alias("n_other"),
         F.array_join(F.transform("s", lambda x: F.format_string(f"{FOUND}:%d:%d", x["start"], x["end"])), ",").alias("others"),
     )
