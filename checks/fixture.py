@@ -190,6 +190,12 @@ BODIES.update({
                e.seq AS position
         FROM {label} JOIN (SELECT 'AL' AS prefix, 1 AS seq, 1500 AS floor_bal UNION ALL SELECT 'ALR', 2, 4000 UNION ALL SELECT 'ALS', 3, 9000) e ON s_acctbal > e.floor_bal""",
     "reported_albums": "SELECT artist_id, artist_name, name AS album_name, 'AL' || substr(id, 4) AS saved_album_id, id AS newer_album_id FROM {remote_albums} WHERE position = 2",
+    # a fetch that failed, or a search that found nothing, is a row of nulls
+    "fetched_names": "SELECT id AS matched_track_id, CASE WHEN duration_ms > 900000 THEN name END AS matched_name FROM {catalog}",
+    "search_results": """
+        SELECT import_id, CASE WHEN duration_ms > 940000 THEN 'T' || CAST(import_id AS STRING) END AS matched_track_id,
+               CASE WHEN duration_ms > 940000 THEN lower(name) END AS matched_name
+        FROM {import_catalog}""",
     "history_meta": """
         SELECT 'T' || ks AS track_id, CASE WHEN p_size <> 2 THEN 'AR' || p_brand END AS artist_id, album_id, album_type, CASE WHEN p_size <> 3 THEN dur END AS duration_ms
         FROM {song} WHERE p_type <> 'LARGE'""",

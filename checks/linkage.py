@@ -101,11 +101,10 @@ add("link_catalog", _link_catalog,
 
 
 def _merge_links(c):
-    """Links as a run found them, for the rows a run tried: part of them stay unmatched."""
+    """What a run found for every row it tried: part of them stay unmatched."""
     stored = c.kept("import_catalog")
     tried = T.link_worklist(stored)
-    links = tried.filter("duration_ms > 940000").select(
-        "import_id", F.concat(F.lit("T"), F.col("import_id").cast("string")).alias("matched_track_id"), F.lower("name").alias("matched_name"))
+    links = tried.select("import_id").join(c.t["search_results"], "import_id")
     return X.merge_links(stored, links, tried, c.as_of).select("import_id", "matched_track_id", "matched_name", "match_checked_at")
 
 

@@ -34,8 +34,9 @@ def images(url, when):
 
 
 def paged(items, number, array="items", **extra):
-    """Rows (number, item) as JSON pages of PAGE items."""
-    grouped = items.groupBy(F.floor(F.col(number) / PAGE).alias("_p")).agg(F.collect_list("item").alias(array))
+    """Rows (number, item) as JSON pages of PAGE items, null items too."""
+    places = F.transform(F.collect_list(F.struct("item")), lambda x: x["item"])  # a list of the items alone has no nulls
+    grouped = items.groupBy(F.floor(F.col(number) / PAGE).alias("_p")).agg(places.alias(array))
     return grouped.select(F.to_json(F.struct(array, *[F.lit(v).alias(k) for k, v in extra.items()]), {"ignoreNullFields": "false"}).alias("page"))
 
 
@@ -87,7 +88,8 @@ add("flatten_likes", _likes,
 
 
 def meta_pages(c):
-    return paged(song(c).select("pk", track().alias("item")).filter("item.popularity <> 30"), "pk", "tracks")
+    """A place for every track; one the service does not know is a null on its page."""
+    return paged(song(c).select("pk", F.when(F.col("p_size") != 30, track()).alias("item")), "pk", "tracks")
 
 
 def _album_tracks(c):
@@ -121,10 +123,12 @@ add("flatten_exclusions", lambda c: P.flatten_exclusions(paged(song(c).select("p
 
 
 def _playable(c):
-    fetched = song(c).filter("p_size <> 8").select(F.to_json(F.struct(
+    """An answer for every track, of some that they are not found."""
+    found = F.to_json(F.struct(
         "id", F.when(F.col("p_size") > 30, F.col("p_size") < 45).alias("is_playable"),
-        F.when(F.col("p_size") > 15, F.when(F.col("p_size") > 20, F.array(F.lit("US"), F.lit("DE"))).otherwise(F.array(F.lit("FR")))).alias("available_markets"))).alias("page"))
-    return P.playability(song(c).select(F.col("id").alias("track_id")), fetched, "US")
+        F.when(F.col("p_size") > 15, F.when(F.col("p_size") > 20, F.array(F.lit("US"), F.lit("DE"))).otherwise(F.array(F.lit("FR")))).alias("available_markets")))
+    answers = song(c).select(F.when(F.col("p_size") != 8, found).otherwise('{"error": {"status": 404}}').alias("page"))
+    return P.playability(song(c).select(F.col("id").alias("track_id")), answers, "US")
 
 
 add("playability", _playable, "SELECT 'T' || ks AS track_id, p_size > 20 AND p_size < 45 AS is_playable FROM {song}")

@@ -208,8 +208,7 @@ add("mark_unmatched", lambda c: stamp(c.kept("import_catalog"), "import_id", T.l
 
 def _link_meta(c):
     stored = c.kept("import_catalog")
-    found = c.t["catalog"].filter("duration_ms > 900000").select(F.col("id").alias("matched_track_id"), F.col("name").alias("matched_name"))
-    return X.fill_link_metadata(stored, T.link_metadata_worklist(stored), found, c.as_of).select("import_id", "matched_track_id", "matched_name", "match_checked_at")
+    return X.fill_link_metadata(stored, T.link_metadata_worklist(stored), c.t["fetched_names"], c.as_of).select("import_id", "matched_track_id", "matched_name", "match_checked_at")
 
 
 PEND = "(i.matched_track_id IS NOT NULL AND i.matched_name IS NULL AND i.match_checked_at IS NULL)"

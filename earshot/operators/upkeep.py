@@ -273,18 +273,20 @@ LINK_COLUMNS = ("matched_track_id", "matched_name", "matched_artist_id", "matche
 
 
 def merge_links(catalog: DataFrame, links: DataFrame, tried: DataFrame, as_of) -> DataFrame:
-    """Write found links; stamp every tried row, found or not, so it is not tried again."""
+    """Write found links; stamp every tried row, found or not, so it is not tried again. A row of `links` without a
+    track is one not found."""
     names = [c for c in LINK_COLUMNS if c in catalog.columns and c in links.columns]
-    filled = merge_rows(catalog, links, ["import_id"], _take(*names), insert=False)
+    filled = merge_rows(catalog, links.filter(F.col("matched_track_id").isNotNull()), ["import_id"], _take(*names), insert=False)
     stamps = {c: as_ts(as_of) for c in ("matched_at", "match_checked_at") if c in catalog.columns}
     return stamp(filled, "import_id", tried.select("import_id"), stamps)
 
 
 def fill_link_metadata(catalog: DataFrame, pending: DataFrame, metadata: DataFrame, as_of) -> DataFrame:
     """Metadata of rows whose link is known: found ones are filled and stamped on both
-    columns, the others only noted as checked."""
+    columns, the others only noted as checked. A row of `metadata` without any value is a fetch that failed."""
     names = [c for c in LINK_COLUMNS if c in metadata.columns and c in catalog.columns and c != "matched_track_id"]
-    found = lookup_join(pending.select("import_id", "matched_track_id"), metadata, ["matched_track_id"], "inner")
+    known = metadata.filter(F.coalesce(*[F.col(c).cast("string") for c in names]).isNotNull()) if names else metadata
+    found = lookup_join(pending.select("import_id", "matched_track_id"), known, ["matched_track_id"], "inner")
     changes = {**_take(*names), **({"matched_at": as_ts(as_of)} if "matched_at" in catalog.columns else {})}
     filled = merge_rows(catalog, found, ["import_id"], changes, insert=False)
     return stamp(filled, "import_id", pending.select("import_id"), {"match_checked_at": as_ts(as_of)})
