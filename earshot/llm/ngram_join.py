@@ -13,6 +13,10 @@ exact and never lists the pairs of a group of copies:
    into blocks by size band and hash, and pairs of blocks that sizes allow are joined.
 5. Pairs the trees leave are bounded once more with wide bitmaps and then verified on the whole sets.
 6. Components of all links.
+
+What comes out are the components, exactly. Links are not listed: n-grams, tree nodes and pairs inside one component
+are pruned, so of a family of near copies about one link per member is ever verified, and neither the pairs nor their
+number can be had from it.
 """
 
 from __future__ import annotations
@@ -272,7 +276,7 @@ def _tree_step(percent: int):
 
 
 def ngram_components(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents linked by similar n-gram sets.
+    """Components of documents linked by similar n-gram sets; the links inside a component are not listed or counted.
 
     One row per row of `docs`: doc_id (an integer), n_shingles (size of its set), component_id (smallest doc_id
     it reaches by links, itself included). Texts that are null, empty or without words have no n-grams and link
