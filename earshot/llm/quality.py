@@ -46,8 +46,10 @@ class ByteNet:
         return sum(h[:, k : places - (WIDTH // STEP - 1) + k] for k, h in enumerate(halves))
 
     def pooled(self, rows: np.ndarray) -> np.ndarray:
-        """Max-pooled responses of each chunk, over places two bytes apart."""
-        top = np.maximum(self.responses(rows, 0).max(1), self.responses(rows, STEP // 2).max(1))
+        """Max-pooled responses of each chunk, over every place."""
+        top = self.responses(rows, 0).max(1)
+        for shift in range(1, STEP):
+            np.maximum(top, self.responses(rows, shift).max(1), out=top)
         return np.maximum(top + self.bias, 0)
 
     def features(self, texts: list[bytes]) -> np.ndarray:

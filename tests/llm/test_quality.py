@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from earshot.llm.common import fold
-from earshot.llm.quality import CHUNK, OVERLAP, chunks, fit_quality, score_quality
+from earshot.llm.quality import CHUNK, OVERLAP, WIDTH, ByteNet, chunks, fit_quality, score_quality
 from tests.llm.cases import empty_docs, odd_docs, table
 
 
@@ -34,3 +34,16 @@ def test_without_labels(spark):
     one_class = spark.createDataFrame([(i, 1) for i in range(9)], "doc_id long, quality int")
     net = fit_quality(odd_docs(spark), one_class)
     assert all(r.score > 0.3 for r in score_quality(odd_docs(spark), net).collect())
+
+
+def test_every_place_is_pooled():
+    """A pattern answers alike at every offset, up to the last window of a chunk."""
+    rng = np.random.default_rng(1)
+    net = ByteNet(rng.normal(size=(256, 8)), rng.normal(size=(WIDTH * 8, 16)), np.zeros(16), np.zeros(33), np.stack([np.zeros(32), np.ones(32)]))
+    net.vectors[0] = 0
+    at = [bytes(k) + b"pattern of some bytes" + bytes(100 - k) for k in range(8, 16)]
+    pooled = np.concatenate([net.pooled(chunks(t)) for t in at])
+    assert np.allclose(pooled, pooled[0])
+    row = chunks(rng.integers(1, 256, CHUNK, dtype=np.uint8).tobytes())
+    brute = np.stack([net.vectors[row[0, s : s + WIDTH]].reshape(-1) @ net.filters for s in range(CHUNK - WIDTH + 1)]).max(0)
+    assert np.allclose(net.pooled(row)[0], np.maximum(brute, 0))
