@@ -143,8 +143,9 @@ def fit_language(
 ) -> LanguageModel | None:
     """Fit on a bounded sample of the rows with a text, a key and a language (`per_language` rows of each).
 
-    `landmarks` texts of each language span the kernel space; the vocabulary is the `vocabulary` n-grams met in
-    most sampled texts (in at least two). None if there is no labelled row.
+    `landmarks` texts of each language span the kernel space; the vocabulary is the `vocabulary` n-grams that
+    come first by their place among those met in most sampled texts of a language, so every language has an equal say
+    (met in at least two of its texts, if it has ten). None if there is no labelled row.
     """
     sample = _labelled_sample(docs, doc_id, text, lang, per_language)
     if not sample:
@@ -152,9 +153,15 @@ def fit_language(
     languages = sorted({k for k, _ in sample})
     texts = [t for _, t in sample]
     each = [[np.unique(codes) for _, codes in grams([t], orders)[0]] for t in texts]
-    met = [np.unique(np.concatenate([e[order] for e in each]), return_counts=True) for order in range(orders)]
-    common = sorted((-int(n), order, int(code)) for order, found in enumerate(met) for code, n in zip(*found) if n > 1 or len(texts) < 10)
-    chosen = [np.array(sorted(code for _, o, code in common[:vocabulary] if o == order), np.uint64) for order in range(orders)]
+    place: dict[tuple[int, int], int] = {}  # of an n-gram among the most common ones of a language, the best of all languages
+    for language in languages:
+        own = [e for e, (k, _) in zip(each, sample) if k == language]
+        met = [np.unique(np.concatenate([e[order] for e in own]), return_counts=True) for order in range(orders)]
+        common = sorted((-int(n), order, int(code)) for order, found in enumerate(met) for code, n in zip(*found) if n > 1 or len(own) < 10)
+        for at, (_, order, code) in enumerate(common):
+            place[order, code] = min(at, place.get((order, code), at))
+    first = sorted(place, key=lambda gram: (place[gram], gram))[:vocabulary]
+    chosen = [np.array(sorted(code for o, code in first if o == order), np.uint64) for order in range(orders)]
     presence = Presence(chosen)
     rows = np.concatenate([presence(texts[at : at + 64])[0] for at in range(0, len(texts), 64)])
     labels = np.array([languages.index(k) for k, _ in sample])

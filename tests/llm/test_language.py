@@ -42,3 +42,14 @@ def test_presence_against_sets():
     rows, has_letter = Presence(vocabulary)(texts)
     assert has_letter.tolist() == [True, True, False, True]
     assert rows.sum(1).tolist() == [sum(len(brute(t, n)) for n in (1, 2, 3)) for t in texts]
+
+
+def test_a_small_language_of_own_script_is_known(spark):
+    rng = np.random.default_rng(3)
+    text = lambda letters: " ".join("".join(rng.choice(list(letters), 5)) for _ in range(60))
+    large = {"de": "abcdefghijkl", "en": "ghijklmnopqr", "fr": "mnopqrstuvwx", "it": "stuvwxyzabcd"}
+    rows = [(k, text(letters)) for k, letters in large.items() for _ in range(40)] + [("zz", text("αβγδεζηθικλμ")) for _ in range(5)]
+    docs = spark.createDataFrame([(i, t, k) for i, (k, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = fit_language(docs, vocabulary=600)
+    asked = spark.createDataFrame([(0, text("αβγδεζηθικλμ")), (1, text(large["de"]))], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in predict_language(asked, model).collect()} == {0: "zz", 1: "de"}
