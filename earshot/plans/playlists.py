@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from earshot.functions.text import url_tail
 from earshot.functions.times import as_ts
 from earshot.operators.merge import stamp
+from earshot.operators.digest import ordered_digest
 from earshot.operators.ordered import positions
 from earshot.operators.rules import Rule, compile_rule, uri
 from earshot.operators.skew import hot_keys, key_sizes, lookup_join
@@ -130,11 +131,9 @@ def batch_of(position: Column) -> Column:
 
 
 def tracklist_hashes(members: DataFrame, key: str = "rule") -> DataFrame:
-    """SHA-256 of the comma-joined members in order: one list is one text, as the hash of a
-    playlist is defined."""
-    ordered = F.array_sort(F.collect_list(F.struct("position", "uri")))
-    text = F.concat_ws(",", F.transform(ordered, lambda x: x["uri"]))
-    return members.groupBy(key).agg(F.sha2(text, 256).alias("new_hash"), F.count(F.lit(1)).cast("int").alias("new_count"))
+    """SHA-256 of the comma-joined members in order, as the hash of a playlist is defined."""
+    hashed = ordered_digest(members, [key], ["position"], "uri", sep=",")
+    return hashed.select(key, F.col("digest").alias("new_hash"), F.col("n_items").cast("int").alias("new_count"))
 
 
 def change_gate(unified: DataFrame, playlists: DataFrame, as_of) -> DataFrame:
