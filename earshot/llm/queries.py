@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import decontaminate, exact_dedup, language, main_text, ngram_join, packing, pii, quality, token_counts, token_files, word_encoder
+from earshot.llm import decontaminate, exact_dedup, language, main_text, ngram_join, packing, pii, prefix_trie, quality, token_counts, token_files, word_encoder
 from earshot.llm.common import fold, table
 from earshot.session import shared_dir
 from earshot.sources.snapshots import settle
@@ -77,13 +77,25 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = prefix_trie.turn_paths(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie_nodes(prefix_trie.rebuilt_paths(paths))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_files, op2_ngram_join, op3_decontaminate, op4_packing, op5_exact_dedup, op6_quality, op7_pii, op8_main_text, op9_language, op10_token_counts,
+        op11_prefix_trie,
     )
 }
 
+#: crc32 of a text in SQL: the table of its 256 steps, and the steps over the characters (ASCII) of `{}`.
+CRC_TABLE = """crc_table AS (SELECT list(step ORDER BY i) AS steps FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                   lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS step FROM range(256) r(i)))"""
+CRC = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split({}, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                   lambda c, b: xor(c >> 8, steps[CAST((xor(c, b) & 255) + 1 AS BIGINT)])))"""
+
 ORACLE_SQL = {
     "op2_ngram_join": r"""
         WITH RECURSIVE split AS (
@@ -107,4 +119,23 @@ ORACLE_SQL = {
               FROM d WINDOW w AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id))
         SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, kept, sha256(norm) AS text_sha256 FROM r
     """,
+    "op11_prefix_trie": rf"""
+        WITH {CRC_TABLE},
+        t AS (SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) || ':' || strlen(coalesce(text, '')) AS id
+              FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (SELECT conv_id, list(id ORDER BY turn NULLS FIRST, id) AS p, {CRC.format("CAST(conv_id AS VARCHAR)")} % 9 AS h
+                FROM t, crc_table GROUP BY conv_id, steps),
+        whole AS (SELECT c.conv_id, list_concat(coalesce(b.p, [])[1:c.h], c.p[c.h + 1:]) AS p FROM own c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5),
+        steps AS (SELECT conv_id, p, unnest(range(0, len(p) + 1)) AS d FROM whole),
+        nodes AS (SELECT p[1:d] AS q, d, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(p) = d) AS ends
+                  FROM steps GROUP BY ALL),
+        family AS (SELECT n.*, up.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes k WHERE k.d = n.d + 1 AND k.q[1:n.d] = n.q) AS n_children,
+                          CASE WHEN n.d = 0 THEN 0 ELSE (n.n_convs - 1) * CAST(split_part(n.q[-1], ':', 2) AS BIGINT) END AS own_saved
+                   FROM nodes n LEFT JOIN nodes up ON up.d = n.d - 1 AND up.q = n.q[1:n.d - 1]),
+        sums AS (SELECT q, sum(leaf) AS n_leaves, sum(own_saved) AS saved_tokens
+                 FROM (SELECT q[1:unnest(range(0, d + 1))] AS q, CASE WHEN n_children = 0 THEN 1 ELSE 0 END AS leaf, own_saved FROM family) GROUP BY q)
+        SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+               sha256(coalesce(ends, '')) AS ends_sha256
+        FROM family JOIN sums USING (q)
+    """,
 }
