@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import chat_format, decontaminate, exact_dedup, language, main_text, ngram_join, packing, pii, prefix_trie, quality, token_counts, token_files, word_encoder
+from earshot.llm import chat_format, decontaminate, exact_dedup, language, main_text, ngram_join, packing, pii, prefix_trie, quality, structure_repair, token_counts, token_files, word_encoder
 from earshot.llm.common import fold, table
 from earshot.session import shared_dir
 from earshot.sources.snapshots import settle
@@ -91,11 +91,15 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.conversation_digests(chat_format.prefix_examples(given.unionByName(added)))
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair.repair(structure_repair.damaged(table(spark, sf_dir, "conversations")), lost="lost")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_files, op2_ngram_join, op3_decontaminate, op4_packing, op5_exact_dedup, op6_quality, op7_pii, op8_main_text, op9_language, op10_token_counts,
-        op11_prefix_trie, op12_chat_format,
+        op11_prefix_trie, op12_chat_format, op13_structure_repair,
     )
 }
 
@@ -160,4 +164,49 @@ ORACLE_SQL = {
                CAST(sum(chars) AS BIGINT) AS formatted_chars, count(*) FILTER (reply) AS n_examples, CAST(coalesce(sum(upto) FILTER (reply), 0) AS BIGINT) AS expanded_chars
         FROM g GROUP BY conv_id
     """,
+    "op13_structure_repair": rf"""
+        WITH RECURSIVE {CRC_TABLE},
+        t AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                     {CRC.format("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS how
+              FROM conversations, crc_table),
+        r AS (SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+                     CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE how WHEN 3 THEN 2 ELSE 1 END)) AS copy
+              FROM t WHERE how <> 0),
+        n AS (SELECT *, row_number() OVER o AS pos, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS met,
+                     regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare, left(role, 1) AS init, lag(left(role, 1)) OVER o AS init_before
+              FROM r WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+        f AS (SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN met > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM n),
+        hops(state, initial, next) AS (VALUES ('', 's', 's'), ('', 'u', 'u'), ('s', 'u', 'u'), ('a', 'u', 'u'), ('u', 'a', 'a')),
+        path(conv_id, pos, state, cost, audit, lines) AS (
+            SELECT conv_id, 0, '', 0, '', CAST([] AS VARCHAR[]) FROM (SELECT DISTINCT conv_id FROM f)
+            UNION ALL
+            SELECT conv_id, pos, state, cost, audit, lines FROM (
+                WITH one AS (SELECT p.conv_id, p.pos, h.next AS state, p.cost + 3 AS cost, p.audit || 'I' AS audit, list_append(p.lines, CASE h.next WHEN 'u' THEN 'user:' ELSE 'assistant:' END) AS lines
+                             FROM path p JOIN hops h ON h.state = p.state AND h.next <> 's'),
+                two AS (SELECT p.conv_id, p.pos, h.next AS state, p.cost + 3 AS cost, p.audit || 'I' AS audit, list_append(p.lines, CASE h.next WHEN 'u' THEN 'user:' ELSE 'assistant:' END) AS lines
+                        FROM one p JOIN hops h ON h.state = p.state AND h.next <> 's'),
+                here AS (FROM path UNION ALL FROM one UNION ALL FROM two),
+                moved AS (
+                    SELECT f.conv_id, f.pos, h.state, h.cost + 4 AS cost, h.audit || 'D' AS audit, h.lines FROM here h JOIN f ON f.conv_id IS NOT DISTINCT FROM h.conv_id AND f.pos = h.pos + 1
+                    UNION ALL
+                    SELECT f.conv_id, f.pos, x.next, h.cost + CASE fault WHEN 'truncated' THEN 3 ELSE 0 END, h.audit || 'K', list_append(h.lines, f.role || ':' || f.text)
+                    FROM here h JOIN f ON f.conv_id IS NOT DISTINCT FROM h.conv_id AND f.pos = h.pos + 1 AND fault NOT IN ('blank', 'duplicate') JOIN hops x ON x.state = h.state AND x.initial = f.init
+                    UNION ALL
+                    SELECT f.conv_id, f.pos, x.next, h.cost + 3 + CASE fault WHEN 'truncated' THEN 3 ELSE 0 END, h.audit || 'R', list_append(h.lines, CASE x.next WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || f.text)
+                    FROM here h JOIN f ON f.conv_id IS NOT DISTINCT FROM h.conv_id AND f.pos = h.pos + 1 AND fault NOT IN ('blank', 'duplicate') JOIN hops x ON x.state = h.state AND x.next <> 's')
+                SELECT *, row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) AS best FROM moved) WHERE best = 1),
+        stop AS (SELECT p.* FROM path p JOIN (SELECT conv_id, max(pos) AS last FROM f GROUP BY conv_id) m ON m.conv_id IS NOT DISTINCT FROM p.conv_id AND pos = last),
+        one AS (SELECT p.conv_id, h.next AS state, cost + 3 AS cost, audit || 'I' AS audit, list_append(lines, CASE h.next WHEN 'u' THEN 'user:' ELSE 'assistant:' END) AS lines
+                FROM stop p JOIN hops h ON h.state = p.state AND h.next <> 's'),
+        two AS (SELECT p.conv_id, h.next AS state, cost + 3 AS cost, audit || 'I' AS audit, list_append(lines, CASE h.next WHEN 'u' THEN 'user:' ELSE 'assistant:' END) AS lines
+                FROM one p JOIN hops h ON h.state = p.state AND h.next <> 's'),
+        ends AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) AS best
+                 FROM (SELECT conv_id, state, cost, audit, lines FROM stop UNION ALL FROM one UNION ALL FROM two) WHERE state IN ('', 'a')),
+        sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                        count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (init_before || init NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+        SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+               CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM c.conv_id AND best = 1
+    """,
 }
