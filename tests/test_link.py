@@ -32,6 +32,15 @@ def test_accents_agree_with_full_decomposition(spark):
     assert values(spark, fold_accents, *texts) == want
 
 
+def test_every_character_folds_as_its_decomposition(spark):
+    """All but Hangul syllables, which stay; vowel signs of Indic scripts are no accents."""
+    texts = [chr(c) + "z" for c in range(1, 0x110000) if not 0xD800 <= c <= 0xDFFF]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", fold_accents(F.col("t")).alias("x"))
+    odd = [r.t for r in got.filter("x <> t").collect() if r.x != "".join(c for c in unicodedata.normalize("NFKD", r.t) if not unicodedata.combining(c))]
+    kept = [r.t for r in got.filter("x = t").collect() if r.t != "".join(c for c in unicodedata.normalize("NFKD", r.t) if not unicodedata.combining(c))]
+    assert odd == [] and all(0xAC00 <= ord(t[0]) <= 0xD7A3 for t in kept)
+
+
 def test_slug_and_url_tail(spark):
     assert values(spark, slug, "My Top List") == ["my_top_list"]
     assert values(spark, url_tail, "http://h/p/ID?si=1", "ID", "http://h/") == ["ID", "ID", ""]
@@ -46,8 +55,12 @@ def share(a, b):
     return 1 - row[-1] / max(len(a), len(b)) if a and b else 0.0
 
 
+@pytest.mark.parametrize("direct, cost", [(2_000, 2), (7, 1_000_000), (0, 0)])
 @pytest.mark.parametrize("least", [0.5, 0.7, 0.9])
-def test_similar_titles_finds_every_pair(spark, least):
+def test_similar_titles_finds_every_pair(spark, monkeypatch, least, direct, cost):
+    """In blocks whose titles all meet, in pieces, and by rare chunks."""
+    monkeypatch.setattr(L, "DIRECT", direct)
+    monkeypatch.setattr(L, "CHUNK_COST", cost)
     rng = random.Random(5)
     titles = ["colour my world", "color my world", "hello", "hallo", "song 2", "song two", "a", "b", "ab", "", "aaaaaaaa", "aaaaaaaaaa", "love " * 9]
     for _ in range(120):
@@ -64,6 +77,31 @@ def test_similar_titles_finds_every_pair(spark, least):
     assert got == pytest.approx({k: v for k, v in want.items() if v >= least})
 
 
+@pytest.mark.parametrize("cost", [2, 0])
+def test_joined_rows_grow_with_the_matches(spark, monkeypatch, cost):
+    """Titles of four words under one artist: what leaves the join is no more than a few times the pairs that are similar."""
+    monkeypatch.setattr(L, "CHUNK_COST", cost)
+    monkeypatch.setattr(L, "DIRECT", 300)
+    left_joins, join = [], L._joined
+
+    def watched(*given):
+        left_joins.append(join(*given))
+        return left_joins[-1]
+
+    monkeypatch.setattr(L, "_joined", watched)
+    rng, words = random.Random(1), ["love", "night", "river", "dream", "stone", "fire", "winter", "shadow", "golden", "heart", "moon", "blue", "lost", "city", "wild"]
+    titles = list(dict.fromkeys(" ".join(rng.choice(words) for _ in range(4)) for _ in range(2_100)))
+    shares = []
+    for n in (500, 2_000):
+        one = spark.createDataFrame([("x", t) for t in titles[:n]], "artist_key string, title_key string").repartition(4)
+        left_joins.clear()
+        got = L.similar_titles(one, one, 0.7).collect()
+        shares.append(sum(j.count() for j in left_joins) / len(got))
+        few = set(titles[:20])
+        assert {(r.title_key, r.found_key) for r in got if r.title_key in few} == {(a, b) for a in few for b in titles[:n] if share(a, b) >= 0.7}
+    assert max(shares) <= 9 and shares[1] < 1.3 * shares[0]  # a pair meets through nine chunks at most
+
+
 def catalogue(spark, *tracks):
     return spark.createDataFrame([(i, n, "X", "AR", "al" + a, a, "album", d) for i, n, a, d in tracks], CATALOGUE)
 
