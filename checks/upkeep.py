@@ -15,6 +15,8 @@ from earshot.operators import upkeep as X
 from earshot.operators import worklists as T
 from earshot.operators.merge import last_per_key, stamp
 from earshot.operators.ordered import number_rows, positions
+from earshot.sources.monthly import MonthlyPlays
+from earshot.sources.snapshots import fresh_path
 
 Q: dict = {}
 NOW = f"TIMESTAMP '{AS_OF}'"
@@ -46,6 +48,19 @@ LIKE = ["track_id", "liked_at", "added_at", "last_checked_at", "track_name", "tr
 # plays
 add("merge_plays", lambda c: X.new_plays(c.live, c.t["polled"]).select("track_id", "played_at", "track_name"),
     "SELECT DISTINCT track_id, played_at, track_name FROM {polled} p WHERE NOT EXISTS (SELECT 1 FROM {plays} q WHERE q.track_id = p.track_id AND q.played_at = p.played_at)")
+
+
+
+def _merged_by_month(c):
+    """The live plays as a table by month, after the poll was merged into it."""
+    table = MonthlyPlays.create(c.spark, fresh_path(c.spark, "plays_by_month"), c.kept("plays"))
+    table.merge(c.t["polled"])
+    return table.read().select("track_id", "played_at", "track_name", "month")
+
+
+add("merge_plays_by_month", _merged_by_month,
+    """SELECT track_id, played_at, track_name, coalesce(strftime(played_at, '%Y-%m'), 'none') AS month FROM (SELECT track_id, played_at, track_name FROM {plays}
+       UNION ALL SELECT DISTINCT track_id, played_at, track_name FROM {polled} p WHERE NOT EXISTS (SELECT 1 FROM {plays} q WHERE q.track_id = p.track_id AND q.played_at = p.played_at))""")
 add("play_row_ids", lambda c: number_rows(c.up.filter("track_id IS NOT NULL").select(
         "played_at", "track_id", F.coalesce("duration_ms", F.lit(0)).alias("ms"), F.coalesce("album_id", F.lit("")).alias("album_id"),
         F.coalesce("track_name", F.lit("")).alias("track_name"), F.coalesce("artist_name", F.lit("")).alias("artist_name")),

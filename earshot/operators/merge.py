@@ -79,20 +79,27 @@ def merge_rows(
     )
 
 
-def missing_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of `source`, one per key, whose key the target lacks: what to append. Ties
-    within the source go to the smallest remaining values."""
+def one_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key; ties go to the smallest remaining values."""
     rest = [c for c in source.columns if c not in keys]
-    if rest:
-        once = source.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")).select(*keys, "_r.*").select(*source.columns)
-    else:
-        once = source.distinct()
+    if not rest:
+        return source.distinct()
+    return source.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")).select(*keys, "_r.*").select(*source.columns)
+
+
+def lacking_rows(target: DataFrame, once: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of `once` (one per key) whose key the target lacks."""
     if fits_broadcast(once):
         present = target.select(*keys).join(F.broadcast(once.select(*keys)), keys, "left_semi").distinct()
         return once.join(present, keys, "left_anti")
     return once.join(target.select(*keys), keys, "left_anti")
 
 
+def missing_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of `source`, one per key, whose key the target lacks: what to append."""
+    return lacking_rows(target, one_per_key(source, keys), keys)
+
+
 def not_in(rows: DataFrame, key: str, listed: DataFrame, listed_key: str) -> DataFrame:
     """`key NOT IN (listed)`, with its null rule: one null in the list selects nothing."""
     ids = listed.select(F.col(listed_key).alias(key))

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions.times import ago, as_ts
-from earshot.operators.merge import keep_known, last_per_key, merge_rows, missing_rows, new, not_in, old, stamp
+from earshot.operators.merge import keep_known, lacking_rows, last_per_key, merge_rows, missing_rows, new, not_in, old, one_per_key, stamp
 from earshot.operators.skew import drop_listed, lookup_join
+from earshot.sources.snapshots import settle
 
 PLAY_KEY = ["track_id", "played_at"]
 
@@ -19,14 +20,14 @@ def _take(*names: str) -> dict:
 # plays -----------------------------------------------------------------------------
 
 def new_plays(plays: DataFrame, polled: DataFrame) -> DataFrame:
-    """Polled plays not stored yet: what to append. Only the polled months of the table are
-    read: as partitions if it is stored by month, else by the range of times."""
-    span = polled.agg(F.min("played_at").alias("low"), F.max("played_at").alias("high")).first()
-    near = plays.filter(F.col("played_at").between(F.lit(span.low), F.lit(span.high)))
+    """Polled plays not stored yet: what to append. The poll is evaluated once, and only the polled months of
+    the table are read: as partitions if it is stored by month, else by the range of times."""
+    once = settle(one_per_key(polled, PLAY_KEY).withColumn("_month", F.date_format("played_at", "yyyy-MM")), "polled")
+    found = once.agg(F.min("played_at").alias("low"), F.max("played_at").alias("high"), F.collect_set("_month").alias("months")).first()  # calendar months
+    near = plays.filter(F.col("played_at").between(F.lit(found.low), F.lit(found.high)))
     if "month" in plays.columns:
-        months = polled.select(F.date_format("played_at", "yyyy-MM").alias("m")).filter("m IS NOT NULL").distinct().collect()  # calendar months
-        near = near.filter(F.col("month").isin([r.m for r in months]))
-    return missing_rows(near, polled, PLAY_KEY)
+        near = near.filter(F.col("month").isin(found.months))
+    return lacking_rows(near, once.drop("_month"), PLAY_KEY)
 
 
 def fill_history(history: DataFrame, metadata: DataFrame, as_of) -> DataFrame:

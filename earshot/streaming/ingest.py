@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from earshot.operators.merge import missing_rows
 from earshot.session import require_utc
+from earshot.sources.monthly import MonthlyPlays
 from earshot.sources.pages import PAGE_SCHEMAS, play_fields
 
 KEY = ["track_id", "played_at"]
@@ -77,6 +78,17 @@ def append_plays(plays: DataFrame, table: str, checkpoint: str) -> StreamingQuer
     return plays.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def append_months(plays: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Append plays to a table stored by month (`MonthlyPlays`): each batch is one merge, which reads and
+    writes the batch's months only. A batch run again finds its plays stored and adds none. One stream or job
+    at a time writes a table; a second one fails and can be run again."""
+
+    def one_batch(polled: DataFrame, _: int) -> None:
+        MonthlyPlays(polled.sparkSession, root).merge(readable(polled) if "problem" in polled.columns else polled)
+
+    return plays.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def _days_of(spark: SparkSession, table: str, days: list) -> DataFrame:
     """Stored plays of these days, from the days' own folders."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
