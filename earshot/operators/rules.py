@@ -48,13 +48,22 @@ class BadCondition(ValueError):
     pass
 
 
+#: A rule's test as a tree: a leaf is the text of a condition, a group ("all" or "any", [trees]).
+Tree = str | tuple[str, list]
+
+
 @dataclass
 class Rule:
-    predicate: Column
+    tree: Tree
+    leaves: dict[str, Column]
     sort: tuple[tuple[str, str], ...]
     limit: int
     problems: list[str] = field(default_factory=list)
 
+    @property
+    def predicate(self) -> Column:
+        return _folded(self.tree, lambda leaves, join: reduce(join, [self.leaves[leaf] for leaf in leaves]))
+
     def order(self) -> list[Column]:
         keys = [asc(c) if way == "ASC" else desc(c) for c, way in self.sort]
         return [*keys, asc("track_id")]
@@ -151,18 +160,64 @@ def _objects(spec: dict, name: str) -> list[dict]:
     return found
 
 
-def _group(spec: dict, as_of, problems: list[str]) -> Column | None:
-    join = operator.and_ if spec.get("match", "all") == "all" else operator.or_
+def _folded(tree: Tree, test) -> Column:
+    """A tree as a predicate; `test` makes one of the leaves of a group and how they are joined."""
+    if isinstance(tree, str):
+        return test([tree], operator.and_)
+    kind, members = tree
+    join = operator.and_ if kind == "all" else operator.or_
+    leaves = [m for m in members if isinstance(m, str)]
+    return reduce(join, [*([test(leaves, join)] if leaves else []), *[_folded(m, test) for m in members if not isinstance(m, str)]])
+
+
+def _group(spec: dict, as_of, problems: list[str], leaves: dict[str, Column]) -> Tree | None:
     parts = []
     for item in _objects(spec, "conditions"):
         try:
-            part = _group(item, as_of, problems) if "conditions" in item else condition(item, as_of)
+            if "conditions" in item:
+                part = _group(item, as_of, problems, leaves)
+            else:
+                found, part = condition(item, as_of), None
+                if found is not None:
+                    part = json.dumps([item.get(k) for k in ("field", "operator", "value", "unit")], default=str)
+                    leaves[part] = found
         except BadCondition as bad:
             problems.append(f"{item.get('field')}: {bad}")
             continue
         if part is not None:
             parts.append(part)
-    return reduce(join, parts) if parts else None
+    return ("all" if spec.get("match", "all") == "all" else "any", parts) if parts else None
+
+
+class Bits:
+    """The distinct conditions of many rules as bits of a track's bitmap. A rule tests groups of them by mask,
+    so a condition that a thousand rules share is evaluated once. A condition that is neither true nor false is not
+    met: rules have no negation, so that changes no rule's outcome."""
+
+    WORD = 62
+
+    def __init__(self, rules: list[Rule]):
+        self.leaves = {leaf: column for rule in rules for leaf, column in rule.leaves.items()}
+        self.place = {leaf: divmod(i, self.WORD) for i, leaf in enumerate(self.leaves)}
+        self.words = range(-(-len(self.leaves) // self.WORD))
+
+    def columns(self) -> dict[str, Column]:
+        """The words of the bitmap, by name."""
+        bit = lambda leaf: F.when(self.leaves[leaf], F.lit(1 << self.place[leaf][1]).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        return {f"_bits{w}": reduce(Column.bitwiseOR, [bit(leaf) for leaf, (word, _) in self.place.items() if word == w]) for w in self.words}
+
+    def test(self, rule: Rule) -> Column:
+        """Whether a track's bitmap meets a rule."""
+
+        def masked(leaves, join):
+            masks: dict[int, int] = {}
+            for leaf in leaves:
+                word, bit = self.place[leaf]
+                masks[word] = masks.get(word, 0) | 1 << bit
+            met = [(F.col(f"_bits{w}").bitwiseAND(F.lit(m).cast("bigint")), m) for w, m in masks.items()]
+            return reduce(join, [got == m if join is operator.and_ else got != 0 for got, m in met])
+
+        return _folded(rule.tree, masked)
 
 
 def _sort_keys(spec: dict, problems: list[str]) -> list[tuple[str, str]]:
@@ -192,14 +247,15 @@ def compile_rule(document: dict | str, as_of) -> Rule:
         if not isinstance(spec, dict):
             raise ValueError("a rule must be an object")
         problems: list[str] = []
-        wanted = _group(spec, as_of, problems)
+        leaves: dict[str, Column] = {}
+        wanted = _group(spec, as_of, problems, leaves)
     except json.JSONDecodeError as bad:
         raise ValueError("the rule is not valid JSON") from bad
     except RecursionError:
         raise ValueError("the rule is nested too deeply") from None
-    guards = ~F.col("excluded")
+    guards = {"guard: not excluded": ~F.col("excluded")}
     if "is_playable" not in [c.get("field") for c in _objects(spec, "conditions")]:
-        guards = guards & F.col("is_playable")
+        guards["guard: playable"] = F.col("is_playable")
     sort = _sort_keys(spec, problems)
     try:
         limit = int(spec.get("limit", DEFAULT_LIMIT))
@@ -207,8 +263,8 @@ def compile_rule(document: dict | str, as_of) -> Rule:
         raise ValueError(f"not a limit: {spec['limit']!r}") from bad
     if limit < 0:
         raise ValueError("the limit must not be negative")
-    predicate = guards if wanted is None else wanted & guards
-    return Rule(predicate, tuple(sort) or (("play_count", "DESC"),), min(limit, MOST_ROWS), problems)
+    tree = ("all", [*([] if wanted is None else [wanted]), *guards])
+    return Rule(tree, leaves | guards, tuple(sort) or (("play_count", "DESC"),), min(limit, MOST_ROWS), problems)
 
 
 def uri(prefix: str = URI_PREFIX) -> Column:

@@ -6,17 +6,21 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import islice
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
+from earshot.functions.order import asc
 from earshot.functions.text import url_tail
 from earshot.functions.times import as_ts
 from earshot.operators.merge import stamp
 from earshot.operators.digest import ordered_digest
 from earshot.operators.ordered import positions
-from earshot.operators.rules import Rule, compile_rule, uri
-from earshot.operators.skew import hot_keys, key_sizes, lookup_join
+from earshot.operators.rules import Bits, Rule, compile_rule, uri
+from earshot.operators.skew import fits_broadcast, hot_keys, key_sizes, lookup_join
 from earshot.sources.snapshots import fresh_path, settle
 
 EXCLUSIONS = "exclusions"
@@ -25,41 +29,70 @@ LINE = 1_000  # flagged playlists named in one line
 TOP_K = 1_000  # up to this limit Spark keeps a top-k per group while it sorts
 RULES_PER_SCAN = 200  # rule documents tested in one scan of the tracks
 SALTS = 64
+MEMBERS, OUTCOME = "rule string, position int, uri string", "rule string, problem string, fatal boolean"
 HOT_LISTS = 100  # lists of one rule from which their join is salted
 
 
 def ranked_members(unified: DataFrame, rules: dict[str, Rule]) -> DataFrame:
-    """(rule, position, uri) of every rule, with one scan per distinct sort order.
+    """(rule, position, uri) of every rule, whatever their number and sort orders, with one scan of the tracks.
 
-    Each track is tested against all rules of a sort order at once. Positions of short
+    A track's distinct conditions are evaluated once, as bits, and every rule tests them by mask. Rows of
+    different rules carry their sort keys in columns they share, so one window ranks them all. Positions of short
     lists are found in two steps, first per (rule, salt) and then per rule, so a rule that
     matches most of the library never sends more than SALTS x TOP_K rows to one task.
-    Long lists are numbered in a distributed sort.
+    Lists of over TOP_K are numbered in a distributed sort, of a second scan.
     """
-    by_sort: dict[tuple, dict[str, Rule]] = {}
-    for name, rule in rules.items():
-        by_sort.setdefault((rule.sort, rule.limit <= TOP_K), {})[name] = rule
-    if not by_sort:
-        return unified.sparkSession.createDataFrame([], "rule string, position int, uri string")
-    return reduce(DataFrame.unionByName, [_ranked(unified, group, short) for (_, short), group in by_sort.items()])
+    parts = [_ranked(unified, chosen, short) for short in (True, False) if (chosen := {n: r for n, r in rules.items() if (r.limit <= TOP_K) == short})]
+    return reduce(DataFrame.unionByName, parts) if parts else _rows(unified.sparkSession, [], MEMBERS)
 
 
 def _ranked(unified: DataFrame, rules: dict[str, Rule], short: bool) -> DataFrame:
-    order = next(iter(rules.values())).order()
-    keys = sorted({c for r in rules.values() for c, _ in r.sort} | {"track_id"})
-    hits = F.filter(
-        F.array(*[F.when(r.predicate, F.struct(F.lit(n).alias("rule"), F.lit(r.limit).alias("cap"))) for n, r in rules.items()]),
-        lambda x: x.isNotNull(),
-    )
-    rows = unified.select(*keys, F.explode(hits).alias("_h")).select(*keys, "_h.rule", "_h.cap")
+    bits, listed = Bits(list(rules.values())), list(rules.values())
+    keys, order = _shared_order(dict(unified.dtypes), listed)
+    hits = F.filter(F.array(*[F.when(bits.test(r), F.lit(i)) for i, r in enumerate(listed)]), lambda x: x.isNotNull())
+    tracks = unified.withColumns(bits.columns())
+    rows = tracks.withColumn("_rule", F.explode(hits)).select("_rule", "track_id", *[c.alias(n) for n, c in keys.items()])
     if short:
-        most = max(r.limit for r in rules.values())
+        most = max(r.limit for r in listed)
         rows = rows.withColumn("_salt", F.pmod(F.xxhash64("track_id"), F.lit(SALTS)))
-        near = rows.withColumn("_r", F.row_number().over(W.partitionBy("rule", "_salt").orderBy(*order))).filter(F.col("_r") <= most)
-        ranked = near.withColumn("position", F.row_number().over(W.partitionBy("rule").orderBy(*order))).filter(F.col("position") <= most)
+        near = rows.withColumn("_r", F.row_number().over(W.partitionBy("_rule", "_salt").orderBy(*order))).filter(F.col("_r") <= most)
+        ranked = near.withColumn("position", F.row_number().over(W.partitionBy("_rule").orderBy(*order))).filter(F.col("position") <= most)
     else:
-        ranked = positions(rows, ["rule"], order)
-    return ranked.filter(F.col("position") <= F.col("cap")).select("rule", F.col("position").cast("int").alias("position"), uri().alias("uri"))
+        ranked = positions(rows, ["_rule"], order)
+    names = _rows(unified.sparkSession, [(i, n, r.limit) for i, (n, r) in enumerate(rules.items())], "_rule int, rule string, cap long")
+    named = ranked.join(F.broadcast(names), "_rule").filter(F.col("position") <= F.col("cap"))  # a page of rules
+    return named.select("rule", F.col("position").cast("int").alias("position"), uri().alias("uri"))
+
+
+def _shared_order(types: dict[str, str], rules: list[Rule]) -> tuple[dict[str, Column], list[Column]]:
+    """Columns that hold the sort keys of rows of different rules, and the order by them that is each rule's own.
+
+    At each place of a sort a row has a flag that says where its null goes, and its key as a whole number, a real
+    number (both turned round to descend), or a text that ascends or one that descends; the others are null for all rows of its rule.
+    """
+    sorts = list(dict.fromkeys(r.sort for r in rules))
+    sort_of = F.get(F.array(*[F.lit(sorts.index(r.sort)) for r in rules]), F.col("_rule"))
+    keys, order = {}, []
+    for place in range(max(map(len, sorts))):
+        columns: dict[str, Column] = {}
+        for i, sort in enumerate(sorts):
+            if place >= len(sort):
+                continue
+            name, down = sort[place][0], sort[place][1] == "DESC"
+            value, mine = F.col(name), sort_of == i
+            if types[name] == "string":
+                kind = "text_down" if down else "text_up"
+            elif types[name] in ("float", "double"):
+                kind, value = "real", -value if down else value
+            else:
+                value = {"date": F.unix_date(value), "timestamp": F.unix_micros(value), "timestamp_ntz": F.unix_micros(value.cast("timestamp"))}.get(types[name], value)
+                kind, value = "whole", F.bitwise_not(value.cast("bigint")) if down else value.cast("bigint")
+            for k, v in (("flag", F.col(name).isNull() != F.lit(down)), (kind, value)):
+                columns[k] = F.when(mine, v) if k not in columns else columns[k].when(mine, v)
+        for kind in sorted(columns):  # the flag comes first
+            keys[f"_{place}_{kind}"] = columns[kind]
+            order.append(F.col(f"_{place}_{kind}").desc() if kind == "text_down" else F.col(f"_{place}_{kind}").asc())
+    return keys, [*order, asc("track_id")]
 
 
 def followed(playlists: DataFrame) -> DataFrame:
@@ -85,22 +118,27 @@ def run_rules(unified: DataFrame, playlists: DataFrame, as_of) -> RuleRun:
     """
     spark = unified.sparkSession
     documents = followed(playlists).select(F.coalesce("rules", F.lit("{}")).alias("rule")).distinct()
-    path = fresh_path(spark, "rules")
-    empty = {"members": "rule string, position int, uri string", "usable": "rule string", "problems": "rule string, problem string, fatal boolean"}
-    for name, schema in empty.items():
-        spark.createDataFrame([], schema).write.parquet(f"{path}/{name}")
+    path, found = fresh_path(spark, "rules"), False
     for page in _pages((r.rule for r in documents.toLocalIterator()), RULES_PER_SCAN):
-        compiled, problems = {}, []
+        compiled, outcome = {}, []
         for text in page:
             try:
                 compiled[text] = compile_rule(text, as_of)
-                problems += [(text, p, False) for p in compiled[text].problems]
+                outcome += [(text, None, False), *[(text, p, False) for p in compiled[text].problems]]
             except ValueError as bad:
-                problems.append((text, str(bad), True))
+                outcome.append((text, str(bad), True))
         ranked_members(unified, compiled).write.mode("append").parquet(f"{path}/members")
-        spark.createDataFrame([(r,) for r in compiled], "rule string").coalesce(1).write.mode("append").parquet(f"{path}/usable")
-        spark.createDataFrame(problems, empty["problems"]).coalesce(1).write.mode("append").parquet(f"{path}/problems")
-    return RuleRun(**{name: spark.read.schema(schema).parquet(f"{path}/{name}") for name, schema in empty.items()})
+        _rows(spark, outcome, OUTCOME).coalesce(1).write.mode("append").parquet(f"{path}/outcome")
+        found = True
+    read = lambda name, schema: spark.read.schema(schema).parquet(f"{path}/{name}") if found else _rows(spark, [], schema)
+    outcome = read("outcome", OUTCOME)
+    return RuleRun(read("members", MEMBERS), outcome.filter("problem IS NULL").select("rule"), outcome.filter("problem IS NOT NULL"))
+
+
+def _rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows of the driver's as a relation of the plan itself: no job makes it."""
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(fields), fields)], schema=fields), schema)
 
 
 def _pages(items, size: int):
@@ -113,8 +151,9 @@ def all_playlists(unified: DataFrame, playlists: DataFrame, as_of) -> DataFrame:
     """(slug, position, batch, uri). Playlists with equal rules share one selection."""
     lists = followed(playlists).select("slug", F.coalesce("rules", F.lit("{}")).alias("rule"))
     members = run_rules(unified, playlists, as_of).members
-    # every list is multiplied by its members, so a rule is hot long before it has many lists
-    hot = settle(hot_keys(key_sizes(lists, ["rule"]), ["rule"], "_n", at_least=HOT_LISTS), "hot_rules")
+    hot = None
+    if not fits_broadcast(members):  # every list is multiplied by its members, so a rule is hot long before it has many lists
+        hot = settle(hot_keys(key_sizes(lists, ["rule"]), ["rule"], "_n", at_least=HOT_LISTS), "hot_rules")
     joined = lookup_join(lists, members, ["rule"], "inner", spread=F.xxhash64("slug"), hot=hot)
     return joined.select("slug", "position", batch_of(F.col("position")).alias("batch"), "uri")
 

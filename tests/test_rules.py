@@ -1,10 +1,11 @@
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from earshot.operators.rules import compile_rule, select_by_rule, uri
+from earshot.operators.rules import Bits, compile_rule, select_by_rule, uri
 from earshot.plans import playlists as L
 from tests.helpers import at, rows
 
@@ -100,6 +101,38 @@ def test_ranked_members_equal_one_selection_each(ut):
         assert [r.position for r in got if r.rule == name] == list(range(1, len(want) + 1))
 
 
+def test_all_sort_orders_share_one_scan(spark, ut, tmp_path):
+    ut.repartition(3).write.parquet(f"{tmp_path}/ut")
+    stored = spark.read.parquet(f"{tmp_path}/ut")
+    by = ["track", "artist", "last_played", "added", "plays", "album", "is_liked", "is_playable", "first_played_at", "track_source"]
+    docs = {f"{a}-{b}-{way}": {"sort": [{"by": a, "direction": way}, {"by": b, "direction": "asc" if way == "desc" else "desc"}], "limit": 4 + i}
+            for i, (a, b) in enumerate(zip(by, by[1:])) for way in ("asc", "desc") if {a, b} <= {*stored.columns, "track", "artist", "last_played", "added", "plays", "album"}}
+    rules = {n: compile_rule(d, AS_OF) for n, d in docs.items()}
+    members = L.ranked_members(stored, rules)
+    assert len({r.sort for r in rules.values()}) > 8 and members._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    got = members.orderBy("rule", "position").collect()
+    for name, rule in rules.items():
+        assert [r.uri for r in got if r.rule == name] == [f"spotify:track:{r.track_id}" for r in select_by_rule(stored, rule, AS_OF).collect()], name
+
+
+def test_masks_test_what_the_predicates_do(spark, ut):
+    """Random trees over shared conditions, enough for several words; each condition is evaluated once."""
+    rng = random.Random(4)
+
+    def tree(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return rng.choice([c("min_plays", rng.randrange(40)), c("max_plays", rng.randrange(40)), c("is_liked", rng.random() < 0.5), c("track", rng.choice("abcghi")), c("tempo", 1)])
+        return {"match": rng.choice(["all", "any"]), "conditions": [tree(depth - 1) for _ in range(rng.randrange(4))]}
+
+    docs = [{"match": rng.choice(["all", "any"]), "conditions": [tree(3) for _ in range(3)]} for _ in range(60)]
+    rules = [compile_rule(d, AS_OF) for d in docs]
+    bits = Bits(rules)
+    assert len(bits.words) > 1 and len(bits.leaves) < sum(len(r.leaves) for r in rules) / 2
+    flags = ut.withColumns(bits.columns()).select("track_id", *[F.coalesce(r.predicate, F.lit(False)).alias(f"p{i}") for i, r in enumerate(rules)], *[bits.test(r).alias(f"b{i}") for i, r in enumerate(rules)])
+    for row in flags.collect():
+        assert [row[f"p{i}"] for i in range(60)] == [row[f"b{i}"] for i in range(60)]
+
+
 def playlists(spark, *lists):
     cols = "slug string, rules string, is_dynamic boolean, last_synced_at timestamp_ntz, track_count int, last_synced_hash string"
     return spark.createDataFrame([(s, json.dumps(r) if r is not None else None, d, None, n, h) for s, r, d, n, h in lists], cols)
