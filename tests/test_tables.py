@@ -140,3 +140,25 @@ def test_settle_reads_back_the_same_rows(spark):
     df = spark.range(10).withColumn("x", F.col("id") * 2)
     kept = settle(df, "numbers")
     assert rows(kept) == rows(df) and "FileScan" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_document_scans_the_tracks_twice(spark, tmp_path):
+    """And every metric over all groupings is what it is alone."""
+    one = "track_id string, track_name string, artist string, artist_image string, album_name string, album_image_url string, album_type string, album_id string, track_source string, genres array<string>, popularity int, release_date string, is_liked boolean, duration_ms int, play_count long, last_played_at timestamp_ntz, added_at timestamp_ntz"
+    drawn = [
+        (f"t{i}", f"n{i % 17}", [None, "Ann", "Bob", "Cy"][i % 4], [None, "img"][i % 2], f"al{i % 9}", [None, "u", "v"][i % 3], [None, "album", "single", "compilation"][i % 4], [None, f"A{i % 11}"][i % 5 > 0],
+         ["library", "liked"][i % 6 == 0], [None, [], [" rock "], ["pop", "x"]][i % 4], [None, i % 100][i % 7 > 0], [None, "1999", "2023-05", "2023-12-30"][i % 4], i % 3 == 0, [None, 1000][i % 9 > 0],
+         [None, 0, 3, i][i % 4], [None, at(i * 90_000)][i % 5 > 0], [None, at(i * 40_000, 3)][i % 6 > 0]) for i in range(300)
+    ]
+    spark.createDataFrame(drawn, one).write.parquet(f"{tmp_path}/ut")
+    ut = spark.read.parquet(f"{tmp_path}/ut")
+    groups = M.Groups(ut)
+    assert groups.cells._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    alone = (M.top_artists, M.top_albums, M.plays_by_weekday, M.tracks_added, M.top_liked_artists, M.top_genres, M.popularity_histogram, M.avg_popularity, M.release_to_play,
+             M.library_growth, M.summary_stats, M.album_type_counts, M.listening_streak, M.listens_rate, M.active_days_per_week)
+    for metric in alone:
+        got = metric(groups)
+        assert f"{tmp_path}/ut" not in str(got.inputFiles()) and got.collect() == metric(ut).collect(), metric
+    none = M.Groups(ut.limit(0))
+    for metric in alone:
+        assert metric(none).collect() == metric(ut.limit(0)).collect(), metric
