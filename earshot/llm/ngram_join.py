@@ -10,7 +10,8 @@ exact and never lists the pairs of a group of copies:
    is by hash, with n-grams met in many prefixes by hash last, so passages that many documents share do not bring
    them together. Only n-grams whose classes are not all in one component go on.
 4. The classes that meet at an n-gram form a signature tree (`signature_tree`); an n-gram with many classes is cut
-   into blocks by size band and hash, and pairs of blocks that sizes allow are joined.
+   into blocks by size band and hash, and pairs of blocks that sizes allow are joined. Large sets carry counts beside
+   their bitmap, by which the pairs of a tree's leaves are bounded once more.
 5. Pairs the trees leave are bounded once more with wide bitmaps and then verified on the whole sets.
 6. Components of all links.
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from earshot.llm.common import as_bytes, counted, discard, map_texts, resident, trim
 from earshot.llm.components import components
-from earshot.llm.signature_tree import bitmaps, may_overlap, overlapping_pairs, signature
+from earshot.llm.signature_tree import BITS, bitmaps, counts, may_count, may_overlap, overlapping_pairs, signature
 from earshot.sources.snapshots import settle
 
 MIN_HASHES = 6
@@ -116,7 +117,7 @@ def _signed_rows(docs: DataFrame, doc_id: str, text: str, words: int, percent: i
         def step(texts: pa.Array):
             sets = [shingles(t, words) for t in as_bytes(texts)]
             keys = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
-            signs = pa.array([signature(s) for s in sets], pa.binary())
+            signs = pa.array([signature(s) + counts(s, percent) for s in sets], pa.binary())
             return pa.array(map(len, sets), pa.int64()), keys, _lists([_prefix(s, percent, hot) for s in sets]), signs
 
         return step
@@ -234,10 +235,13 @@ def _tree_step(percent: int):
         group = np.stack([table.column(i).to_numpy().astype(np.int64) for i in range(5)], 1)
         first = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]).any(1)])
         sides, reps, sizes, comps = (table.column(i).to_numpy() for i in (5, 6, 7, 8))
-        bits = bitmaps(table.column(9).to_pylist())
+        signs = table.column(9).to_pylist()
+        bits, more = bitmaps([s[: BITS // 8] for s in signs]), [s[BITS // 8 :] for s in signs]
         for a, b in zip(first.tolist(), [*first[1:].tolist(), len(group)]):
             if b - a > 1 and (comps[a:b] != comps[a]).any():
                 i, j = overlapping_pairs(bits[a:b], sizes[a:b], comps[a:b], sides[a:b].astype(np.int64), percent)
+                left = may_count(more[a:b], sizes[a:b], i, j, percent)
+                i, j = i[left], j[left]
                 if len(i):
                     x, y = reps[a:b][i], reps[a:b][j]
                     yield np.stack([np.minimum(x, y), np.maximum(x, y)], 1)

@@ -6,6 +6,11 @@ slack. A tree node holds the OR of its sets' bitmaps, their range of sizes, thei
 their components; the same bound with these values holds for every pair of sets below two nodes. Traversal starts
 with the pair (root, root) and goes down in pairs, dropping those whose largest possible overlap is too small for
 the smallest sets below, whose sizes are too far apart, or whose sets are all in one component already.
+
+The bitmaps have one width, so that they can be combined, and are full for large sets. Large sets therefore carry
+counts, too: their members by hash bucket, as many buckets as their size asks for, each count modulo 16. Of two sets
+the counts of a bucket differ by no less than they do modulo 16, and what they differ by is in one set alone; so
+pairs of leaves that the bitmaps cannot tell apart are bounded once more by the sum of these differences.
 """
 
 from __future__ import annotations
@@ -13,6 +18,7 @@ from __future__ import annotations
 import numpy as np
 
 BITS = 1024
+COUNTED = 768  # members from which a set carries counts
 FANOUT = 8
 LEAF = 8
 
@@ -24,6 +30,45 @@ def signature(members: np.ndarray, width: int = BITS) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def _buckets(n: int, percent: int) -> int:
+    """A power of two: buckets of so few members that unrelated sets of n differ by more than linked ones may."""
+    apart = 1 - 2 * percent / (100 + percent)
+    return 1 << max(0, int(np.ceil(np.log2(n * max(apart, 0.01) / 1.4))))
+
+
+def counts(members: np.ndarray, percent: int) -> bytes:
+    """The members of a large set by bucket, modulo 16, two to a byte; nothing for other sets."""
+    if len(members) < COUNTED:
+        return b""
+    size = max(2, _buckets(len(members), percent))
+    bucket = ((members * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) & np.uint64(size - 1)
+    nibbles = np.bincount(bucket.astype(np.int64), minlength=size).astype(np.uint8) & 15
+    return (nibbles[0::2] | nibbles[1::2] << 4).tobytes()
+
+
+def may_count(packed: list[bytes], sizes: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Pair by pair, whether the counts leave it. A set of more buckets is folded to those of the other."""
+    keep = np.ones(len(i), bool)
+    held = np.array([2 * len(p) for p in packed])
+    both = np.minimum(held[i], held[j])
+    for size in np.unique(both[both > 0]).tolist():
+        at = np.flatnonzero(both == size)
+        used = np.unique(np.r_[i[at], j[at]])
+        rows = np.empty((len(used), size), np.uint8)
+        for row, k in enumerate(used.tolist()):
+            pairs = np.frombuffer(packed[k], np.uint8)
+            rows[row] = np.stack([pairs & 15, pairs >> 4], 1).reshape(-1, size).sum(0, dtype=np.int64) & 15
+        x, y = np.searchsorted(used, i[at]), np.searchsorted(used, j[at])
+        step = max(1, (8 << 20) // size)
+        for a in range(0, len(at), step):
+            apart = (rows[x[a : a + step]] - rows[y[a : a + step]]) & 15
+            differ = np.minimum(apart, 16 - apart).sum(1, dtype=np.int64)
+            total = sizes[i[at[a : a + step]]] + sizes[j[at[a : a + step]]]
+            # overlap <= (x + y - differ) / 2
+            keep[at[a : a + step]] = (100 + percent) * (total - differ) >= 2 * percent * total
+    return keep
+
+
 def bitmaps(signatures: list[bytes], width: int = BITS) -> np.ndarray:
     return np.frombuffer(b"".join(signatures), "<u8").reshape(len(signatures), width // 64)
 

@@ -5,10 +5,10 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from earshot.llm import ngram_join
+from earshot.llm import ngram_join, signature_tree
 from earshot.llm.components import components
 from earshot.llm.ngram_join import keep_one_per_component, ngram_components, prefix_size, shingles
-from earshot.llm.signature_tree import bitmaps, overlapping_pairs, signature
+from earshot.llm.signature_tree import bitmaps, counts, may_count, overlapping_pairs, signature
 from tests.llm.cases import empty_docs, frame, odd_docs, table
 
 
@@ -80,6 +80,31 @@ def test_the_tree_leaves_every_similar_pair(sets, percent, two_sides):
             assert (a, b) in left or not wanted
 
 
+@given(st.lists(st.sets(st.integers(0, 200), min_size=4, max_size=160), min_size=2, max_size=20), st.sampled_from([50, 80, 90, 100]))
+@settings(max_examples=150, deadline=None)
+def test_counts_leave_every_similar_pair(sets, percent):
+    arrays = [np.array(sorted((x * 0x9E3779B97F4A7C15) % 2**64 for x in s), np.uint64) for s in sets]
+    before, signature_tree.COUNTED = signature_tree.COUNTED, 8
+    packed = [counts(a, percent) for a in arrays]
+    signature_tree.COUNTED = before
+    i, j = np.triu_indices(len(sets), 1)
+    left = may_count(packed, np.array([len(s) for s in sets]), i, j, percent)
+    for keep, a, b in zip(left.tolist(), i.tolist(), j.tolist()):
+        assert keep or 100 * len(sets[a] & sets[b]) < percent * len(sets[a] | sets[b])
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+@pytest.mark.parametrize("n", [1_000, 3_000, 10_000])
+def test_unrelated_large_sets_leave_no_pair(n, percent):
+    """Bitmaps of one width are full by then; also where sizes differ a little."""
+    rng = np.random.default_rng(n)
+    arrays = [np.unique(rng.integers(0, 2**63, n + k % 40, dtype=np.uint64)) for k in range(300)]
+    sizes = np.array([len(a) for a in arrays])
+    i, j = overlapping_pairs(bitmaps([signature(a) for a in arrays]), sizes, np.arange(300), np.full(300, 4), percent)
+    left = may_count([counts(a, percent) for a in arrays], sizes, i, j, percent)
+    assert left.sum() == 0
+
+
 @given(st.integers(1, 300), st.sampled_from([50, 80, 90, 100]))
 def test_prefix_size(n, percent):
     least = -(-percent * n // 100)  # of n-grams shared by a set of n with any set it links with
