@@ -149,8 +149,9 @@ def fit_quality(
     )
     drawn = known.withColumn("draw", draw).filter(F.col("draw") < bound).select("id", "label", "draw")
     # about 2 * per_class rows by the draw above, so the broadcast is bounded
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter("text IS NOT NULL").join(F.broadcast(drawn), "id").collect()
-    picked = sorted({r.id: r for r in sorted(rows, key=lambda r: r.text)}.values(), key=lambda r: (r.draw, r.id))
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter("text IS NOT NULL").join(F.broadcast(drawn), "id")
+    once = rows.groupBy("id", "label", "draw").agg(F.max("text").alias("text"))  # a key gives one text, however many rows it has
+    picked = sorted(once.collect(), key=lambda r: (r.draw, r.id))
     if not picked:
         return None
     texts, y = [r.text.encode("utf-8", "replace") for r in picked], np.array([r.label for r in picked])
