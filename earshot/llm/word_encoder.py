@@ -162,4 +162,4 @@ def token_lengths(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", te
         known = encoder(tokenizer, True)
         return lambda texts: (pa.array(known.sizes(as_bytes(texts)) + extra, pa.int64()),)
 
-    return map_texts(docs, {"doc_id": doc_id}, text, make, "n_tokens long")
+    return map_texts(docs, {"doc_id": doc_id}, text, make, "n_tokens long", max_bytes=256 << 10)  # cutting takes some 80 bytes for each
