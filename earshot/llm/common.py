@@ -18,7 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from earshot.sources.snapshots import settle
+
 BATCH_BYTES = 1 << 20
+BATCH_ROWS = 1_000  # what a step makes of a text may be far larger than a short text
 
 
 _RESIDENT: dict = {}
@@ -55,11 +58,11 @@ def texts_in(batch: pa.RecordBatch, column: int, field: str | None = None) -> pa
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int = BATCH_BYTES, field: str | None = None) -> Iterator[pa.RecordBatch]:
-    """The rows of `batches` in slices whose texts (see `texts_in`) have about `max_bytes`."""
+    """The rows of `batches` in slices whose texts (see `texts_in`) have about `max_bytes`, of BATCH_ROWS at most."""
     for batch in batches:
         texts = texts_in(batch, column, field)
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-        block = np.cumsum(sizes, dtype=np.int64) // max_bytes
+        block = np.cumsum(sizes, dtype=np.int64) // max_bytes + np.arange(len(sizes)) // BATCH_ROWS
         cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(sizes)]
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
@@ -74,6 +77,26 @@ def counted(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
 
+def small_batches(spark: SparkSession, rows: int = 2_000) -> None:
+    """Hand rows to Python in Arrow batches of at most `rows`: a batch is held whole on both sides, and texts are long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= rows:
+        spark.conf.set(name, str(rows))
+
+
+def text_keys(doc_id: str, text: str) -> dict[str, Column]:
+    """What names a text where a decision about it is taken: the key of its row, and a hash of the text, as keys may repeat or be null."""
+    return {"_key": F.col(doc_id), "_told": F.xxhash64(F.col(text))}
+
+
+def without_texts(docs: DataFrame, dropped: DataFrame, *, doc_id: str, text: str) -> DataFrame:
+    """The rows of `docs` but those named in `dropped` (the columns of `text_keys`), with all their columns. Documents
+    neither travel to Python nor are shuffled for it, unless there are very many to drop."""
+    dropped = counted(settle(dropped.select("_key", "_told").distinct(), "dropped"))
+    same = docs[doc_id].eqNullSafe(dropped["_key"]) & (F.xxhash64(docs[text]) == dropped["_told"])
+    return docs.join(dropped, same, "left_anti")
+
+
 def whole_rows(docs: DataFrame) -> Column:
     """All columns of `docs` as one struct, so that no name can clash with a new column."""
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns])

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import as_texts, resident, text_batches, texts_in, trim, whole_rows
+from earshot.llm.common import as_texts, resident, text_batches, text_keys, trim, without_texts
 
 WORD = re.compile(r"\w+")
 UNKNOWN, PAD = -1, -2
@@ -306,24 +306,23 @@ def _leak_step(block: BenchmarkBlock, doc_type: str, item_type: str):
     return run
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text",
+def without_leaks(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
                   max_edit: float = 0.2, target_recall: float = 0.99, block_items: int = 5_000) -> DataFrame:
     """The rows of `docs` in which no item is found, with all their columns; rules as in `leaks`. A row is dropped
-    where it stands, so keys may repeat or be null."""
-    rows = docs.select(whole_rows(docs).alias("doc"))
-    schema = f"doc {rows.schema['doc'].dataType.simpleString()}"
-    for block in blocks(benchmark, item_id, item_text, max_edit, target_recall, block_items):
-        if block:
-            rows = rows.mapInArrow(_clean_step(block, text), schema)
-    return rows.select("doc.*")
+    by its key and text, so keys may repeat or be null."""
+    rows = docs.select(*[c.alias(n) for n, c in text_keys(doc_id, text).items()], F.col(text).alias("text"))
+    schema = rows.select("_key", "_told").schema
+    found = [rows.mapInArrow(_found_step(b), schema) for b in blocks(benchmark, item_id, item_text, max_edit, target_recall, block_items) if b]
+    return without_texts(docs, reduce(DataFrame.unionByName, found), doc_id=doc_id, text=text) if found else docs
 
 
-def _clean_step(block: BenchmarkBlock, text: str):
+def _found_step(block: BenchmarkBlock):
     def run(batches):
         resident(None, None)
-        for batch in text_batches(batches, 0, field=text):
-            found = {h[0] for h in find_leaks(block, [words(t) for t in as_texts(texts_in(batch, 0, text))])}
-            yield batch.filter(pa.array([i not in found for i in range(batch.num_rows)]))
+        for batch in text_batches(batches, 2):
+            found = {h[0] for h in find_leaks(block, [words(t) for t in as_texts(batch.column(2))])}
+            if found:
+                yield batch.select([0, 1]).take(pa.array(sorted(found), pa.int64()))
         trim()
 
     return run

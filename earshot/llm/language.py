@@ -18,9 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import as_texts, map_texts, resident, whole_rows
+from earshot.llm.common import as_texts, map_texts, resident, text_keys, whole_rows, without_texts
 
 UNDETERMINED = "und"
+MOST_LANGUAGES = 200
 SLOTS = 1 << 18
 BATCH_BYTES = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -111,17 +112,18 @@ class Presence:
 def _labelled_sample(docs: DataFrame, doc_id: str, text: str, lang: str, per_language: int) -> list[tuple[str, str]]:
     """(language, text) of at most about twice `per_language` rows of each language, by a hash of the key.
 
-    The first pass counts languages; the second keeps the share of each that gives the wanted number, so the
-    sample never grows with the table.
+    The first pass counts languages, of which the MOST_LANGUAGES most frequent are learned; the second keeps the share
+    of each that gives the wanted number. A key gives one text, the least, however many rows it has, so the sample
+    never grows with the table.
     """
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(doc_id).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}
+    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MOST_LANGUAGES).collect()}
     if not counts:
         return []
     draw = F.pmod(F.xxhash64(F.col(doc_id), F.lit("language sample")), F.lit(1 << 30))
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(min(1.0, 2 * per_language / n) * (1 << 30)))])
-    drawn = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), draw.alias("draw"))
-    picked = drawn.filter(F.col("draw") < share[F.col("lang")]).collect()
+    drawn = rows.select(F.col(lang).alias("lang"), F.col(doc_id).alias("id"), F.col(text).alias("text"), draw.alias("draw"))
+    picked = drawn.filter(F.col("draw") < F.coalesce(share[F.col("lang")], F.lit(0))).groupBy("lang", "id", "draw").agg(F.min("text").alias("text")).collect()
     by_language: dict[str, list] = {}
     for r in sorted(picked, key=lambda r: (r.lang, r.draw, r.text)):
         by_language.setdefault(r.lang, []).append(r.text)
@@ -182,26 +184,27 @@ def _scored(docs: DataFrame, keys: dict, text: str, model: LanguageModel | None,
     def make():
         resident(None, None)
         presence = Presence(model.vocabulary) if model else None
+        blank = presence([" "])[0][0] if model else None  # the gram of white space alone, which every text has
 
         def step(texts: pa.Array):
             values = as_texts(texts)
             if not model:
-                return pa.array([UNDETERMINED] * len(values)), pa.array([0.0] * len(values))
+                return pa.array([UNDETERMINED] * len(values)), pa.array([0.0] * len(values)), pa.array([False] * len(values))
             rows, has_letter = presence(values)
             scores = model.sharpness * (model.kernel(rows) @ model.weights)
             shares = np.exp(scores - scores.max(1, keepdims=True))
             shares /= shares.sum(1, keepdims=True)
             best = shares.argmax(1)
             named = [model.languages[b] if ok else UNDETERMINED for b, ok in zip(best.tolist(), has_letter.tolist())]
-            return pa.array(named), pa.array(np.where(has_letter, shares[np.arange(len(best)), best], 0.0).astype(np.float64))
+            return pa.array(named), pa.array(np.where(has_letter, shares[np.arange(len(best)), best], 0.0).astype(np.float64)), pa.array((rows.sum(1) > rows @ blank) & has_letter)
 
         return step
 
-    return map_texts(docs, keys, text, make, "lang_pred string, score double", BATCH_BYTES, inside)
+    return map_texts(docs, keys, text, make, "lang_pred string, score double, known boolean", BATCH_BYTES // 4, inside)  # n-grams take some 100 bytes for each
 
 
 def predict_language(docs: DataFrame, model: LanguageModel | None, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, lang_pred and score (0 to 1) of every whole text, one row per row of `docs`.
+    """doc_id, lang_pred, score (0 to 1) and known (whether the model knows any of its n-grams with a letter) of every whole text, one row per row of `docs`.
 
     `und` with score 0 for a null text, a text without a letter, or no model. A text none of whose n-grams the
     model knows gets the first language with an even score. Ties go to the first language by name.
@@ -210,5 +213,12 @@ def predict_language(docs: DataFrame, model: LanguageModel | None, *, doc_id: st
 
 
 def with_language(docs: DataFrame, model: LanguageModel | None, *, text: str = "text") -> DataFrame:
-    """`doc` (all columns of `docs` as one struct), lang_pred and score."""
+    """`doc` (all columns of `docs` as one struct), lang_pred, score and known."""
     return _scored(docs, {"doc": whole_rows(docs)}, text, model, "doc")
+
+
+def of_known_language(docs: DataFrame, model: LanguageModel | None, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs` in a language of the model, with all their columns. Dropped are null texts, texts without
+    a letter, and texts with none of the n-grams the model knows (other scripts, say); without a model, all."""
+    scored = _scored(docs, text_keys(doc_id, text), text, model)
+    return without_texts(docs, scored.filter(~F.col("known")), doc_id=doc_id, text=text)

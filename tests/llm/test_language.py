@@ -1,7 +1,8 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from earshot.llm.common import fold
-from earshot.llm.language import UNDETERMINED, Presence, fit_language, grams, predict_language, with_language
+from earshot.llm.language import UNDETERMINED, Presence, _labelled_sample, fit_language, grams, of_known_language, predict_language, with_language
 from tests.llm.cases import empty_docs, odd_docs, table
 
 
@@ -51,5 +52,20 @@ def test_a_small_language_of_own_script_is_known(spark):
     rows = [(k, text(letters)) for k, letters in large.items() for _ in range(40)] + [("zz", text("αβγδεζηθικλμ")) for _ in range(5)]
     docs = spark.createDataFrame([(i, t, k) for i, (k, t) in enumerate(rows)], "doc_id long, text string, lang string")
     model = fit_language(docs, vocabulary=600)
-    asked = spark.createDataFrame([(0, text("αβγδεζηθικλμ")), (1, text(large["de"]))], "doc_id long, text string")
+    asked = spark.createDataFrame([(0, text("αβγδεζηθικλμ")), (1, text(large["de"])), (2, "привет мир"), (2, text(large["fr"])), (None, "привет"), (None, text(large["it"])), (3, None), (4, "12 34")], "doc_id long, text string")
+    kept = of_known_language(asked, model)
+    assert kept.schema == asked.schema and sorted(str(r.doc_id) for r in kept.collect()) == ["0", "1", "2", "None"]  # by brute force: those with a letter of the five alphabets
+    assert all(set(r.text) & set("abcdefghijklmnopqrstuvwxαβγδεζηθικλμ") for r in kept.collect())
+    assert of_known_language(asked, None).collect() == [] and of_known_language(asked.limit(0), model).collect() == []
+    asked = asked.filter("doc_id < 2")
     assert {r.doc_id: r.lang_pred for r in predict_language(asked, model).collect()} == {0: "zz", 1: "de"}
+
+
+def test_one_key_gives_one_text_to_the_sample(spark):
+    """However many rows it has: the sample is no larger than the bound."""
+    hot = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("abc "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    rest = spark.createDataFrame([(100 + i, f"efg {i}", "en") for i in range(50)], "doc_id long, text string, lang string")
+    for seven in range(3):
+        shifted = hot.withColumn("doc_id", F.lit(seven).cast("long")).unionByName(rest)
+        sample = _labelled_sample(shifted, "doc_id", "text", "lang", 300)
+        assert len(sample) <= 51 and sum(t.startswith("abc") for _, t in sample) <= 1
