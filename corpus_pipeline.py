@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from earshot.llm.common import table
+from earshot.llm.common import small_batches, table
 from earshot.llm.decontaminate import without_leaks
 from earshot.llm.exact_dedup import keep_one
-from earshot.llm.language import UNDETERMINED, with_language
+from earshot.llm.language import of_known_language
 from earshot.llm.ngram_join import keep_one_per_component
 from earshot.llm.queries import fresh_folder, language_model, packed
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language. Rejected are those the operator calls undetermined: null texts and texts without
-    a letter."""
-    return with_language(docs, language_model(docs)).filter(f"lang_pred <> '{UNDETERMINED}'").select("doc.*")
+    """Documents in a language the model knows. Rejected are null texts, texts without a letter, and texts with none of
+    the n-grams that the kernels compare."""
+    small_batches(spark)
+    return of_known_language(docs, language_model(docs))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,16 +26,19 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of documents whose sets of five-word n-grams are 0.8 similar."""
+    small_batches(spark)
     return keep_one_per_component(docs, words=5, percent=80)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    small_batches(spark)
     return without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The batch of every document that is left."""
+    small_batches(spark)
     return packed(docs)
 
 
