@@ -8,8 +8,9 @@ Texts and benchmark items are sequences of words. An item leaks into a document
 2. CGK embedding of the item-sized windows that remain: a random walk copies the words to three times the length,
    stepping on by a random bit of (step, word). Few edits give a small Hamming distance.
 3. Bit-sampling LSH: tables of sampled places of several embeddings; a window and an item of its size meet if one
-   table agrees. The number of tables is what reaches the target recall on edited copies of the items themselves.
-4. Exact edit distance for the pairs that met.
+   table agrees. The number of tables is what reaches the target recall on edited copies of the items themselves; an
+   item whose own copy the tables would find with less than that recall meets every window the gate leaves it.
+4. Exact edit distance for the pairs that met; overlapping windows of one item are one run of text.
 
 The benchmark is read in blocks of `block_items`, so what is sent to the tasks has a fixed bound however many
 items there are.
@@ -30,6 +31,8 @@ from earshot.llm.common import as_texts, resident, text_batches, text_keys, trim
 
 WORD = re.compile(r"\w+")
 UNKNOWN, PAD = -1, -2
+EDIT, FAR = 1 << 32, 1 << 62
+CELLS = 1 << 22  # of an array in a task, 32 MB
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -58,21 +61,23 @@ def embed(rows: np.ndarray, sizes: np.ndarray, seed: int) -> np.ndarray:
     return out
 
 
-def edit_distances(items: np.ndarray, windows: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each pair the fewest word edits between the item and a prefix of the window, and that prefix's length.
+def closest_passages(items: np.ndarray, texts: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row the passage of the text closest to the item among those that begin at a marked place: word edits,
+    first word, number of words. Of equally close ones the first, then the shortest.
 
-    Rows of `items` have one width; windows are padded to one width, `lengths` are their real ones.
+    Items have one width, texts are padded to one; `starts` has a column more than them. All beginnings share one
+    table of edits, so a run of overlapping windows costs its length times the item's, however many begin in it.
     """
-    n, width = windows.shape
-    columns = np.arange(width + 1)
-    row = np.broadcast_to(columns, (n, width + 1)).copy()
+    at = np.arange(texts.shape[1] + 1)
+    row = np.where(starts, at, FAR)  # edits and the beginning in one number: the least is the closest and first
+    row = np.minimum.accumulate(row - at * EDIT, axis=1) + at * EDIT
     for i in range(items.shape[1]):
         step = np.empty_like(row)
-        step[:, 0] = i + 1
-        step[:, 1:] = np.minimum(row[:, 1:] + 1, row[:, :-1] + (windows != items[:, i : i + 1]))
-        row = np.minimum.accumulate(step - columns, axis=1) + columns
-    row = np.where(columns <= lengths[:, None], row, np.iinfo(np.int32).max)
-    return row.min(1), row.argmin(1)
+        step[:, 0] = row[:, 0] + EDIT
+        step[:, 1:] = np.minimum(row[:, 1:] + EDIT, row[:, :-1] + (texts != items[:, i : i + 1]) * EDIT)
+        row = np.minimum.accumulate(step - at * EDIT, axis=1) + at * EDIT
+    best, first = row.min(1), row.min(1) % EDIT
+    return best // EDIT, first, row.argmin(1) - first
 
 
 @dataclass
@@ -89,6 +94,7 @@ class BenchmarkBlock:
     max_edit: float
     sampled: np.ndarray  # tables x places, as shares of the embedding's length
     seeds: list[int]  # the embedding of each table
+    exact: np.ndarray  # per item: the tables do not reach the target recall
     keys: np.ndarray
     owners: np.ndarray
 
@@ -129,13 +135,39 @@ def _edited(item: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     return np.array(out[: len(item)], np.int64)
 
 
+def _by_cells(widths: np.ndarray, cells: int):
+    """Row numbers in parts whose padded array has at most `cells` cells, or one row; narrow rows first."""
+    order = np.argsort(widths, kind="stable")
+    a = 0
+    while a < len(order):
+        wide = widths[order[a:]]
+        fits = int(np.searchsorted(wide * np.arange(1, len(wide) + 1), cells, "right"))
+        yield order[a : a + max(1, fits)]
+        a += max(1, fits)
+
+
+def _agreement(items: list[np.ndarray], copies: list[np.ndarray], embeddings: int) -> np.ndarray:
+    """embeddings x items: the share of an item's embedding that its edited copy has alike."""
+    sizes, changed = np.array([len(c) for c in items]), np.array([len(c) for c in copies])
+    out = np.empty((embeddings, len(items)))
+    for part in _by_cells(3 * sizes, CELLS):
+        n, width = sizes[part], int(sizes[part].max())
+        plain, other = _padded([items[x] for x in part.tolist()], width), _padded([copies[x] for x in part.tolist()], width)
+        inside = np.arange(3 * width)[None, :] < 3 * n[:, None]
+        for seed in range(embeddings):
+            same = (embed(plain, n, seed) == embed(other, np.minimum(n, changed[part]), seed)) & inside
+            out[seed, part] = same.sum(1) / (3 * n)
+    return out
+
+
 def build_block(
     items: list[tuple], max_edit: float, target_recall: float, *, places: int = 3, embeddings: int = 4, most_tables: int = 128
 ) -> BenchmarkBlock | None:
     """Tables for (item id, text) pairs; items without words are left out (nothing can match them).
 
-    Copies of the items with the most edits allowed are embedded; the tables needed are the fewest for which the
-    expected share of copies found reaches `target_recall`.
+    A copy of each item with the most edits allowed is embedded; the tables needed are the fewest for which the
+    expected share of copies found reaches `target_recall`, at most `most_tables`. Items whose own copy stays
+    below the target are marked `exact`.
     """
     split = [(i, words(t or "")) for i, t in items]
     split = [(i, w) for i, w in split if w]
@@ -150,21 +182,17 @@ def build_block(
     holders = np.repeat(np.arange(len(coded)), [len(g) for g in item_grams])[np.argsort(held, kind="stable")]
     holder_ends = np.cumsum(np.bincount(held, minlength=len(grams)))
     rng = np.random.default_rng(20)
-    trial = [coded[i] for i in rng.integers(len(coded), size=256)]
-    copies = [_edited(c, int(len(c) * max_edit + 1e-9), rng) for c in trial]
-    width = max(map(len, coded))
-    sizes = np.array([len(c) for c in trial])
-    plain, changed = _padded(trial, width), _padded(copies, width)
-    agree = []
-    for seed in range(embeddings):
-        inside = np.arange(3 * width)[None, :] < 3 * sizes[:, None]
-        same = (embed(plain, sizes, seed) == embed(changed, np.minimum(sizes, [len(c) for c in copies]), seed)) & inside
-        agree.append(same.sum(1) / (3 * sizes))
-    miss = 1 - np.array(agree) ** places  # of one table, per embedding and copy
-    rounds = next((r for r in range(1, most_tables // embeddings) if (1 - (miss**r).prod(0)).mean() >= target_recall), most_tables // embeddings)
+    copies = [_edited(c, int(len(c) * max_edit + 1e-9), rng) for c in coded]
+    miss = 1 - _agreement(coded, copies, embeddings) ** places  # of one table, per embedding and copy
+    most = max(1, most_tables // embeddings)
+    rounds = next((r for r in range(1, most) if (1 - (miss**r).prod(0)).mean() >= target_recall), most)
+    exact = 1 - (miss**rounds).prod(0) < target_recall
     seeds = [s for s in range(embeddings) for _ in range(rounds)]
-    block = BenchmarkBlock([i for i, _ in split], coded, vocabulary, grams, holders, holder_ends, item_grams, max_edit, rng.random((len(seeds), places)), seeds, None, None)
-    sig = block.signatures(_padded(coded, width), np.array([len(c) for c in coded]))
+    block = BenchmarkBlock([i for i, _ in split], coded, vocabulary, grams, holders, holder_ends, item_grams, max_edit, rng.random((len(seeds), places)), seeds, exact, None, None)
+    sizes = np.array([len(c) for c in coded])
+    sig = np.empty((len(coded), len(seeds)), np.uint64)
+    for part in _by_cells(3 * sizes, CELLS):
+        sig[part] = block.signatures(_padded([coded[x] for x in part.tolist()], int(sizes[part].max())), sizes[part])
     keys, owners = sig.ravel(), np.repeat(np.arange(len(coded)), len(seeds))
     order = np.argsort(keys, kind="stable")
     block.keys, block.owners = keys[order], owners[order]
@@ -219,31 +247,56 @@ def _windows(block: BenchmarkBlock, docs: list[np.ndarray]) -> tuple[np.ndarray,
     return tuple(np.concatenate(found, 1)) if found else (np.array([], np.int64),) * 3
 
 
+def _met(block: BenchmarkBlock, docs: list[np.ndarray], doc: np.ndarray, start: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows that agree with their item in a table, and all windows of exact items, by document, item, first word."""
+    sizes = np.array([len(c) for c in block.items])
+    keep = block.exact[wanted]
+    asked = np.flatnonzero(~keep)
+    for part in _by_cells(3 * sizes[wanted[asked]], CELLS):
+        rows = asked[part]
+        n = sizes[wanted[rows]]
+        passages = [docs[x][y : y + m] for x, y, m in zip(doc[rows].tolist(), start[rows].tolist(), n.tolist())]
+        sig = block.signatures(_padded(passages, int(n.max())), n)
+        low, high = np.searchsorted(block.keys, sig, "left"), np.searchsorted(block.keys, sig, "right")
+        met = (high - low).ravel()
+        window = np.repeat(np.repeat(np.arange(len(rows)), sig.shape[1]), met)
+        item = block.owners[np.repeat(low.ravel(), met) + np.arange(met.sum()) - np.repeat(np.cumsum(met) - met, met)]
+        keep[rows[window[item == wanted[rows][window]]]] = True  # an item that the gate excluded cannot match
+    order = np.flatnonzero(keep)
+    order = order[np.lexsort((start[order], wanted[order], doc[order]))]
+    return doc[order], start[order], wanted[order]
+
+
+def _runs(doc: np.ndarray, start: np.ndarray, wanted: np.ndarray, sizes: np.ndarray, edits: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Windows of one document and item that overlap, as (document, item, first window, end of windows)."""
+    if not len(doc):
+        return (np.zeros(0, np.int64),) * 4
+    new = (np.diff(doc) != 0) | (np.diff(wanted) != 0) | (np.diff(start) >= (sizes + edits)[wanted[1:]])
+    begins = np.concatenate([[0], np.flatnonzero(new) + 1])
+    return doc[begins], wanted[begins], begins, np.append(begins[1:], len(doc))
+
+
 def find_leaks(block: BenchmarkBlock, docs: list[list[str]]) -> list[tuple[int, int, int, int, int]]:
     """(document, item, edits, first word, words) of the closest passage of each document and item that match;
     of equally close ones the first."""
     coded = [np.fromiter((block.vocabulary.get(w, UNKNOWN) for w in ws), np.int64, len(ws)) for ws in docs]
-    doc, start, wanted = _windows(block, coded)
+    doc, start, wanted = _met(block, coded, *_windows(block, coded))
     sizes = np.array([len(c) for c in block.items])
+    d, i, begins, ends = _runs(doc, start, wanted, sizes, block.edits(sizes))
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for a in range(0, len(doc), 20_000):
-        d, s, i = doc[a : a + 20_000], start[a : a + 20_000], wanted[a : a + 20_000]
-        n = sizes[i]
-        rows = _padded([coded[x][y : y + m] for x, y, m in zip(d.tolist(), s.tolist(), n.tolist())], int(n.max()))
-        sig = block.signatures(rows, n)
-        low, high = np.searchsorted(block.keys, sig, "left"), np.searchsorted(block.keys, sig, "right")
-        met = (high - low).ravel()
-        window = np.repeat(np.repeat(np.arange(len(d)), sig.shape[1]), met)
-        item = block.owners[np.repeat(low.ravel(), met) + np.arange(met.sum()) - np.repeat(np.cumsum(met) - met, met)]
-        window = np.unique(window[item == i[window]])  # an item that the gate excluded cannot match
-        for m in np.unique(n[window]).tolist():
-            w = window[n[window] == m]
-            k = int(block.edits(np.array(m)))
-            passages = [coded[x][y : y + m + k] for x, y in zip(d[w].tolist(), s[w].tolist())]
-            lengths = np.array([len(p) for p in passages])
-            distance, used = edit_distances(np.stack([block.items[x] for x in i[w]]), _padded(passages, m + k), lengths)
+    for m in np.unique(sizes[i]).tolist():
+        k, same = int(block.edits(np.array(m))), np.flatnonzero(sizes[i] == m)
+        low = start[begins[same]]
+        high = np.minimum(start[ends[same] - 1] + m + k, [len(coded[x]) for x in d[same].tolist()])
+        for part in _by_cells(high - low + 1, CELLS // 16):
+            run = same[part]
+            texts = _padded([coded[x][y:z] for x, y, z in zip(d[run].tolist(), low[part].tolist(), high[part].tolist())], int((high - low)[part].max()))
+            marked = np.zeros((len(run), texts.shape[1] + 1), bool)
+            for r, (x, y, z) in enumerate(zip(begins[run].tolist(), ends[run].tolist(), low[part].tolist())):
+                marked[r, start[x:y] - z] = True
+            distance, first, used = closest_passages(np.stack([block.items[x] for x in i[run]]), texts, marked)
             for j in np.flatnonzero(distance <= k).tolist():
-                key, value = (int(d[w[j]]), int(i[w[j]])), (int(distance[j]), int(s[w[j]]), int(used[j]))
+                key, value = (int(d[run[j]]), int(i[run[j]])), (int(distance[j]), int(first[j] + low[part[j]]), int(used[j]))
                 if key not in best or value < best[key]:
                     best[key] = value
     return [(d, i, *v) for (d, i), v in sorted(best.items())]

@@ -1,10 +1,11 @@
 import random
+import time
 
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from earshot.llm.decontaminate import build_block, edit_distances, find_leaks, leaks, without_leaks, words
+from earshot.llm.decontaminate import build_block, closest_passages, find_leaks, leaks, without_leaks, words
 from tests.llm.cases import empty_docs, odd_docs, table
 
 
@@ -17,13 +18,14 @@ def distance(a, b):
     return row[-1]
 
 
-@given(st.lists(st.integers(0, 3), min_size=1, max_size=8), st.lists(st.integers(0, 3), min_size=0, max_size=10))
-@settings(max_examples=200, deadline=None)
-def test_edit_distance_to_the_best_prefix(item, window):
-    padded = np.array([window + [-2] * (10 - len(window))])
-    d, n = edit_distances(np.array([item]), padded, np.array([len(window)]))
-    by_length = [distance(item, window[:k]) for k in range(len(window) + 1)]
-    assert d[0] == min(by_length) and n[0] == by_length.index(min(by_length))
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=8), st.lists(st.integers(0, 3), min_size=0, max_size=10), st.sets(st.integers(0, 10), min_size=1))
+@settings(max_examples=300, deadline=None)
+def test_closest_passage_from_any_marked_place(item, text, places):
+    places = {p for p in places if p <= len(text)} or {0}
+    padded = np.array([text + [-2] * (10 - len(text))])
+    edits, first, used = closest_passages(np.array([item]), padded, np.isin(np.arange(11), list(places))[None, :])
+    passages = [(distance(item, text[a:b]), a, b - a) for a in places for b in range(a, len(text) + 1)]
+    assert (edits[0], first[0], used[0]) == min(passages)
 
 
 def prose(rng, n):
@@ -94,3 +96,38 @@ def test_odd_rows_and_empty_tables(spark):
     assert leaks(empty_docs(spark), benchmark).collect() == [] and without_leaks(empty_docs(spark), benchmark).collect() == []
     none = spark.createDataFrame([], "item_id long, text string")
     assert leaks(docs, none).collect() == [] and without_leaks(docs, none).count() == docs.count()
+
+
+def test_long_items_in_repetitive_texts():
+    """Every passage of a text that repeats itself is a window; the closest one is that of all beginnings."""
+    rng = random.Random(8)
+    phrase = prose(rng, 40)
+    item, doc = (phrase * 8)[:300], edited(rng, phrase * 40, 60)
+    block = build_block([(1, " ".join(item)), (2, " ".join(prose(rng, 300)))], 0.2, 0.99)
+    ((_, i, e, first, n),) = find_leaks(block, [doc])
+    row = [0] * (len(doc) + 1)  # the fewest edits of any passage
+    for x, word in enumerate(item, 1):
+        last, row = row, [x]
+        for y, other in enumerate(doc, 1):
+            row.append(min(last[y] + 1, row[-1] + 1, last[y - 1] + (word != other)))
+    assert (i, e) == (0, min(row)) and distance(item, doc[first : first + n]) == e
+
+
+def test_a_long_item_costs_its_length_times_the_text():
+    rng = random.Random(9)
+    phrase = prose(rng, 50)
+    block = build_block([(1, " ".join((phrase * 30)[:1500]))], 0.2, 0.99)
+    began = time.process_time()
+    assert find_leaks(block, [edited(rng, phrase * 200, 300)])
+    assert time.process_time() - began < 30  # it takes about 4 s; every window by itself took over 200 s
+
+
+def test_items_the_tables_cannot_serve_are_searched_exactly():
+    rng = random.Random(10)
+    items = [(i, " ".join(prose(rng, rng.randrange(20, 60)))) for i in range(40)]
+    few = build_block(items, 0.2, 0.99, most_tables=4)
+    assert few.exact.any() and not build_block(items, 0.2, 0.0).exact.any()
+    for i in np.flatnonzero(few.exact).tolist():
+        item = words(items[i][1])
+        doc = prose(rng, 100) + edited(rng, item, int(len(item) * 0.2)) + prose(rng, 100)
+        assert i in [x for _, x, *_ in find_leaks(few, [doc])]
