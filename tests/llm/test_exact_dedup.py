@@ -50,9 +50,22 @@ def test_keep_one_keeps_all_columns(spark):
     assert left.count() == brute(whole.collect())[1]
 
 
-@pytest.mark.parametrize("most", [0, 10**6])
-def test_broadcast_and_shuffled_keys_agree(spark, monkeypatch, most):
+@pytest.mark.parametrize("most, hot", [(0, 3), (0, 10**6), (10**6, 3)])
+def test_broadcast_and_shuffled_keys_agree(spark, monkeypatch, most, hot):
     monkeypatch.setattr("earshot.llm.common.BROADCAST_ROWS", most)
+    monkeypatch.setattr("earshot.llm.exact_dedup.HOT_ROWS", hot)
     docs = table(spark, "documents")
     assert sorted((r.doc_id, r.keep_id) for r in exact_groups(docs).collect()) == sorted((a, b) for a, b, *_ in brute(docs.collect())[0])
     assert keep_one(docs).count() == brute(docs.collect())[1]
+
+
+@pytest.mark.parametrize("most", [0, 10**6])
+def test_content_is_the_key_of_every_step(spark, monkeypatch, most):
+    """Two texts under one digest, each in many tasks, beside digests of one text."""
+    monkeypatch.setattr("earshot.llm.common.BROADCAST_ROWS", most)
+    monkeypatch.setattr("earshot.llm.exact_dedup.HOT_ROWS", 50)
+    text = F.element_at(F.array(F.lit("a one"), F.lit("a two"), F.lit("b three")), (F.col("id") % 3 + 1).cast("int"))
+    docs = spark.range(0, 300, 1, 12).select(F.col("id").alias("doc_id"), text.alias("text"))
+    rows = exact_groups(docs, digest=lambda norm: F.substring(norm, 1, 1)).collect()
+    assert len(rows) == 300 and {(r.doc_id % 3, r.keep_id, r.group_size) for r in rows} == {(0, 0, 100), (1, 1, 100), (2, 2, 100)}
+    assert sorted(r.doc_id for r in rows if r.kept) == [0, 1, 2]
