@@ -11,6 +11,7 @@ from checks.oracle import oracle
 from earshot.functions.text import slug, url_tail
 from earshot.operators.rules import compile_rule, select_by_rule, uri
 from earshot.plans import playlists as L
+from earshot.sources.snapshots import fresh_path
 
 Q: dict = {}
 NOW = f"TIMESTAMP '{AS_OF}'"
@@ -113,6 +114,20 @@ add("all_playlists", lambda c: L.all_playlists(c.ut, lists(c), c.as_of).select("
 add("playlist_members", lambda c: L.all_playlists(c.ut, lists(c), c.as_of).groupBy("slug", "batch").agg(F.count(F.lit(1)).alias("n"), F.min("position").alias("from_position"), F.max("position").alias("to_position")),
     f"""SELECT p.slug, CAST((pos - 1) // 100 AS INT) AS batch, count(*) AS n, CAST(min(pos) AS INT) AS from_position, CAST(max(pos) AS INT) AS to_position
         FROM {{playlist_mappings}} p JOIN ({MEMBERS}) m ON m.segment = p.rules GROUP BY ALL""")
+
+
+def written(c):
+    """The members table after two runs: first every playlist holds itself, then those with usable rules get what they select,
+    which may be nothing. Playlists that are not dynamic, or whose rules cannot be read, keep what they hold."""
+    path = fresh_path(c.spark, "members")
+    L.write_members(c.t["playlist_mappings"].select("slug", F.lit(1).alias("position"), F.lit(0).alias("batch"), F.col("playlist_id").alias("uri")), path)
+    usable = c.t["playlist_mappings"].filter("is_dynamic AND rules <> 'FURNITURE'")
+    return L.write_members(L.all_playlists(c.ut, lists(c), c.as_of), path, usable).read()
+
+
+add("stored_members", lambda c: written(c).select("slug", "position", "uri"),
+    f"""SELECT p.slug, CAST(pos AS INT) AS position, 'spotify:track:' || track_id AS uri FROM {{playlist_mappings}} p JOIN ({MEMBERS}) m ON m.segment = p.rules
+        UNION ALL SELECT slug, 1, playlist_id FROM {{playlist_mappings}} WHERE NOT is_dynamic OR rules = 'FURNITURE'""")
 HASHES = f"SELECT p.slug, sha256(string_agg('spotify:track:' || track_id, ',' ORDER BY pos)) AS new_hash, CAST(count(*) AS INT) AS new_count FROM {{playlist_mappings}} p JOIN ({MEMBERS}) m ON m.segment = p.rules GROUP BY p.slug"
 add("tracklist_hash", lambda c: L.tracklist_hashes(L.all_playlists(c.ut, lists(c), c.as_of), "slug"), HASHES)
 add("change_gate", lambda c: L.change_gate(c.ut, stored(c), c.as_of).select("slug", "last_synced_at", "track_count", "last_synced_hash", "outcome"),

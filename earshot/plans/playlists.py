@@ -21,6 +21,7 @@ from earshot.operators.digest import ordered_digest
 from earshot.operators.ordered import positions
 from earshot.operators.rules import Bits, Rule, compile_rule, uri
 from earshot.operators.skew import fits_broadcast, hot_keys, key_sizes, lookup_join
+from earshot.sources.members import MemberTable
 from earshot.sources.snapshots import fresh_path, settle
 
 EXCLUSIONS = "exclusions"
@@ -158,11 +159,15 @@ def all_playlists(unified: DataFrame, playlists: DataFrame, as_of) -> DataFrame:
     return joined.select("slug", "position", batch_of(F.col("position")).alias("batch"), "uri")
 
 
-def write_members(members: DataFrame, path: str) -> None:
-    """The members of `all_playlists`, one folder per playlist, files in batches of positions.
-    A playlist that is written replaces its former members; others stay."""
-    ordered = members.repartition("slug", "batch").sortWithinPartitions("slug", "batch", "position")
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slug").parquet(path)
+def write_members(members: DataFrame, path: str, decided: DataFrame | None = None) -> MemberTable:
+    """The members of `all_playlists` into the table at `path`, which is made if there is none. A playlist that is written
+    replaces its former members, one that `decided` (slug) names besides becomes empty; others stay."""
+    spark = members.sparkSession
+    table = MemberTable(spark, path)
+    if not table.version():
+        return MemberTable.create(spark, path, members)
+    table.replace(members, decided)
+    return table
 
 
 def batch_of(position: Column) -> Column:

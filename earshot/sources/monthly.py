@@ -1,31 +1,19 @@
-"""Plays stored by month under a manifest.
-
-A table is a folder of data folders and of versions. A version lists, for each month, the
-data folders it consists of; it is one small file, written last and never again. So a
-merge writes the months it touches and nothing else, readers see one version whole, and a
-run that was cut off leaves folders that no version names.
-"""
+"""Plays stored by month under a manifest (see `versions`)."""
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections import defaultdict
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from earshot.operators.merge import lacking_rows, one_per_key
-from earshot.session import require_utc
 from earshot.sources.snapshots import settle
+from earshot.sources.versions import VersionedTable
 
 PLAY_KEY = ["track_id", "played_at"]
 NO_MONTH = "none"  # of plays without a time
 PIECES = 8  # data folders of a month before a merge writes it anew
-DONE = "end"  # last line of a version
 
 
 def month_of(played_at: str = "played_at") -> Column:
@@ -40,14 +28,10 @@ class Merge:
     added: int
 
 
-class MonthlyPlays:
+class MonthlyPlays(VersionedTable):
     """A table of plays (any columns beside track_id and played_at) at `root`."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        require_utc(spark)
-        self.spark, self.root = spark, root.rstrip("/")
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+    part = "month"
 
     @classmethod
     def create(cls, spark: SparkSession, root: str, plays: DataFrame) -> MonthlyPlays:
@@ -58,66 +42,20 @@ class MonthlyPlays:
         table._commit(1, table._written(plays.withColumn("month", month_of())), plays.schema.json())
         return table
 
-    # versions ------------------------------------------------------------------------
-
-    def version(self) -> int:
-        """The latest whole version, 0 if there is none."""
-        folder = self._path(f"{self.root}/versions")
-        names = [f.getPath().getName() for f in self._fs.listStatus(folder)] if self._fs.exists(folder) else []
-        return next((int(n) for n in sorted(names, reverse=True) if n.isdigit() and self._lines(int(n))[-1] == DONE), 0)
-
     def months(self, version: int | None = None) -> dict[str, list[tuple[str, int]]]:
-        """The data folders of each month, with their rows: a line per folder, at most PIECES for a month."""
-        found: dict[str, list[tuple[str, int]]] = defaultdict(list)
-        for line in self._lines(version or self.version())[1:-1]:
-            month, folder, rows = line.split("\t")
-            found[month].append((folder, int(rows)))
-        return dict(found)
-
-    def _lines(self, version: int) -> list[str]:
-        stream = self._fs.open(self._path(f"{self.root}/versions/{version:010d}"))
-        try:
-            return (self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8") or "").split("\n")
-        finally:
-            stream.close()
-
-    def _commit(self, version: int, months: dict[str, list[tuple[str, int]]], schema: str) -> None:
-        """Write a version, or fail if another run has written it first."""
-        lines = [schema, *[f"{m}\t{folder}\t{rows}" for m, parts in sorted(months.items()) for folder, rows in parts], DONE]
-        path = self._path(f"{self.root}/versions/{version:010d}")
-        try:
-            out = self._fs.create(path, False)
-        except Py4JJavaError as exists:
-            raise RuntimeError(f"version {version} of {self.root} was written meanwhile: merge again") from exists
-        out.write(bytearray("\n".join(lines).encode()))
-        out.close()
-
-    def _schema(self, version: int):
-        return StructType.fromJson(json.loads(self._lines(version)[0]))
-
-    # rows ----------------------------------------------------------------------------
+        """The data folders of each month, with their rows: at most PIECES for a month."""
+        return self.parts(version)
 
     def read(self, version: int | None = None, months: list[str] | None = None) -> DataFrame:
         """The plays of a version, or of some of its months, with their `month`."""
         version = version or self.version()
         schema = self._schema(version).add("month", "string")
-        listed = self.months(version)
-        folders = [f"{self.root}/data/{folder}/month={m}" for m, parts in listed.items() if months is None or m in months for folder, _ in parts]
+        folders = self._folders(version, months)
         if not folders:
             return self.spark.createDataFrame([], schema)
         bare = self.spark.read.schema(self._schema(version)).parquet(*folders)  # the month is no partition here: folders differ
         return bare.withColumn("month", month_of())
 
-    def _written(self, rows: DataFrame) -> dict[str, list[tuple[str, int]]]:
-        """Write rows into a new data folder, a month in files of even size. The months and their rows are a calendar long."""
-        folder = uuid.uuid4().hex[:12]
-        path = f"{self.root}/data/{folder}"
-        rows.hint("rebalance", "month").write.mode("errorifexists").partitionBy("month").parquet(path)
-        if not self._fs.exists(self._path(path)):
-            return {}
-        there = self.spark.read.schema(rows.schema).parquet(path).groupBy("month").agg(F.count(F.lit(1)).alias("n")).collect()
-        return {r.month: [(folder, r.n)] for r in there}
-
     def merge(self, polled: DataFrame) -> Merge:
         """Add the polled plays whose (track_id, played_at) the table lacks, one of each.
 
@@ -144,18 +82,3 @@ class MonthlyPlays:
             listed |= self._written(self.spark.read.schema(fields).parquet(*folders).withColumn("month", month_of()))
         self._commit(version + 1, listed, fields.json())
         return Merge(version + 1, sum(n for parts in fresh.values() for _, n in parts))
-
-    def forget(self, keep: int = 1) -> int:
-        """Delete the versions before the last `keep`, and data no version names that is older than the
-        latest version (a merge under way has younger data). Returns the number of data folders deleted."""
-        last = self.version()
-        kept = range(max(1, last - keep + 1), last + 1)
-        named = {folder for v in kept for parts in self.months(v).values() for folder, _ in parts}
-        written = self._fs.getFileStatus(self._path(f"{self.root}/versions/{last:010d}")).getModificationTime()
-        for status in self._fs.listStatus(self._path(f"{self.root}/versions")):
-            if int(status.getPath().getName()) < kept.start:
-                self._fs.delete(status.getPath(), False)
-        old = [s.getPath() for s in self._fs.listStatus(self._path(f"{self.root}/data")) if s.getPath().getName() not in named and s.getModificationTime() < written]
-        for path in old:
-            self._fs.delete(path, True)
-        return len(old)
