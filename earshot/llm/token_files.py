@@ -15,7 +15,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from earshot.llm.common import as_bytes, text_batches, trim
@@ -90,14 +90,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 def shard_offsets(files: DataFrame) -> DataFrame:
     """Ids in all shards before each one. One row per written file, however many documents there are."""
     per_shard = files.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
-    listed = per_shard.agg(F.array_sort(F.collect_list(F.struct("shard", "total"))).alias("s"))
-    running = F.aggregate(
-        "s",
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<shard:int,before:long>>").alias("o")),
-        lambda a, x: F.struct((a["at"] + x["total"]).alias("at"), F.concat(a["o"], F.array(F.struct(x["shard"].alias("shard"), a["at"].alias("before")))).alias("o")),
-        lambda a: a["o"],
-    )
-    return listed.select(F.inline(running))
+    earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one task of short rows, a row per file
+    return per_shard.select("shard", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"))
 
 
 def token_digests(files: DataFrame) -> DataFrame:
