@@ -18,6 +18,7 @@ from earshot.llm.common import as_bytes, map_texts, resident
 
 CHUNK, OVERLAP, WIDTH, STEP = 512, 64, 8, 4
 BATCH_BYTES = 1 << 20
+BLOCK = 64  # chunks at once: what is made of them stays in a core's cache
 
 
 def chunks(text: bytes) -> np.ndarray:
@@ -46,17 +47,26 @@ class ByteNet:
         return sum(h[:, k : places - (WIDTH // STEP - 1) + k] for k, h in enumerate(halves))
 
     def pooled(self, rows: np.ndarray) -> np.ndarray:
-        """Max-pooled responses of each chunk, over every place."""
-        top = self.responses(rows, 0).max(1)
-        for shift in range(1, STEP):
-            np.maximum(top, self.responses(rows, shift).max(1), out=top)
+        """Max-pooled responses of each chunk, over every place.
+
+        Places come first, so one place's chunks are one small product with both halves of the filters: too small for BLAS to
+        start threads, and sums and maxima run over whole rows. The values are those of `responses`.
+        """
+        n, size, k = len(rows), self.vectors.shape[1], self.filters.shape[1]
+        halves = np.concatenate(np.split(self.filters, WIDTH // STEP), 1)
+        top = np.full((n, k), -np.inf, np.float32)
+        for shift in range(STEP):
+            places = (CHUNK - shift) // STEP
+            by_place = rows[:, shift : shift + places * STEP].reshape(n, places, STEP).transpose(1, 0, 2)
+            both = self.vectors.take(by_place, axis=0).reshape(places, n, STEP * size) @ halves
+            np.maximum(top, (both[:-1, :, :k] + both[1:, :, k:]).max(0), out=top)
         return np.maximum(top + self.bias, 0)
 
     def features(self, texts: list[bytes]) -> np.ndarray:
         split = [chunks(t) for t in texts]
         first = np.cumsum([0, *[len(s) for s in split]])[:-1]
         rows = np.concatenate(split)
-        pooled = np.concatenate([self.pooled(rows[a : a + 512]) for a in range(0, len(rows), 512)])
+        pooled = np.concatenate([self.pooled(rows[a : a + BLOCK]) for a in range(0, len(rows), BLOCK)])
         mean = np.add.reduceat(pooled, first) / np.array([len(s) for s in split])[:, None]
         return np.concatenate([mean, np.maximum.reduceat(pooled, first)], 1)
 

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -36,6 +38,20 @@ def test_without_labels(spark):
     assert all(r.score > 0.3 for r in score_quality(odd_docs(spark), net).collect())
 
 
+def test_pooled_in_small_blocks():
+    """The pooled values are the greatest of `responses`, bit by bit, and what is held for a text beside its chunks does not leave a core's cache."""
+    draw = np.random.default_rng(4)
+    net = ByteNet(draw.normal(0, 0.3, (256, 8)).astype(np.float32), draw.normal(0, 0.3, (WIDTH * 8, 32)).astype(np.float32), draw.normal(0, 1, 32).astype(np.float32), np.zeros(65), np.zeros((2, 64)))
+    text = draw.integers(1, 256, 300_000, dtype=np.uint8).tobytes()
+    rows = chunks(text)
+    want = np.maximum(np.max([net.responses(rows, shift).max(1) for shift in range(4)], axis=0) + net.bias, 0)
+    tracemalloc.start()
+    got = net.features([text])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got[32:] == want.max(0)).all() and peak < 8 << 20
+
+
 def test_every_place_is_pooled():
     """A pattern answers alike at every offset, up to the last window of a chunk."""
     rng = np.random.default_rng(1)
