@@ -5,9 +5,10 @@ goes between `<` and `|` wherever they meet, and one more where backslashes alre
 forge a mark, and taking one backslash away gives the text back. A newline in a role is written `<nl>`, and `<nl>` itself likewise escaped.
 
 Every assistant turn becomes an example: all turns before it are its context, and only its own text is trained. Contexts
-of one conversation are prefixes of each other, so they are stored front-coded: an example's row holds what it adds to
-the example before (the turns since, and the reply). `expanded` gives the whole texts, whose size grows with the
-square of a conversation's turns; the stored form grows with the turns alone.
+of one conversation are prefixes of each other, so they travel front-coded: an example's row holds what it adds to
+the example before (the turns since, and the reply). `expanded` makes the whole examples of them, whose size grows with the
+square of a conversation's turns; the front-coded form grows with the turns alone. `example_digests` reads whole examples,
+`conversation_digests` front-coded ones.
 """
 
 from __future__ import annotations
@@ -103,30 +104,33 @@ def prefix_examples(conversations: DataFrame, *, conv_id: str = "conv_id", turn:
     return rows.mapInArrow(run, f"conv_id {key}, example long, text string, n_turns long, loss_start long, loss_end long")
 
 
-def expanded(examples: DataFrame) -> DataFrame:
+def expanded(examples: DataFrame, *, tails: bool = False) -> DataFrame:
     """Each example whole: conv_id, example, text (context and reply), n_turns, loss_start, loss_end (code points in `text`).
 
-    One row per assistant turn. A task holds one example at a time, and as many as fit in a batch of a megabyte.
+    One row per assistant turn. With `tails`, a conversation that goes on after its last reply, or has none, ends with a row without a span, all of
+    it as context. A task holds one example at a time, and as many as fit in a batch of a megabyte; a conversation's rows come
+    in order, out of one task.
     """
     names = ["conv_id", "example", "text", "n_turns", "loss_start", "loss_end"]
     rows = examples.select(*names).repartition("conv_id").sortWithinPartitions("conv_id", "example")
 
     def run(batches):
-        at, before, turns, done, out, types = object(), "", 0, [], 0, None
+        at, before, turns, last, done, out, types = object(), "", 0, None, [], 0, None
         for batch in chain(text_batches(batches, 2), [None]):
             types = batch.schema.types if batch is not None else types
-            for conv, number, text, n, start, end in [] if batch is None else zip(*[c.to_pylist() for c in batch.columns]):
+            for conv, number, text, n, start, end in [(object(), None, "", 0, None, None)] if batch is None else zip(*[c.to_pylist() for c in batch.columns]):
                 if conv != at:
+                    if tails and last is not None:
+                        done.append([at, last, before, turns, None, None])
+                        out += len(before)
                     at, before, turns = conv, "", 0
                 if start is not None:
                     done.append([conv, number, before + text, turns + n, len(before) + start, len(before) + end])
                     out += len(before) + len(text)
-                before, turns = before + text, turns + n
-                if out > PIECE_CHARS:
+                before, turns, last = before + text, turns + n, number if start is None else None
+                if done and (out > PIECE_CHARS or batch is None):
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), types)], names=names)
                     done, out = [], 0
-        if done:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), types)], names=names)
         trim()
 
     return rows.mapInArrow(run, rows.schema)
@@ -245,3 +249,43 @@ def conversation_digests(examples: DataFrame) -> DataFrame:
         trim()
 
     return read.unionByName(rest.mapInArrow(run, read.schema))
+
+
+def example_digests(whole: DataFrame) -> DataFrame:
+    """The columns of `conversation_digests`, read back from whole examples as `expanded` gives them with `tails`.
+
+    Every example is read: its context must be the conversation as the example before left it, and goes on from there. The rows
+    must be those of `expanded` itself, where a conversation's are in order in one task; they are digested as they come, and neither
+    shuffled nor written.
+    """
+    rows = whole.select("conv_id", "example", "text", "n_turns", "loss_start", "loss_end")
+
+    def run(batches):
+        at, reader, before, turns, kind, done = None, None, "", 0, None, []
+
+        def emit():
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), [kind, *FOUND.values()])], names=["conv_id", *FOUND])
+
+        for batch in text_batches(batches, 2):
+            kind = batch.schema.types[0]
+            for conv, _, text, n, start, end in zip(*[c.to_pylist() for c in batch.columns]):
+                if reader is None or conv != at:
+                    if reader is not None:
+                        done.append([at, *reader.row()])
+                    at, reader, before, turns = conv, _Reader(), "", 0
+                if not text.startswith(before) or (start is not None and start < len(before)):
+                    raise ValueError("an example that does not go on from the one before")
+                span = (None, None) if start is None else (start - len(before), end - len(before))
+                reader.read(text[len(before) :], n - turns, *span)
+                before, turns = text, n
+            if len(done) > 5_000:
+                yield emit()
+                done = []
+        if reader is not None:
+            done.append([at, *reader.row()])
+        if done:
+            yield emit()
+        trim()
+
+    key = rows.schema["conv_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"conv_id {key}, {FOUND_SCHEMA}")

@@ -88,7 +88,8 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(forged).alias("text")
     )
-    return chat_format.conversation_digests(chat_format.prefix_examples(given.unionByName(added)))
+    examples = chat_format.prefix_examples(given.unionByName(added))
+    return chat_format.example_digests(chat_format.expanded(examples, tails=True))
 
 
 def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

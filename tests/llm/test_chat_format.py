@@ -4,8 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from earshot.llm import chat_format
-from earshot.llm.chat_format import conversation_digests, escaped, escaped_role, expanded, prefix_examples, unescaped, unescaped_role
+from earshot.llm import chat_format, queries
+from earshot.llm.chat_format import conversation_digests, escaped, escaped_role, example_digests, expanded, prefix_examples, unescaped, unescaped_role
 from tests.llm.cases import LONG, table
 from tests.llm.test_prefix_trie import SCHEMA
 
@@ -64,6 +64,30 @@ def test_expanded_examples(spark):
     assert {c: totals[c][0] for c in whole} == whole
 
 
+@pytest.mark.parametrize("bound", [1 << 20, 40])
+def test_whole_examples_read_back(spark, monkeypatch, bound):
+    """With what follows the last reply; each example is read, so one whose context is not its conversation is found out."""
+    monkeypatch.setattr(chat_format, "PIECE_CHARS", bound)
+    rows = spark.createDataFrame(ODD, "conv_id long, turn long, role string, text string").repartition(4)
+    examples = prefix_examples(rows)
+    whole = expanded(examples, tails=True)
+    assert {tuple(r) for r in whole.filter("loss_start IS NOT NULL").collect()} == {tuple(r) for r in expanded(examples).collect()}
+    got = {r.conv_id: tuple(r) for r in example_digests(whole).collect()}
+    assert got == {r.conv_id: tuple(r) for r in conversation_digests(examples).collect()} and got.keys() == {r[0] for r in ODD}
+    other = whole.withColumn("text", F.expr("if(conv_id = 7 AND n_turns = 4, replace(text, 'turn 1', 'turn X'), text)"))
+    with pytest.raises(Exception, match="does not go on"):
+        example_digests(other).collect()
+
+
+def test_query_makes_whole_examples(spark, monkeypatch):
+    """The query reads its rows out of one whole example per assistant turn."""
+    made = []
+    monkeypatch.setattr(chat_format, "expanded", lambda *a, **k: made.append(expanded(*a, **k)) or made[-1])
+    rows = queries.op12_chat_format(spark, "/root/testdata/sf0.001").agg(F.sum("n_examples"), F.sum("expanded_chars")).first()
+    (whole,) = made
+    assert tuple(whole.filter("loss_start IS NOT NULL").agg(F.count("*"), F.sum(F.char_length("text"))).first()) == tuple(rows)
+
+
 def test_escapes_are_undone(spark):
     draw = random.Random(3)
     texts = ["".join(draw.choice("<|\\n>l\nx") for _ in range(draw.randrange(14))) for _ in range(4_000)]
