@@ -11,7 +11,7 @@ exact and never lists the pairs of a group of copies:
    them together. Only n-grams whose classes are not all in one component go on.
 4. The classes that meet at an n-gram form a signature tree (`signature_tree`); an n-gram with many classes is cut
    into blocks by size band and hash, and pairs of blocks that sizes allow are joined. Large sets carry counts beside
-   their bitmap, by which the pairs of a tree's leaves are bounded once more.
+   their bitmap, by which the pairs of a tree's leaves are bounded once more. A pair is told at one of the n-grams it meets at.
 5. Pairs the trees leave are bounded once more with wide bitmaps and then verified on the whole sets.
 6. Components of all links.
 
@@ -40,6 +40,7 @@ HOT = 32
 HOT_SLOTS = 1 << 22
 BLOCK = 1_024
 WIDE = 4_096  # bits of the second bound
+FIRST = 8  # n-grams by which a pair knows where else it meets
 HELD_PAIRS = 1 << 20  # pairs a task remembers having told
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -194,9 +195,17 @@ def _hot_slots(shared: DataFrame) -> np.ndarray:
 
 
 def _met_in_trees(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of classes of different components that share a prefix n-gram and pass the trees' bounds."""
+    """(a, b): pairs of classes of different components that share a prefix n-gram and pass the trees' bounds.
+
+    A pair meets at every n-gram that both prefixes hold, and the bounds say the same at each. So each class carries the first
+    of the n-grams it meets others at, and a pair that has some of these in common is told at the least one only.
+    """
     tokens = rows.select("rep", "comp", F.explode("prefix").alias("token"))
-    members = tokens.select("token", "rep").join(_shared_tokens(tokens), "token").join(rows.select("rep", "n", "comp", "sig"), "rep")
+    shared = tokens.select("token", "rep").join(_shared_tokens(tokens), "token")
+    met = shared.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("token", "members"))).alias("met"))  # at most the set's prefix
+    first = F.transform(F.sequence(F.lit(1), F.lit(FIRST)), lambda i: F.get("met.token", F.least(i, F.size("met")) - 1)).alias("first")
+    held = met.select("rep", first, "met").join(rows.select("rep", "n", "comp", "sig"), "rep")
+    members = held.select("rep", "n", "comp", "sig", "first", F.explode("met").alias("at")).select("at.*", "rep", "n", "comp", "sig", "first")
 
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     band = F.floor(F.log(F.col("n")) / (log(100 / percent) * 1.000001) if percent < 100 else F.col("n")).cast("int")
@@ -216,9 +225,9 @@ def _met_in_trees(rows: DataFrame, percent: int) -> DataFrame:
 
     whole = F.array(place(0, F.lit(0), F.lit(0), F.lit(0), F.lit(4)))
     spread = F.flatten(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), around))
-    placed = members.select("token", F.explode(F.when(F.col("blocks") == 1, whole).otherwise(spread)).alias("at"), "rep", "n", "comp", "sig")
+    placed = members.select("token", F.explode(F.when(F.col("blocks") == 1, whole).otherwise(spread)).alias("at"), "rep", "n", "comp", "sig", "first")
     group = ["token", "kind", "band", "low", "high"]
-    placed = placed.select("token", "at.*", "rep", "n", "comp", "sig").repartition(*group).sortWithinPartitions(*group)
+    placed = placed.select("token", "at.*", "rep", "n", "comp", "sig", "first").repartition(*group).sortWithinPartitions(*group)
     key = rows.schema["rep"].dataType.simpleString()
     return placed.mapInArrow(_tree_step(percent), f"a {key}, b {key}").distinct()
 
@@ -230,25 +239,39 @@ def _distinct(pairs) -> np.ndarray:
     return rows[np.r_[True, (rows[1:] != rows[:-1]).any(1)]] if len(rows) else rows
 
 
+def _told_here(token: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Pair by pair, whether `token` is the least that the rows of x and y have in common, or they have none."""
+    here = np.ones(len(x), bool)
+    for a in range(0, len(x), 100_000):
+        common = (x[a : a + 100_000, :, None] == y[a : a + 100_000, None, :]).any(2)
+        none = ~common.any(1)
+        least = np.where(common, x[a : a + 100_000], np.iinfo(np.int64).max).min(1)
+        here[a : a + 100_000] = none | (least == token)
+    return here
+
+
 def _tree_step(percent: int):
     def pairs_of(table: pa.Table):
         group = np.stack([table.column(i).to_numpy().astype(np.int64) for i in range(5)], 1)
         first = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]).any(1)])
         sides, reps, sizes, comps = (table.column(i).to_numpy() for i in (5, 6, 7, 8))
         signs = table.column(9).to_pylist()
+        firsts = table.column(10).combine_chunks().flatten().to_numpy().reshape(-1, FIRST)
         bits, more = bitmaps([s[: BITS // 8] for s in signs]), [s[BITS // 8 :] for s in signs]
         for a, b in zip(first.tolist(), [*first[1:].tolist(), len(group)]):
             if b - a > 1 and (comps[a:b] != comps[a]).any():
                 i, j = overlapping_pairs(bits[a:b], sizes[a:b], comps[a:b], sides[a:b].astype(np.int64), percent)
                 left = may_count(more[a:b], sizes[a:b], i, j, percent)
                 i, j = i[left], j[left]
+                left = _told_here(group[a, 0], firsts[a:b][i], firsts[a:b][j])
+                i, j = i[left], j[left]
                 if len(i):
                     x, y = reps[a:b][i], reps[a:b][j]
                     yield np.stack([np.minimum(x, y), np.maximum(x, y)], 1)
 
     def run(batches):
         held: list[pa.RecordBatch] = []  # the last group of a batch may go on in the next
-        found: list[np.ndarray] = []  # a pair meets at many n-grams: told once for all groups of a task
+        found: list[np.ndarray] = []  # a pair without common first n-grams is told once for all groups of a task
         size = 0
         for batch in batches:
             if not batch.num_rows:

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql.classic.dataframe import DataFrame
 
 from earshot.llm import ngram_join, signature_tree
 from earshot.llm.components import components
@@ -142,6 +143,24 @@ def test_near_copies_in_small_blocks(spark, monkeypatch):
     assert got(ngram_components(docs, words=3, percent=80)) == want
 
 
+@pytest.mark.parametrize("block", [1_024, 4])
+def test_a_pair_is_told_once(spark, monkeypatch, block):
+    """Whatever the n-grams it shares and the tasks these fall into: as many rows as pairs leave the trees, and all similar pairs."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    told = []
+    monkeypatch.setattr(DataFrame, "distinct", lambda df: told.append(df) or df.dropDuplicates())
+    draw = random.Random(7)
+    base = [draw.randrange(1 << 40) for _ in range(60)]
+    sets = [np.unique(np.array([g if draw.random() > 0.1 else draw.randrange(1 << 62, (1 << 63)) for g in base], np.uint64)) for _ in range(40)]
+    rows = [(i, len(s), i, [int(g) for g in s[: prefix_size(len(s), 70)].view(np.int64)], bytearray(signature(s) + counts(s, 70))) for i, s in enumerate(sets)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    pairs = ngram_join._met_in_trees(spark.createDataFrame(rows, "rep long, n long, comp long, prefix array<long>, sig binary").repartition(3), 70).collect()
+    rows_told = told[-1].count()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    similar = {(i, j) for i in range(40) for j in range(i + 1, 40) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 70 * len(np.union1d(sets[i], sets[j]))}
+    assert len(similar) > 100 and similar <= {tuple(p) for p in pairs} and rows_told == len(pairs)
+
+
 def test_odd_rows_and_empty_table(spark):
     docs = odd_docs(spark)
     assert got(ngram_components(docs, words=3, percent=90)) == brute(docs.collect(), 3, 90)
