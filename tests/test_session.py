@@ -26,6 +26,36 @@ def test_the_shared_folder():
             session.shared_dir(bad)
 
 
+def on_cluster(spark, named, app, given=None):
+    """`spark` as the session of a cluster that names a folder. given: the writing of rows, if not `spark.range`."""
+    conf = types.SimpleNamespace(get=lambda key, other=None: named if key == "spark.checkpoint.dir" else other)
+    context = types.SimpleNamespace(master="spark://h:7077", applicationId=app, defaultParallelism=2, _jsc=spark.sparkContext._jsc)
+    return types.SimpleNamespace(conf=conf, sparkContext=context, range=given or spark.range, read=spark.read, _jvm=spark._jvm)
+
+
+def test_a_cluster_may_share_a_mounted_folder(spark, tmp_path):
+    for n, named in enumerate((f"{tmp_path}/a", f"file://{tmp_path}/b/", f"file:{tmp_path}/c")):
+        tries = []
+        session_of = on_cluster(spark, named, f"mounted-{n}", lambda *a: tries.append(a) or spark.range(*a))
+        assert session.shared_dir(session_of) == session.shared_dir(session_of) == named.rstrip("/")
+        assert len(tries) == 1 and not list((tmp_path / "abc"[n]).iterdir())
+
+
+def test_a_cluster_is_refused_a_folder_that_it_does_not_share(spark, tmp_path):
+    lost = on_cluster(spark, f"{tmp_path}/lost", "lost", lambda start, end, step, parts: spark.range(start, end - 1, step, parts))  # a task's file is on another disk
+    (tmp_path / "file").write_text("")
+    for bad in (lost, lost, on_cluster(spark, f"{tmp_path}/file/x", "file")):
+        with pytest.raises(RuntimeError):
+            session.shared_dir(bad)
+
+
+def test_snapshots_are_written_on_a_cluster(spark, tmp_path, monkeypatch):
+    conf = types.SimpleNamespace(get=lambda key, other=None: str(tmp_path) if key == "spark.checkpoint.dir" else spark._jsparkSession.conf().get(key, other))
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://h:7077")
+    monkeypatch.setattr(type(spark), "conf", conf)
+    assert rows(settle(spark.range(5), "kept")) == [(n,) for n in range(5)]
+
+
 def test_the_zone_must_have_no_offset():
     for zone in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00", "GMT+0", "Africa/Abidjan"):
         session.require_utc(fake("local", zone=zone))
